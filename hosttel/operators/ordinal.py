@@ -79,24 +79,22 @@ def ordinal(df: DataFrame, order_by: list, group_by: list[str] | tuple = (), nam
     earlier = Window.partitionBy(*group_by).orderBy(_P).rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn(_OFF, F.coalesce(F.sum(_C).over(earlier), F.lit(0)))
     if group_size:
-        whole = Window.partitionBy(*group_by)
-        stats = stats.withColumn(_TOT, F.sum(_C).over(whole))
-    stats = stats.drop(_C)
-    for g in group_by:
-        stats = stats.withColumnRenamed(g, f"_ord_g_{g}")
+        stats = stats.withColumn(_TOT, F.sum(_C).over(Window.partitionBy(*group_by)))
+    # distinct names on the small side so nothing is ambiguous after the join
+    sg = {g: f"_ord_g{i}" for i, g in enumerate(group_by)}
+    stats = stats.select(F.col(_P).alias("_ord_sp"), *[F.col(g).alias(a) for g, a in sg.items()],
+                         _M0, _OFF, *([_TOT] if group_size else []))
 
     if not group_by or _few_groups(df, group_by, n, broadcast_rows):
         stats = F.broadcast(stats)
     cond = reduce(lambda a, b: a & b,
-                  [tagged[g].eqNullSafe(stats[f"_ord_g_{g}"]) for g in group_by],
-                  tagged[_P] == stats[_P])
-    joined = tagged.join(stats, cond, "inner")
-    out = joined.withColumn(name, tagged[_M] - stats[_M0] + stats[_OFF] + 1)
+                  [F.col(g).eqNullSafe(F.col(a)) for g, a in sg.items()],
+                  F.col(_P) == F.col("_ord_sp"))
+    out = (tagged.join(stats, cond, "inner")
+           .withColumn(name, F.col(_M) - F.col(_M0) + F.col(_OFF) + 1))
     if group_size:
         out = out.withColumnRenamed(_TOT, group_size)
-    drop = [tagged[_P], tagged[_M], stats[_P], stats[_M0], stats[_OFF]] + \
-        [stats[f"_ord_g_{g}"] for g in group_by]
-    return out.drop(*drop)
+    return out.drop(_P, _M, "_ord_sp", _M0, _OFF, *sg.values())
 
 
 def _few_groups(df: DataFrame, group_by: list[str], n: int, broadcast_rows: int) -> bool:

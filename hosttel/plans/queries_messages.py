@@ -1,5 +1,164 @@
-"""Catalogue entries (filled in below)."""
+"""Catalogue entries for message framing, backlog, envelope and counts."""
 
 from __future__ import annotations
 
-from .catalog import register  # noqa: F401
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..functions import clock_text
+from ..operators import messages as M
+from ..sources.fixtures import PROC_SQL, proc
+from .catalog import register, with_views
+
+K = M.MAIN_ROWS + M.LATE_ROWS
+TRAIL = M.MEMORY_TRAIL
+
+# process-like stream row carried in messages
+ROW_COLS = ["sequence", "machine", "pid", "ts", "cmd", "state", "cpu", "tslpi"]
+ROW_SCHEMA = T.StructType([
+    T.StructField("sequence", T.LongType()), T.StructField("machine", T.IntegerType()),
+    T.StructField("pid", T.LongType()), T.StructField("ts", T.LongType()),
+    T.StructField("cmd", T.StringType()), T.StructField("state", T.StringType()),
+    T.StructField("cpu", T.DoubleType()), T.StructField("tslpi", T.IntegerType()),
+])
+
+# DuckDB: framing, then the rows each message carries (on time + re-sent)
+FRAMED_SQL = f"""framed AS (
+  SELECT *, (row_number() OVER (PARTITION BY machine ORDER BY sequence) - 1) AS p FROM proc),
+ticks AS (
+  SELECT * EXCLUDE (p), CAST(p // {K} AS BIGINT) AS offset_id, (p % {K}) >= {M.MAIN_ROWS} AS is_late
+  FROM framed)"""
+MSG_SQL = FRAMED_SQL + """,
+last_tick AS (SELECT max(offset_id) AS last FROM ticks),
+msg AS (
+  SELECT * EXCLUDE (is_late), offset_id AS origin_offset, false AS resent FROM ticks WHERE NOT is_late
+  UNION ALL
+  SELECT t.* EXCLUDE (is_late, offset_id), CAST(o.o AS BIGINT) AS offset_id, t.offset_id AS origin_offset,
+         true AS resent
+  FROM ticks t, last_tick l, unnest(range(t.offset_id + 1, l.last + 1)) AS o(o)
+  WHERE t.is_late)"""
+COUNTS_SQL = MSG_SQL + """,
+counts AS (SELECT offset_id, machine, count(*) AS n FROM msg GROUP BY offset_id, machine)"""
+
+PROC = with_views(PROC_SQL)
+
+
+def _framed(spark, sf):
+    return M.frame_ticks(proc(spark, sf), "machine", "sequence", M.MAIN_ROWS, M.LATE_ROWS)
+
+
+def _msg_rows(spark, sf):
+    return M.message_rows(_framed(spark, sf))
+
+
+def _counts(spark, sf):
+    return M.message_counts(_msg_rows(spark, sf))
+
+
+@register("ticks", with_views(PROC_SQL, FRAMED_SQL) + """
+SELECT machine, offset_id, count(*) AS n_rows, count_if(is_late) AS n_late,
+       min(sequence) AS first_sequence, max(sequence) AS last_sequence
+FROM ticks GROUP BY machine, offset_id""")
+def q_ticks(spark, sf):
+    """Per-machine slices of main + late rows."""
+    return (_framed(spark, sf).groupBy("machine", "offset_id")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("is_late").alias("n_late"),
+                 F.min("sequence").alias("first_sequence"), F.max("sequence").alias("last_sequence")))
+
+
+@register("late_backlog", with_views(PROC_SQL, MSG_SQL) + "SELECT * FROM msg")
+def q_late_backlog(spark, sf):
+    """Rows of every message: on time plus every earlier held-back row."""
+    return _msg_rows(spark, sf)
+
+
+@register("message_counts", with_views(PROC_SQL, COUNTS_SQL) + "SELECT * FROM counts")
+def q_message_counts(spark, sf):
+    """Rows per machine per message (A10)."""
+    return _counts(spark, sf)
+
+
+def _wide_sql() -> str:
+    cols = ", ".join(f"count(*) FILTER (WHERE machine = {m}) AS machine_{m}" for m in range(1, 6))
+    return with_views(PROC_SQL, MSG_SQL) + f"SELECT offset_id, {cols} FROM msg GROUP BY offset_id"
+
+
+@register("message_counts_wide", _wide_sql())
+def q_message_counts_wide(spark, sf):
+    """One count column per machine, 0 when absent."""
+    p = proc(spark, sf)
+    machines = M.machine_values(p)
+    return M.message_counts_wide(_counts(spark, sf), machines)
+
+
+def _packed(spark, sf):
+    return M.pack_messages(_msg_rows(spark, sf), ROW_COLS)
+
+
+@register("json_roundtrip", with_views(PROC_SQL, MSG_SQL) + f"""
+SELECT offset_id, CAST(row_number() OVER (PARTITION BY offset_id ORDER BY machine, sequence) - 1 AS INTEGER) AS pos,
+       {", ".join(ROW_COLS)}
+FROM msg""")
+def q_json_roundtrip(spark, sf):
+    """Messages packed as JSON arrays and decoded again."""
+    return M.unpack_messages(_packed(spark, sf), ROW_SCHEMA)
+
+
+@register("packed_counts_wide", _wide_sql())
+def q_packed_counts_wide(spark, sf):
+    """Per-message machine counts computed inside each packed message, no shuffle."""
+    machines = M.machine_values(proc(spark, sf))
+    return M.packed_counts_wide(_packed(spark, sf), machines, ROW_SCHEMA)
+
+
+@register("message_time", with_views(PROC_SQL, MSG_SQL) + """,
+pos AS (SELECT *, row_number() OVER (PARTITION BY offset_id ORDER BY machine, sequence) - 1 AS pos FROM msg)
+SELECT offset_id, arg_min(ts, (machine, pos)) AS ts,
+       strftime(make_timestamp(arg_min(ts, (machine, pos)) * 1000000), '%H:%M:%S') AS clock
+FROM pos GROUP BY offset_id""")
+def q_message_time(spark, sf):
+    """Time of each message as clock text."""
+    rows = M.unpack_messages(_packed(spark, sf), ROW_SCHEMA)
+    return M.message_time(rows)
+
+
+@register("clock_text", PROC + """
+SELECT sequence, ts, strftime(make_timestamp(ts * 1000000), '%H:%M:%S') AS clock FROM proc""")
+def q_clock_text(spark, sf):
+    """Epoch seconds to HH:mm:ss in UTC for every row."""
+    return proc(spark, sf).select("sequence", "ts", clock_text("ts").alias("clock"))
+
+
+@register("trailing_counts", with_views(PROC_SQL, COUNTS_SQL) + f"""
+SELECT * FROM counts WHERE offset_id > (SELECT max(offset_id) FROM counts) - {TRAIL}""")
+def q_trailing_counts(spark, sf):
+    """The last 16 messages of every machine's series."""
+    return M.last_points(_counts(spark, sf), TRAIL)
+
+
+@register("trailing_window", with_views(PROC_SQL, COUNTS_SQL) + f"""
+SELECT offset_id, machine,
+       CAST(sum(n) OVER w AS BIGINT) AS window_sum, count(*) OVER w AS window_len
+FROM counts
+WINDOW w AS (PARTITION BY machine ORDER BY offset_id RANGE BETWEEN {TRAIL - 1} PRECEDING AND CURRENT ROW)""")
+def q_trailing_window(spark, sf):
+    """Running sum over the last 16 messages per machine, skew-safe."""
+    return M.trailing_window(_counts(spark, sf), TRAIL)
+
+
+@register("dedup_backlog", with_views(PROC_SQL, MSG_SQL) + """
+SELECT machine, sequence, min(offset_id) AS first_offset, count(*) AS copies
+FROM msg GROUP BY machine, sequence""")
+def q_dedup_backlog(spark, sf):
+    """One row per (machine, sequence) with first message and copies (ST5 twin)."""
+    return M.dedup_rows(_msg_rows(spark, sf))
+
+
+@register("tumbling_counts", PROC + """
+SELECT CAST(epoch(time_bucket(INTERVAL '1 day', make_timestamp(ts * 1000000))) AS BIGINT) AS window_start,
+       CAST(epoch(time_bucket(INTERVAL '1 day', make_timestamp(ts * 1000000)) + INTERVAL '1 day') AS BIGINT) AS window_end,
+       machine, count(*) AS n
+FROM proc GROUP BY ALL""")
+def q_tumbling_counts(spark, sf):
+    """Rows per machine per one-day event-time window (ST4 twin)."""
+    return M.tumbling_counts(proc(spark, sf), "ts", "1 day")
