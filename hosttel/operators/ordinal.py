@@ -102,3 +102,43 @@ def _few_groups(df: DataFrame, group_by: list[str], n: int, broadcast_rows: int)
     column-pruned, partially aggregated pass (reads only the group columns)."""
     est = df.agg(F.approx_count_distinct(F.struct(*group_by), 0.05).alias("g")).first()["g"]
     return (n + int(est * 1.2) + 1) <= broadcast_rows
+
+
+def prefix_sums(df: DataFrame, order_by: list, values: list[str], names: list[str] | None = None,
+                rank: str | None = None, partitions: int | None = None) -> DataFrame:
+    """Running sums of ``values`` over the whole table in ``order_by`` order,
+    without a single-task window.
+
+    Rows are range-partitioned and sorted (checkpointed, as in ``ordinal``);
+    each partition's running sums come from a window partitioned by the
+    partition id, and the totals of all earlier partitions (a table of ``n``
+    rows, broadcast) are added. ``rank`` optionally adds the 1-based
+    position. Meant for pre-aggregated inputs (e.g. one row per distinct
+    score); order keys should be unique for a deterministic order.
+    """
+    names = names or [f"cum_{v}" for v in values]
+    n = _partitions(df, partitions)
+    keys = [_sort_col(o) for o in order_by]
+    tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+              .withColumn(_P, F.spark_partition_id())
+              .withColumn(_M, F.monotonically_increasing_id()))
+    ensure_checkpoint_dir(df.sparkSession)
+    tagged = tagged.checkpoint(eager=True)
+
+    totals = tagged.groupBy(_P).agg(*[F.sum(v).alias(f"_pt{i}") for i, v in enumerate(values)],
+                                    F.count(F.lit(1)).alias("_ptc"))
+    before = Window.orderBy(_P).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        F.col(_P).alias("_ord_sp"),
+        *[F.coalesce(F.sum(f"_pt{i}").over(before), F.lit(0)).alias(f"_po{i}")
+          for i in range(len(values))],
+        F.coalesce(F.sum("_ptc").over(before), F.lit(0)).alias("_poc"))
+    within = Window.partitionBy(_P).orderBy(_M).rowsBetween(Window.unboundedPreceding, 0)
+    local = tagged.select("*", *[F.sum(v).over(within).alias(f"_pl{i}") for i, v in enumerate(values)],
+                          F.row_number().over(Window.partitionBy(_P).orderBy(_M)).alias("_plc"))
+    # ``offsets`` has exactly ``n`` rows (one per partition): a proven bound
+    out = local.join(F.broadcast(offsets), F.col(_P) == F.col("_ord_sp"))
+    out = out.select(*df.columns,
+                     *[(F.col(f"_pl{i}") + F.col(f"_po{i}")).alias(nm) for i, nm in enumerate(names)],
+                     *([(F.col("_plc") + F.col("_poc")).alias(rank)] if rank else []))
+    return out

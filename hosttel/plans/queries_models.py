@@ -1,5 +1,187 @@
-"""Catalogue entries (filled in below)."""
+"""Catalogue entries for sampling, string index, metrics and tree models."""
 
 from __future__ import annotations
 
-from .catalog import register  # noqa: F401
+import zlib
+
+from pyspark.sql import functions as F
+
+from ..functions import strip_brackets
+from ..operators import metrics as MT
+from ..operators import sample as S
+from ..session import scratch_path
+from ..sources.fixtures import PROC_SQL, proc
+from . import pipelines as PL
+from .catalog import DIGITS, register, with_views
+
+PROC = with_views(PROC_SQL)
+U = "((sequence * 7919 + 0) % 10007) / 10007.0"   # portable hash of the key, seed 0
+
+TOTALS_SQL = """totals AS (
+  SELECT count_if(attack = 0) AS n_normal, count_if(attack = 1) AS n_attack,
+         (CAST(count_if(attack = 1) AS DOUBLE) * 0.2 * 2.0) / CAST(count_if(attack = 0) AS DOUBLE) AS ratio
+  FROM proc)"""
+
+
+@register("class_order_counts", PROC + "SELECT attack, count(*) AS count FROM proc GROUP BY attack")
+def q_class_order_counts(spark, sf):
+    """``groupBy(attack).count().orderBy(attack)``."""
+    return S.class_order_counts(proc(spark, sf), "attack")
+
+
+@register("balance_ratio", with_views(PROC_SQL, TOTALS_SQL) + f"""
+SELECT n_normal, n_attack, round(ratio, {DIGITS}) AS ratio,
+       round(least(ratio, 1.0), {DIGITS}) AS fraction_normal, CAST(0.2 AS DOUBLE) AS fraction_attack FROM totals""")
+def q_balance_ratio(spark, sf):
+    """Class totals and balancing fractions in one aggregate."""
+    b = S.balance_fractions(proc(spark, sf), "attack")
+    return b.select("n_normal", "n_attack", F.round("ratio", DIGITS).alias("ratio"),
+                    F.round("fraction_normal", DIGITS).alias("fraction_normal"), "fraction_attack")
+
+
+@register("hash_split", PROC + f"""
+SELECT sequence, attack, CASE WHEN {U} < 0.8 THEN 'train' ELSE 'test' END AS split FROM proc""")
+def q_hash_split(spark, sf):
+    """Stable 80/20 split by key hash (M1, stable form); every row kept."""
+    return S.hash_split(proc(spark, sf).select("sequence", "attack"), "sequence")
+
+
+@register("hash_sample", with_views(PROC_SQL, TOTALS_SQL) + f"""
+SELECT p.* FROM proc p, totals t
+WHERE (p.attack = 1 AND {U.replace('sequence', 'p.sequence')} < 0.2)
+   OR (p.attack = 0 AND {U.replace('sequence', 'p.sequence')} < least(t.ratio, 1.0))""")
+def q_hash_sample(spark, sf):
+    """Class-balanced sample with deterministic keep/drop (M2, M3)."""
+    return S.balance(proc(spark, sf), "attack", method="hash", key="sequence")
+
+
+@register("random_split")
+def q_random_split(spark, sf):
+    """``randomSplit([0.8, 0.2], 0)`` training part (M1); rows only."""
+    return S.random_split(proc(spark, sf))[0]
+
+
+@register("strat_sample")
+def q_strat_sample(spark, sf):
+    """``sampleBy`` with the balance recipe's fractions (M2, M3); rows only."""
+    return S.balance(proc(spark, sf), "attack", method="bernoulli")
+
+
+@register("string_index", PROC + """
+SELECT cmd, n, CAST(row_number() OVER (ORDER BY n DESC, cmd) - 1 AS DOUBLE) AS cmd_index
+FROM (SELECT rtrim(ltrim(cmd, '<'), '>') AS cmd, count(*) AS n FROM proc GROUP BY 1)""")
+def q_string_index(spark, sf):
+    """Category index by descending frequency (M4 relational twin)."""
+    p = proc(spark, sf).select(strip_brackets("cmd").alias("cmd"))
+    return S.string_index(p, "cmd", "cmd_index", "n")
+
+
+CM_SQL = f"""p AS (SELECT CAST(attack AS DOUBLE) AS label, CASE WHEN cpu > 50 THEN 1.0 ELSE 0.0 END AS prediction FROM proc),
+cm AS (SELECT label, prediction, count(*) AS n FROM p GROUP BY ALL),
+pc AS (SELECT label AS cls, CAST(sum(n) AS DOUBLE) AS support,
+              CAST(sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS DOUBLE) AS tp FROM cm GROUP BY label),
+pr AS (SELECT prediction AS cls, CAST(sum(n) AS DOUBLE) AS predicted FROM cm GROUP BY prediction),
+j AS (SELECT pc.*, coalesce(pr.predicted, 0) AS predicted FROM pc LEFT JOIN pr USING (cls))"""
+
+
+@register("confusion_metrics", with_views(PROC_SQL, CM_SQL) + f"""
+SELECT round(sum(tp) / sum(support), {DIGITS}) AS accuracy,
+       round(sum(support * CASE WHEN predicted > 0 THEN tp / predicted ELSE 0 END) / sum(support), {DIGITS}) AS weighted_precision,
+       round(sum(support * tp / support) / sum(support), {DIGITS}) AS weighted_recall,
+       round(sum(support * CASE WHEN predicted + support > 0 THEN 2 * tp / (predicted + support) ELSE 0 END) / sum(support), {DIGITS}) AS weighted_f1
+FROM j""")
+def q_confusion_metrics(spark, sf):
+    """Accuracy and weighted precision/recall/F1 from one confusion matrix."""
+    p = proc(spark, sf).select(F.col("attack").alias("label"),
+                               F.when(F.col("cpu") > 50, 1.0).otherwise(0.0).alias("prediction"))
+    return MT.classification_metrics(p, "label", "prediction", digits=DIGITS)
+
+
+ROC_SQL = """s AS (SELECT CAST(tslpi AS DOUBLE) AS threshold,
+                  sum(CASE WHEN attack = 1 THEN 1 ELSE 0 END) AS pos,
+                  sum(CASE WHEN attack = 1 THEN 0 ELSE 1 END) AS neg FROM proc GROUP BY 1),
+c AS (SELECT threshold, row_number() OVER (ORDER BY threshold DESC) AS point,
+             sum(pos) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS tp,
+             sum(neg) OVER (ORDER BY threshold DESC ROWS UNBOUNDED PRECEDING) AS fp FROM s),
+t AS (SELECT CAST(sum(pos) AS DOUBLE) AS P, CAST(sum(neg) AS DOUBLE) AS N FROM s),
+pts AS (
+  SELECT CAST('inf' AS DOUBLE) AS threshold, CAST(0 AS BIGINT) AS point, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr
+  UNION ALL
+  SELECT threshold, CAST(point AS BIGINT), fp / N AS fpr, tp / P AS tpr FROM c, t)"""
+
+
+@register("roc_points", with_views(PROC_SQL, ROC_SQL) + "SELECT * FROM pts")
+def q_roc_points(spark, sf):
+    """ROC curve of score ``tslpi`` against ``attack``."""
+    p = proc(spark, sf)
+    return MT.roc_points(p.select(F.col("tslpi").alias("score"), F.col("attack").alias("label")))
+
+
+@register("auc", with_views(PROC_SQL, ROC_SQL) + f"""
+SELECT round(sum((fpr - f0) * (tpr + t0) / 2.0), {DIGITS}) AS auc
+FROM (SELECT fpr, tpr, lag(fpr) OVER (ORDER BY point) AS f0, lag(tpr) OVER (ORDER BY point) AS t0 FROM pts)
+WHERE f0 IS NOT NULL""")
+def q_auc(spark, sf):
+    """Area under that curve, trapezoid rule."""
+    p = proc(spark, sf)
+    a = MT.auc(p.select(F.col("tslpi").alias("score"), F.col("attack").alias("label")))
+    return a.select(F.round("auc", DIGITS).alias("auc"))
+
+
+# --- tree models over the process-like view (rows-only checks) -------------
+
+PROC_SPEC = PL.FeatureSpec(categorical=["state", "cmd"], numeric=["tslpi", "cpu"], label="attack")
+
+
+def _model_input(spark, sf):
+    p = proc(spark, sf)
+    return p.withColumn("cmd", strip_brackets("cmd"))
+
+
+def _fit(spark, sf, kinds):
+    data = _model_input(spark, sf)
+    train, test = PL.train_test(data, PROC_SPEC, key="sequence")
+    models = PL.fit_models(train, PROC_SPEC, kinds)
+    return models, test
+
+
+def _pred_cols(pred):
+    return pred.select("sequence", "attack", "prediction",
+                       MT.class_probability("probability", 1).alias("p_attack"))
+
+
+@register("train_predict_dt")
+def q_train_predict_dt(spark, sf):
+    """Decision-tree pipeline: balanced train split → predict the test split (M4–M7, M9)."""
+    models, test = _fit(spark, sf, ("dt",))
+    return _pred_cols(PL.predict(models["dt"], test, PROC_SPEC))
+
+
+@register("train_predict_gbt")
+def q_train_predict_gbt(spark, sf):
+    """Gradient-boosted-trees pipeline on the same split (M8, M9)."""
+    models, test = _fit(spark, sf, ("gbt",))
+    return _pred_cols(PL.predict(models["gbt"], test, PROC_SPEC))
+
+
+@register("model_metrics")
+def q_model_metrics(spark, sf):
+    """AUC, accuracy, weighted precision/recall/F1 for both models."""
+    models, test = _fit(spark, sf, ("dt", "gbt"))
+    rows = None
+    for kind, model in models.items():
+        ev = PL.evaluate(PL.predict(model, test, PROC_SPEC), PROC_SPEC) \
+            .select(F.lit(kind).alias("model"), "*")
+        rows = ev if rows is None else rows.unionByName(ev)
+    return rows
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf):
+    """Final model on the whole balanced table, saved and loaded back, then
+    used to score every row (M14, S10, S11)."""
+    data = _model_input(spark, sf)
+    path = scratch_path(spark, f"models/proc_gbt_{zlib.crc32(sf.encode())}")
+    PL.final_model(data, PROC_SPEC, path, kind="gbt")
+    loaded = PL.load_model(path)
+    return _pred_cols(PL.predict(loaded, data, PROC_SPEC))
