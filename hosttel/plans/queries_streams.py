@@ -1,5 +1,111 @@
-"""Catalogue entries (filled in below)."""
+"""Catalogue entries for Structured Streaming (ST1–ST8, S4–S9).
+
+Input: the messages of ``queries_messages`` (derived by Spark from the
+driver tables) written as Parquet files with the Kafka record envelope; a
+file stream reads them like a Kafka topic. Each query drains the stream
+with ``availableNow`` into an exactly-once Parquet sink under the shared
+checkpoint folder and returns that table.
+"""
 
 from __future__ import annotations
 
-from .catalog import register  # noqa: F401
+import uuid
+
+from ..functions import strip_brackets
+from ..sources import kafka as K
+from ..sources.fixtures import PROC_SQL
+from ..session import scratch_path
+from ..streaming import decode as D
+from ..streaming import late as L
+from ..streaming import score as SC
+from ..streaming import sinks
+from ..streaming import trailing as TR
+from . import pipelines as PL
+from .catalog import register, with_views
+from .queries_messages import COUNTS_SQL, MSG_SQL, ROW_COLS, ROW_SCHEMA, TRAIL, _packed, _wide_sql
+from .queries_models import PROC_SPEC, _model_input
+
+TOPIC = "telemetry_process"
+
+
+def _run_dir(spark, name: str) -> str:
+    return scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _envelope_stream(spark, sf, base: str, files: int = 8):
+    path = f"{base}/in"
+    K.write_envelope_files(K.to_envelope(_packed(spark, sf), TOPIC), path, files)
+    return K.read_envelope_stream(spark, path)
+
+
+def _drain(df, base: str, name: str):
+    return sinks.run_to_parquet(df, f"{base}/out", f"{base}/chk", name)
+
+
+@register("stream_decode_counts", with_views(PROC_SQL, COUNTS_SQL) + "SELECT * FROM counts")
+def q_stream_decode_counts(spark, sf):
+    """Decode each message and count rows per machine inside it (ST2, ST3)."""
+    base = _run_dir(spark, "decode_counts")
+    env = _envelope_stream(spark, sf, base)
+    return _drain(D.message_counts_long(env, ROW_SCHEMA), base, None)
+
+
+@register("stream_counts_wide", _wide_sql())
+def q_stream_counts_wide(spark, sf):
+    """Per-message counts, one column per machine, 0 when absent (ST3, A11)."""
+    base = _run_dir(spark, "counts_wide")
+    env = _envelope_stream(spark, sf, base)
+    return _drain(D.message_counts_wide(env, [1, 2, 3, 4, 5], ROW_SCHEMA), base, None)
+
+
+@register("stream_dedup", with_views(PROC_SQL, MSG_SQL) + f"""
+SELECT DISTINCT {", ".join(ROW_COLS)} FROM msg""")
+def q_stream_dedup(spark, sf):
+    """Repeated rows removed within the watermark (ST5)."""
+    base = _run_dir(spark, "dedup")
+    env = _envelope_stream(spark, sf, base)
+    rows = L.with_event_time(D.decode_rows(env, ROW_SCHEMA), "ts")
+    return _drain(L.drop_repeats(rows, ["machine", "sequence"]).select(*ROW_COLS), base, None)
+
+
+@register("stream_window", with_views(PROC_SQL, MSG_SQL) + """,
+w AS (SELECT CAST(floor(ts / 86400) * 86400 AS BIGINT) AS window_start, machine FROM msg)
+SELECT window_start, window_start + 86400 AS window_end, machine, count(*) AS n FROM w
+WHERE window_start + 86400 <= (SELECT max(ts) FROM msg) - 86400
+GROUP BY window_start, machine""")
+def q_stream_window(spark, sf):
+    """Rows per machine per day with a one-day watermark (ST4), append mode.
+
+    All files arrive in one micro-batch, so no row is late; the following
+    no-data batch emits every window that ends by ``max(event time) − 1 day``
+    (the watermark). Windows after it stay in state, as in any append-mode
+    stream."""
+    base = _run_dir(spark, "window")
+    env = _envelope_stream(spark, sf, base)
+    rows = L.with_event_time(D.decode_rows(env, ROW_SCHEMA), "ts")
+    return _drain(L.windowed_counts(rows, "event_time", "1 day", "1 day"), base, None)
+
+
+@register("stream_trailing", with_views(PROC_SQL, COUNTS_SQL) + f"""
+SELECT offset_id, machine,
+       CAST(sum(n) OVER w AS BIGINT) AS window_sum, count(*) OVER w AS window_len
+FROM counts
+WINDOW w AS (PARTITION BY machine ORDER BY offset_id RANGE BETWEEN {TRAIL - 1} PRECEDING AND CURRENT ROW)""")
+def q_stream_trailing(spark, sf):
+    """Trailing 16 counts per machine kept as streaming state (ST6)."""
+    base = _run_dir(spark, "trailing")
+    env = _envelope_stream(spark, sf, base)
+    counts = D.message_counts_long(env, ROW_SCHEMA)
+    return _drain(TR.trailing_counts_stream(counts, TRAIL), base, None)
+
+
+@register("stream_score")
+def q_stream_score(spark, sf):
+    """Live rows scored with a saved model (ST7, S11); rows only."""
+    base = _run_dir(spark, "score")
+    model_path = f"{base}/model"
+    PL.final_model(_model_input(spark, sf), PROC_SPEC, model_path, kind="dt")
+    env = _envelope_stream(spark, sf, base)
+    rows = D.decode_rows(env, ROW_SCHEMA).withColumn("cmd", strip_brackets("cmd"))
+    scored = SC.score_stream(rows, model_path, ["offset", "machine", "sequence"])
+    return _drain(scored, base, None)
