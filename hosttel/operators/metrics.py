@@ -87,8 +87,10 @@ def roc_points(df: DataFrame, score: str = "score", label: str = "label",
     totals = by_score.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     p_tot = totals.select(F.col("P").cast("double")).scalar()
     n_tot = totals.select(F.col("N").cast("double")).scalar()
-    pts = cum.select("threshold", "point",
-                     (F.col("fp") / n_tot).alias("fpr"), (F.col("tp") / p_tot).alias("tpr"))
+    one_class = F.raise_error(F.lit("roc: labels hold only one class"))
+    fpr = F.when(n_tot > 0, F.col("fp") / n_tot).otherwise(one_class.cast("double"))
+    tpr = F.when(p_tot > 0, F.col("tp") / p_tot).otherwise(one_class.cast("double"))
+    pts = cum.select("threshold", "point", fpr.alias("fpr"), tpr.alias("tpr"))
     origin = df.sparkSession.range(1).select(
         F.lit(float("inf")).alias("threshold"), F.lit(0).cast("long").alias("point"),
         F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))

@@ -8,33 +8,5 @@ summation order cannot change the compared value.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..sources.fixtures import MEM_SQL, PROC_DIRTY_SQL, PROC_SQL, mem, proc, proc_dirty
-
-DIGITS = 6
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql.strip()
-        return fn
-    return deco
-
-
-def with_views(*ctes: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n"
-
-
-from . import queries_batch  # noqa: E402,F401  (registers entries)
-from . import queries_messages  # noqa: E402,F401
-from . import queries_models  # noqa: E402,F401
-from . import queries_streams  # noqa: E402,F401
+from . import queries_batch, queries_messages, queries_models, queries_streams  # noqa: F401
+from .registry import DIGITS, ORACLE, QUERIES, register, with_views  # noqa: F401

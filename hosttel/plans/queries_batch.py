@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import size_to_double, size_to_long, strip_brackets
 from ..operators import audit, profile
 from ..sources.fixtures import MEM_SQL, PROC_DIRTY_SQL, PROC_SQL, mem, proc, proc_dirty
-from .catalog import DIGITS, register, with_views
+from .registry import DIGITS, register, with_views
 
 PROC = with_views(PROC_SQL)
 MEM = with_views(MEM_SQL)

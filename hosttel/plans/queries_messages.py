@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from ..functions import clock_text
 from ..operators import messages as M
 from ..sources.fixtures import PROC_SQL, proc
-from .catalog import register, with_views
+from .registry import register, with_views
 
 K = M.MAIN_ROWS + M.LATE_ROWS
 TRAIL = M.MEMORY_TRAIL

@@ -12,7 +12,7 @@ from ..operators import sample as S
 from ..session import scratch_path
 from ..sources.fixtures import PROC_SQL, proc
 from . import pipelines as PL
-from .catalog import DIGITS, register, with_views
+from .registry import DIGITS, register, with_views
 
 PROC = with_views(PROC_SQL)
 U = "((sequence * 7919 + 0) % 10007) / 10007.0"   # portable hash of the key, seed 0

@@ -21,7 +21,7 @@ from ..streaming import score as SC
 from ..streaming import sinks
 from ..streaming import trailing as TR
 from . import pipelines as PL
-from .catalog import register, with_views
+from .registry import register, with_views
 from .queries_messages import COUNTS_SQL, MSG_SQL, ROW_COLS, ROW_SCHEMA, TRAIL, _packed, _wide_sql
 from .queries_models import PROC_SPEC, _model_input
 
