@@ -94,9 +94,11 @@ def pack_messages(rows: DataFrame, row_cols: list[str], offset: str = "offset_id
                   order: list[str] = ("machine", "sequence")) -> DataFrame:
     """Rows → one JSON-array value per message.
 
-    A message is bounded by the framing (``(main + late) × machines`` rows,
-    plus the backlog when ``horizon`` is set), so packing one message per
-    group is safe; rows inside are ordered by ``order``.
+    One record per message, so the message must be bounded: build ``rows``
+    with ``message_rows(..., horizon=H)``, which caps a message at
+    ``(main + late·H) × machines`` rows. Without a horizon the last message
+    would hold every held-back row ever drawn. Rows inside are ordered by
+    ``order``.
     """
     key = [F.col(c) for c in order]
     rec = F.struct(*key, F.struct(*[F.col(c) for c in row_cols]).alias("r"))

@@ -22,7 +22,8 @@ from ..streaming import sinks
 from ..streaming import trailing as TR
 from . import pipelines as PL
 from .registry import register, with_views
-from .queries_messages import COUNTS_SQL, MSG_SQL, ROW_COLS, ROW_SCHEMA, TRAIL, _packed, _wide_sql
+from .queries_messages import (COUNTS_H_SQL, HORIZON, MSG_H_SQL, ROW_COLS, ROW_SCHEMA, TRAIL,
+                               _packed, _wide_sql)
 from .queries_models import PROC_SPEC, _model_input
 
 TOPIC = "telemetry_process"
@@ -42,7 +43,7 @@ def _drain(df, base: str, name: str):
     return sinks.run_to_parquet(df, f"{base}/out", f"{base}/chk", name)
 
 
-@register("stream_decode_counts", with_views(PROC_SQL, COUNTS_SQL) + "SELECT * FROM counts")
+@register("stream_decode_counts", with_views(PROC_SQL, COUNTS_H_SQL) + "SELECT * FROM counts")
 def q_stream_decode_counts(spark, sf):
     """Decode each message and count rows per machine inside it (ST2, ST3)."""
     base = _run_dir(spark, "decode_counts")
@@ -50,7 +51,7 @@ def q_stream_decode_counts(spark, sf):
     return _drain(D.message_counts_long(env, ROW_SCHEMA), base, None)
 
 
-@register("stream_counts_wide", _wide_sql())
+@register("stream_counts_wide", _wide_sql(HORIZON))
 def q_stream_counts_wide(spark, sf):
     """Per-message counts, one column per machine, 0 when absent (ST3, A11)."""
     base = _run_dir(spark, "counts_wide")
@@ -58,7 +59,7 @@ def q_stream_counts_wide(spark, sf):
     return _drain(D.message_counts_wide(env, [1, 2, 3, 4, 5], ROW_SCHEMA), base, None)
 
 
-@register("stream_dedup", with_views(PROC_SQL, MSG_SQL) + f"""
+@register("stream_dedup", with_views(PROC_SQL, MSG_H_SQL) + f"""
 SELECT DISTINCT {", ".join(ROW_COLS)} FROM msg""")
 def q_stream_dedup(spark, sf):
     """Repeated rows removed within the watermark (ST5)."""
@@ -68,7 +69,7 @@ def q_stream_dedup(spark, sf):
     return _drain(L.drop_repeats(rows, ["machine", "sequence"]).select(*ROW_COLS), base, None)
 
 
-@register("stream_window", with_views(PROC_SQL, MSG_SQL) + """,
+@register("stream_window", with_views(PROC_SQL, MSG_H_SQL) + """,
 w AS (SELECT CAST(floor(ts / 86400) * 86400 AS BIGINT) AS window_start, machine FROM msg)
 SELECT window_start, window_start + 86400 AS window_end, machine, count(*) AS n FROM w
 WHERE window_start + 86400 <= (SELECT max(ts) FROM msg) - 86400
@@ -86,7 +87,7 @@ def q_stream_window(spark, sf):
     return _drain(L.windowed_counts(rows, "event_time", "1 day", "1 day"), base, None)
 
 
-@register("stream_trailing", with_views(PROC_SQL, COUNTS_SQL) + f"""
+@register("stream_trailing", with_views(PROC_SQL, COUNTS_H_SQL) + f"""
 SELECT offset_id, machine,
        CAST(sum(n) OVER w AS BIGINT) AS window_sum, count(*) OVER w AS window_len
 FROM counts
