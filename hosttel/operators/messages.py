@@ -203,6 +203,35 @@ def tumbling_counts(rows: DataFrame, ts: str = "ts", width: str = "1 day",
                     F.unix_seconds(F.col("w.end")).alias("window_end"), machine, "n"))
 
 
+def stamp_rows(rows: DataFrame, name: str = "ts") -> DataFrame:
+    """Stamp rows with the ingest time in epoch seconds (P10, F12), fixed
+    once per query (the reference re-stamps shared row objects, D15)."""
+    return rows.withColumn(name, F.unix_timestamp(F.current_timestamp()))
+
+
+def count_series(counts: DataFrame, times: DataFrame, n: int = MEMORY_TRAIL,
+                 offset: str = "offset_id", machine: str = "machine", value: str = "n") -> DataFrame:
+    """The consumer's chart data (V6): for the last ``n`` messages, the count
+    of every machine against the message's clock time (long form)."""
+    recent = last_points(counts, n, offset)
+    return recent.join(times.select(offset, "clock"), offset, "left") \
+        .select(offset, "clock", machine, value)
+
+
+def series_extremes(series: DataFrame, offset: str = "offset_id", machine: str = "machine",
+                    value: str = "n", clock: str = "clock") -> DataFrame:
+    """Arg-max / arg-min annotation of each machine's count series (A13, A14,
+    F13): first occurrence on ties, labelled ``Max: Time=…, Value=…``."""
+    agg = series.groupBy(machine).agg(
+        F.max(value).alias("max_n"),
+        F.max_by(F.col(clock), F.struct(F.col(value), -F.col(offset))).alias("max_clock"),
+        F.min(value).alias("min_n"),
+        F.min_by(F.col(clock), F.struct(F.col(value), F.col(offset))).alias("min_clock"))
+    return agg.select(machine, "max_n", "min_n",
+                      F.format_string("Max: Time=%s, Value=%s", "max_clock", "max_n").alias("max_label"),
+                      F.format_string("Min: Time=%s, Value=%s", "min_clock", "min_n").alias("min_label"))
+
+
 def distinct_machines(df: DataFrame, machine: str = "machine") -> DataFrame:
     """Distinct machines."""
     return df.select(machine).distinct()

@@ -183,3 +183,33 @@ FROM proc GROUP BY ALL""")
 def q_tumbling_counts(spark, sf):
     """Rows per machine per one-day event-time window (ST4 twin)."""
     return M.tumbling_counts(proc(spark, sf), "ts", "1 day")
+
+
+TIMES_SQL = """pos AS (SELECT *, row_number() OVER (PARTITION BY offset_id ORDER BY machine, sequence) - 1 AS pos FROM msg),
+times AS (SELECT offset_id, strftime(make_timestamp(arg_min(ts, (machine, pos)) * 1000000), '%H:%M:%S') AS clock
+          FROM pos GROUP BY offset_id)"""
+SERIES_SQL = f"""counts AS (SELECT offset_id, machine, count(*) AS n FROM msg GROUP BY offset_id, machine),
+series AS (
+  SELECT c.offset_id, t.clock, c.machine, c.n FROM counts c LEFT JOIN times t USING (offset_id)
+  WHERE c.offset_id > (SELECT max(offset_id) FROM counts) - {TRAIL})"""
+
+
+def _series(spark, sf):
+    rows = M.unpack_messages(_packed(spark, sf), ROW_SCHEMA)
+    return M.count_series(M.message_counts(rows), M.message_time(rows), TRAIL)
+
+
+@register("count_series", with_views(PROC_SQL, MSG_H_SQL, TIMES_SQL, SERIES_SQL) + "SELECT * FROM series")
+def q_count_series(spark, sf):
+    """Chart data of the consumer: last 16 per-machine counts against message clock time (V6)."""
+    return _series(spark, sf)
+
+
+@register("series_extremes", with_views(PROC_SQL, MSG_H_SQL, TIMES_SQL, SERIES_SQL) + """
+SELECT machine, max(n) AS max_n, min(n) AS min_n,
+       format('Max: Time={}, Value={}', arg_max(clock, (n, -offset_id)), max(n)) AS max_label,
+       format('Min: Time={}, Value={}', arg_min(clock, (n, offset_id)), min(n)) AS min_label
+FROM series GROUP BY machine""")
+def q_series_extremes(spark, sf):
+    """Max/min annotations of each machine's series, first occurrence on ties."""
+    return M.series_extremes(_series(spark, sf))
