@@ -17,9 +17,10 @@ same numbers without ever gathering a group:
    earlier rows + position inside the partition.
 
 The table in step 3 has at most ``n + G - 1`` rows (``G`` distinct groups):
-each partition covers a contiguous key range. It is broadcast when an
-estimate of that bound is under ``broadcast_rows``; otherwise it is joined
-by a shuffle on ``(partition, group)``, which splits hot groups too.
+each partition covers a contiguous key range. It is checkpointed (small)
+and broadcast when its exact row count is under ``broadcast_rows``;
+otherwise it is joined by a shuffle on ``(partition, group)``, which splits
+hot groups too.
 
 The tagged rows are written once with ``checkpoint()`` to the shared folder
 named by ``spark.checkpoint.dir``: both branches then read the same ids (two
@@ -85,7 +86,11 @@ def ordinal(df: DataFrame, order_by: list, group_by: list[str] | tuple = (), nam
     stats = stats.select(F.col(_P).alias("_ord_sp"), *[F.col(g).alias(a) for g, a in sg.items()],
                          _M0, _OFF, *([_TOT] if group_size else []))
 
-    if not group_by or _few_groups(df, group_by, n, broadcast_rows):
+    # The stats table has at most n + G - 1 rows. Materialise it (small) and
+    # broadcast only if its exact size is under the bound; else shuffle-join
+    # on (partition, group), which splits hot groups as well.
+    stats = stats.checkpoint(eager=True)
+    if not group_by or stats.count() <= broadcast_rows:
         stats = F.broadcast(stats)
     cond = reduce(lambda a, b: a & b,
                   [F.col(g).eqNullSafe(F.col(a)) for g, a in sg.items()],
@@ -97,13 +102,6 @@ def ordinal(df: DataFrame, order_by: list, group_by: list[str] | tuple = (), nam
     return out.drop(_P, _M, "_ord_sp", _M0, _OFF, *sg.values())
 
 
-def _few_groups(df: DataFrame, group_by: list[str], n: int, broadcast_rows: int) -> bool:
-    """Size check for the broadcast: estimate distinct groups with a
-    column-pruned, partially aggregated pass (reads only the group columns)."""
-    est = df.agg(F.approx_count_distinct(F.struct(*group_by), 0.05).alias("g")).first()["g"]
-    return (n + int(est * 1.2) + 1) <= broadcast_rows
-
-
 def prefix_sums(df: DataFrame, order_by: list, values: list[str], names: list[str] | None = None,
                 rank: str | None = None, partitions: int | None = None) -> DataFrame:
     """Running sums of ``values`` over the whole table in ``order_by`` order,

@@ -71,24 +71,35 @@ def _checked_fraction(df: DataFrame, label: str, keep: float, per_attack: float)
 
 
 def hash_unit(key, seed: int = SEED) -> Column:
-    """A deterministic value in [0, 1) per key.
+    """A deterministic value in [0, 1) per integer key.
 
-    Integer keys use a portable multiplicative hash (same in any SQL engine);
-    other types use ``xxhash64``. The value depends only on the key, never on
-    partitioning, so splits and samples are reproducible on any cluster size.
+    ``((key · 7919 + seed) mod 10007) / 10007``, a portable multiplicative
+    hash that any SQL engine computes identically. The key is reduced modulo
+    10007 first, so large 64-bit keys cannot overflow. The value depends only
+    on the key, never on partitioning, so splits and samples are
+    reproducible on any cluster size.
     """
     c = F.col(key) if isinstance(key, str) else key
-    return F.pmod(c * F.lit(_HASH_MUL) + F.lit(seed), F.lit(_HASH_MOD)) / F.lit(float(_HASH_MOD))
+    m = F.lit(_HASH_MOD)
+    return F.pmod(F.pmod(c, m) * F.lit(_HASH_MUL) + F.lit(seed), m) / F.lit(float(_HASH_MOD))
 
 
 def hash_unit_any(*cols, seed: int = SEED) -> Column:
+    """The same for keys of any type (``xxhash64``; Spark-specific values)."""
     return F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
+def key_unit(df: DataFrame, key: str, seed: int = SEED) -> Column:
+    """``hash_unit`` for integer key columns, ``hash_unit_any`` otherwise."""
+    integral = isinstance(df.schema[key].dataType,
+                          (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    return hash_unit(key, seed) if integral else hash_unit_any(F.col(key), seed=seed)
+
+
 def hash_split(df: DataFrame, key: str, train: float = SPLIT_WEIGHTS[0], seed: int = SEED,
                name: str = "split") -> DataFrame:
     """Stable 80/20 split (M1, stable form): adds ``split`` ∈ {train, test}."""
-    return df.withColumn(name, F.when(hash_unit(key, seed) < F.lit(train), F.lit("train"))
+    return df.withColumn(name, F.when(key_unit(df, key, seed) < F.lit(train), F.lit("train"))
                          .otherwise(F.lit("test")))
 
 
@@ -111,7 +122,7 @@ def balance(df: DataFrame, label: str = "attack", keep: float = KEEP_ATTACK,
     if method == "hash":
         if key is None:
             raise ValueError("hash balance needs a key column")
-        u = hash_unit(key, seed)
+        u = key_unit(df, key, seed)
     elif method == "bernoulli":
         u = F.rand(seed)
     else:

@@ -177,3 +177,21 @@ def test_exact_quantiles_match_percentile(spark):
     ours = profile.exact_quantiles(p.select("cpu"), "cpu", [0.25, 0.5, 0.75]).first()
     ref = p.agg(F.percentile("cpu", [0.25, 0.5, 0.75]).alias("q")).first().q
     assert [ours.q25, ours.q50, ours.q75] == pytest.approx(ref, abs=1e-9)
+
+
+def test_ordinal_shuffle_join_path(spark):
+    # broadcast_rows=0: no broadcast hint; the planner picks the join from the
+    # checkpointed table's real size. Results must not depend on the choice.
+    p = proc(spark, SF_SMALL)
+    a = ordinal(p, ["sequence"], ["machine"], name="rn", broadcast_rows=0).select("sequence", "rn")
+    b = ordinal(p, ["sequence"], ["machine"], name="rn").select("sequence", "rn")
+    assert a.exceptAll(b).count() == 0 and a.count() == p.count()
+
+
+def test_hash_unit_large_keys_do_not_overflow(spark):
+    df = spark.createDataFrame([(9_000_000_000_000_000_000 // 1000 * 1000,), (123,)], "k long")
+    got = [r[0] for r in df.select(S.hash_unit("k")).collect()]
+    exp = [((k * 7919) % 10007) / 10007.0 for k in (9_000_000_000_000_000_000 // 1000 * 1000, 123)]
+    assert got == pytest.approx(exp)
+    s = S.hash_split(spark.createDataFrame([("a",), ("b",)], "k string"), "k")
+    assert s.count() == 2
