@@ -152,3 +152,38 @@ FROM proc GROUP BY machine""")
 def q_peak_per_machine(spark, sf):
     """Arg-max / arg-min with first-occurrence ties, per machine."""
     return profile.arg_extremes(proc(spark, sf), "sequence", "cpu", "sequence", ["machine"])
+
+
+# --- memory-like table: the reference's cleaning, then the audit again -------
+
+_ZERO = "replace(replace(replace(replace({c},'K','000'),'M','000000'),'G','000000000'),' ','')"
+MEM_CLEAN_SQL = f"""mem_clean AS (
+  SELECT pid, seq,
+         try_cast({_ZERO.format(c='rsize')} AS DOUBLE) AS rsize,
+         try_cast({_ZERO.format(c='vsize')} AS DOUBLE) AS vsize,
+         try_cast({_ZERO.format(c='minflt')} AS BIGINT) AS minflt,
+         rtrim(ltrim(cmd, '<'), '>') AS cmd, attack
+  FROM mem)"""
+
+
+def _mem_clean(spark, sf):
+    from ..operators.clean import clean_command, clean_sizes
+    return clean_command(clean_sizes(mem(spark, sf), ["rsize", "vsize"], ["minflt"]), "cmd")
+
+
+@register("mem_clean", with_views(MEM_SQL, MEM_CLEAN_SQL) + "SELECT * FROM mem_clean")
+def q_mem_clean(spark, sf):
+    """Sizes replaced by numbers and commands unbracketed in one projection."""
+    return _mem_clean(spark, sf)
+
+
+@register("missing_audit_mem", with_views(MEM_SQL, MEM_CLEAN_SQL) + """
+SELECT count_if(pid IS NULL) AS pid, count_if(seq IS NULL) AS seq,
+       count_if(rsize IS NULL OR isnan(rsize)) AS rsize, count_if(vsize IS NULL OR isnan(vsize)) AS vsize,
+       count_if(minflt IS NULL) AS minflt,
+       count_if(cmd IS NULL OR coalesce(isnan(try_cast(cmd AS DOUBLE)), false)) AS cmd,
+       count_if(attack IS NULL) AS attack
+FROM mem_clean""")
+def q_missing_audit_mem(spark, sf):
+    """Audit after cleaning: unparsable sizes show up as missing."""
+    return audit.missing_counts(_mem_clean(spark, sf))

@@ -185,3 +185,22 @@ def q_model_roundtrip(spark, sf):
     PL.final_model(data, PROC_SPEC, path, kind="gbt")
     loaded = PL.load_model(path)
     return _pred_cols(PL.predict(loaded, data, PROC_SPEC))
+
+
+MEM_SPEC = PL.FeatureSpec(categorical=["cmd"], numeric=["rsize", "vsize", "minflt"], label="attack")
+
+
+@register("model_metrics_memory")
+def q_model_metrics_memory(spark, sf):
+    """Both tree pipelines on the memory-like table: balanced split, fit,
+    evaluate (M9–M11 for the second table)."""
+    from .queries_batch import _mem_clean
+    data = _mem_clean(spark, sf).withColumn("row_key", F.col("pid") * 8 + F.col("seq"))
+    train, test = PL.train_test(data, MEM_SPEC, key="row_key")
+    models = PL.fit_models(train, MEM_SPEC, ("dt", "gbt"))
+    rows = None
+    for kind, model in models.items():
+        ev = PL.evaluate(PL.predict(model, test, MEM_SPEC), MEM_SPEC) \
+            .select(F.lit(kind).alias("model"), "*")
+        rows = ev if rows is None else rows.unionByName(ev)
+    return rows
