@@ -72,6 +72,10 @@ def message_rows(framed: DataFrame, offset: str = "offset_id", horizon: int | No
     tick (or ``k + horizon``). Output columns: the row, ``offset`` = message
     id, ``origin_offset`` = the row's own tick, ``resent`` flag.
     ``backlog=False`` gives the process stream's shape (every row on time).
+
+    Size: without a horizon (the reference) the copies grow with the square
+    of the number of ticks; with ``horizon=H`` each held-back row has at most
+    ``H`` copies, so the output is linear in the input.
     """
     if not backlog:
         return (framed.withColumn("origin_offset", F.col(offset))

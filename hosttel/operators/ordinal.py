@@ -49,10 +49,13 @@ def _sort_col(c) -> Column:
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
+    """Range partitions: explicit, else at least the session's shuffle
+    partitions and at least as many as the input has splits, so partitions
+    stay about split-sized as the data grows (planning only, no job)."""
     if partitions:
         return int(partitions)
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    conf = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(conf, df.rdd.getNumPartitions(), 1)
 
 
 def ordinal(df: DataFrame, order_by: list, group_by: list[str] | tuple = (), name: str = "rn",

@@ -49,16 +49,18 @@ def counts_sql(horizon: int | None = None) -> str:
 counts AS (SELECT offset_id, machine, count(*) AS n FROM msg GROUP BY offset_id, machine)"""
 
 
-# Packed messages (one record each) re-send a held-back row for at most
-# HORIZON later messages, so a record holds at most
-# (MAIN_ROWS + LATE_ROWS * HORIZON) rows per machine. The long-form queries
-# keep the reference's unbounded re-sending: there every copy is its own row.
+# A held-back row is re-sent in at most HORIZON later messages.
+# Unbounded re-sending makes the copies grow with the square of the stream
+# length and the last message hold every late row ever drawn; with the
+# horizon, copies are at most LATE_ROWS/(MAIN_ROWS+LATE_ROWS)·HORIZON per row
+# (linear) and a packed record holds at most (MAIN_ROWS + LATE_ROWS·HORIZON)
+# rows per machine. ``message_rows(horizon=None)`` keeps the unbounded form.
 HORIZON = 16
 
-MSG_SQL = msg_sql()
-COUNTS_SQL = counts_sql()
 MSG_H_SQL = msg_sql(HORIZON)
 COUNTS_H_SQL = counts_sql(HORIZON)
+MSG_SQL = MSG_H_SQL
+COUNTS_SQL = COUNTS_H_SQL
 
 PROC = with_views(PROC_SQL)
 
@@ -68,7 +70,7 @@ def _framed(spark, sf):
 
 
 def _msg_rows(spark, sf):
-    return M.message_rows(_framed(spark, sf))
+    return M.message_rows(_framed(spark, sf), horizon=HORIZON)
 
 
 def _counts(spark, sf):
@@ -88,7 +90,8 @@ def q_ticks(spark, sf):
 
 @register("late_backlog", with_views(PROC_SQL, MSG_SQL) + "SELECT * FROM msg")
 def q_late_backlog(spark, sf):
-    """Rows of every message: on time plus every earlier held-back row."""
+    """Rows of every message: on time plus the held-back rows of the previous
+    HORIZON ticks (J1, U1, D16)."""
     return _msg_rows(spark, sf)
 
 
@@ -98,7 +101,7 @@ def q_message_counts(spark, sf):
     return _counts(spark, sf)
 
 
-def _wide_sql(horizon: int | None = None) -> str:
+def _wide_sql(horizon: int | None = HORIZON) -> str:
     cols = ", ".join(f"count(*) FILTER (WHERE machine = {m}) AS machine_{m}" for m in range(1, 6))
     return with_views(PROC_SQL, msg_sql(horizon)) + f"SELECT offset_id, {cols} FROM msg GROUP BY offset_id"
 
@@ -112,8 +115,7 @@ def q_message_counts_wide(spark, sf):
 
 
 def _packed(spark, sf):
-    rows = M.message_rows(_framed(spark, sf), horizon=HORIZON)
-    return M.pack_messages(rows, ROW_COLS)
+    return M.pack_messages(_msg_rows(spark, sf), ROW_COLS)
 
 
 @register("json_roundtrip", with_views(PROC_SQL, MSG_H_SQL) + f"""
