@@ -18,7 +18,8 @@ SQL_FUNCTIONS = {
     "size_num": f"(s STRING) RETURNS DOUBLE RETURN try_cast({_ZERO_TEXT} AS DOUBLE)",
     "size_int": f"(s STRING) RETURNS BIGINT RETURN try_cast({_ZERO_TEXT} AS BIGINT)",
     "strip_brackets": "(s STRING) RETURNS STRING RETURN rtrim('>', ltrim('<', s))",
-    "clock_text": "(t BIGINT) RETURNS STRING RETURN date_format(timestamp_seconds(t), 'HH:mm:ss')",
+    "clock_text": ("(t BIGINT) RETURNS STRING RETURN format_string('%02d:%02d:%02d', "
+                   "pmod(floor(t / 3600), 24), pmod(floor(t / 60), 60), pmod(t, 60))"),
 }
 
 

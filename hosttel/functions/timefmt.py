@@ -19,8 +19,19 @@ def epoch_to_timestamp(c) -> Column:
 
 
 def clock_text(epoch_seconds) -> Column:
-    """Epoch seconds → ``HH:mm:ss`` in the session zone."""
-    return F.date_format(epoch_to_timestamp(epoch_seconds), CLOCK_PATTERN)
+    """Epoch seconds → ``HH:mm:ss`` UTC clock text (F11), independent of the
+    session time zone (plain integer arithmetic, stays in codegen)."""
+    t = as_col(epoch_seconds).cast("bigint")
+    return F.format_string("%02d:%02d:%02d", F.pmod(F.floor(t / 3600), F.lit(24)),
+                           F.pmod(F.floor(t / 60), F.lit(60)), F.pmod(t, F.lit(60)))
+
+
+def ntz_epoch_seconds(c) -> Column:
+    """``TIMESTAMP_NTZ`` wall clock read as UTC → epoch seconds (floor), without
+    going through the session zone."""
+    c = as_col(c)
+    return (F.unix_date(F.to_date(c)).cast("bigint") * 86400 + F.hour(c) * 3600
+            + F.minute(c) * 60 + F.floor(F.second(c))).cast("bigint")
 
 
 def now_epoch() -> Column:

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.timefmt import clock_text
 from .ordinal import ordinal
 
 # fixed framing defaults: rows per machine per tick sent on time, and rows
@@ -159,7 +160,7 @@ def message_time(rows: DataFrame, offset: str = "offset_id", machine: str = "mac
     """Time of each message: ``ts`` of the first row of the lowest machine."""
     return (rows.groupBy(offset)
             .agg(F.min_by(ts, F.struct(F.col(machine), F.col(pos))).alias("ts"))
-            .withColumn("clock", F.date_format(F.timestamp_seconds("ts"), "HH:mm:ss")))
+            .withColumn("clock", clock_text("ts")))
 
 
 def last_points(counts: DataFrame, n: int = MEMORY_TRAIL, offset: str = "offset_id") -> DataFrame:

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.timefmt import ntz_epoch_seconds
+
 # fixed values: number of machines in the process-like view, and the unit
 # text appended to sizes in the memory-like view, chosen by l_partkey % 6
 N_MACHINES = 5
@@ -29,7 +31,7 @@ def proc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("sequence"),
         (F.col("user_id") % N_MACHINES + 1).cast("int").alias("machine"),
         F.col("user_id").alias("pid"),
-        F.unix_seconds(F.col("ts").cast("timestamp")).alias("ts"),
+        ntz_epoch_seconds("ts").alias("ts"),
         F.concat(F.lit("<"), F.col("event_type"), F.lit(">")).alias("cmd"),
         F.upper(F.substring("event_type", 1, 1)).alias("state"),
         F.col("value").alias("cpu"),

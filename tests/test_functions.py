@@ -51,3 +51,16 @@ def test_sql_functions_are_inlined(spark):
 def test_float32_parity(spark):
     v = _one(spark, ["1.1K"], lambda c: size_to_double(c).cast("float"))[0]
     assert math.isclose(v, 1.1, rel_tol=1e-6)
+
+
+def test_time_functions_ignore_session_zone(spark):
+    from hosttel.functions import clock_text, ntz_epoch_seconds
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            row = spark.sql("SELECT TIMESTAMP_NTZ '2024-01-02 03:04:05.9' AS t, 86400 + 3661 AS e") \
+                .select(ntz_epoch_seconds("t").alias("s"), clock_text("e").alias("c")).first()
+            assert (row.s, row.c) == (1704164645, "01:01:01")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
