@@ -47,6 +47,22 @@ def top_values(df: DataFrame, col: str, k: int = 10, name: str = "Total") -> Dat
     return value_counts(df, col, name).orderBy(F.desc(name), F.asc_nulls_first(col)).limit(k)
 
 
+def top_values_many(df: DataFrame, cols: list[str], k: int = 10) -> DataFrame:
+    """Top ``k`` values of several categorical columns in one pass (A4, O1).
+
+    Columns are stacked as ``(column, value)`` text pairs and counted by one
+    partial aggregate; the rank inside each column comes from the skew-safe
+    ordinal (by count desc, value asc), so a column with many distinct values
+    is not sorted in one task. Nulls are not counted, as with ``count(col)``.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+                      for c in cols])
+    counts = (df.select(F.inline(pairs)).where(F.col("value").isNotNull())
+              .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+    ranked = ordinal(counts, [F.desc("n"), F.asc("value")], ["column"], name="rank")
+    return ranked.where(F.col("rank") <= k)
+
+
 def sum_by(df: DataFrame, key: str = "type", value: str = "attack",
            name: str = "total_attacks") -> DataFrame:
     """Attacks per attack type, largest first (A5, O2, V1)."""

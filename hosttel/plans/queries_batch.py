@@ -81,6 +81,23 @@ def q_top_states(spark, sf):
     return profile.top_values(proc(spark, sf), "state", 10, "Total")
 
 
+@register("top_values_all", PROC + """
+SELECT column_name AS "column", value, n, rank FROM (
+  SELECT column_name, value, n,
+         row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS rank
+  FROM (SELECT column_name, value, count(*) AS n FROM (
+          SELECT 'cmd' AS column_name, rtrim(ltrim(cmd, '<'), '>') AS value FROM proc
+          UNION ALL SELECT 'state', state FROM proc
+          UNION ALL SELECT 'type', type FROM proc
+          UNION ALL SELECT 'tslpi', CAST(tslpi AS VARCHAR) FROM proc)
+        WHERE value IS NOT NULL GROUP BY column_name, value))
+WHERE rank <= 10""")
+def q_top_values_all(spark, sf):
+    """Top 10 values of four columns in a single pass (A4, O1)."""
+    p = proc(spark, sf).withColumn("cmd", strip_brackets("cmd"))
+    return profile.top_values_many(p, ["cmd", "state", "type", "tslpi"], 10)
+
+
 _PROFILE_COLS = ["cpu", "tslpi", "ts"]
 
 

@@ -88,6 +88,17 @@ def q_ticks(spark, sf):
                  F.min("sequence").alias("first_sequence"), F.max("sequence").alias("last_sequence")))
 
 
+@register("ticks_strict", with_views(PROC_SQL, FRAMED_SQL) + f""",
+sized AS (SELECT *, count(*) OVER (PARTITION BY machine) AS n_m FROM ticks)
+SELECT machine, offset_id, count(*) AS n_rows, count_if(is_late) AS n_late
+FROM sized WHERE (offset_id + 1) * {K} < n_m GROUP BY machine, offset_id""")
+def q_ticks_strict(spark, sf):
+    """Slices kept only when rows remain after them, the replay's strict test."""
+    f = M.frame_ticks(proc(spark, sf), "machine", "sequence", M.MAIN_ROWS, M.LATE_ROWS, strict=True)
+    return (f.groupBy("machine", "offset_id")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("is_late").alias("n_late")))
+
+
 @register("late_backlog", with_views(PROC_SQL, MSG_SQL) + "SELECT * FROM msg")
 def q_late_backlog(spark, sf):
     """Rows of every message: on time plus the held-back rows of the previous

@@ -32,6 +32,8 @@ def local_session(app_name: str = "hosttel", cores: int | str = "*",
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.warehouse.dir",
+                tempfile.mkdtemp(prefix="hosttel-wh-", dir=os.environ.get("TMPDIR", "/tmp")))
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)

@@ -51,3 +51,14 @@ def drop_repeats(rows: DataFrame, keys: list[str] = ("machine", "sequence"),
     watermark and are dropped as late, so they are never emitted twice.
     """
     return rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def dropped_by_watermark(query) -> int:
+    """Rows dropped as too late, summed over the query's recent progress
+    (``numRowsDroppedByWatermark`` of every stateful operator). Counted after
+    partial aggregation, so it need not equal raw input rows."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) or []:
+            total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
+    return total

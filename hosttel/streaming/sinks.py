@@ -49,6 +49,14 @@ def to_parquet(df: DataFrame, path: str, checkpoint: str, name: str | None = Non
     return _trigger(w, trigger, available_now).start()
 
 
+def to_table(df: DataFrame, table: str, checkpoint: str, trigger: str | None = None,
+             available_now: bool = False) -> StreamingQuery:
+    """Append a stream to a catalog table readable by any SQL."""
+    w = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    w = _trigger(w, trigger, available_now)
+    return w.toTable(table)
+
+
 def run_to_parquet(df: DataFrame, path: str, checkpoint: str, name: str | None = None) -> DataFrame:
     """Drain all available input into a Parquet sink and return it as a batch
     ``DataFrame`` (start → wait → stop, S9)."""

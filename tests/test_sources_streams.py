@@ -86,9 +86,7 @@ def test_watermark_drops_late_copies(spark):
     out = spark.table("dedup_t")
     # no key is emitted twice; late copies were dropped, never duplicated
     assert out.groupBy("machine", "sequence").count().where("count > 1").count() == 0
-    dropped = sum(p["stateOperators"][0].get("numRowsDroppedByWatermark", 0) for p in q.recentProgress
-                  if p.get("stateOperators"))
-    assert dropped > 0
+    assert L.dropped_by_watermark(q) > 0
 
 
 def test_stream_counts_equal_batch_counts(spark):
@@ -116,3 +114,15 @@ def test_model_save_load_same_predictions(spark):
     a = PL.predict(model, data, PROC_SPEC).select("sequence", "prediction")
     b = PL.predict(PL.load_model(path), data, PROC_SPEC).select("sequence", "prediction")
     assert a.exceptAll(b).count() == 0 and a.count() > 0
+
+
+def test_stream_to_table_is_sql_readable(spark):
+    path = _write_stream_input(spark, 2)
+    counts = D.message_counts_long(K.read_envelope_stream(spark, path), ROW_SCHEMA)
+    q = sinks.to_table(counts, "stream_counts_t", os.path.join(_tmp(), "chk"), available_now=True)
+    q.awaitTermination()
+    n = spark.sql("SELECT count(*) AS c, sum(n) AS s FROM stream_counts_t").first()
+    p = proc(spark, SF_SMALL)
+    exp = M.message_counts(M.message_rows(M.frame_ticks(p))).agg(F.count("*"), F.sum("n")).first()
+    assert (n.c, n.s) == (exp[0], exp[1])
+    spark.sql("DROP TABLE stream_counts_t")
