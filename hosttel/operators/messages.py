@@ -81,7 +81,9 @@ def message_rows(framed: DataFrame, offset: str = "offset_id", horizon: int | No
     if not backlog:
         return (framed.withColumn("origin_offset", F.col(offset))
                 .withColumn("resent", F.lit(False)).drop("is_late"))
-    last = framed.agg(F.max(offset)).scalar()
+    # one number: the last tick, computed once and inlined as a literal
+    last_val = framed.agg(F.max(offset)).first()[0]
+    last = F.lit(-1 if last_val is None else int(last_val)).cast("bigint")
     upto = last if horizon is None else F.least(last, F.col(offset) + F.lit(int(horizon)))
     on_time = (framed.where(~F.col("is_late"))
                .withColumn("origin_offset", F.col(offset))

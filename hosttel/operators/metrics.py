@@ -84,13 +84,13 @@ def roc_points(df: DataFrame, score: str = "score", label: str = "label",
     by_score = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.sum(is_pos).alias("pos"), F.sum(1 - is_pos).alias("neg"))
     cum = prefix_sums(by_score, [F.desc("threshold")], ["pos", "neg"], ["tp", "fp"], rank="point")
-    totals = by_score.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    p_tot = totals.select(F.col("P").cast("double")).scalar()
-    n_tot = totals.select(F.col("N").cast("double")).scalar()
-    one_class = F.raise_error(F.lit("roc: labels hold only one class"))
-    fpr = F.when(n_tot > 0, F.col("fp") / n_tot).otherwise(one_class.cast("double"))
-    tpr = F.when(p_tot > 0, F.col("tp") / p_tot).otherwise(one_class.cast("double"))
-    pts = cum.select("threshold", "point", fpr.alias("fpr"), tpr.alias("tpr"))
+    # two numbers (class totals), computed once and inlined as literals
+    totals = by_score.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
+    p_tot, n_tot = float(totals["P"] or 0), float(totals["N"] or 0)
+    if p_tot == 0 or n_tot == 0:
+        raise ValueError("roc: labels hold only one class")
+    pts = cum.select("threshold", "point", (F.col("fp") / F.lit(n_tot)).alias("fpr"),
+                     (F.col("tp") / F.lit(p_tot)).alias("tpr"))
     origin = df.sparkSession.range(1).select(
         F.lit(float("inf")).alias("threshold"), F.lit(0).cast("long").alias("point"),
         F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))

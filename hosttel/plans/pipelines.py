@@ -120,12 +120,8 @@ def evaluate(pred: DataFrame, spec: FeatureSpec) -> DataFrame:
     pairs = MT.score_label(pred, spec.label, "probability", positive=1)
     area = MT.auc(pairs)
     multi = MT.classification_metrics(pred, spec.label, "prediction")
-    return _one_row(area, multi)
-
-
-def _one_row(a: DataFrame, b: DataFrame) -> DataFrame:
-    # both sides are single-row aggregates; join on a constant key
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    # AUC is a one-row aggregate: attach it as a scalar subquery, no join
+    return multi.select(area.select("auc").scalar().alias("auc"), "*")
 
 
 def final_model(df: DataFrame, spec: FeatureSpec, path: str | None = None, kind: str = "gbt",
