@@ -173,20 +173,23 @@ def last_points(counts: DataFrame, n: int = MEMORY_TRAIL, offset: str = "offset_
 
 def trailing_window(counts: DataFrame, n: int = MEMORY_TRAIL, offset: str = "offset_id",
                     machine: str = "machine", value: str = "n") -> DataFrame:
-    """For every message and machine, sum and number of the counts in the
-    window of the last ``n`` offsets (W1 running frame over dense offsets).
+    """For every count, sum and number of the machine's counts with offsets in
+    ``[offset - n + 1, offset]`` (W1 running frame; a RANGE frame over offsets).
 
     Each count contributes to offsets ``o .. o+n-1``; exploding and grouping
     by ``(machine, target)`` spreads a hot machine over all tasks.
     """
-    last = counts.agg(F.max(offset)).scalar()
-    spread = counts.select(machine, F.col(value),
-                           F.explode(F.sequence(F.col(offset), F.col(offset) + F.lit(n - 1)))
-                           .alias(offset))
-    return (spread.where(F.col(offset) <= last)
-            .groupBy(offset, machine)
+    # d = distance from the contributing count; d = 0 marks the count itself,
+    # so windows are emitted only where the machine has a count (as a SQL
+    # window over the counts, or the streaming processor, would)
+    spread = counts.select(machine, F.col(value), F.col(offset).alias("_o"),
+                           F.posexplode(F.sequence(F.col(offset), F.col(offset) + F.lit(n - 1)))
+                           .alias("_d", offset))
+    return (spread.groupBy(offset, machine)
             .agg(F.sum(value).cast("bigint").alias("window_sum"),
-                 F.count(F.lit(1)).alias("window_len")))
+                 F.count(F.lit(1)).alias("window_len"),
+                 F.max((F.col("_d") == 0).cast("int")).alias("_own"))
+            .where(F.col("_own") == 1).drop("_own"))
 
 
 def dedup_rows(rows: DataFrame, key: list[str] = ("machine", "sequence"),

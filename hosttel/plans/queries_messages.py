@@ -226,3 +226,23 @@ FROM series GROUP BY machine""")
 def q_series_extremes(spark, sf):
     """Max/min annotations of each machine's series, first occurrence on ties."""
     return M.series_extremes(_series(spark, sf))
+
+
+PROC_TRAIL = M.PROCESS_TRAIL
+# process stream: every row on time (no held-back rows), 24-point series
+PROC_TICKS_SQL = f"""pticks AS (
+  SELECT *, CAST((row_number() OVER (PARTITION BY machine ORDER BY sequence) - 1) // {K} AS BIGINT) AS offset_id
+  FROM proc),
+pcounts AS (SELECT offset_id, machine, count(*) AS n FROM pticks GROUP BY offset_id, machine)"""
+
+
+@register("process_trailing", with_views(PROC_SQL, PROC_TICKS_SQL) + f"""
+SELECT offset_id, machine,
+       CAST(sum(n) OVER w AS BIGINT) AS window_sum, count(*) OVER w AS window_len
+FROM pcounts
+WINDOW w AS (PARTITION BY machine ORDER BY offset_id RANGE BETWEEN {PROC_TRAIL - 1} PRECEDING AND CURRENT ROW)""")
+def q_process_trailing(spark, sf):
+    """Process-stream shape (no late rows, D20): per-message counts and the
+    consumer's 24-point trailing window (A10, W1)."""
+    rows = M.message_rows(_framed(spark, sf), backlog=False)
+    return M.trailing_window(M.message_counts(rows), PROC_TRAIL)
