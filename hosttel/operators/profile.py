@@ -156,13 +156,19 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], group_by=(),
 def correlation_pairs(df: DataFrame, cols: list[str] | None = None, digits: int | None = 6) -> DataFrame:
     """Pearson correlation of every column pair, long form ``(x, y, r)``.
 
-    One aggregate with one ``corr`` per pair (pairwise-complete rows, like the
-    reference's local ``corr``); the diagonal is 1. Both orders are emitted.
+    One aggregate with one ``corr`` per pair over the rows where both values
+    are present (null and NaN skipped, like the reference's local ``corr``);
+    the diagonal is 1. Both orders are emitted.
     """
     cols = list(cols or numeric_columns(df))
     pairs = list(combinations(cols, 2))
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}")
-                   for i, (a, b) in enumerate(pairs)])
+
+    def clean(c):
+        # NaN → null, so a pair skips the row like pandas (corr ignores nulls)
+        d = F.col(c).cast("double")
+        return F.when(~F.isnan(d), d)
+
+    row = df.agg(*[F.corr(clean(a), clean(b)).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
     items = []
     for i, (a, b) in enumerate(pairs):
         items.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"{i}").alias("r")))

@@ -195,3 +195,14 @@ def test_hash_unit_large_keys_do_not_overflow(spark):
     assert got == pytest.approx(exp)
     s = S.hash_split(spark.createDataFrame([("a",), ("b",)], "k string"), "k")
     assert s.count() == 2
+
+
+def test_correlation_pairwise_complete_like_pandas(spark):
+    import pandas as pd
+    rows = [(1.0, 2.0, 5.0), (2.0, float("nan"), 3.0), (3.0, 7.0, None), (4.0, 8.5, 1.0), (5.0, 9.0, 0.5)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {(r.x, r.y): r.r for r in profile.correlation_pairs(df, ["a", "b", "c"], digits=None).collect()}
+    ref = pd.DataFrame(rows, columns=["a", "b", "c"]).corr()
+    for x in "abc":
+        for y in "abc":
+            assert got[(x, y)] == pytest.approx(ref.loc[x, y], abs=1e-12)
