@@ -2,8 +2,16 @@
 
 ``row_number() OVER (PARTITION BY g ORDER BY o)`` sends every row of a group
 to one task. Telemetry has few machines, so one machine can hold a third of
-all rows; that task would sort terabytes alone. This operator computes the
-same numbers without ever gathering a group:
+all rows; that task would sort terabytes alone. ``ordinal`` computes the same
+numbers without ever gathering a group, by one of two methods.
+
+**bucket** (one ascending numeric/temporal order column — sequence numbers,
+timestamps, values; chosen automatically): hot groups are cut into
+equal-width value buckets, rows are numbered by a window partitioned by
+``(group, bucket)``, and counts of earlier buckets are added. No rows are
+checkpointed; see ``_ordinal_bucketed``.
+
+**ranged** (any order, e.g. ``[desc(n), value]``):
 
 1. range-partition on ``(g, o)`` into ``n`` partitions and sort within each
    partition. Range bounds are sampled, so a hot group spans many
@@ -36,10 +44,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_ROWS_PER_BUCKET = 1_000_000
 
 _P, _M, _C, _M0, _OFF, _TOT = "_ord_p", "_ord_m", "_ord_c", "_ord_m0", "_ord_off", "_ord_tot"
 
@@ -60,13 +70,121 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
 
 def ordinal(df: DataFrame, order_by: list, group_by: list[str] | tuple = (), name: str = "rn",
             group_size: str | None = None, partitions: int | None = None,
-            broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+            broadcast_rows: int = DEFAULT_BROADCAST_ROWS, method: str = "auto",
+            rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
     """Add ``name`` = 1-based row number within ``group_by`` ordered by ``order_by``.
 
     ``group_size`` (optional) adds the number of rows in the row's group.
     ``order_by`` entries may be names or sort columns (``F.desc("x")``).
+
+    ``method``: ``"bucket"`` (one ascending numeric order column; no
+    checkpoint, see ``_ordinal_bucketed``), ``"ranged"`` (any order; range
+    partitioning + checkpoint), or ``"auto"`` (bucket when possible).
     """
     group_by = list(group_by)
+    if method == "auto":
+        method = "bucket" if _numeric_single(df, order_by) else "ranged"
+    if method == "bucket":
+        return _ordinal_bucketed(df, order_by[0], group_by, name, group_size, broadcast_rows,
+                                 rows_per_bucket)
+    if method != "ranged":
+        raise ValueError(method)
+    return _ordinal_ranged(df, order_by, group_by, name, group_size, partitions, broadcast_rows)
+
+
+def _numeric_single(df: DataFrame, order_by: list) -> bool:
+    if len(order_by) != 1 or not isinstance(order_by[0], str):
+        return False
+    dt = df.schema[order_by[0]].dataType
+    return isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
+                           T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def _order_number(df: DataFrame, order: str) -> Column:
+    dt = df.schema[order].dataType
+    c = F.col(order)
+    if isinstance(dt, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double") if isinstance(dt, T.TimestampNTZType) \
+            else F.unix_micros(c).cast("double")
+    return c.cast("double")
+
+
+def _ordinal_bucketed(df: DataFrame, order: str, group_by: list[str], name: str,
+                      group_size: str | None, broadcast_rows: int, rows_per_bucket: int) -> DataFrame:
+    """Row numbers for one ascending numeric order column, without checkpointing rows.
+
+    1. *hot* groups — more than ``rows_per_bucket`` rows — get their order
+       range cut into ``ceil(count / rows_per_bucket)`` equal-width buckets
+       (bucket is monotone in the value). There are at most
+       ``N / rows_per_bucket`` hot groups, so their ``(min, max, buckets)``
+       table has a proven bound and is broadcast; every other group is
+       bucket 0;
+    2. ``row_number()`` over a window partitioned by ``(group, bucket)`` — the
+       only shuffle of whole rows; a hot group is spread over its buckets;
+    3. offsets = rows of the group in earlier buckets, from a key-only
+       partial aggregate (at most ``G + N / rows_per_bucket`` rows), joined
+       back on ``(group, bucket)``: broadcast under ``broadcast_rows``, else a
+       shuffle join on that pair (hot groups stay split).
+
+    Every step is a pure function of the data, so recomputation (lost
+    executors, two branches) yields the same numbers. Null order values sort
+    first, as in the ranged method. Ties get consecutive numbers in an
+    arbitrary order.
+    """
+    gs = {g: f"_ob_g{i}" for i, g in enumerate(group_by)}
+    keyed = df.withColumn("_ob_v", _order_number(df, order))
+    per_group = keyed.groupBy(*group_by).agg(
+        F.min("_ob_v").alias("_ob_lo"), F.max("_ob_v").alias("_ob_hi"),
+        F.count(F.lit(1)).alias("_ob_n"))
+    nb_expr = F.ceil(F.col("_ob_n") / F.lit(float(rows_per_bucket)))
+    if group_by:
+        hot = (per_group.where(F.col("_ob_n") > rows_per_bucket)
+               .select(*[F.col(g).alias(a) for g, a in gs.items()], "_ob_lo", "_ob_hi",
+                       nb_expr.alias("_ob_nb")))
+        hot = F.broadcast(hot.checkpoint(eager=True))   # ≤ N / rows_per_bucket rows
+        with_stats = keyed.join(hot, _null_safe_on(group_by, gs), "left").drop(*gs.values())
+    else:
+        one = per_group.select("_ob_lo", "_ob_hi", nb_expr.alias("_ob_nb")).first()
+        with_stats = keyed.select("*", *[F.lit(one[c]).cast("double" if c != "_ob_nb" else "bigint")
+                                         .alias(c) for c in ("_ob_lo", "_ob_hi", "_ob_nb")])
+    nb = F.coalesce(F.col("_ob_nb"), F.lit(1))
+    width = (F.col("_ob_hi") - F.col("_ob_lo")) / nb
+    bucket = (F.when(F.col("_ob_v").isNull(), F.lit(-1))
+              .when(F.col("_ob_nb").isNull() | (width <= 0), F.lit(0))
+              .otherwise(F.least(F.floor((F.col("_ob_v") - F.col("_ob_lo")) / width), nb - 1))
+              ).cast("bigint")
+    with_b = with_stats.withColumn("_ob_b", bucket).drop("_ob_lo", "_ob_hi", "_ob_nb")
+
+    counts = with_b.groupBy(*group_by, "_ob_b").agg(F.count(F.lit(1)).alias("_ob_c"))
+    earlier = Window.partitionBy(*group_by).orderBy("_ob_b").rowsBetween(Window.unboundedPreceding, -1)
+    cols = [*[F.col(g).alias(a) for g, a in gs.items()], F.col("_ob_b").alias("_ob_sb"),
+            F.coalesce(F.sum("_ob_c").over(earlier), F.lit(0)).alias("_ob_off")]
+    if group_size:
+        cols.append(F.sum("_ob_c").over(Window.partitionBy(*group_by)).alias("_ob_tot"))
+    offs = counts.select(*cols).checkpoint(eager=True)
+    if offs.count() <= broadcast_rows:
+        offs = F.broadcast(offs)
+    local = Window.partitionBy(*group_by, "_ob_b").orderBy(F.col(order).asc_nulls_first())
+    numbered = with_b.withColumn("_ob_r", F.row_number().over(local))
+    cond = _null_safe_on(group_by, gs) & (F.col("_ob_b") == F.col("_ob_sb"))
+    out = numbered.join(offs, cond, "inner").withColumn(name, F.col("_ob_off") + F.col("_ob_r"))
+    if group_size:
+        out = out.withColumnRenamed("_ob_tot", group_size)
+    return out.drop("_ob_v", "_ob_b", "_ob_r", "_ob_sb", "_ob_off", *gs.values())
+
+
+def _null_safe_on(group_by: list[str], gs: dict) -> Column:
+    if not group_by:
+        return F.lit(True)
+    return reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(a)) for g, a in gs.items()])
+
+
+def _ordinal_ranged(df: DataFrame, order_by: list, group_by: list[str], name: str,
+                    group_size: str | None, partitions: int | None,
+                    broadcast_rows: int) -> DataFrame:
+    """Row numbers for any order: range partitioning + checkpoint (module doc)."""
     n = _partitions(df, partitions)
     keys = [F.col(g).asc_nulls_first() for g in group_by] + [_sort_col(o) for o in order_by]
     tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)

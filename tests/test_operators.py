@@ -206,3 +206,25 @@ def test_correlation_pairwise_complete_like_pandas(spark):
     for x in "abc":
         for y in "abc":
             assert got[(x, y)] == pytest.approx(ref.loc[x, y], abs=1e-12)
+
+
+@pytest.mark.parametrize("rpb", [1_000_000, 700, 53])
+def test_bucketed_ordinal_matches_ranged(spark, rpb):
+    p = proc(spark, SF_MID)
+    a = ordinal(p, ["sequence"], ["machine"], name="rn", group_size="n", method="bucket",
+                rows_per_bucket=rpb).select("sequence", "rn", "n")
+    b = ordinal(p, ["sequence"], ["machine"], name="rn", group_size="n", method="ranged") \
+        .select("sequence", "rn", "n")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_bucketed_ordinal_global_and_nulls(spark):
+    df = spark.createDataFrame([(None,), (5,), (1,), (None,), (3,)] * 3, "o int")
+    got = sorted(r.rn for r in ordinal(df, ["o"], [], name="rn", method="bucket", rows_per_bucket=2)
+                 .collect())
+    assert got == list(range(1, 16))
+    first = ordinal(df, ["o"], [], name="rn", method="bucket", rows_per_bucket=2).where("rn <= 6")
+    assert first.where("o IS NOT NULL").count() == 0      # nulls first
+    hot = spark.range(3000).select(F.lit(7).alias("g"), ((F.col("id") * 37) % 3000).alias("o"))
+    r = ordinal(hot, ["o"], ["g"], name="rn", method="bucket", rows_per_bucket=100)
+    assert r.where(F.col("rn") != F.col("o") + 1).count() == 0
