@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .ordinal import prefix_sums
 
 
@@ -83,6 +84,10 @@ def roc_points(df: DataFrame, score: str = "score", label: str = "label",
     is_pos = (F.col(label) == F.lit(positive)).cast("long")
     by_score = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.sum(is_pos).alias("pos"), F.sum(1 - is_pos).alias("neg"))
+    # materialise the per-score table once: its input (e.g. model scoring of
+    # a test set) is then computed once for both the totals and the sums
+    ensure_checkpoint_dir(df.sparkSession)
+    by_score = by_score.checkpoint(eager=True)
     cum = prefix_sums(by_score, [F.desc("threshold")], ["pos", "neg"], ["tp", "fp"], rank="point")
     # two numbers (class totals), computed once and inlined as literals
     totals = by_score.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
