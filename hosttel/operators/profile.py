@@ -93,7 +93,8 @@ def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def numeric_profile(df: DataFrame, cols: list[str] | None = None, digits: int = 2,
-                    method: str = "exact", accuracy: int = 10_000) -> DataFrame:
+                    method: str = "exact", accuracy: int = 10_000,
+                    half_even: bool = False) -> DataFrame:
     """count, mean, sample std, min, quartiles, max per numeric column.
 
     One row per column. ``method="exact"`` gives linearly interpolated
@@ -101,7 +102,9 @@ def numeric_profile(df: DataFrame, cols: list[str] | None = None, digits: int =
     sort: the column values are ranked with the skew-safe ordinal, so no
     task ever holds a whole column. ``method="approx"`` uses
     ``percentile_approx`` sketches (one partial aggregate, cheapest).
-    Null and NaN values are left out of every statistic.
+    Null and NaN values are left out of every statistic. Values are rounded
+    to ``digits`` half-up, or half-to-even (``bround``) with ``half_even``,
+    which is how the reference's local rounding behaves.
     """
     cols = list(cols or numeric_columns(df))
     long = _long_values(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
@@ -120,7 +123,8 @@ def numeric_profile(df: DataFrame, cols: list[str] | None = None, digits: int =
     else:
         raise ValueError(method)
     out = moments.join(quart, "column", "left")
-    r = (lambda c: F.round(F.col(c), digits)) if digits is not None else F.col
+    rnd = F.bround if half_even else F.round
+    r = (lambda c: rnd(F.col(c), digits)) if digits is not None else F.col
     return out.select("column", F.col("count"), *[r(c).alias(c) for c in PROFILE_STATS[1:]])
 
 

@@ -228,3 +228,27 @@ def test_bucketed_ordinal_global_and_nulls(spark):
     hot = spark.range(3000).select(F.lit(7).alias("g"), ((F.col("id") * 37) % 3000).alias("o"))
     r = ordinal(hot, ["o"], ["g"], name="rn", method="bucket", rows_per_bucket=100)
     assert r.where(F.col("rn") != F.col("o") + 1).count() == 0
+
+
+def test_numeric_profile_rounding_modes(spark):
+    df = spark.createDataFrame([(0.125,), (0.125,)], "x double")
+    up = profile.numeric_profile(df, ["x"], digits=2).first()
+    even = profile.numeric_profile(df, ["x"], digits=2, half_even=True).first()
+    assert (up.mean, even.mean) == (0.13, 0.12)
+    assert up["count"] == 2 and up.std == 0.0
+
+
+def test_scatter_sample_is_bounded_subset(spark):
+    p = proc(spark, SF_MID)
+    s = profile.scatter_sample(p, ["cpu", "ts"], "attack", fraction=0.05)
+    n = s.count()
+    assert 0 < n < 2000 and s.columns == ["cpu", "ts", "attack"]
+    assert s.exceptAll(p.select("cpu", "ts", "attack")).count() == 0
+
+
+def test_stamp_rows_uses_one_time(spark):
+    p = proc(spark, SF_SMALL).select("sequence")
+    stamped = M.stamp_rows(p)
+    row = stamped.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    import time
+    assert row.lo == row.hi and abs(row.lo - time.time()) < 600

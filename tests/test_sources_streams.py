@@ -126,3 +126,21 @@ def test_stream_to_table_is_sql_readable(spark):
     exp = M.message_counts(M.message_rows(M.frame_ticks(p))).agg(F.count("*"), F.sum("n")).first()
     assert (n.c, n.s) == (exp[0], exp[1])
     spark.sql("DROP TABLE stream_counts_t")
+
+
+def test_memory_sink_query_by_name_and_settings(spark):
+    from hosttel.session import REFERENCE_SPLIT_BYTES, apply_reference_settings
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        apply_reference_settings(spark)
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") in (str(REFERENCE_SPLIT_BYTES),
+                                                                        f"{REFERENCE_SPLIT_BYTES}b")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    path = _write_stream_input(spark, 2)
+    q = sinks.to_memory(D.message_counts_long(K.read_envelope_stream(spark, path), ROW_SCHEMA),
+                        "counts_by_name", available_now=True)
+    q.awaitTermination()
+    assert sinks.query_by_name(spark, "counts_by_name").count() > 0
+    sinks.stop_all(spark)
+    assert not spark.streams.active
