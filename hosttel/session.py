@@ -72,3 +72,20 @@ def apply_reference_settings(spark: SparkSession, split_bytes: int = REFERENCE_S
     """Apply the reference's session settings (split size, UTC) at runtime."""
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
     spark.conf.set("spark.sql.session.timeZone", SESSION_TIME_ZONE)
+
+
+def size_for(spark: SparkSession, input_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
+             split_bytes: int = 256 * 1024 * 1024) -> int:
+    """Size shuffles for an input of ``input_bytes``: one shuffle partition
+    per ``partition_bytes`` of input (at least the current setting), AQE on
+    with the same advisory size so it can coalesce small ones and split
+    skewed joins, and input splits of ``split_bytes``. Returns the shuffle
+    partition count. Only runtime SQL settings are changed."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(current, -(-int(input_bytes) // int(partition_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(partition_bytes))
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    return n

@@ -9,6 +9,11 @@ same numbers as the batch ``trailing_window``.
 
 State per machine is at most ``N`` rows, and input rows are per-message
 counts (one per machine per message), so a hot machine costs nothing extra.
+
+Counts are expected in offset order across micro-batches, as one Kafka
+partition delivers them (within a batch any order is fine). A count older
+than the newest one in state still joins the state, but windows already
+emitted are not revised.
 """
 
 from __future__ import annotations

@@ -64,3 +64,16 @@ def test_time_functions_ignore_session_zone(spark):
             assert (row.s, row.c) == (1704164645, "01:01:01")
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_size_for_sets_partitions(spark):
+    from hosttel.session import size_for
+    keys = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        assert size_for(spark, 10 * 1024 ** 4) == 40960           # 10 TiB / 256 MiB
+        assert size_for(spark, 1024) == 40960                     # never fewer than configured
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
