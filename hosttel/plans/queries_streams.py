@@ -51,6 +51,17 @@ def q_stream_decode_counts(spark, sf):
     return _drain(D.message_counts_long(env, ROW_SCHEMA), base, None)
 
 
+@register("stream_counts_batched", with_views(PROC_SQL, COUNTS_H_SQL) + "SELECT * FROM counts")
+def q_stream_counts_batched(spark, sf):
+    """Per-message counts by a batch aggregation inside ``foreachBatch``,
+    idempotent per batch id (ST3, wide-fleet form)."""
+    base = _run_dir(spark, "counts_batched")
+    env = _envelope_stream(spark, sf, base)
+    q = D.write_message_counts(env, ROW_SCHEMA, f"{base}/out", f"{base}/chk", available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("offset_id", "machine", "n")
+
+
 @register("stream_counts_wide", _wide_sql(HORIZON))
 def q_stream_counts_wide(spark, sf):
     """Per-message counts, one column per machine, 0 when absent (ST3, A11)."""
