@@ -5,8 +5,8 @@ to one task. Telemetry has few machines, so one machine can hold a third of
 all rows; that task would sort terabytes alone. ``ordinal`` computes the same
 numbers without ever gathering a group, by one of two methods.
 
-**bucket** (one ascending numeric/temporal order column — sequence numbers,
-timestamps, values; chosen automatically): hot groups are cut into
+**bucket** (one ascending integer/date/timestamp order column — sequence
+numbers, times; chosen automatically): hot groups are cut into
 equal-width value buckets, rows are numbered by a window partitioned by
 ``(group, bucket)``, and counts of earlier buckets are added. No rows are
 checkpointed; see ``_ordinal_bucketed``.
@@ -83,7 +83,7 @@ def ordinal(df: DataFrame, order_by: list, group_by: list[str] | tuple = (), nam
     """
     group_by = list(group_by)
     if method == "auto":
-        method = "bucket" if _numeric_single(df, order_by) else "ranged"
+        method = "bucket" if _numeric_single(df, order_by, spread_keys_only=True) else "ranged"
     if method == "bucket":
         return _ordinal_bucketed(df, order_by[0], group_by, name, group_size, broadcast_rows,
                                  rows_per_bucket)
@@ -92,12 +92,20 @@ def ordinal(df: DataFrame, order_by: list, group_by: list[str] | tuple = (), nam
     return _ordinal_ranged(df, order_by, group_by, name, group_size, partitions, broadcast_rows)
 
 
-def _numeric_single(df: DataFrame, order_by: list) -> bool:
+def _numeric_single(df: DataFrame, order_by: list, spread_keys_only: bool = False) -> bool:
+    """One ascending numeric/temporal order column. With ``spread_keys_only``,
+    only integer, date and timestamp keys qualify: sequence numbers and times
+    spread evenly enough for equal-width buckets, while measured values
+    (doubles: sizes, scores) can be heavy-tailed and are left to the range
+    partitioner, which samples quantiles."""
     if len(order_by) != 1 or not isinstance(order_by[0], str):
         return False
     dt = df.schema[order_by[0]].dataType
-    return isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
-                           T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType))
+    kinds = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.TimestampType,
+             T.TimestampNTZType)
+    if not spread_keys_only:
+        kinds = kinds + (T.FloatType, T.DoubleType)
+    return isinstance(dt, kinds)
 
 
 def _order_number(df: DataFrame, order: str) -> Column:

@@ -252,3 +252,14 @@ def test_stamp_rows_uses_one_time(spark):
     row = stamped.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
     import time
     assert row.lo == row.hi and abs(row.lo - time.time()) < 600
+
+
+def test_auto_ordinal_heavy_tailed_values(spark):
+    # 99 % of values tiny, a few huge: auto picks the range method for doubles
+    df = spark.range(4000).select(F.lit(1).alias("g"),
+                                  F.when(F.col("id") % 100 == 0, F.col("id") * 1e9)
+                                  .otherwise(F.col("id") * 1e-3).alias("v"), "id")
+    got = ordinal(df, ["v"], ["g"], name="rn")
+    w = Window.partitionBy("g").orderBy("v")
+    ref = df.select("id", F.row_number().over(w).alias("rn"))
+    assert got.select("id", "rn").exceptAll(ref).count() == 0
