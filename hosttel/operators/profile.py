@@ -7,12 +7,14 @@ and stay distributed; callers ``show()`` them.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
 from .ordinal import ordinal
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -129,32 +131,67 @@ def numeric_profile(df: DataFrame, cols: list[str] | None = None, digits: int =
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], group_by=(),
-                    names: list[str] | None = None) -> DataFrame:
-    """Linearly interpolated quantiles (``quantile_cont``) per group.
-
-    The rank of each value comes from the skew-safe ordinal; then only the
-    two rows around each target position ``p·(n−1)`` are kept, which is a
-    filter, and a final aggregate of at most ``2·len(probs)`` rows per group
-    interpolates.
+                    names: list[str] | None = None, accuracy: int = 10_000) -> DataFrame:
+    """Exact linearly interpolated quantiles (``quantile_cont``) per group,
+    without sorting all values.
+
+    1. one sketch pass: ``percentile_approx`` at ``p ∓ 2/accuracy`` brackets
+       each exact quantile in ``[L, U]`` (the sketch's rank error is at most
+       ``n/accuracy``), plus the exact count ``n``;
+    2. one pass over the rows joined to the tiny bracket table (broadcast:
+       groups × quantiles rows): rows below ``L`` are only counted (partial
+       aggregate); rows inside ``[L, U]`` — about ``4n/accuracy`` per
+       quantile — are kept;
+    3. the kept rows are ranked with the skew-safe ordinal; exact rank =
+       rows below ``L`` + rank inside the bracket. The two rows around
+       ``p·(n−1)`` are interpolated.
     """
     g = list(group_by)
     names = names or [f"q{int(p * 100)}" for p in probs]
-    ranked = ordinal(df.select(*g, value), [value], g, name="_rk", group_size="_n")
-    pos = [F.lit(p) * (F.col("_n") - 1) for p in probs]
-    # keep rows whose 0-based rank is floor or ceil of some target position
-    rk0 = F.col("_rk") - 1
-    near = None
-    for e in pos:
-        cond = (rk0 == F.floor(e)) | (rk0 == F.ceil(e))
-        near = cond if near is None else (near | cond)
-    kept = ranked.where(near)
-    aggs = []
-    for name, e in zip(names, pos):
-        lo_v = F.max(F.when(rk0 == F.floor(e), F.col(value)))
-        hi_v = F.max(F.when(rk0 == F.ceil(e), F.col(value)))
-        frac = F.first(e - F.floor(e))
-        aggs.append((lo_v + (hi_v - lo_v) * frac).alias(name))
-    return kept.groupBy(*g).agg(*aggs) if g else kept.agg(*aggs)
+    eps = 2.0 / accuracy
+    lo_p = [max(0.0, p - eps) for p in probs]
+    hi_p = [min(1.0, p + eps) for p in probs]
+    data = df.select(*g, F.col(value).cast("double").alias("_qv")).where(F.col("_qv").isNotNull())
+    sketch = data.groupBy(*g).agg(F.percentile_approx("_qv", lo_p + hi_p, accuracy).alias("_qs"),
+                                  F.count(F.lit(1)).alias("_qn"))
+    k = len(probs)
+    bounds = sketch.select(*g, "_qn", F.posexplode(F.arrays_zip(
+        F.slice("_qs", 1, k).alias("lo"), F.slice("_qs", k + 1, k).alias("hi"),
+        F.array(*[F.lit(float(p)) for p in probs]).alias("p"))).alias("_qk", "_qb"))
+    bounds = bounds.select(*[F.col(c).alias(f"_qg_{c}") for c in g], "_qn", "_qk",
+                           F.col("_qb.lo").alias("_qL"), F.col("_qb.hi").alias("_qU"),
+                           F.col("_qb.p").alias("_qp"))
+    if g:
+        ensure_checkpoint_dir(df.sparkSession)
+        bounds = F.broadcast(bounds.checkpoint(eager=True))   # groups × quantiles rows
+        cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_qg_{c}")) for c in g])
+        j = data.join(bounds, cond, "inner").drop(*[f"_qg_{c}" for c in g])
+    else:
+        # one group: the quantiles' brackets are a handful of numbers; attach
+        # them to every row as literals (no join)
+        rows = bounds.collect()
+        lits = [F.struct(F.lit(r["_qn"]).cast("long").alias("_qn"), F.lit(r["_qk"]).alias("_qk"),
+                         F.lit(r["_qL"]).cast("double").alias("_qL"),
+                         F.lit(r["_qU"]).cast("double").alias("_qU"),
+                         F.lit(r["_qp"]).cast("double").alias("_qp")) for r in rows]
+        j = data.select("_qv", F.inline(F.array(*lits))) if lits else \
+            data.select("_qv").where(F.lit(False))
+    keys = [*g, "_qk"]
+    below = j.where(F.col("_qv") < F.col("_qL")).groupBy(*keys).agg(F.count(F.lit(1)).alias("_qbelow"))
+    cands = j.where((F.col("_qv") >= F.col("_qL")) & (F.col("_qv") <= F.col("_qU"))) \
+        .select(*keys, "_qv", "_qn", "_qp")
+    ranked = ordinal(cands, ["_qv"], keys, name="_qr", method="ranged")
+    ranked = ranked.join(below, keys, "left").fillna(0, subset=["_qbelow"])
+    rk0 = F.col("_qbelow") + F.col("_qr") - 1          # 0-based exact rank
+    pos = F.col("_qp") * (F.col("_qn") - 1)
+    kept = ranked.where((rk0 == F.floor(pos)) | (rk0 == F.ceil(pos)))
+    per_q = kept.groupBy(*keys).agg(
+        F.max(F.when(rk0 == F.floor(pos), F.col("_qv"))).alias("_lo"),
+        F.max(F.when(rk0 == F.ceil(pos), F.col("_qv"))).alias("_hi"),
+        F.first(pos - F.floor(pos)).alias("_f"))
+    val = (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f"))
+    aggs = [F.max(F.when(F.col("_qk") == i, val)).alias(nm) for i, nm in enumerate(names)]
+    return per_q.groupBy(*g).agg(*aggs) if g else per_q.agg(*aggs)
 
 
 def correlation_pairs(df: DataFrame, cols: list[str] | None = None, digits: int | None = 6) -> DataFrame:

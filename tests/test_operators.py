@@ -263,3 +263,20 @@ def test_auto_ordinal_heavy_tailed_values(spark):
     w = Window.partitionBy("g").orderBy("v")
     ref = df.select("id", F.row_number().over(w).alias("rn"))
     assert got.select("id", "rn").exceptAll(ref).count() == 0
+
+
+@pytest.mark.parametrize("grouped", [False, True])
+def test_exact_quantiles_with_coarse_sketch(spark, grouped):
+    # accuracy 50 on 10 000 rows: brackets hold hundreds of candidates, and the
+    # answer must still be exact
+    p = proc(spark, SF_MID).select("machine", "cpu")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    g = ["machine"] if grouped else []
+    ours = profile.exact_quantiles(p, "cpu", probs, g, accuracy=50)
+    ref = (p.groupBy(*g) if g else p.groupBy()).agg(F.percentile("cpu", probs).alias("q"))
+    key = (lambda r: r["machine"]) if grouped else (lambda r: 0)
+    ref_map = {key(r): r.q for r in ref.collect()}
+    for r in ours.collect():
+        got = [r[f"q{int(x * 100)}"] for x in probs]
+        assert got == pytest.approx(ref_map[key(r)], abs=1e-9)
+    assert ours.count() == len(ref_map)
