@@ -24,11 +24,11 @@ Here the same shapes are relational:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timefmt import clock_text
+from ..functions.timefmt import clock_text, max_label, min_label
 from .ordinal import ordinal
 
 # fixed framing defaults: rows per machine per tick sent on time, and rows
@@ -238,8 +238,8 @@ def series_extremes(series: DataFrame, offset: str = "offset_id", machine: str =
         F.min(value).alias("min_n"),
         F.min_by(F.col(clock), F.struct(F.col(value), F.col(offset))).alias("min_clock"))
     return agg.select(machine, "max_n", "min_n",
-                      F.format_string("Max: Time=%s, Value=%s", "max_clock", "max_n").alias("max_label"),
-                      F.format_string("Min: Time=%s, Value=%s", "min_clock", "min_n").alias("min_label"))
+                      max_label("max_clock", "max_n").alias("max_label"),
+                      min_label("min_clock", "min_n").alias("min_label"))
 
 
 def distinct_machines(df: DataFrame, machine: str = "machine") -> DataFrame:
@@ -254,7 +254,3 @@ def machine_values(df: DataFrame, machine: str = "machine", limit: int = 10_000)
     if len(vals) > limit:
         raise ValueError(f"more than {limit} machines; use the long form")
     return sorted(vals)
-
-
-def as_col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
