@@ -131,7 +131,8 @@ def numeric_profile(df: DataFrame, cols: list[str] | None = None, digits: int =
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], group_by=(),
-                    names: list[str] | None = None, accuracy: int = 10_000) -> DataFrame:
+                    names: list[str] | None = None, accuracy: int = 10_000,
+                    broadcast_rows: int = 2_000_000) -> DataFrame:
     """Exact linearly interpolated quantiles (``quantile_cont``) per group,
     without sorting all values.
 
@@ -139,7 +140,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], group_by=(),
        each exact quantile in ``[L, U]`` (the sketch's rank error is at most
        ``n/accuracy``), plus the exact count ``n``;
     2. one pass over the rows joined to the tiny bracket table (broadcast:
-       groups × quantiles rows): rows below ``L`` are only counted (partial
+       groups × quantiles rows, size checked; beyond ``broadcast_rows`` every
+       value is ranked instead): rows below ``L`` are only counted (partial
        aggregate); rows inside ``[L, U]`` — about ``4n/accuracy`` per
        quantile — are kept;
     3. the kept rows are ranked with the skew-safe ordinal; exact rank =
@@ -163,9 +165,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], group_by=(),
                            F.col("_qb.p").alias("_qp"))
     if g:
         ensure_checkpoint_dir(df.sparkSession)
-        bounds = F.broadcast(bounds.checkpoint(eager=True))   # groups × quantiles rows
+        bounds = bounds.checkpoint(eager=True)                 # groups × quantiles rows
+        if bounds.count() > broadcast_rows:
+            return _ranked_quantiles(data, probs, g, names)
         cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_qg_{c}")) for c in g])
-        j = data.join(bounds, cond, "inner").drop(*[f"_qg_{c}" for c in g])
+        j = data.join(F.broadcast(bounds), cond, "inner").drop(*[f"_qg_{c}" for c in g])
     else:
         # one group: the quantiles' brackets are a handful of numbers; attach
         # them to every row as literals (no join)
@@ -194,6 +198,22 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], group_by=(),
     return per_q.groupBy(*g).agg(*aggs) if g else per_q.agg(*aggs)
 
 
+def _ranked_quantiles(data: DataFrame, probs: list[float], g: list[str],
+                      names: list[str]) -> DataFrame:
+    """Fallback for very many groups: rank every value with the skew-safe
+    ordinal and keep the two rows around each target position."""
+    ranked = ordinal(data, ["_qv"], g, name="_qr", group_size="_qn", method="ranged")
+    rk0 = F.col("_qr") - 1
+    pos = [F.lit(p) * (F.col("_qn") - 1) for p in probs]
+    near = reduce(lambda a, b: a | b, [(rk0 == F.floor(e)) | (rk0 == F.ceil(e)) for e in pos])
+    aggs = []
+    for nm, e in zip(names, pos):
+        lo = F.max(F.when(rk0 == F.floor(e), F.col("_qv")))
+        hi = F.max(F.when(rk0 == F.ceil(e), F.col("_qv")))
+        aggs.append((lo + (hi - lo) * F.first(e - F.floor(e))).alias(nm))
+    return ranked.where(near).groupBy(*g).agg(*aggs)
+
+
 def correlation_pairs(df: DataFrame, cols: list[str] | None = None, digits: int | None = 6) -> DataFrame:
     """Pearson correlation of every column pair, long form ``(x, y, r)``.
 

@@ -280,3 +280,15 @@ def test_exact_quantiles_with_coarse_sketch(spark, grouped):
         got = [r[f"q{int(x * 100)}"] for x in probs]
         assert got == pytest.approx(ref_map[key(r)], abs=1e-9)
     assert ours.count() == len(ref_map)
+
+
+def test_exact_quantiles_many_groups_fallback(spark):
+    p = proc(spark, SF_MID).select("machine", "cpu")
+    probs = [0.25, 0.5, 0.75]
+    a = profile.exact_quantiles(p, "cpu", probs, ["machine"], broadcast_rows=0)  # forces the fallback
+    b = profile.exact_quantiles(p, "cpu", probs, ["machine"])
+    ra = {r.machine: (r.q25, r.q50, r.q75) for r in a.collect()}
+    rb = {r.machine: (r.q25, r.q50, r.q75) for r in b.collect()}
+    assert ra.keys() == rb.keys()
+    for m in ra:
+        assert ra[m] == pytest.approx(rb[m], abs=1e-9)
