@@ -292,3 +292,28 @@ def test_exact_quantiles_many_groups_fallback(spark):
     assert ra.keys() == rb.keys()
     for m in ra:
         assert ra[m] == pytest.approx(rb[m], abs=1e-9)
+
+
+def test_hot_machine_is_spread_over_tasks(spark):
+    # one machine holds every row; measure rows per task where numbering happens
+    df = spark.range(20000).select(F.lit(1).alias("machine"), F.col("id").alias("sequence"))
+    def rows_per_task(numbered):
+        # consume rn so the numbering is not pruned away, and tag each row
+        # with the task that produced it
+        tagged = numbered.select(F.col("rn"), F.spark_partition_id().alias("p"))
+        out = tagged.groupBy("p").agg(F.count(F.lit(1)).alias("c"), F.sum("rn").alias("s"))
+        return [r["c"] for r in out.collect()]
+
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")     # tiny data: AQE would merge every partition into one
+    try:
+        ours = ordinal(df, ["sequence"], ["machine"], name="rn", rows_per_bucket=500)
+        counts = rows_per_task(ours)
+        assert max(counts) <= 0.5 * 20000 and len(counts) >= 4
+        plain = df.withColumn("rn", F.row_number().over(Window.partitionBy("machine")
+                                                        .orderBy("sequence")))
+        assert max(rows_per_task(plain)) == 20000      # the pattern we avoid: one task
+    finally:
+        spark.conf.set(key, old)
+    assert ours.where(F.col("rn") != F.col("sequence") + 1).count() == 0
