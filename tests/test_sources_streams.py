@@ -168,3 +168,16 @@ def test_trailing_state_across_many_batches_equals_batch(spark):
     cols = ["offset_id", "machine", "window_sum", "window_len"]
     assert got.select(cols).exceptAll(exp.select(cols)).count() == 0
     assert exp.count() == got.count()
+
+
+def test_console_sink_processing_time_trigger(spark, capsys):
+    path = _write_stream_input(spark, 2)
+    counts = D.message_counts_long(K.read_envelope_stream(spark, path), ROW_SCHEMA)
+    q = sinks.to_console(counts, "console_counts", trigger="1 second")
+    try:
+        q.processAllAvailable()
+        assert q.isActive and q.name == "console_counts"
+        assert q.lastProgress is not None and q.lastProgress["numInputRows"] >= 0
+    finally:
+        q.stop()
+    assert not q.isActive
