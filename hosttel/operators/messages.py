@@ -64,8 +64,22 @@ def frame_ticks(df: DataFrame, machine: str = "machine", order: str = "sequence"
     return out.drop("_rn", "_n")
 
 
+def last_tick(df: DataFrame, machine: str = "machine", main: int = MAIN_ROWS,
+              late: int = LATE_ROWS, strict: bool = False) -> int:
+    """The last tick number ``frame_ticks`` will produce, from per-machine row
+    counts alone (a partial aggregate over the machine column; no framing
+    pass). -1 when there are no rows."""
+    k = main + late
+    n_max = df.groupBy(machine).count().agg(F.max("count")).first()[0]
+    if not n_max:
+        return -1
+    if strict:                       # kept slices t satisfy (t + 1)·k < n
+        return max(-(-n_max // k) - 2, -1)
+    return (n_max - 1) // k
+
+
 def message_rows(framed: DataFrame, offset: str = "offset_id", horizon: int | None = None,
-                 backlog: bool = True) -> DataFrame:
+                 backlog: bool = True, last: int | None = None) -> DataFrame:
     """Rows carried by each message, long form (J1 + U1).
 
     On-time rows travel in their own tick. A held-back row of tick *k* is
@@ -77,12 +91,15 @@ def message_rows(framed: DataFrame, offset: str = "offset_id", horizon: int | No
     Size: without a horizon (the reference) the copies grow with the square
     of the number of ticks; with ``horizon=H`` each held-back row has at most
     ``H`` copies, so the output is linear in the input.
+
+    ``last`` is the last tick; pass ``last_tick(...)`` of the unframed rows to
+    avoid a second framing pass (otherwise it is read from ``framed``).
     """
     if not backlog:
         return (framed.withColumn("origin_offset", F.col(offset))
                 .withColumn("resent", F.lit(False)).drop("is_late"))
     # one number: the last tick, computed once and inlined as a literal
-    last_val = framed.agg(F.max(offset)).first()[0]
+    last_val = framed.agg(F.max(offset)).first()[0] if last is None else last
     last = F.lit(-1 if last_val is None else int(last_val)).cast("bigint")
     upto = last if horizon is None else F.least(last, F.col(offset) + F.lit(int(horizon)))
     on_time = (framed.where(~F.col("is_late"))
@@ -165,10 +182,12 @@ def message_time(rows: DataFrame, offset: str = "offset_id", machine: str = "mac
             .withColumn("clock", clock_text("ts")))
 
 
-def last_points(counts: DataFrame, n: int = MEMORY_TRAIL, offset: str = "offset_id") -> DataFrame:
-    """The last ``n`` messages of every series (W1, what the consumer draws)."""
-    last = counts.agg(F.max(offset)).scalar()
-    return counts.where(F.col(offset) > last - F.lit(n))
+def last_points(counts: DataFrame, n: int = MEMORY_TRAIL, offset: str = "offset_id",
+                last: int | None = None) -> DataFrame:
+    """The last ``n`` messages of every series (W1, what the consumer draws).
+    ``last`` = the last message id if known (e.g. ``last_tick``)."""
+    cut = counts.agg(F.max(offset)).scalar() if last is None else F.lit(int(last))
+    return counts.where(F.col(offset) > cut - F.lit(n))
 
 
 def trailing_window(counts: DataFrame, n: int = MEMORY_TRAIL, offset: str = "offset_id",
@@ -220,10 +239,11 @@ def stamp_rows(rows: DataFrame, name: str = "ts") -> DataFrame:
 
 
 def count_series(counts: DataFrame, times: DataFrame, n: int = MEMORY_TRAIL,
-                 offset: str = "offset_id", machine: str = "machine", value: str = "n") -> DataFrame:
+                 offset: str = "offset_id", machine: str = "machine", value: str = "n",
+                 last: int | None = None) -> DataFrame:
     """The consumer's chart data (V6): for the last ``n`` messages, the count
     of every machine against the message's clock time (long form)."""
-    recent = last_points(counts, n, offset)
+    recent = last_points(counts, n, offset, last)
     return recent.join(times.select(offset, "clock"), offset, "left") \
         .select(offset, "clock", machine, value)
 

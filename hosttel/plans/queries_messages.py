@@ -69,8 +69,12 @@ def _framed(spark, sf):
     return M.frame_ticks(proc(spark, sf), "machine", "sequence", M.MAIN_ROWS, M.LATE_ROWS)
 
 
+def _last(spark, sf):
+    return M.last_tick(proc(spark, sf), "machine", M.MAIN_ROWS, M.LATE_ROWS)
+
+
 def _msg_rows(spark, sf):
-    return M.message_rows(_framed(spark, sf), horizon=HORIZON)
+    return M.message_rows(_framed(spark, sf), horizon=HORIZON, last=_last(spark, sf))
 
 
 def _counts(spark, sf):
@@ -167,7 +171,7 @@ def q_clock_text(spark, sf):
 SELECT * FROM counts WHERE offset_id > (SELECT max(offset_id) FROM counts) - {TRAIL}""")
 def q_trailing_counts(spark, sf):
     """The last 16 messages of every machine's series."""
-    return M.last_points(_counts(spark, sf), TRAIL)
+    return M.last_points(_counts(spark, sf), TRAIL, last=_last(spark, sf))
 
 
 @register("trailing_window", with_views(PROC_SQL, COUNTS_SQL) + f"""
@@ -209,7 +213,7 @@ series AS (
 
 def _series(spark, sf):
     rows = M.unpack_messages(_packed(spark, sf), ROW_SCHEMA)
-    return M.count_series(M.message_counts(rows), M.message_time(rows), TRAIL)
+    return M.count_series(M.message_counts(rows), M.message_time(rows), TRAIL, last=_last(spark, sf))
 
 
 @register("count_series", with_views(PROC_SQL, MSG_H_SQL, TIMES_SQL, SERIES_SQL) + "SELECT * FROM series")

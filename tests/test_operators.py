@@ -317,3 +317,13 @@ def test_hot_machine_is_spread_over_tasks(spark):
     finally:
         spark.conf.set(key, old)
     assert ours.where(F.col("rn") != F.col("sequence") + 1).count() == 0
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_last_tick_equals_framed_max(spark, strict):
+    for n in (1, 52, 53, 54, 106, 107, 500):
+        df = spark.createDataFrame([(1, s) for s in range(n)] + [(2, s) for s in range(n // 2)],
+                                   "machine int, sequence long")
+        framed = M.frame_ticks(df, strict=strict)
+        exp = framed.agg(F.max("offset_id")).first()[0]
+        assert M.last_tick(df, strict=strict) == (-1 if exp is None else exp), n
