@@ -181,3 +181,16 @@ def test_console_sink_processing_time_trigger(spark, capsys):
     finally:
         q.stop()
     assert not q.isActive
+
+
+def test_process_replay_reads_tslpu_from_its_column(spark):
+    d = _tmp()
+    path = os.path.join(d, "proc_replay.csv")
+    with open(path, "w") as f:
+        f.write("sequence,machine,PID,TRUN,TSLPI,TSLPU,POLI,NICE,PRI,RTPR,CPUNR,Status,EXC,State,CPU,CMD\n")
+        f.write("41,2,900,1,3,7,norm,0,120,0,1,N,0,S,12.9,<sshd>\n")
+        f.write("42,2,901,x,3,8,norm,0,120,0,1,N,0,S,-0.5,<sh>\n")
+    rows = C.read_process_replay(spark, path).orderBy("sequence").collect()
+    assert [r.TSLPU for r in rows] == [7, 8]            # not the sequence number
+    assert [r.CPU for r in rows] == [12, 0]             # int(float(x)) truncates toward zero
+    assert rows[1].TRUN is None and rows[0].CMD == "<sshd>"
