@@ -30,12 +30,13 @@ and broadcast when its exact row count is under ``broadcast_rows``;
 otherwise it is joined by a shuffle on ``(partition, group)``, which splits
 hot groups too.
 
-The tagged rows are written once with ``checkpoint()`` to the shared folder
-named by ``spark.checkpoint.dir``: both branches then read the same ids (two
-separate range exchanges could sample different bounds), and a lost executor
-re-reads them instead of recomputing. Order keys should form a
-total order within a group; on ties the numbers are a valid but arbitrary
-permutation of the tied rows.
+In the ranged method the tagged rows are written once with ``checkpoint()``
+to the shared folder named by ``spark.checkpoint.dir``: both branches then
+read the same ids (two separate range exchanges could sample different
+bounds), and a lost executor re-reads them instead of recomputing.
+
+Order keys should form a total order within a group; on ties the numbers are
+a valid but arbitrary permutation of the tied rows.
 """
 
 from __future__ import annotations
@@ -46,6 +47,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.timefmt import ntz_epoch_seconds
 from ..session import ensure_checkpoint_dir
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
@@ -77,9 +79,10 @@ def ordinal(df: DataFrame, order_by: list, group_by: list[str] | tuple = (), nam
     ``group_size`` (optional) adds the number of rows in the row's group.
     ``order_by`` entries may be names or sort columns (``F.desc("x")``).
 
-    ``method``: ``"bucket"`` (one ascending numeric order column; no
-    checkpoint, see ``_ordinal_bucketed``), ``"ranged"`` (any order; range
-    partitioning + checkpoint), or ``"auto"`` (bucket when possible).
+    ``method``: ``"bucket"`` (one ascending numeric or temporal order column;
+    no row checkpoint, see ``_ordinal_bucketed``), ``"ranged"`` (any order;
+    range partitioning + checkpoint), or ``"auto"``: bucket for integer, date
+    and timestamp keys, ranged otherwise (doubles may be heavy-tailed).
     """
     group_by = list(group_by)
     if method == "auto":
@@ -109,13 +112,17 @@ def _numeric_single(df: DataFrame, order_by: list, spread_keys_only: bool = Fals
 
 
 def _order_number(df: DataFrame, order: str) -> Column:
+    """A number that never decreases as the order value increases (all the
+    bucketing needs). ``TIMESTAMP_NTZ`` is read as a UTC wall clock rather than
+    through the session zone, whose DST gaps would break monotonicity."""
     dt = df.schema[order].dataType
     c = F.col(order)
     if isinstance(dt, T.DateType):
         return F.unix_date(c).cast("double")
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double") if isinstance(dt, T.TimestampNTZType) \
-            else F.unix_micros(c).cast("double")
+    if isinstance(dt, T.TimestampNTZType):
+        return ntz_epoch_seconds(c).cast("double")
+    if isinstance(dt, T.TimestampType):
+        return F.unix_micros(c).cast("double")
     return c.cast("double")
 
 

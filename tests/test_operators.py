@@ -327,3 +327,19 @@ def test_last_tick_equals_framed_max(spark, strict):
         framed = M.frame_ticks(df, strict=strict)
         exp = framed.agg(F.max("offset_id")).first()[0]
         assert M.last_tick(df, strict=strict) == (-1 if exp is None else exp), n
+
+
+def test_bucketed_ordinal_ntz_across_dst_gap(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # 2024-03-10 02:00-03:00 does not exist in New York; NTZ values do
+        df = spark.sql("""SELECT 1 AS g, t FROM VALUES
+            (TIMESTAMP_NTZ '2024-03-10 01:50:00'), (TIMESTAMP_NTZ '2024-03-10 02:30:00'),
+            (TIMESTAMP_NTZ '2024-03-10 03:10:00'), (TIMESTAMP_NTZ '2024-03-10 04:00:00') AS v(t)""")
+        got = [r.t.hour * 60 + r.t.minute for r in
+               ordinal(df, ["t"], ["g"], name="rn", method="bucket", rows_per_bucket=1)
+               .orderBy("rn").collect()]
+        assert got == sorted(got)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
