@@ -67,7 +67,11 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
     if partitions:
         return int(partitions)
     conf = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(conf, df.rdd.getNumPartitions(), 1)
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no RDD view on Spark Connect)
+        splits = 0
+    return max(conf, splits, 1)
 
 
 def ordinal(df: DataFrame, order_by: list, group_by: list[str] | tuple = (), name: str = "rn",

@@ -50,14 +50,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is. Only where it is unset (local tests) a fresh scratch folder is
     created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect sessions have no SparkContext)
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="hosttel-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", conf_dir)
+    if sc is None:
+        return conf_dir
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
