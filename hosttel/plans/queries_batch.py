@@ -204,3 +204,59 @@ FROM mem_clean""")
 def q_missing_audit_mem(spark, sf):
     """Audit after cleaning: unparsable sizes show up as missing."""
     return audit.missing_counts(_mem_clean(spark, sf))
+
+
+@register("missing_audit_mem_raw", with_views(MEM_SQL) + """
+SELECT count_if(pid IS NULL) AS pid, count_if(seq IS NULL) AS seq,
+       count_if(rsize IS NULL OR coalesce(isnan(try_cast(rsize AS DOUBLE)), false)) AS rsize,
+       count_if(vsize IS NULL OR coalesce(isnan(try_cast(vsize AS DOUBLE)), false)) AS vsize,
+       count_if(minflt IS NULL OR coalesce(isnan(try_cast(minflt AS DOUBLE)), false)) AS minflt,
+       count_if(cmd IS NULL OR coalesce(isnan(try_cast(cmd AS DOUBLE)), false)) AS cmd,
+       count_if(attack IS NULL) AS attack
+FROM mem""")
+def q_missing_audit_mem_raw(spark, sf):
+    """Audit of the raw memory-like table, before cleaning (A2)."""
+    return audit.missing_counts(mem(spark, sf))
+
+
+_MEM_NUM = ["rsize", "vsize", "minflt"]
+
+
+def _mem_profile_sql() -> str:
+    parts = [f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM mem_clean"
+             for c in _MEM_NUM]
+    r = lambda e: f"round({e}, {DIGITS})"
+    return with_views(MEM_SQL, MEM_CLEAN_SQL) + ", long AS (" + " UNION ALL ".join(parts) + ")\n" + f"""
+SELECT column_name, count(value) AS count, {r('avg(value)')} AS mean,
+       {r('stddev_samp(value)')} AS std, {r('min(value)')} AS min,
+       {r('quantile_cont(value, 0.25)')} AS p25, {r('quantile_cont(value, 0.5)')} AS p50,
+       {r('quantile_cont(value, 0.75)')} AS p75, {r('max(value)')} AS max
+FROM long WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY column_name"""
+
+
+@register("numeric_profile_mem", _mem_profile_sql())
+def q_numeric_profile_mem(spark, sf):
+    """Profile of the cleaned memory-like sizes, heavy-tailed by their K/M/G
+    suffixes (A15, F5)."""
+    out = profile.numeric_profile(_mem_clean(spark, sf), _MEM_NUM, digits=DIGITS, method="exact")
+    return out.withColumnRenamed("column", "column_name")
+
+
+def _mem_corr_sql() -> str:
+    cols = _MEM_NUM + ["attack"]
+    rows = []
+    for i, a in enumerate(cols):
+        for b in cols[i + 1:]:
+            for x, y in ((a, b), (b, a)):
+                rows.append(f"SELECT '{x}' AS x, '{y}' AS y, round(corr(CAST({a} AS DOUBLE), "
+                            f"CAST({b} AS DOUBLE)), {DIGITS}) + 0.0 AS r FROM mem_clean")
+    for c in cols:
+        rows.append(f"SELECT '{c}' AS x, '{c}' AS y, CAST(1.0 AS DOUBLE) AS r")
+    return with_views(MEM_SQL, MEM_CLEAN_SQL) + "\n UNION ALL ".join(rows)
+
+
+@register("correlation_pairs_mem", _mem_corr_sql())
+def q_correlation_pairs_mem(spark, sf):
+    """Correlation matrix of the cleaned memory-like table, as the reference's
+    heat map (A16, V4)."""
+    return profile.correlation_pairs(_mem_clean(spark, sf), _MEM_NUM + ["attack"], digits=DIGITS)
