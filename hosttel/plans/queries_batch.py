@@ -260,3 +260,13 @@ def q_correlation_pairs_mem(spark, sf):
     """Correlation matrix of the cleaned memory-like table, as the reference's
     heat map (A16, V4)."""
     return profile.correlation_pairs(_mem_clean(spark, sf), _MEM_NUM + ["attack"], digits=DIGITS)
+
+
+@register("grid_density_mem", with_views(MEM_SQL, MEM_CLEAN_SQL) + """
+SELECT CAST(floor(log10(1.0 + vsize) / 1.0) AS BIGINT) AS x_bin,
+       CAST(floor(log10(1.0 + rsize) / 1.0) AS BIGINT) AS y_bin, attack, count(*) AS n
+FROM mem_clean GROUP BY 1, 2, 3""")
+def q_grid_density_mem(spark, sf):
+    """Memory scatter data (sizes against sizes) as decade-grid counts per class (V3)."""
+    return profile.grid_density(_mem_clean(spark, sf), "vsize", "rsize", 1.0, 1.0, "attack",
+                                log_scale=True)
