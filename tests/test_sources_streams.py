@@ -194,3 +194,22 @@ def test_process_replay_reads_tslpu_from_its_column(spark):
     assert [r.TSLPU for r in rows] == [7, 8]            # not the sequence number
     assert [r.CPU for r in rows] == [12, 0]             # int(float(x)) truncates toward zero
     assert rows[1].TRUN is None and rows[0].CMD == "<sshd>"
+
+
+def test_watermark_on_ntz_events_stream(spark):
+    # events.ts is TIMESTAMP_NTZ: a watermark needs TIMESTAMP, which with_event_time provides
+    src = os.path.join(_tmp(), "events")
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").write.parquet(src)   # a file stream reads folders
+    schema = spark.read.parquet(src).schema
+    stream = spark.readStream.schema(schema).parquet(src)
+    rows = L.with_event_time(stream.withColumn("machine", (F.col("user_id") % 5 + 1).cast("int")), "ts")
+    base = _tmp()
+    out = sinks.run_to_parquet(L.windowed_counts(rows, "event_time", "1 day", "1 day"),
+                               f"{base}/out", f"{base}/chk")
+    batch = spark.read.parquet(src).withColumn("machine", (F.col("user_id") % 5 + 1).cast("int"))
+    exp = M.tumbling_counts(batch.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1 day")
+    last = batch.agg(F.max(F.col("ts").cast("timestamp"))).first()[0]
+    cutoff = int(last.replace(tzinfo=__import__("datetime").timezone.utc).timestamp()) - 86400
+    exp = exp.where(F.col("window_end") <= cutoff)
+    assert out.exceptAll(exp).count() == 0 and exp.exceptAll(out).count() == 0
+    assert out.count() > 0
