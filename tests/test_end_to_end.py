@@ -24,8 +24,8 @@ def _write_memory_csv(spark, folder):
         F.lit("1.5K").alias("MEM"), F.col("cmd").alias("CMD"), F.col("attack"),
         F.when(F.col("attack") == 1, "exploit").otherwise("normal").alias("type"))
     assert [c for c, _ in MEMORY_COLUMNS] == rows.columns
-    rows.coalesce(2).write.option("header", True).csv(os.path.join(folder, "linux_memory_1"))
-    return os.path.join(folder, "linux_memory_1", "*.csv")
+    rows.coalesce(2).write.option("header", True).csv(os.path.join(folder, "memory_part1"))
+    return os.path.join(folder, "memory_part1", "*.csv")
 
 
 def test_readme_batch_flow(spark):

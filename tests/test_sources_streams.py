@@ -25,12 +25,12 @@ def _tmp():
 
 def test_process_csv_by_position_and_permissive(spark):
     d = _tmp()
-    path = os.path.join(d, "linux_process_1.csv")
+    path = os.path.join(d, "process_part1.csv")
     with open(path, "w") as f:
         f.write("a,b,c,d,e,f,g,h,i,j,k,l,m,n,o,p,q\n")  # header names ignored: schema by position
         f.write("10,1,0,2,0,0,0,120,0,1,S,0,S,0.5,<bash>,0,normal\n")
         f.write("oops,2,0,2,0,0,0,120,0,1,S,0,S,1.5,<sh>,1,ddos\n")
-    df = C.read_telemetry_csv(spark, os.path.join(d, "linux_process_*.csv"), PROCESS_SCHEMA)
+    df = C.read_telemetry_csv(spark, os.path.join(d, "process_*.csv"), PROCESS_SCHEMA)
     rows = df.orderBy("PID").collect()
     assert [r.ts for r in rows] == [10, None] and rows[1].type == "ddos"
 
