@@ -10,9 +10,18 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-_ZERO_TEXT = (
-    "replace(replace(replace(replace(s, 'K', '000'), 'M', '000000'), 'G', '000000000'), ' ', '')"
-)
+from .units import UNIT_ZEROS
+
+
+def _zero_text_sql(arg: str = "s") -> str:
+    """The unit rule of ``units.UNIT_ZEROS`` as nested SQL ``replace`` calls."""
+    expr = arg
+    for suffix, zeros in UNIT_ZEROS:
+        expr = f"replace({expr}, '{suffix}', '{zeros}')"
+    return f"replace({expr}, ' ', '')"
+
+
+_ZERO_TEXT = _zero_text_sql()
 
 SQL_FUNCTIONS = {
     "size_num": f"(s STRING) RETURNS DOUBLE RETURN try_cast({_ZERO_TEXT} AS DOUBLE)",
