@@ -61,17 +61,13 @@ def _sort_col(c) -> Column:
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
-    """Range partitions: explicit, else at least the session's shuffle
-    partitions and at least as many as the input has splits, so partitions
-    stay about split-sized as the data grows (planning only, no job)."""
+    """Range partitions: explicit, else the session's shuffle partitions
+    (scale them with the input, e.g. ``session.size_for``). The input's own
+    partition count is not consulted: asking an adaptive plan for it would
+    execute its shuffles."""
     if partitions:
         return int(partitions)
-    conf = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (no RDD view on Spark Connect)
-        splits = 0
-    return max(conf, splits, 1)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
 
 
 def ordinal(df: DataFrame, order_by: list, group_by: list[str] | tuple = (), name: str = "rn",
