@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..functions import size_to_double, size_to_long, strip_brackets
 from ..operators import audit, profile
 from ..sources.fixtures import MEM_SQL, PROC_DIRTY_SQL, PROC_SQL, mem, proc, proc_dirty

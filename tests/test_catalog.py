@@ -3,7 +3,6 @@ driver contract."""
 
 import hashlib
 import math
-import os
 
 import duckdb
 import pytest

@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.errors import PySparkException
 
 from hosttel.operators import audit, messages as M, metrics as MT, profile, sample as S
 from hosttel.operators.ordinal import ordinal, prefix_sums

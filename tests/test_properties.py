@@ -2,7 +2,6 @@
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from hosttel.functions import size_to_double, size_to_long, strip_brackets
 
