@@ -149,6 +149,29 @@ def message_counts(rows: DataFrame, offset: str = "offset_id", machine: str = "m
     return rows.groupBy(offset, machine).agg(F.count(F.lit(1)).alias(name))
 
 
+def message_counts_direct(framed: DataFrame, last: int, horizon: int | None = None,
+                          offset: str = "offset_id", machine: str = "machine",
+                          name: str = "n") -> DataFrame:
+    """``message_counts(message_rows(framed, horizon))`` without materialising
+    any re-sent copy (A10).
+
+    One partial aggregate gives, per tick and machine, the on-time and
+    held-back row counts; only these count rows are spread over the ticks
+    that carry them (their own tick for on-time rows, the next ``horizon``
+    ticks for held-back rows) and summed per ``(offset, machine)``.
+    """
+    per_tick = framed.groupBy(offset, machine).agg(
+        F.count_if(~F.col("is_late")).alias("_on"), F.count_if(F.col("is_late")).alias("_hb"))
+    last_c = F.lit(int(last)).cast("bigint")
+    upto = last_c if horizon is None else F.least(last_c, F.col(offset) + F.lit(int(horizon)))
+    spread = per_tick.select(machine, F.col(offset).alias("_t"), "_on", "_hb",
+                             F.explode(F.sequence(F.col(offset), F.greatest(upto, F.col(offset))))
+                             .alias(offset))
+    part = F.when(F.col(offset) == F.col("_t"), F.col("_on")).otherwise(F.col("_hb"))
+    return (spread.groupBy(offset, machine).agg(F.sum(part).cast("bigint").alias(name))
+            .where(F.col(name) > 0))
+
+
 def message_counts_wide(counts: DataFrame, machines: list, offset: str = "offset_id",
                         machine: str = "machine", name: str = "n",
                         prefix: str = "machine_") -> DataFrame:

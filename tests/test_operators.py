@@ -342,3 +342,14 @@ def test_bucketed_ordinal_ntz_across_dst_gap(spark):
         assert got == sorted(got)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+@pytest.mark.parametrize("horizon", [None, 1, 3])
+def test_direct_counts_equal_counted_copies(spark, horizon):
+    df = spark.createDataFrame([(m, s) for m in (1, 2) for s in range(40 if m == 1 else 17)],
+                               "machine int, sequence long")
+    framed = M.frame_ticks(df, main=4, late=2)
+    last = M.last_tick(df, main=4, late=2)
+    a = M.message_counts_direct(framed, last, horizon)
+    b = M.message_counts(M.message_rows(framed, horizon=horizon, last=last))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
