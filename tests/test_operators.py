@@ -353,3 +353,19 @@ def test_direct_counts_equal_counted_copies(spark, horizon):
     a = M.message_counts_direct(framed, last, horizon)
     b = M.message_counts(M.message_rows(framed, horizon=horizon, last=last))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_ranged_ordinal_spreads_hot_group(spark):
+    df = spark.range(20000).select(F.lit("m").alias("g"), (F.col("id") * 0.5).alias("v"))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        ours = ordinal(df, ["v"], ["g"], name="rn", method="ranged")
+        tagged = ours.select("rn", F.spark_partition_id().alias("p"))
+        counts = [r["c"] for r in tagged.groupBy("p").agg(F.count(F.lit(1)).alias("c"),
+                                                          F.sum("rn").alias("s")).collect()]
+        assert max(counts) <= 0.5 * 20000 and len(counts) >= 4
+        assert ours.where(F.col("rn") != F.col("v") * 2 + 1).count() == 0
+    finally:
+        spark.conf.set(key, old)
