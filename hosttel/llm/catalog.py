@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from . import query_decontam, query_near_dup, query_quality, query_tokens  # noqa: F401
+from . import query_decontam, query_near_dup, query_pii, query_quality, query_tokens  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401
