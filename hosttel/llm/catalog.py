@@ -2,5 +2,12 @@
 
 from __future__ import annotations
 
-from . import query_decontam, query_near_dup, query_pii, query_quality, query_tokens  # noqa: F401
+from . import (  # noqa: F401
+    query_decontam,
+    query_near_dup,
+    query_pii,
+    query_quality,
+    query_substring,
+    query_tokens,
+)
 from .registry import ORACLE, QUERIES  # noqa: F401

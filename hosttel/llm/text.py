@@ -85,15 +85,34 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+_powers = np.ones((2, 1), np.uint64)
+
+
+def _powers_to(n: int) -> np.ndarray:
+    """Powers of the multiplier and of its inverse modulo 2**64."""
+    global _powers
+    if _powers.shape[1] < n:
+        steps = np.array([[_MULTIPLIER], [np.uint64(pow(int(_MULTIPLIER), -1, 2 ** 64))]], np.uint64)
+        full = np.repeat(steps, n, axis=1)
+        full[:, 0] = 1
+        _powers = np.cumprod(full, axis=1, dtype=np.uint64)
+    return _powers
+
+
 def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
-    """One hash for each run of ``width`` consecutive entries."""
+    """One hash for each run of ``width`` consecutive entries: a polynomial
+    modulo 2**64, for wide windows from prefix sums."""
     n = len(h) - width + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    total = np.zeros(n, np.uint64)
-    for j in range(width):
-        total *= _MULTIPLIER
-        total += h[j:j + n]
+    if width > 6:
+        up, down = _powers_to(len(h))
+        before = np.zeros(len(h) + 1, np.uint64)
+        np.cumsum(h * down[:len(h)], dtype=np.uint64, out=before[1:])
+        return mix((before[width:] - before[:n]) * up[:n])
+    total = h[width - 1:].copy()
+    for j in range(width - 2, -1, -1):
+        total = total * _powers_to(2)[1, 1] + h[j:j + n]
     return mix(total)
 
 
