@@ -10,5 +10,6 @@ from . import (  # noqa: F401
     query_shard,
     query_substring,
     query_tokens,
+    query_url,
 )
 from .registry import ORACLE, QUERIES  # noqa: F401
