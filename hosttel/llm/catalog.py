@@ -7,6 +7,7 @@ from . import (  # noqa: F401
     query_near_dup,
     query_pii,
     query_quality,
+    query_revisit,
     query_shard,
     query_substring,
     query_tokens,
