@@ -2,8 +2,8 @@
 
 Each document gets counts and rule failures. The failures are added up by
 host; a host's failure rates are shrunk towards the corpus with a beta prior
-whose mean and strength are estimated from all hosts (method of moments);
-hosts whose shrunk rate of any rule passes ``host_limit`` are rejected, and
+whose mean and strength are estimated from all hosts (method of moments,
+hosts weighted by their documents, sampling variance taken off); hosts whose shrunk rate of any rule passes ``host_limit`` are rejected, and
 their verdict is joined back to the documents.
 """
 
@@ -30,7 +30,7 @@ RULES = {
 BASE_FAILED = f"{RULES['few_words']} OR {RULES['repeats']}"
 HOST_LIMIT = 0.5
 #: Bounds of the prior's strength, in documents.
-WEAKEST, STRONGEST = 1.0, 10_000.0
+WEAKEST, STRONGEST = 10.0, 10_000.0
 #: Host tables up to this many rows are broadcast; larger ones are joined over salted keys.
 BROADCAST_HOSTS, SALTS = 100_000, 64
 
@@ -78,18 +78,23 @@ def host_verdicts(judged: DataFrame, host: str, host_limit: float = HOST_LIMIT)
     fails = {r: F.sum(F.expr(f"CAST({rule} AS BIGINT)")).alias(f"f_{r}") for r, rule in RULES.items()}
     by_host = written(judged.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("docs"), *fails.values()),
                       "hosts")
-    prior = by_host.agg(
-        F.sum("docs").alias("all_docs"),
-        *[F.sum(f"f_{r}").alias(f"all_{r}") for r in RULES],
-        *[F.var_pop(F.col(f"f_{r}") / F.col("docs")).alias(f"var_{r}") for r in RULES])
-    whole = prior.select(F.struct("*")).scalar()  # one row
-    rated = by_host.withColumn("prior", whole)
+    total = by_host.agg(F.sum("docs").alias("all_docs"), F.count("*").alias("hosts"),
+                        F.sum(F.col("docs").cast("double") * F.col("docs")).alias("squares"),
+                        *[F.sum(f"f_{r}").alias(f"all_{r}") for r in RULES]).select(F.struct("*")).scalar()  # one row
+    with_total = by_host.withColumn("t", total)
+    mean = {r: F.col(f"t.all_{r}") / F.col("t.all_docs") for r in RULES}
+    spread = with_total.agg(*[
+        F.sum(F.col("docs") * F.pow(F.col(f"f_{r}") / F.col("docs") - mean[r], F.lit(2.0))).alias(r)
+        for r in RULES]).select(F.struct("*")).scalar()
+    rated = with_total.withColumn("s", spread)
     for r in RULES:
-        mean = F.col(f"prior.all_{r}") / F.col("prior.all_docs")
-        var = F.col(f"prior.var_{r}")
-        strength = F.when(var > 0, mean * (1 - mean) / var - 1).otherwise(STRONGEST)
+        single = mean[r] * (1 - mean[r])  # variance of one document's failure
+        extra = F.col("t.hosts") - 1
+        room = single * (F.col("t.all_docs") - F.col("t.squares") / F.col("t.all_docs") - extra)
+        alike = F.when(room > 0, (F.col(f"s.{r}") - single * extra) / room).otherwise(0.0)  # within hosts
+        strength = F.when(alike > 0, (1 - alike) / alike).otherwise(STRONGEST)
         strength = F.greatest(F.lit(WEAKEST), F.least(F.lit(STRONGEST), strength))
-        rated = rated.withColumn(f"rate_{r}", (F.col(f"f_{r}") + mean * strength) / (F.col("docs") + strength))
+        rated = rated.withColumn(f"rate_{r}", (F.col(f"f_{r}") + mean[r] * strength) / (F.col("docs") + strength))
     worst = F.greatest(*[F.col(f"rate_{r}") for r in RULES])
     return rated.select("host", "docs", *[f"rate_{r}" for r in RULES], (worst > host_limit).alias("rejected"))
 

@@ -9,6 +9,7 @@ _RULES = {"few_words": "n_words < 50", "repeats": "100 * n_repeat_words > 50 * n
           "symbols": "10 * n_symbols > n_words", "dup_lines": "100 * n_dup_lines > 30 * n_lines"}
 _SHRUNK = ", ".join(
     f"(f_{r} + m_{r} * s_{r}) / (docs + s_{r})" for r in _RULES)
+_ROOM = "m_{r} * (1 - m_{r}) * (n - q / n - (h - 1))"
 
 SQL = rf"""
 WITH doc AS (
@@ -31,8 +32,12 @@ judged AS (
     FROM doc LEFT JOIN rep USING (doc_id)),
 host AS (SELECT source, count(*) AS docs, {', '.join(f'sum(CASE WHEN {x} THEN 1 ELSE 0 END) AS f_{r}' for r, x in _RULES.items())}
          FROM judged GROUP BY source),
-prior AS (SELECT {', '.join(f'sum(f_{r}) / sum(docs) AS m_{r}, var_pop(f_{r} / docs) AS v_{r}' for r in _RULES)} FROM host),
-strength AS (SELECT *, {', '.join(f'greatest(1.0, least(10000.0, CASE WHEN v_{r} > 0 THEN m_{r} * (1 - m_{r}) / v_{r} - 1 ELSE 10000.0 END)) AS s_{r}' for r in _RULES)} FROM prior),
+total AS (SELECT sum(docs) AS n, count(*) AS h, sum(docs::DOUBLE * docs) AS q,
+          {', '.join(f'sum(f_{r}) / sum(docs) AS m_{r}' for r in _RULES)} FROM host),
+spread AS (SELECT {', '.join(f'sum(docs * pow(f_{r} / docs - m_{r}, 2)) AS d_{r}' for r in _RULES)} FROM host, total),
+alike AS (SELECT *, {', '.join(f'CASE WHEN {_ROOM.format(r=r)} > 0 THEN (d_{r} - m_{r} * (1 - m_{r}) * (h - 1)) / ({_ROOM.format(r=r)}) ELSE 0 END AS a_{r}' for r in _RULES)}
+          FROM total, spread),
+strength AS (SELECT *, {', '.join(f'greatest(10.0, least(10000.0, CASE WHEN a_{r} > 0 THEN (1 - a_{r}) / a_{r} ELSE 10000.0 END)) AS s_{r}' for r in _RULES)} FROM alike),
 verdict AS (SELECT source, greatest({_SHRUNK}) > 0.5 AS rejected FROM host, strength)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
