@@ -102,31 +102,99 @@ def message_rows(framed: DataFrame, offset: str = "offset_id", horizon: int | No
     last_val = framed.agg(F.max(offset)).first()[0] if last is None else last
     last = F.lit(-1 if last_val is None else int(last_val)).cast("bigint")
     upto = last if horizon is None else F.least(last, F.col(offset) + F.lit(int(horizon)))
-    on_time = (framed.where(~F.col("is_late"))
-               .withColumn("origin_offset", F.col(offset))
-               .withColumn("resent", F.lit(False)))
-    held = framed.where(F.col("is_late"))
-    targets = F.when(F.col(offset) < upto, F.sequence(F.col(offset) + 1, upto)) \
+    # one pass: each row is exploded over the messages that carry it
+    resent = F.when(F.col(offset) < upto, F.sequence(F.col(offset) + 1, upto)) \
         .otherwise(F.array().cast(T.ArrayType(T.LongType())))
-    resent = (held.withColumn("origin_offset", F.col(offset))
-              .withColumn(offset, F.explode(targets))
-              .withColumn("resent", F.lit(True)))
-    return on_time.unionByName(resent).drop("is_late")
+    targets = F.when(F.col("is_late"), resent).otherwise(F.array(F.col(offset)))
+    return (framed.withColumn("origin_offset", F.col(offset)).withColumn("resent", F.col("is_late"))
+            .withColumn(offset, F.explode(targets)).drop("is_late"))
+
+
+def message_intervals(framed: DataFrame, last: int, offset: str = "offset_id") -> DataFrame:
+    """Rows of all messages in interval form (J1 + U1): ``first_offset`` and
+    ``last_offset`` of the messages that carry a row, one output row per row.
+
+    An on-time row travels in its own tick only; a held-back row of tick *t*
+    in every message from *t + 1* to the last. Rows held back in the last tick
+    are never sent and have no interval. Same information as
+    ``message_rows(horizon=None)``, whose copies grow with the square of the
+    stream length.
+    """
+    late = F.col("is_late")
+    return (framed.withColumn("first_offset", F.when(late, F.col(offset) + 1).otherwise(F.col(offset)))
+            .withColumn("last_offset", F.when(late, F.lit(int(last)).cast("bigint")).otherwise(F.col(offset)))
+            .where(F.col("first_offset") <= F.col("last_offset"))
+            .withColumnRenamed(offset, "origin_offset").withColumnRenamed("is_late", "resent"))
+
+
+def message_counts_sized(df: DataFrame, last: int, machine: str = "machine", main: int = MAIN_ROWS,
+                         late: int = LATE_ROWS, offset: str = "offset_id", name: str = "n",
+                         chunk: int = 4096) -> DataFrame:
+    """Rows per machine per message with unbounded re-sending (A10), exact,
+    from the machines' row counts alone.
+
+    Framing cuts a machine's ``n`` rows into slices of ``main + late``, all
+    full but the last. So message *t* carries ``min(main, n - t·k)`` on-time
+    rows of the slice and ``late`` held-back rows of each earlier slice; after
+    a machine's last slice all its held-back rows stay. One partial aggregate,
+    then one output row per (machine, message); ticks are spread in chunks, so
+    a hot machine's series is made by many tasks.
+    """
+    k = main + late
+    n, t = F.col("_n"), F.col(offset)
+    sized = (df.groupBy(machine).agg(F.count(F.lit(1)).alias("_n"))
+             .withColumn("_own", F.floor((n - 1) / F.lit(k)).cast("bigint")))
+    if last < 0:
+        return sized.select(F.lit(0).cast("bigint").alias(offset), machine, n.alias(name)).where(F.lit(False))
+    chunks = sized.withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(int(last) // chunk))))
+    if last >= chunk:
+        chunks = chunks.repartition("_c", machine)
+    ticks = chunks.withColumn(offset, F.explode(F.sequence(
+        F.col("_c").cast("bigint") * chunk,
+        F.least(F.lit(int(last)).cast("bigint"), (F.col("_c").cast("bigint") + 1) * chunk - 1))))
+    rest = F.greatest(F.lit(0), F.least(F.lit(late), n - F.col("_own") * k - main))
+    on_time = F.when(t <= F.col("_own"), F.least(F.lit(main), n - t * k)).otherwise(0)
+    held = F.when(t <= F.col("_own"), t * late).otherwise(F.col("_own") * late + rest)
+    return ticks.select(offset, machine, (on_time + held).cast("bigint").alias(name)).where(F.col(name) > 0)
+
+
+def message_start(framed: DataFrame, offset: str = "offset_id", machine: str = "machine",
+                  order: str = "sequence", ts: str = "ts") -> DataFrame:
+    """Time of each message with unbounded re-sending (A12, F11): ``ts`` of the
+    first row, by ``order``, of the lowest machine in it.
+
+    Of the held-back rows only the first one of each machine can be first in
+    a message; it comes from the machine's first slice, so the lowest
+    machine's is the same candidate for every message after tick 0: one
+    scalar beside one partial aggregate of the on-time rows.
+    """
+    first = F.min(F.struct(machine, order, ts))
+    on_time = framed.where(~F.col("is_late")).groupBy(offset).agg(first.alias("_on"))
+    held = framed.where(F.col("is_late") & (F.col(offset) == 0)).agg(first.alias("_held")).scalar()
+    return (on_time.withColumn("_first", F.when(F.col(offset) > 0, F.least("_on", held)).otherwise(F.col("_on")))
+            .select(offset, F.col(f"_first.{ts}").alias("ts")).withColumn("clock", clock_text("ts")))
+
+
+def deliveries(framed: DataFrame, times: int = 2, offset: str = "offset_id") -> DataFrame:
+    """Input fixture for the consumers: rows as a broker delivers them, on-time
+    rows once, held-back rows in each of the ``times`` messages after their
+    own tick (so they arrive late and repeatedly). A property of this fixture;
+    no consumer depends on it."""
+    targets = F.when(F.col("is_late"), F.sequence(F.col(offset) + 1, F.col(offset) + F.lit(int(times)))) \
+        .otherwise(F.array(F.col(offset)))
+    return (framed.withColumn("origin_offset", F.col(offset)).withColumn("resent", F.col("is_late"))
+            .withColumn(offset, F.explode(targets)).drop("is_late"))
 
 
 def pack_messages(rows: DataFrame, row_cols: list[str], offset: str = "offset_id",
-                  order: list[str] = ("machine", "sequence")) -> DataFrame:
-    """Rows → one JSON-array value per message.
-
-    One record per message, so the message must be bounded: build ``rows``
-    with ``message_rows(..., horizon=H)``, which caps a message at
-    ``(main + late·H) × machines`` rows. Without a horizon the last message
-    would hold every held-back row ever drawn. Rows inside are ordered by
-    ``order``.
+                  by: list[str] = ("machine",), order: list[str] = ("sequence",)) -> DataFrame:
+    """Rows → JSON-array values (E1, F7): one record per (message, machine),
+    so a record is bounded by one machine's rows in one tick however many
+    machines there are. Rows inside are ordered by ``order``.
     """
     key = [F.col(c) for c in order]
     rec = F.struct(*key, F.struct(*[F.col(c) for c in row_cols]).alias("r"))
-    return (rows.groupBy(offset)
+    return (rows.groupBy(offset, *by)
             .agg(F.array_sort(F.collect_list(rec)).alias("_rs"))
             .select(F.col(offset),
                     F.to_json(F.transform("_rs", lambda x: x["r"])).alias("value")))
@@ -290,10 +358,8 @@ def distinct_machines(df: DataFrame, machine: str = "machine") -> DataFrame:
     return df.select(machine).distinct()
 
 
-def machine_values(df: DataFrame, machine: str = "machine", limit: int = 10_000) -> list:
-    """Machine ids as a driver list, for pivot columns. Bounded: fails if the
-    table has more than ``limit`` machines instead of pulling an unbounded set."""
-    vals = [r[0] for r in distinct_machines(df, machine).limit(limit + 1).collect()]
-    if len(vals) > limit:
-        raise ValueError(f"more than {limit} machines; use the long form")
-    return sorted(vals)
+def machine_values(df: DataFrame, machine: str = "machine") -> list:
+    """Machine ids as a driver list, one value per column of a wide table.
+    Callers that know their machines pass the list themselves; the long form
+    needs none."""
+    return sorted(r[0] for r in distinct_machines(df, machine).collect())

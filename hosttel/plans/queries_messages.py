@@ -49,18 +49,21 @@ def counts_sql(horizon: int | None = None) -> str:
 counts AS (SELECT offset_id, machine, count(*) AS n FROM msg GROUP BY offset_id, machine)"""
 
 
-# A held-back row is re-sent in at most HORIZON later messages.
-# Unbounded re-sending makes the copies grow with the square of the stream
-# length and the last message hold every late row ever drawn; with the
-# horizon, copies are at most LATE_ROWS/(MAIN_ROWS+LATE_ROWS)·HORIZON per row
-# (linear) and a packed record holds at most (MAIN_ROWS + LATE_ROWS·HORIZON)
-# rows per machine. ``message_rows(horizon=None)`` keeps the unbounded form.
-HORIZON = 16
-
-MSG_H_SQL = msg_sql(HORIZON)
-COUNTS_H_SQL = counts_sql(HORIZON)
-MSG_SQL = MSG_H_SQL
-COUNTS_SQL = COUNTS_H_SQL
+MSG_SQL = msg_sql()
+COUNTS_SQL = counts_sql()
+
+# What the consumers' input fixture delivers: on-time rows once, held-back
+# rows in each of the two messages after their own tick.
+DELIVERED = 2
+DELIVERED_SQL = FRAMED_SQL + f""",
+msg AS (
+  SELECT * EXCLUDE (is_late), offset_id AS origin_offset, false AS resent FROM ticks WHERE NOT is_late
+  UNION ALL
+  SELECT t.* EXCLUDE (is_late, offset_id), CAST(t.offset_id + o.o AS BIGINT) AS offset_id,
+         t.offset_id AS origin_offset, true AS resent
+  FROM ticks t, unnest(range(1, {DELIVERED} + 1)) AS o(o) WHERE t.is_late)"""
+DELIVERED_COUNTS_SQL = DELIVERED_SQL + """,
+counts AS (SELECT offset_id, machine, count(*) AS n FROM msg GROUP BY offset_id, machine)"""
 
 PROC = with_views(PROC_SQL)
 
@@ -73,13 +76,12 @@ def _last(spark, sf):
     return M.last_tick(proc(spark, sf), "machine", M.MAIN_ROWS, M.LATE_ROWS)
 
 
-def _msg_rows(spark, sf):
-    return M.message_rows(_framed(spark, sf), horizon=HORIZON, last=_last(spark, sf))
+def _delivered(spark, sf):
+    return M.deliveries(_framed(spark, sf), DELIVERED)
 
 
 def _counts(spark, sf):
-    # counts come straight from the framing; no re-sent copy is materialised
-    return M.message_counts_direct(_framed(spark, sf), _last(spark, sf), HORIZON)
+    return M.message_counts_sized(proc(spark, sf), _last(spark, sf))
 
 
 @register("ticks", with_views(PROC_SQL, FRAMED_SQL) + """
@@ -104,11 +106,13 @@ def q_ticks_strict(spark, sf):
             .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("is_late").alias("n_late")))
 
 
-@register("late_backlog", with_views(PROC_SQL, MSG_SQL) + "SELECT * FROM msg")
+@register("late_backlog", with_views(PROC_SQL, MSG_SQL) + """
+SELECT * EXCLUDE (offset_id), min(offset_id) AS first_offset, max(offset_id) AS last_offset
+FROM msg GROUP BY ALL""")
 def q_late_backlog(spark, sf):
-    """Rows of every message: on time plus the held-back rows of the previous
-    HORIZON ticks (J1, U1, D16)."""
-    return _msg_rows(spark, sf)
+    """Every row with the first and the last message that carries it, held-back
+    rows in all messages after their tick (J1, U1)."""
+    return M.message_intervals(_framed(spark, sf), _last(spark, sf))
 
 
 @register("message_counts", with_views(PROC_SQL, COUNTS_SQL) + "SELECT * FROM counts")
@@ -117,25 +121,23 @@ def q_message_counts(spark, sf):
     return _counts(spark, sf)
 
 
-def _wide_sql(horizon: int | None = HORIZON) -> str:
+def _wide_sql(msg: str) -> str:
     cols = ", ".join(f"count(*) FILTER (WHERE machine = {m}) AS machine_{m}" for m in range(1, 6))
-    return with_views(PROC_SQL, msg_sql(horizon)) + f"SELECT offset_id, {cols} FROM msg GROUP BY offset_id"
+    return with_views(PROC_SQL, msg) + f"SELECT offset_id, {cols} FROM msg GROUP BY offset_id"
 
 
-@register("message_counts_wide", _wide_sql())
+@register("message_counts_wide", _wide_sql(MSG_SQL))
 def q_message_counts_wide(spark, sf):
     """One count column per machine, 0 when absent."""
-    p = proc(spark, sf)
-    machines = M.machine_values(p)
-    return M.message_counts_wide(_counts(spark, sf), machines)
+    return M.message_counts_wide(_counts(spark, sf), M.machine_values(proc(spark, sf)))
 
 
 def _packed(spark, sf):
-    return M.pack_messages(_msg_rows(spark, sf), ROW_COLS)
+    return M.pack_messages(_delivered(spark, sf), ROW_COLS)
 
 
-@register("json_roundtrip", with_views(PROC_SQL, MSG_H_SQL) + f"""
-SELECT offset_id, CAST(row_number() OVER (PARTITION BY offset_id ORDER BY machine, sequence) - 1 AS INTEGER) AS pos,
+@register("json_roundtrip", with_views(PROC_SQL, DELIVERED_SQL) + f"""
+SELECT offset_id, CAST(row_number() OVER (PARTITION BY offset_id, machine ORDER BY sequence) - 1 AS INTEGER) AS pos,
        {", ".join(ROW_COLS)}
 FROM msg""")
 def q_json_roundtrip(spark, sf):
@@ -143,22 +145,21 @@ def q_json_roundtrip(spark, sf):
     return M.unpack_messages(_packed(spark, sf), ROW_SCHEMA)
 
 
-@register("packed_counts_wide", _wide_sql(HORIZON))
+@register("packed_counts_wide", _wide_sql(DELIVERED_SQL))
 def q_packed_counts_wide(spark, sf):
-    """Per-message machine counts computed inside each packed message, no shuffle."""
+    """Machine counts computed inside each packed record, then added up by message."""
     machines = M.machine_values(proc(spark, sf))
-    return M.packed_counts_wide(_packed(spark, sf), machines, ROW_SCHEMA)
+    per_record = M.packed_counts_wide(_packed(spark, sf), machines, ROW_SCHEMA)
+    return per_record.groupBy("offset_id").agg(*[F.sum(f"machine_{m}").alias(f"machine_{m}") for m in machines])
 
 
-@register("message_time", with_views(PROC_SQL, MSG_H_SQL) + """,
-pos AS (SELECT *, row_number() OVER (PARTITION BY offset_id ORDER BY machine, sequence) - 1 AS pos FROM msg)
-SELECT offset_id, arg_min(ts, (machine, pos)) AS ts,
-       strftime(make_timestamp(arg_min(ts, (machine, pos)) * 1000000), '%H:%M:%S') AS clock
-FROM pos GROUP BY offset_id""")
+@register("message_time", with_views(PROC_SQL, MSG_SQL) + """
+SELECT offset_id, arg_min(ts, (machine, sequence)) AS ts,
+       strftime(make_timestamp(arg_min(ts, (machine, sequence)) * 1000000), '%H:%M:%S') AS clock
+FROM msg GROUP BY offset_id""")
 def q_message_time(spark, sf):
     """Time of each message as clock text."""
-    rows = M.unpack_messages(_packed(spark, sf), ROW_SCHEMA)
-    return M.message_time(rows)
+    return M.message_start(_framed(spark, sf))
 
 
 @register("clock_text", PROC + """
@@ -190,7 +191,9 @@ SELECT machine, sequence, min(offset_id) AS first_offset, count(*) AS copies
 FROM msg GROUP BY machine, sequence""")
 def q_dedup_backlog(spark, sf):
     """One row per (machine, sequence) with first message and copies (ST5 twin)."""
-    return M.dedup_rows(_msg_rows(spark, sf))
+    rows = M.message_intervals(_framed(spark, sf), _last(spark, sf))
+    return rows.select("machine", "sequence", "first_offset",
+                       (F.col("last_offset") - F.col("first_offset") + 1).alias("copies"))
 
 
 @register("tumbling_counts", PROC + """
@@ -203,9 +206,9 @@ def q_tumbling_counts(spark, sf):
     return M.tumbling_counts(proc(spark, sf), "ts", "1 day")
 
 
-TIMES_SQL = """pos AS (SELECT *, row_number() OVER (PARTITION BY offset_id ORDER BY machine, sequence) - 1 AS pos FROM msg),
-times AS (SELECT offset_id, strftime(make_timestamp(arg_min(ts, (machine, pos)) * 1000000), '%H:%M:%S') AS clock
-          FROM pos GROUP BY offset_id)"""
+TIMES_SQL = """times AS (
+  SELECT offset_id, strftime(make_timestamp(arg_min(ts, (machine, sequence)) * 1000000), '%H:%M:%S') AS clock
+  FROM msg GROUP BY offset_id)"""
 SERIES_SQL = f"""counts AS (SELECT offset_id, machine, count(*) AS n FROM msg GROUP BY offset_id, machine),
 series AS (
   SELECT c.offset_id, t.clock, c.machine, c.n FROM counts c LEFT JOIN times t USING (offset_id)
@@ -213,17 +216,16 @@ series AS (
 
 
 def _series(spark, sf):
-    rows = M.unpack_messages(_packed(spark, sf), ROW_SCHEMA)
-    return M.count_series(M.message_counts(rows), M.message_time(rows), TRAIL, last=_last(spark, sf))
+    return M.count_series(_counts(spark, sf), M.message_start(_framed(spark, sf)), TRAIL, last=_last(spark, sf))
 
 
-@register("count_series", with_views(PROC_SQL, MSG_H_SQL, TIMES_SQL, SERIES_SQL) + "SELECT * FROM series")
+@register("count_series", with_views(PROC_SQL, MSG_SQL, TIMES_SQL, SERIES_SQL) + "SELECT * FROM series")
 def q_count_series(spark, sf):
     """Chart data of the consumer: last 16 per-machine counts against message clock time (V6)."""
     return _series(spark, sf)
 
 
-@register("series_extremes", with_views(PROC_SQL, MSG_H_SQL, TIMES_SQL, SERIES_SQL) + """
+@register("series_extremes", with_views(PROC_SQL, MSG_SQL, TIMES_SQL, SERIES_SQL) + """
 SELECT machine, max(n) AS max_n, min(n) AS min_n,
        format('Max: Time={}, Value={}', arg_max(clock, (n, -offset_id)), max(n)) AS max_label,
        format('Min: Time={}, Value={}', arg_min(clock, (n, offset_id)), min(n)) AS min_label

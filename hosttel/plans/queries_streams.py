@@ -11,9 +11,12 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
+
 from ..functions import strip_brackets
+from ..operators import messages as M
 from ..sources import kafka as K
-from ..sources.fixtures import PROC_SQL
+from ..sources.fixtures import PROC_SQL, proc
 from ..session import scratch_path
 from ..streaming import decode as D
 from ..streaming import late as L
@@ -22,28 +25,45 @@ from ..streaming import sinks
 from ..streaming import trailing as TR
 from . import pipelines as PL
 from .registry import register, with_views
-from .queries_messages import (COUNTS_H_SQL, HORIZON, MSG_H_SQL, ROW_COLS, ROW_SCHEMA, TRAIL,
+from .queries_messages import (DELIVERED_COUNTS_SQL, DELIVERED_SQL, ROW_COLS, ROW_SCHEMA, TRAIL,
                                _packed, _wide_sql)
 from .queries_models import PROC_SPEC, _model_input
 
 TOPIC = "telemetry_process"
+PROC = with_views(PROC_SQL)
 
 
 def _run_dir(spark, name: str) -> str:
     return scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex[:12]}")
 
 
-def _envelope_stream(spark, sf, base: str, files: int = 8):
+#: Files a micro-batch reads; None: all there are. No result depends on it.
+FILES_PER_TRIGGER: int | None = None
+
+
+def _envelope_stream(spark, sf, base: str):
     path = f"{base}/in"
-    K.write_envelope_files(K.to_envelope(_packed(spark, sf), TOPIC), path, files)
-    return K.read_envelope_stream(spark, path)
+    K.write_envelope_files(K.to_envelope(_packed(spark, sf), TOPIC), path)
+    return K.read_envelope_stream(spark, path, FILES_PER_TRIGGER)
+
+
+def _replay_delay(spark, sf) -> str:
+    """Watermark delay under which no row of a replay is late: files come in
+    no order, so the time span of the whole table."""
+    low, high = proc(spark, sf).agg(F.min("ts"), F.max("ts")).first()
+    return f"{(high or 0) - (low or 0) + 1} seconds"
+
+
+def _unique_rows(spark, sf, base: str):
+    rows = L.with_event_time(D.decode_rows(_envelope_stream(spark, sf, base), ROW_SCHEMA), "ts")
+    return L.drop_repeats(rows, ["machine", "sequence"], delay=_replay_delay(spark, sf))
 
 
 def _drain(df, base: str, name: str):
     return sinks.run_to_parquet(df, f"{base}/out", f"{base}/chk", name)
 
 
-@register("stream_decode_counts", with_views(PROC_SQL, COUNTS_H_SQL) + "SELECT * FROM counts")
+@register("stream_decode_counts", with_views(PROC_SQL, DELIVERED_COUNTS_SQL) + "SELECT * FROM counts")
 def q_stream_decode_counts(spark, sf):
     """Decode each message and count rows per machine inside it (ST2, ST3)."""
     base = _run_dir(spark, "decode_counts")
@@ -51,7 +71,7 @@ def q_stream_decode_counts(spark, sf):
     return _drain(D.message_counts_long(env, ROW_SCHEMA), base, None)
 
 
-@register("stream_counts_batched", with_views(PROC_SQL, COUNTS_H_SQL) + "SELECT * FROM counts")
+@register("stream_counts_batched", with_views(PROC_SQL, DELIVERED_COUNTS_SQL) + "SELECT * FROM counts")
 def q_stream_counts_batched(spark, sf):
     """Per-message counts by a batch aggregation inside ``foreachBatch``,
     idempotent per batch id (ST3, wide-fleet form)."""
@@ -62,53 +82,47 @@ def q_stream_counts_batched(spark, sf):
     return spark.read.parquet(f"{base}/out").select("offset_id", "machine", "n")
 
 
-@register("stream_counts_wide", _wide_sql(HORIZON))
+@register("stream_counts_wide", _wide_sql(DELIVERED_SQL))
 def q_stream_counts_wide(spark, sf):
     """Per-message counts, one column per machine, 0 when absent (ST3, A11)."""
     base = _run_dir(spark, "counts_wide")
+    machines = M.machine_values(proc(spark, sf))
     env = _envelope_stream(spark, sf, base)
-    return _drain(D.message_counts_wide(env, [1, 2, 3, 4, 5], ROW_SCHEMA), base, None)
+    per_record = _drain(D.message_counts_wide(env, machines, ROW_SCHEMA), base, None)
+    return per_record.groupBy("offset_id").agg(*[F.sum(f"machine_{m}").alias(f"machine_{m}") for m in machines])
 
 
-@register("stream_dedup", with_views(PROC_SQL, MSG_H_SQL) + f"""
-SELECT DISTINCT {", ".join(ROW_COLS)} FROM msg""")
+@register("stream_dedup", PROC + f"SELECT {', '.join(ROW_COLS)} FROM proc")
 def q_stream_dedup(spark, sf):
-    """Repeated rows removed within the watermark (ST5)."""
+    """Repeated rows removed within the watermark: every row once (ST5)."""
     base = _run_dir(spark, "dedup")
-    env = _envelope_stream(spark, sf, base)
-    rows = L.with_event_time(D.decode_rows(env, ROW_SCHEMA), "ts")
-    return _drain(L.drop_repeats(rows, ["machine", "sequence"]).select(*ROW_COLS), base, None)
+    return _drain(_unique_rows(spark, sf, base).select(*ROW_COLS), base, None)
 
 
-@register("stream_window", with_views(PROC_SQL, MSG_H_SQL) + """,
-w AS (SELECT CAST(floor(ts / 86400) * 86400 AS BIGINT) AS window_start, machine FROM msg)
-SELECT window_start, window_start + 86400 AS window_end, machine, count(*) AS n FROM w
-WHERE window_start + 86400 <= (SELECT max(ts) FROM msg) - 86400
-GROUP BY window_start, machine""")
+@register("stream_window", PROC + """
+SELECT CAST(floor(ts / 86400) * 86400 AS BIGINT) AS window_start,
+       CAST(floor(ts / 86400) * 86400 AS BIGINT) + 86400 AS window_end, machine, count(*) AS n
+FROM proc GROUP BY ALL""")
 def q_stream_window(spark, sf):
-    """Rows per machine per day with a one-day watermark (ST4), append mode.
-
-    All files arrive in one micro-batch, so no row is late; the following
-    no-data batch emits every window that ends by ``max(event time) − 1 day``
-    (the watermark). Windows after it stay in state, as in any append-mode
-    stream."""
+    """De-duplicated rows per machine per day, all windows (ST4)."""
     base = _run_dir(spark, "window")
-    env = _envelope_stream(spark, sf, base)
-    rows = L.with_event_time(D.decode_rows(env, ROW_SCHEMA), "ts")
-    return _drain(L.windowed_counts(rows, "event_time", "1 day", "1 day"), base, None)
+    q = L.write_window_counts(_unique_rows(spark, sf, base), f"{base}/out", f"{base}/chk", available_now=True)
+    q.awaitTermination()
+    return L.read_window_counts(spark, f"{base}/out")
 
 
-@register("stream_trailing", with_views(PROC_SQL, COUNTS_H_SQL) + f"""
+@register("stream_trailing", with_views(PROC_SQL, DELIVERED_COUNTS_SQL) + f"""
 SELECT offset_id, machine,
        CAST(sum(n) OVER w AS BIGINT) AS window_sum, count(*) OVER w AS window_len
 FROM counts
 WINDOW w AS (PARTITION BY machine ORDER BY offset_id RANGE BETWEEN {TRAIL - 1} PRECEDING AND CURRENT ROW)""")
 def q_stream_trailing(spark, sf):
-    """Trailing 16 counts per machine kept as streaming state (ST6)."""
+    """Sum of the last 16 counts per machine, batch by batch (ST6)."""
     base = _run_dir(spark, "trailing")
-    env = _envelope_stream(spark, sf, base)
-    counts = D.message_counts_long(env, ROW_SCHEMA)
-    return _drain(TR.trailing_counts_stream(counts, TRAIL), base, None)
+    counts = D.message_counts_long(_envelope_stream(spark, sf, base), ROW_SCHEMA)
+    q = TR.write_trailing_counts(counts, TRAIL, f"{base}/out", f"{base}/chk", available_now=True)
+    q.awaitTermination()
+    return TR.read_trailing_counts(spark, f"{base}/out")
 
 
 @register("stream_score")

@@ -1,90 +1,47 @@
-"""Trailing per-machine counts as streaming state (ST6).
+"""Trailing per-machine counts on a stream (ST6).
 
 The reference's consumer keeps, per machine, the last N per-message counts
-and redraws them. Here each machine's state is a bounded list of its last
-``N`` ``(offset_id, n)`` pairs, kept by a ``StatefulProcessor`` in the
-RocksDB state store. For every new count the processor emits the sum and
-number of counts whose offsets fall in ``[offset - N + 1, offset]`` — the
-same numbers as the batch ``trailing_window``.
-
-State per machine is at most ``N`` rows, and input rows are per-message
-counts (one per machine per message), so a hot machine costs nothing extra.
-
-Counts are expected in offset order across micro-batches, as one Kafka
-partition delivers them (within a batch any order is fine). A count older
-than the newest one in state still joins the state, but windows already
-emitted are not revised.
+and redraws them. Here every micro-batch spreads its counts over the N
+offsets whose window ``[offset - N + 1, offset]`` contains them and aggregates
+on ``(machine, offset)``: native, no state, a hot machine is spread over its
+offsets. A batch's partial sums are written under its own id, so a replayed
+batch replaces them; reading adds the partial sums up. The result therefore
+does not depend on how the input was cut into batches, and late counts revise
+the windows they belong to.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import LongType, StructField, StructType
-
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-STATE_SCHEMA = StructType([StructField("offset_id", LongType()), StructField("n", LongType())])
-
-
-def output_schema(machine_type) -> StructType:
-    return StructType([
-        StructField("offset_id", LongType()), StructField("machine", machine_type),
-        StructField("window_sum", LongType()), StructField("window_len", LongType()),
-    ])
-
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-class TrailingCounts(StatefulProcessor):
-    """Keeps the last ``n_points`` offsets per machine."""
 
-    def __init__(self, n_points: int):
-        self.n_points = int(n_points)
+def partial_windows(counts: DataFrame, n_points: int, machine: str = "machine") -> DataFrame:
+    """Sums and lengths that these counts add to each window (A10 → W1);
+    ``own`` marks offsets at which the machine has a count itself."""
+    spread = counts.select(machine, "n", F.posexplode(
+        F.sequence(F.col("offset_id"), F.col("offset_id") + F.lit(n_points - 1))).alias("_d", "offset_id"))
+    return spread.groupBy("offset_id", machine).agg(
+        F.sum("n").cast("bigint").alias("window_sum"), F.count(F.lit(1)).alias("window_len"),
+        F.max((F.col("_d") == 0).cast("int")).alias("own"))
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.trail = handle.getListState("trail", STATE_SCHEMA)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows), ignore_index=True)
-        if new.empty:
-            return
-        machine = key[0]
-        if self.trail.exists():
-            old = pd.DataFrame(list(self.trail.get()), columns=["offset_id", "n"])
-        else:
-            old = pd.DataFrame({"offset_id": pd.Series([], dtype="int64"),
-                                "n": pd.Series([], dtype="int64")})
-        new = (new[["offset_id", "n"]].astype("int64")
-               .groupby("offset_id", as_index=False)["n"].sum()
-               .sort_values("offset_id"))
-        series = pd.concat([old, new], ignore_index=True).sort_values("offset_id")
-        offs = series["offset_id"].to_numpy()
-        vals = series["n"].to_numpy()
-        out_rows = []
-        for o in new["offset_id"].to_numpy():
-            mask = (offs > o - self.n_points) & (offs <= o)
-            out_rows.append((int(o), machine, int(vals[mask].sum()), int(mask.sum())))
-        last = int(offs.max())
-        keep = series[series["offset_id"] > last - self.n_points]
-        self.trail.put([(int(a), int(b)) for a, b in zip(keep["offset_id"], keep["n"])])
-        yield pd.DataFrame(out_rows, columns=["offset_id", "machine", "window_sum", "window_len"])
+def write_trailing_counts(counts: DataFrame, n_points: int, path: str, checkpoint: str,
+                          machine: str = "machine", available_now: bool = False, trigger: str = "5 seconds"):
+    """Start the stream of partial windows; returns the ``StreamingQuery``."""
 
-    def close(self) -> None:
-        pass
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        partial_windows(batch, n_points, machine).write.mode("overwrite").parquet(
+            f"{path.rstrip('/')}/batch={batch_id}")
 
+    w = counts.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
+    return w.start()
 
-def trailing_counts_stream(counts: DataFrame, n_points: int, machine: str = "machine") -> DataFrame:
-    """Apply ``TrailingCounts`` per machine to a stream of ``(offset_id, machine, n)``.
 
-    Uses the RocksDB state store (required by ``transformWithState``); the
-    provider is set on the session only if another one is configured.
-    """
-    spark = counts.sparkSession
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if spark.conf.get(key, None) != ROCKSDB_PROVIDER:
-        spark.conf.set(key, ROCKSDB_PROVIDER)
-    schema = output_schema(counts.schema[machine].dataType)
-    return (counts.select("offset_id", machine, "n").groupBy(machine)
-            .transformWithStateInPandas(TrailingCounts(n_points), schema, "Append", "None"))
+def read_trailing_counts(spark: SparkSession, path: str, machine: str = "machine") -> DataFrame:
+    """``(offset_id, machine, window_sum, window_len)`` over all batches written so far."""
+    return (spark.read.parquet(path).groupBy("offset_id", machine)
+            .agg(F.sum("window_sum").alias("window_sum"), F.sum("window_len").alias("window_len"),
+                 F.max("own").alias("own"))
+            .where("own = 1").drop("own"))

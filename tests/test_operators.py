@@ -105,6 +105,25 @@ def test_message_rows_brute_force(spark):
     assert got == sorted(exp)
 
 
+def test_counts_intervals_and_start_equal_all_copies(spark):
+    """The closed forms against every re-sent copy, machines of unequal length."""
+    sizes = {1: 47, 2: 6, 3: 4, 4: 0, 5: 13}
+    df = spark.createDataFrame([(m, m * 100 + s, 1000 * s + m) for m, n in sizes.items() for s in range(n)],
+                               "machine int, sequence long, ts long")
+    framed, last = M.frame_ticks(df, main=4, late=2), M.last_tick(df, main=4, late=2)
+    rows = M.message_rows(framed, last=last)
+    for chunk in (2, 4096):
+        counts = M.message_counts_sized(df, last, main=4, late=2, chunk=chunk)
+        want = M.message_counts(rows)
+        assert counts.exceptAll(want).count() == 0 and want.exceptAll(counts).count() == 0
+    spans = M.message_intervals(framed, last).select("machine", "sequence", "first_offset", "last_offset")
+    want = rows.groupBy("machine", "sequence").agg(F.min("offset_id"), F.max("offset_id"))
+    assert spans.exceptAll(want).count() == 0 and want.exceptAll(spans).count() == 0
+    start = M.message_start(framed).select("offset_id", "ts")
+    want = rows.groupBy("offset_id").agg(F.min_by("ts", F.struct("machine", "sequence")))
+    assert start.exceptAll(want).count() == 0 and want.exceptAll(start).count() == 0
+
+
 def test_message_rows_horizon(spark):
     df = spark.createDataFrame([(1, s) for s in range(30)], "machine int, sequence long")
     rows = M.message_rows(M.frame_ticks(df, main=2, late=1), horizon=2)

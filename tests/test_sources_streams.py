@@ -47,14 +47,14 @@ def test_replay_csv_by_name(spark):
 
 def test_envelope_has_kafka_shape(spark):
     p = proc(spark, SF_SMALL)
-    packed = M.pack_messages(M.message_rows(M.frame_ticks(p)), ROW_COLS)
+    packed = M.pack_messages(M.deliveries(M.frame_ticks(p)), ROW_COLS)
     env = K.to_envelope(packed, "t")
     assert [(f.name, f.dataType) for f in env.schema] == [(f.name, f.dataType) for f in KAFKA_ENVELOPE]
 
 
 def _write_stream_input(spark, files):
     p = proc(spark, SF_SMALL)
-    packed = M.pack_messages(M.message_rows(M.frame_ticks(p)), ROW_COLS)
+    packed = M.pack_messages(M.deliveries(M.frame_ticks(p)), ROW_COLS)
     path = os.path.join(_tmp(), "in")
     K.write_envelope_files(K.to_envelope(packed, "t"), path, files)
     return path
@@ -95,14 +95,50 @@ def test_stream_counts_equal_batch_counts(spark):
     stream = sinks.run_to_parquet(D.message_counts_long(K.read_envelope_stream(spark, path), ROW_SCHEMA),
                                   f"{base}/out", f"{base}/chk")
     p = proc(spark, SF_SMALL)
-    batch = M.message_counts(M.message_rows(M.frame_ticks(p)))
+    batch = M.message_counts(M.deliveries(M.frame_ticks(p)))
     assert stream.select("offset_id", "machine", "n").exceptAll(batch).count() == 0
     assert batch.count() == stream.count()
 
 
-def test_kafka_source_reports_missing_connector(spark):
-    with pytest.raises(Exception):
-        K.read_kafka(spark, "127.0.0.1:9092", "t").schema  # noqa: B018  (connector jar is absent here)
+def test_kafka_reader_options(spark, monkeypatch):
+    """The option map handed to the connector (absent here)."""
+    seen = {}
+
+    class Reader:
+        def format(self, name):
+            seen["format"] = name
+            return self
+
+        def option(self, key, value):
+            seen[key] = value
+            return self
+
+        def options(self, **kw):
+            seen.update(kw)
+            return self
+
+        def load(self):
+            return "frame"
+
+    class Session:
+        readStream = Reader()
+
+    K.read_kafka(Session(), "broker:9092", "topic_a", starting_offsets="earliest")
+    assert seen["format"] == "kafka" and seen["kafka.bootstrap.servers"] == "broker:9092"
+    assert seen["subscribe"] == "topic_a" and seen["startingOffsets"] == "earliest"
+
+
+@pytest.mark.parametrize("name", ["stream_decode_counts", "stream_counts_batched", "stream_counts_wide",
+                                  "stream_dedup", "stream_window", "stream_trailing"])
+def test_streams_do_not_depend_on_batches(spark, name, monkeypatch):
+    """One file per micro-batch gives the result of a single batch."""
+    from hosttel.plans import queries_streams as Q
+    from hosttel.plans.registry import QUERIES
+    whole = QUERIES[name](spark, SF_SMALL)
+    monkeypatch.setattr(Q, "FILES_PER_TRIGGER", 1)
+    pieces = QUERIES[name](spark, SF_SMALL).select(*whole.columns)
+    assert whole.exceptAll(pieces).count() == 0 and pieces.exceptAll(whole).count() == 0
+    assert whole.count() > 0
 
 
 def test_model_save_load_same_predictions(spark):
@@ -123,7 +159,7 @@ def test_stream_to_table_is_sql_readable(spark):
     q.awaitTermination()
     n = spark.sql("SELECT count(*) AS c, sum(n) AS s FROM stream_counts_t").first()
     p = proc(spark, SF_SMALL)
-    exp = M.message_counts(M.message_rows(M.frame_ticks(p))).agg(F.count("*"), F.sum("n")).first()
+    exp = M.message_counts(M.deliveries(M.frame_ticks(p))).agg(F.count("*"), F.sum("n")).first()
     assert (n.c, n.s) == (exp[0], exp[1])
     spark.sql("DROP TABLE stream_counts_t")
 
@@ -146,25 +182,21 @@ def test_memory_sink_query_by_name_and_settings(spark):
     assert not spark.streams.active
 
 
-def test_trailing_state_across_many_batches_equals_batch(spark):
+def test_trailing_counts_across_many_batches_equal_batch(spark):
     from hosttel.streaming import trailing as TR
     p = proc(spark, SF_SMALL)
-    packed = M.pack_messages(M.message_rows(M.frame_ticks(p), horizon=4), ROW_COLS)
-    env = K.to_envelope(packed, "t")
-    stream_in = os.path.join(_tmp(), "ordered")
-    # one file per message, appended in offset order (a file stream orders
-    # files by modification time; a Kafka partition delivers in offset order)
-    for o in sorted(r[0] for r in env.select("offset").collect()):
+    env = K.to_envelope(M.pack_messages(M.deliveries(M.frame_ticks(p)), ROW_COLS), "t")
+    stream_in = os.path.join(_tmp(), "reversed")
+    # newest messages first: late counts have to revise windows
+    for o in sorted((r[0] for r in env.select("offset").distinct().collect()), reverse=True):
         env.where(F.col("offset") == o).coalesce(1).write.mode("append").parquet(stream_in)
     counts = D.message_counts_long(K.read_envelope_stream(spark, stream_in, 1), ROW_SCHEMA)
     base = _tmp()
-    q = sinks.to_parquet(TR.trailing_counts_stream(counts, 5), f"{base}/out", f"{base}/chk",
-                         available_now=True)
+    q = TR.write_trailing_counts(counts, 5, f"{base}/out", f"{base}/chk", available_now=True)
     q.awaitTermination()
     assert len(q.recentProgress) >= 3          # really ran as several micro-batches
-    got = spark.read.parquet(f"{base}/out")
-    batch_counts = M.message_counts(M.message_rows(M.frame_ticks(p), horizon=4))
-    exp = M.trailing_window(batch_counts, 5)
+    got = TR.read_trailing_counts(spark, f"{base}/out")
+    exp = M.trailing_window(M.message_counts(M.deliveries(M.frame_ticks(p))), 5)
     cols = ["offset_id", "machine", "window_sum", "window_len"]
     assert got.select(cols).exceptAll(exp.select(cols)).count() == 0
     assert exp.count() == got.count()
