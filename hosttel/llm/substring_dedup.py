@@ -32,8 +32,8 @@ from .store import written
 from .text import ascii_words, covered, window_hashes, word_hashes
 
 WINDOW = 35
-#: Text that a group holds, in bytes, and groups per shuffle partition at least.
-GROUP_BYTES, GROUPS_PER_PARTITION = 8 << 20, 4
+#: Text that a group of documents or a bucket of hashes stands for, in bytes; fewest buckets.
+GROUP_BYTES, LEAST_BUCKETS = 8 << 20, 64
 
 _SENT = "bucket int, g int, size int, hashes binary, marks binary"
 _ANSWER = "g int, phase int, bucket int, size int, hits binary"
@@ -184,8 +184,8 @@ def repeated_passages(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    groups = max(GROUPS_PER_PARTITION * partitions, -(-total // group_bytes))
-    buckets = groups
+    groups = max(partitions, -(-total // group_bytes))
+    buckets = max(LEAST_BUCKETS, -(-total // group_bytes))
     bits = min(64, max(33, total.bit_length() + 7))  # words are shorter than four bytes hardly ever: 2**9 per word
     docs = docs.withColumn("g", F.expr(f"CAST(pmod(xxhash64(doc_id, text), {groups}) AS INT)"))
 
