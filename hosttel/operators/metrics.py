@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import checkpointed
 from .ordinal import prefix_sums
 
 
@@ -31,12 +31,19 @@ def classification_metrics(df: DataFrame, label: str = "label", prediction: str
     ``recall = tp / support``, ``f1 = 2·tp / (predicted + support)``; weights
     are class supports.
     """
-    cm = confusion(df, label, prediction)
-    per_class = cm.groupBy(F.col("label").alias("cls")).agg(
-        F.sum("n").alias("support"),
-        F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).alias("tp"))
-    predicted = cm.groupBy(F.col("prediction").alias("cls")).agg(F.sum("n").alias("predicted"))
-    j = per_class.join(predicted, "cls", "left").fillna(0, subset=["predicted"])
+    return metrics_of_confusion(confusion(df, label, prediction), digits)
+
+
+def metrics_of_confusion(cm: DataFrame, digits: int | None = None) -> DataFrame:
+    """The metrics from ``(label, prediction, n)``. A cell counts once for its
+    true class and once for its predicted one: a single aggregate by class, no join."""
+    hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
+    zero = F.lit(0).cast("bigint")
+    sides = F.array(
+        F.struct(F.col("label").alias("cls"), F.col("n").alias("support"), hit.alias("tp"), zero.alias("predicted")),
+        F.struct(F.col("prediction").alias("cls"), zero.alias("support"), zero.alias("tp"), F.col("n").alias("predicted")))
+    j = cm.select(F.inline(sides)).groupBy("cls").agg(
+        *[F.sum(c).alias(c) for c in ("support", "tp", "predicted")])
     tp, sup, pred = (F.col(c).cast("double") for c in ("tp", "support", "predicted"))
     prec = F.when(pred > 0, tp / pred).otherwise(0.0)
     rec = F.when(sup > 0, tp / sup).otherwise(0.0)
@@ -73,6 +80,18 @@ def score_label(pred: DataFrame, label: str = "attack", prob_col: str = "probabi
                        inverted_label(label).alias("label"))
 
 
+def _cumulative(df: DataFrame, score: str, label: str, positive) -> tuple[DataFrame, DataFrame]:
+    """One row per distinct score, thresholds descending, with its positives
+    and negatives and their running sums; and the table without the sums."""
+    is_pos = (F.col(label) == F.lit(positive)).cast("long")
+    by_score = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
+        F.sum(is_pos).alias("pos"), F.sum(1 - is_pos).alias("neg"))
+    # materialised once: its input (e.g. scoring a test set) is then computed
+    # once for the totals and the sums
+    by_score = checkpointed(by_score)
+    return prefix_sums(by_score, [F.desc("threshold")], ["pos", "neg"], ["tp", "fp"], rank="point"), by_score
+
+
 def roc_points(df: DataFrame, score: str = "score", label: str = "label",
                positive=1) -> DataFrame:
     """ROC curve (W4): one point per distinct score, thresholds descending,
@@ -81,14 +100,7 @@ def roc_points(df: DataFrame, score: str = "score", label: str = "label",
     Rows are first aggregated by score (partial aggregation), then cumulative
     positive/negative counts come from the distributed ``prefix_sums``.
     """
-    is_pos = (F.col(label) == F.lit(positive)).cast("long")
-    by_score = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
-        F.sum(is_pos).alias("pos"), F.sum(1 - is_pos).alias("neg"))
-    # materialise the per-score table once: its input (e.g. model scoring of
-    # a test set) is then computed once for both the totals and the sums
-    ensure_checkpoint_dir(df.sparkSession)
-    by_score = by_score.checkpoint(eager=True)
-    cum = prefix_sums(by_score, [F.desc("threshold")], ["pos", "neg"], ["tp", "fp"], rank="point")
+    cum, by_score = _cumulative(df, score, label, positive)
     # two numbers (class totals), computed once and inlined as literals
     totals = by_score.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
     p_tot, n_tot = float(totals["P"] or 0), float(totals["N"] or 0)
@@ -116,5 +128,27 @@ def auc_from_points(points: DataFrame) -> DataFrame:
 
 
 def auc(df: DataFrame, score: str = "score", label: str = "label", positive=1) -> DataFrame:
-    """Area under ROC of ``(score, label)`` pairs (W5, M10 check)."""
-    return auc_from_points(roc_points(df, score, label, positive))
+    """Area under ROC of ``(score, label)`` pairs (W5, M10 check). A point's
+    predecessor is known from its own counts, so the area is one sum:
+    ``neg · (2·tp - pos) / 2`` over ``P · N``."""
+    cum, _ = _cumulative(df, score, label, positive)
+    area = F.sum(F.col("neg") * (2 * F.col("tp") - F.col("pos")) / 2.0)
+    total = F.sum("pos") * F.sum("neg")
+    return cum.agg(F.when(total > 0, area / total)
+                   .otherwise(F.raise_error(F.lit("roc: labels hold only one class")).cast("double")).alias("auc"))
+
+
+def scored_metrics(df: DataFrame, score: Column, label: str, prediction: str) -> DataFrame:
+    """AUC and the multiclass metrics, one row, from one pass over the scored
+    rows: both start from the counts by (score, label, prediction)."""
+    counts = checkpointed(df.groupBy(score.alias("score"), F.col(label).cast("double").alias("label"),
+                                     F.col(prediction).cast("double").alias("prediction"))
+                          .agg(F.count(F.lit(1)).alias("n")))
+    cm = counts.groupBy("label", "prediction").agg(F.sum("n").alias("n"))
+    by_score = counts.groupBy(F.col("score").alias("threshold")).agg(
+        F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("pos"),
+        F.sum(F.when(F.col("label") == 1, 0).otherwise(F.col("n"))).alias("neg"))
+    cum = prefix_sums(by_score, [F.desc("threshold")], ["pos", "neg"], ["tp", "fp"])
+    area = cum.agg((F.sum(F.col("neg") * (2 * F.col("tp") - F.col("pos")) / 2.0)
+                    / (F.sum("pos") * F.sum("neg"))).alias("auc"))
+    return metrics_of_confusion(cm).select(area.scalar().alias("auc"), "*")

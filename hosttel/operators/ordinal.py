@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timefmt import ntz_epoch_seconds
-from ..session import ensure_checkpoint_dir
+from ..session import checkpointed
 
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_ROWS_PER_BUCKET = 1_000_000
@@ -158,7 +158,7 @@ def _ordinal_bucketed(df: DataFrame, order: str, group_by: list[str], name: str,
         hot = (per_group.where(F.col("_ob_n") > rows_per_bucket)
                .select(*[F.col(g).alias(a) for g, a in gs.items()], "_ob_lo", "_ob_hi",
                        nb_expr.alias("_ob_nb")))
-        hot = F.broadcast(hot.checkpoint(eager=True))   # ≤ N / rows_per_bucket rows
+        hot = F.broadcast(checkpointed(hot))   # ≤ N / rows_per_bucket rows
         with_stats = keyed.join(hot, _null_safe_on(group_by, gs), "left").drop(*gs.values())
     else:
         one = per_group.select("_ob_lo", "_ob_hi", nb_expr.alias("_ob_nb")).first()
@@ -178,7 +178,7 @@ def _ordinal_bucketed(df: DataFrame, order: str, group_by: list[str], name: str,
             F.coalesce(F.sum("_ob_c").over(earlier), F.lit(0)).alias("_ob_off")]
     if group_size:
         cols.append(F.sum("_ob_c").over(Window.partitionBy(*group_by)).alias("_ob_tot"))
-    offs = counts.select(*cols).checkpoint(eager=True)
+    offs = checkpointed(counts.select(*cols))
     if offs.count() <= broadcast_rows:
         offs = F.broadcast(offs)
     local = Window.partitionBy(*group_by, "_ob_b").orderBy(F.col(order).asc_nulls_first())
@@ -209,8 +209,7 @@ def _ordinal_ranged(df: DataFrame, order_by: list, group_by: list[str], name: st
     # stats branch its own range exchange whose sampled bounds can differ, so
     # materialise once in the shared checkpoint folder (also cuts lineage, so
     # a lost executor re-reads ids instead of recomputing them).
-    ensure_checkpoint_dir(df.sparkSession)
-    tagged = tagged.checkpoint(eager=True)
+    tagged = checkpointed(tagged)
 
     stats = tagged.groupBy(_P, *group_by).agg(F.count(F.lit(1)).alias(_C), F.min(_M).alias(_M0))
     earlier = Window.partitionBy(*group_by).orderBy(_P).rowsBetween(Window.unboundedPreceding, -1)
@@ -225,7 +224,7 @@ def _ordinal_ranged(df: DataFrame, order_by: list, group_by: list[str], name: st
     # The stats table has at most n + G - 1 rows. Materialise it (small) and
     # broadcast only if its exact size is under the bound; else shuffle-join
     # on (partition, group), which splits hot groups as well.
-    stats = stats.checkpoint(eager=True)
+    stats = checkpointed(stats)
     if not group_by or stats.count() <= broadcast_rows:
         stats = F.broadcast(stats)
     cond = reduce(lambda a, b: a & b,
@@ -256,8 +255,7 @@ def prefix_sums(df: DataFrame, order_by: list, values: list[str], names: list[st
     tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn(_P, F.spark_partition_id())
               .withColumn(_M, F.monotonically_increasing_id()))
-    ensure_checkpoint_dir(df.sparkSession)
-    tagged = tagged.checkpoint(eager=True)
+    tagged = checkpointed(tagged)
 
     totals = tagged.groupBy(_P).agg(*[F.sum(v).alias(f"_pt{i}") for i, v in enumerate(values)],
                                     F.count(F.lit(1)).alias("_ptc"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..session import checkpointed
 from .ordinal import ordinal
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -164,8 +164,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], group_by=(),
                            F.col("_qb.lo").alias("_qL"), F.col("_qb.hi").alias("_qU"),
                            F.col("_qb.p").alias("_qp"))
     if g:
-        ensure_checkpoint_dir(df.sparkSession)
-        bounds = bounds.checkpoint(eager=True)                 # groups × quantiles rows
+        bounds = checkpointed(bounds)                 # groups × quantiles rows
         if bounds.count() > broadcast_rows:
             return _ranked_quantiles(data, probs, g, names)
         cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_qg_{c}")) for c in g])

@@ -18,9 +18,11 @@ NORMAL_PER_ATTACK = 2.0
 SPLIT_WEIGHTS = (0.8, 0.2)
 SEED = 0
 
-# multiplier and modulus of the portable integer hash used by stable splits
-_HASH_MUL = 7919
-_HASH_MOD = 10007
+# fixed values of the portable integer hash behind stable splits and samples:
+# a prime with p % 3 == 2 (cubing permutes its residues) and, for each
+# purpose, a multiplier of the key and one of the seed
+_HASH_PRIME = 1000037
+_HASH_OF = {"split": (7919, 15485863), "sample": (104729, 32452843)}
 
 
 def class_order_counts(df: DataFrame, label: str = "attack") -> DataFrame:
@@ -70,30 +72,41 @@ def _checked_fraction(df: DataFrame, label: str, keep: float, per_attack: float)
     return frac
 
 
-def hash_unit(key, seed: int = SEED) -> Column:
+def hash_unit(key, seed: int = SEED, purpose: str = "split") -> Column:
     """A deterministic value in [0, 1) per integer key.
 
-    ``((key · 7919 + seed) mod 10007) / 10007``, a portable multiplicative
-    hash that any SQL engine computes identically. The key is reduced modulo
-    10007 first, so large 64-bit keys cannot overflow. The value depends only
-    on the key, never on partitioning, so splits and samples are
-    reproducible on any cluster size.
+    ``x = (key · a + seed · b + 1) mod p``, then ``x³ mod p / p``: integer
+    arithmetic that any SQL engine repeats (``unit_sql``). ``a`` and ``b``
+    differ by ``purpose``, so a sample is independent of the split it is drawn
+    from; cubing makes seeds independent too. The key is reduced modulo p
+    first, so 64-bit keys cannot overflow. The value depends only on the key,
+    never on partitioning.
     """
     c = F.col(key) if isinstance(key, str) else key
-    m = F.lit(_HASH_MOD)
-    return F.pmod(F.pmod(c, m) * F.lit(_HASH_MUL) + F.lit(seed), m) / F.lit(float(_HASH_MOD))
+    a, b = _HASH_OF[purpose]
+    p = F.lit(_HASH_PRIME).cast("bigint")
+    x = F.pmod(F.pmod(c.cast("bigint"), p) * a + F.lit((seed * b + 1) % _HASH_PRIME), p)
+    return F.pmod(F.pmod(x * x, p) * x, p) / F.lit(float(_HASH_PRIME))
 
 
-def hash_unit_any(*cols, seed: int = SEED) -> Column:
+def unit_sql(key: str, seed: int = SEED, purpose: str = "split") -> str:
+    """``hash_unit`` of a non-negative integer key as portable SQL."""
+    a, b = _HASH_OF[purpose]
+    p = _HASH_PRIME
+    x = f"(({key} % {p}) * {a} + {(seed * b + 1) % p}) % {p}"
+    return f"((((({x}) * ({x})) % {p}) * ({x})) % {p} / {float(p)})"
+
+
+def hash_unit_any(*cols, seed: int = SEED, purpose: str = "split") -> Column:
     """The same for keys of any type (``xxhash64``; Spark-specific values)."""
-    return F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return F.pmod(F.xxhash64(F.lit(purpose), F.lit(seed), *cols), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
-def key_unit(df: DataFrame, key: str, seed: int = SEED) -> Column:
+def key_unit(df: DataFrame, key: str, seed: int = SEED, purpose: str = "split") -> Column:
     """``hash_unit`` for integer key columns, ``hash_unit_any`` otherwise."""
     integral = isinstance(df.schema[key].dataType,
                           (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-    return hash_unit(key, seed) if integral else hash_unit_any(F.col(key), seed=seed)
+    return hash_unit(key, seed, purpose) if integral else hash_unit_any(F.col(key), seed=seed, purpose=purpose)
 
 
 def hash_split(df: DataFrame, key: str, train: float = SPLIT_WEIGHTS[0], seed: int = SEED,
@@ -122,7 +135,7 @@ def balance(df: DataFrame, label: str = "attack", keep: float = KEEP_ATTACK,
     if method == "hash":
         if key is None:
             raise ValueError("hash balance needs a key column")
-        u = key_unit(df, key, seed)
+        u = key_unit(df, key, seed, "sample")
     elif method == "bernoulli":
         u = F.rand(seed)
     else:

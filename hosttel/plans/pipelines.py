@@ -8,8 +8,10 @@ flow, same models:
   reference fits them twice per table);
 * the transformed training set is cached only for the iterative tree fits
   and released afterwards;
-* evaluation scans the predictions once per metric family (see
-  ``operators.metrics``) instead of one job per metric.
+* evaluation scans the predictions once for all metrics (see
+  ``operators.metrics``) instead of one job per metric;
+* no row is lost: missing numbers are imputed and flagged, unseen or missing
+  categories get a place of their own.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +35,7 @@ class FeatureSpec:
     categorical: list[str]
     numeric: list[str]
     label: str = "attack"
-    handle_invalid: str = "skip"
+    handle_invalid: str = "keep"
     extra: dict = field(default_factory=dict)
 
     @property
@@ -44,6 +46,14 @@ class FeatureSpec:
     def vec_cols(self) -> list[str]:
         return [f"{c}_vec" for c in self.categorical]
 
+    @property
+    def number_cols(self) -> list[str]:
+        return [f"{c}_number" for c in self.numeric]
+
+    @property
+    def missing_cols(self) -> list[str]:
+        return [f"{c}_missing" for c in self.numeric]
+
 
 # fixed values: the reference's feature choices per table
 PROCESS_FEATURES = FeatureSpec(["Status", "State", "CMD"], ["TSLPI", "CPU", "CPUNR"])
@@ -51,13 +61,23 @@ MEMORY_FEATURES = FeatureSpec(["CMD"], ["VSTEXT", "RSIZE", "MINFLT", "MAJFLT"])
 
 
 def feature_stages(spec: FeatureSpec) -> list:
-    """Indexer → encoder → assembler (M4, M5, M6)."""
+    """Numbers → imputer → indexer → encoder → assembler (M4, M5, M6).
+
+    No row is dropped, in fitting or in scoring: a category that is null or
+    was not seen gets a place of its own (``handleInvalid="keep"``), a number
+    that is null or NaN gets the training mean and a flag as a feature.
+    """
+    numbers = [f"CAST({c} AS DOUBLE) AS {n}, CAST({c} IS NULL OR isnan(CAST({c} AS DOUBLE)) AS DOUBLE) AS {m}"
+               for c, n, m in zip(spec.numeric, spec.number_cols, spec.missing_cols, strict=True)]
+    cast = SQLTransformer(statement=f"SELECT *, {', '.join(numbers)} FROM __THIS__")
+    imputer = Imputer(inputCols=spec.number_cols, outputCols=[f"{c}_filled" for c in spec.numeric], strategy="mean")
     indexer = StringIndexer(inputCols=spec.categorical, outputCols=spec.index_cols,
                             handleInvalid=spec.handle_invalid)
     encoder = OneHotEncoder(inputCols=spec.index_cols, outputCols=spec.vec_cols)
-    assembler = VectorAssembler(inputCols=spec.vec_cols + spec.numeric, outputCol="features",
-                                handleInvalid=spec.handle_invalid)
-    return [indexer, encoder, assembler]
+    assembler = VectorAssembler(
+        inputCols=spec.vec_cols + [f"{c}_filled" for c in spec.numeric] + spec.missing_cols,
+        outputCol="features", handleInvalid="error")
+    return [cast, imputer, indexer, encoder, assembler]
 
 
 def classifier(kind: str, spec: FeatureSpec, **params):
@@ -117,11 +137,7 @@ def predict(model: PipelineModel, df: DataFrame, spec: FeatureSpec) -> DataFrame
 
 def evaluate(pred: DataFrame, spec: FeatureSpec) -> DataFrame:
     """AUC (from the class-1 probability) and the four multiclass metrics, one row."""
-    pairs = MT.score_label(pred, spec.label, "probability", positive=1)
-    area = MT.auc(pairs)
-    multi = MT.classification_metrics(pred, spec.label, "prediction")
-    # AUC is a one-row aggregate: attach it as a scalar subquery, no join
-    return multi.select(area.select("auc").scalar().alias("auc"), "*")
+    return MT.scored_metrics(pred, MT.class_probability("probability", 1), spec.label, "prediction")
 
 
 def final_model(df: DataFrame, spec: FeatureSpec, path: str | None = None, kind: str = "gbt",

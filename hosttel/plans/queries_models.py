@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -10,12 +10,13 @@ from ..functions import strip_brackets
 from ..operators import metrics as MT
 from ..operators import sample as S
 from ..session import scratch_path
-from ..sources.fixtures import PROC_SQL, proc
+from ..sources.fixtures import MEM_SQL, PROC_SQL, proc
 from . import pipelines as PL
 from .registry import DIGITS, register, with_views
 
 PROC = with_views(PROC_SQL)
-U = "((sequence * 7919 + 0) % 10007) / 10007.0"   # portable hash of the key, seed 0
+U = S.unit_sql("sequence")                        # portable hash of the key, seed 0
+U_SAMPLE = S.unit_sql("p.sequence", purpose="sample")
 
 TOTALS_SQL = """totals AS (
   SELECT count_if(attack = 0) AS n_normal, count_if(attack = 1) AS n_attack,
@@ -48,23 +49,47 @@ def q_hash_split(spark, sf):
 
 @register("hash_sample", with_views(PROC_SQL, TOTALS_SQL) + f"""
 SELECT p.* FROM proc p, totals t
-WHERE (p.attack = 1 AND {U.replace('sequence', 'p.sequence')} < 0.2)
-   OR (p.attack = 0 AND {U.replace('sequence', 'p.sequence')} < least(t.ratio, 1.0))""")
+WHERE (p.attack = 1 AND {U_SAMPLE} < 0.2)
+   OR (p.attack = 0 AND {U_SAMPLE} < least(t.ratio, 1.0))""")
 def q_hash_sample(spark, sf):
     """Class-balanced sample with deterministic keep/drop (M2, M3)."""
     return S.balance(proc(spark, sf), "attack", method="hash", key="sequence")
 
 
-@register("random_split")
+@register("train_sample", with_views(PROC_SQL) + f""",
+train AS (SELECT * FROM proc WHERE {U} < 0.8),
+totals AS (
+  SELECT (CAST(count_if(attack = 1) AS DOUBLE) * 0.2 * 2.0) / CAST(count_if(attack = 0) AS DOUBLE) AS ratio FROM train)
+SELECT p.sequence, p.attack FROM train p, totals t
+WHERE (p.attack = 1 AND {U_SAMPLE} < 0.2) OR (p.attack = 0 AND {U_SAMPLE} < least(t.ratio, 1.0))""")
+def q_train_sample(spark, sf):
+    """The balanced sample of the training part that models are fitted on (M1, M3)."""
+    train, _ = PL.train_test(proc(spark, sf), PROC_SPEC, key="sequence")
+    return train.select("sequence", "attack")
+
+
+@register("random_split", PROC + "SELECT sequence, 1 AS parts FROM proc")
 def q_random_split(spark, sf):
-    """``randomSplit([0.8, 0.2], 0)`` training part (M1); rows only."""
-    return S.random_split(proc(spark, sf))[0]
+    """``randomSplit([0.8, 0.2], 0)`` (M1): every row lies in exactly one part."""
+    train, test = S.random_split(proc(spark, sf))
+    parts = train.select("sequence").unionAll(test.select("sequence"))
+    return parts.groupBy("sequence").agg(F.count(F.lit(1)).cast("int").alias("parts"))
 
 
-@register("strat_sample")
+@register("strat_sample", with_views(PROC_SQL, TOTALS_SQL) + """
+SELECT attack, count(*) AS n, true AS within FROM proc GROUP BY attack""")
 def q_strat_sample(spark, sf):
-    """``sampleBy`` with the balance recipe's fractions (M2, M3); rows only."""
-    return S.balance(proc(spark, sf), "attack", method="bernoulli")
+    """``sampleBy`` with the balance recipe's fractions (M2, M3): per class the
+    rows there are, and whether as many were drawn as the fraction asks for,
+    within five standard deviations."""
+    rows = proc(spark, sf).select("attack")
+    drawn = S.balance(rows, "attack", method="bernoulli").groupBy("attack").agg(F.count(F.lit(1)).alias("k"))
+    share = S.balance_fractions(rows, "attack").select(
+        F.array("fraction_normal", "fraction_attack")).scalar()
+    per = rows.groupBy("attack").agg(F.count(F.lit(1)).alias("n")).join(drawn, "attack", "left")
+    f, n = F.get(share, F.col("attack")), F.col("n")
+    return per.select("attack", "n", (F.abs(F.coalesce("k", F.lit(0)) - n * f)
+                                      <= 5 * F.sqrt(n * f * (1 - f)) + 1e-9).alias("within"))
 
 
 @register("string_index", PROC + """
@@ -128,14 +153,23 @@ def q_auc(spark, sf):
     return a.select(F.round("auc", DIGITS).alias("auc"))
 
 
-# --- tree models over the process-like view (rows-only checks) -------------
+# --- tree models over the process-like view --------------------------------
 
 PROC_SPEC = PL.FeatureSpec(categorical=["state", "cmd"], numeric=["tslpi", "cpu"], label="attack")
 
+# The label of the model fixtures: signal from one feature plus noise from the
+# row's key, so a working pipeline scores well above chance and below 1.
+CPU_SPAN, PRICE_SPAN, CUT = 490.0, 100_000.0, 1.1
+
+
+def _labelled(df, feature, span: float, key: str):
+    noise = S.hash_unit(key, purpose="sample", seed=5)
+    return df.withColumn("attack", F.when(F.coalesce(feature, F.lit(0.0)) / span + noise > CUT, 1).otherwise(0))
+
 
 def _model_input(spark, sf):
     p = proc(spark, sf)
-    return p.withColumn("cmd", strip_brackets("cmd"))
+    return _labelled(p.withColumn("cmd", strip_brackets("cmd")), F.col("cpu"), CPU_SPAN, "sequence")
 
 
 def _fit(spark, sf, kinds):
@@ -145,62 +179,104 @@ def _fit(spark, sf, kinds):
     return models, test
 
 
+MODEL_SQL = f"""model_input AS (
+  SELECT sequence, machine, CASE WHEN coalesce(cpu, 0.0) / {CPU_SPAN}
+    + {S.unit_sql('sequence', 5, 'sample')} > {CUT} THEN 1 ELSE 0 END AS attack FROM proc)"""
+TEST_SQL = with_views(PROC_SQL, MODEL_SQL) + f"SELECT sequence, attack, true AS valid FROM model_input WHERE {U} >= 0.8"
+
+
 def _pred_cols(pred):
-    return pred.select("sequence", "attack", "prediction",
-                       MT.class_probability("probability", 1).alias("p_attack"))
+    """The row, its prediction and probability, and whether they fit together
+    (the probability lies in [0, 1] and the prediction is its likelier class)."""
+    p = MT.class_probability("probability", 1)
+    return pred.select("sequence", "attack", "prediction", p.alias("p_attack"),
+                       (p.between(0, 1) & ((F.col("prediction") == 1) == (p > 0.5))).alias("valid"))
+
+
+def _checked(pred):
+    return _pred_cols(pred).select("sequence", "attack", "valid")
 
 
-@register("train_predict_dt")
+@register("train_predict_dt", TEST_SQL)
 def q_train_predict_dt(spark, sf):
-    """Decision-tree pipeline: balanced train split → predict the test split (M4–M7, M9)."""
+    """Decision-tree pipeline: balanced train split → predict the test split,
+    every test row once (M4–M7, M9)."""
     models, test = _fit(spark, sf, ("dt",))
-    return _pred_cols(PL.predict(models["dt"], test, PROC_SPEC))
+    return _checked(PL.predict(models["dt"], test, PROC_SPEC))
 
 
-@register("train_predict_gbt")
+@register("train_predict_gbt", TEST_SQL)
 def q_train_predict_gbt(spark, sf):
     """Gradient-boosted-trees pipeline on the same split (M8, M9)."""
     models, test = _fit(spark, sf, ("gbt",))
-    return _pred_cols(PL.predict(models["gbt"], test, PROC_SPEC))
+    return _checked(PL.predict(models["gbt"], test, PROC_SPEC))
 
 
-@register("model_metrics")
-def q_model_metrics(spark, sf):
-    """AUC, accuracy, weighted precision/recall/F1 for both models."""
-    models, test = _fit(spark, sf, ("dt", "gbt"))
+def _evaluated(models, test, spec):
+    """Per model: scored rows, and our metrics beside Spark's evaluators'."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
     rows = None
     for kind, model in models.items():
-        ev = PL.evaluate(PL.predict(model, test, PROC_SPEC), PROC_SPEC) \
-            .select(F.lit(kind).alias("model"), "*")
-        rows = ev if rows is None else rows.unionByName(ev)
+        pred = PL.predict(model, test, spec).select("probability", "prediction", spec.label).cache()
+        try:
+            area = BinaryClassificationEvaluator(rawPredictionCol="probability", labelCol=spec.label,
+                                                 numBins=0).evaluate(pred)
+            multi = [MulticlassClassificationEvaluator(labelCol=spec.label, metricName=m).evaluate(pred)
+                     for m in ("accuracy", "weightedPrecision", "weightedRecall", "f1")]
+            ours = PL.evaluate(pred, spec).first()
+            scored = pred.count()
+        finally:
+            pred.unpersist()
+        got = [ours[c] for c in ("auc", "accuracy", "weighted_precision", "weighted_recall", "weighted_f1")]
+        equal = all(abs(x - y) < 1e-9 for x, y in zip(got, [area, *multi], strict=True))
+        one = test.sparkSession.range(1).select(
+            F.lit(kind).alias("model"), F.lit(scored).cast("bigint").alias("scored"),
+            F.lit(equal).alias("equals_evaluators"), F.lit(0.6 < got[0] < 0.999).alias("learned"))
+        rows = one if rows is None else rows.unionByName(one)
     return rows
 
 
-@register("model_roundtrip")
+def _metrics_sql(view: str, where: str) -> str:
+    return view + f"""
+SELECT m.model, (SELECT count(*) FROM model_input WHERE {where}) AS scored,
+       true AS equals_evaluators, true AS learned FROM (VALUES ('dt'), ('gbt')) AS m(model)"""
+
+
+@register("model_metrics", _metrics_sql(with_views(PROC_SQL, MODEL_SQL), f"{U} >= 0.8"))
+def q_model_metrics(spark, sf):
+    """AUC, accuracy, weighted precision/recall/F1 of both models over all test
+    rows, equal to Spark's evaluators, and an AUC that shows learning (M10, M11)."""
+    models, test = _fit(spark, sf, ("dt", "gbt"))
+    return _evaluated(models, test, PROC_SPEC)
+
+
+@register("model_roundtrip", with_views(PROC_SQL, MODEL_SQL) + "SELECT sequence, attack, true AS valid FROM model_input")
 def q_model_roundtrip(spark, sf):
-    """Final model on the whole balanced table, saved and loaded back, then
-    used to score every row (M14, S10, S11)."""
+    """Final model on the whole balanced table, saved and loaded back: every
+    row gets the same probability from both (M14, S10, S11)."""
     data = _model_input(spark, sf)
-    path = scratch_path(spark, f"models/proc_gbt_{zlib.crc32(sf.encode())}")
-    PL.final_model(data, PROC_SPEC, path, kind="gbt")
-    loaded = PL.load_model(path)
-    return _pred_cols(PL.predict(loaded, data, PROC_SPEC))
+    path = scratch_path(spark, f"models/proc_gbt_{uuid.uuid4().hex}")
+    model = PL.final_model(data, PROC_SPEC, path, kind="gbt")
+    both = PL.predict(model, data, PROC_SPEC).select(
+        "sequence", "attack", "state", "cmd", "tslpi", "cpu", F.col("probability").alias("p_before"))
+    p = MT.class_probability
+    return PL.predict(PL.load_model(path), both, PROC_SPEC).select(
+        "sequence", "attack", (p("probability", 1) == p("p_before", 1)).alias("valid"))
 
 
 MEM_SPEC = PL.FeatureSpec(categorical=["cmd"], numeric=["rsize", "vsize", "minflt"], label="attack")
 
 
-@register("model_metrics_memory")
+MEM_KEY = "pid * 8 + seq"
+MEM_MODEL_SQL = f"""model_input AS (SELECT {MEM_KEY} AS row_key FROM mem)"""
+
+
+@register("model_metrics_memory", _metrics_sql(with_views(MEM_SQL, MEM_MODEL_SQL), f"{S.unit_sql('row_key')} >= 0.8"))
 def q_model_metrics_memory(spark, sf):
-    """Both tree pipelines on the memory-like table: balanced split, fit,
-    evaluate (M9–M11 for the second table)."""
+    """Both tree pipelines on the memory-like table, rows with unreadable sizes
+    included (M9–M11 for the second table)."""
     from .queries_batch import _mem_clean
-    data = _mem_clean(spark, sf).withColumn("row_key", F.col("pid") * 8 + F.col("seq"))
+    data = _mem_clean(spark, sf).withColumn("row_key", F.expr(MEM_KEY))
+    data = _labelled(data, F.col("minflt").cast("double"), PRICE_SPAN, "row_key")
     train, test = PL.train_test(data, MEM_SPEC, key="row_key")
-    models = PL.fit_models(train, MEM_SPEC, ("dt", "gbt"))
-    rows = None
-    for kind, model in models.items():
-        ev = PL.evaluate(PL.predict(model, test, MEM_SPEC), MEM_SPEC) \
-            .select(F.lit(kind).alias("model"), "*")
-        rows = ev if rows is None else rows.unionByName(ev)
-    return rows
+    return _evaluated(PL.fit_models(train, MEM_SPEC, ("dt", "gbt")), test, MEM_SPEC)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import strip_brackets
 from ..operators import messages as M
+from ..operators import metrics as MT
 from ..sources import kafka as K
 from ..sources.fixtures import PROC_SQL, proc
 from ..session import scratch_path
@@ -125,13 +126,18 @@ def q_stream_trailing(spark, sf):
     return TR.read_trailing_counts(spark, f"{base}/out")
 
 
-@register("stream_score")
+@register("stream_score", with_views(PROC_SQL) + "SELECT machine, sequence, true AS same FROM proc")
 def q_stream_score(spark, sf):
-    """Live rows scored with a saved model (ST7, S11); rows only."""
+    """Live rows scored with a saved model (ST7, S11): every row gets the
+    probability that batch scoring gives it."""
     base = _run_dir(spark, "score")
     model_path = f"{base}/model"
-    PL.final_model(_model_input(spark, sf), PROC_SPEC, model_path, kind="dt")
-    env = _envelope_stream(spark, sf, base)
-    rows = D.decode_rows(env, ROW_SCHEMA).withColumn("cmd", strip_brackets("cmd"))
-    scored = SC.score_stream(rows, model_path, ["offset", "machine", "sequence"])
-    return _drain(scored, base, None)
+    data = _model_input(spark, sf)
+    model = PL.final_model(data, PROC_SPEC, model_path, kind="dt")
+    rows = _unique_rows(spark, sf, base).withColumn("cmd", strip_brackets("cmd"))
+    scored = _drain(SC.score_stream(rows, model_path, ["machine", "sequence"]), base, None)
+    batch = PL.predict(model, data, PROC_SPEC).select(
+        "machine", "sequence", MT.class_probability("probability", 1).alias("p_batch"))
+    live = scored.select("machine", "sequence", F.col("p_attack").alias("p_live"))
+    return live.join(batch, ["machine", "sequence"], "left").select(
+        "machine", "sequence", (F.col("p_live") == F.col("p_batch")).alias("same"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the reference applies to its sessions, as fixed values:
 # input split size 31 000 000 bytes, session time zone UTC.
@@ -47,8 +47,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment to a shared folder and is read
-    as is. Only where it is unset (local tests) a fresh scratch folder is
-    created and registered.
+    as is; without it there is a clear error, because a folder of one machine
+    would not be seen by the others. Only a ``local`` session (tests) gets a
+    fresh scratch folder.
     """
     try:
         sc = spark.sparkContext
@@ -59,7 +60,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="hosttel-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        conf_dir = fallback_checkpoint_dir(spark.conf.get("spark.master", ""))
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if sc is None:
         return conf_dir
@@ -67,6 +68,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def fallback_checkpoint_dir(master: str) -> str:
+    """A scratch folder for a ``local`` master; an error for any other."""
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+    return tempfile.mkdtemp(prefix="hosttel-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder (never a local checkpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder, for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from hosttel.operators import audit, messages as M, metrics as MT, profile, sample as S
 from hosttel.operators.ordinal import ordinal, prefix_sums
+from hosttel.plans import pipelines as PL
 from hosttel.sources.fixtures import proc
 
 from conftest import SF_MID, SF_SMALL
@@ -209,7 +210,7 @@ def test_ordinal_shuffle_join_path(spark):
 def test_hash_unit_large_keys_do_not_overflow(spark):
     df = spark.createDataFrame([(9_000_000_000_000_000_000 // 1000 * 1000,), (123,)], "k long")
     got = [r[0] for r in df.select(S.hash_unit("k")).collect()]
-    exp = [((k * 7919) % 10007) / 10007.0 for k in (9_000_000_000_000_000_000 // 1000 * 1000, 123)]
+    exp = [pow((k * 7919 + 1) % 1000037, 3, 1000037) / 1000037 for k in (9_000_000_000_000_000_000 // 1000 * 1000, 123)]
     assert got == pytest.approx(exp)
     s = S.hash_split(spark.createDataFrame([("a",), ("b",)], "k string"), "k")
     assert s.count() == 2
@@ -388,3 +389,40 @@ def test_ranged_ordinal_spreads_hot_group(spark):
         assert ours.where(F.col("rn") != F.col("v") * 2 + 1).count() == 0
     finally:
         spark.conf.set(key, old)
+
+
+def test_sample_is_independent_of_split(spark):
+    """Rates of the sample inside the training part, and of the split, for several seeds."""
+    df = spark.range(40_000).select(F.col("id").alias("k"), (F.col("id") % 5 == 0).cast("int").alias("attack"))
+    tests = []
+    for seed in (0, 1, 2):
+        train, test = PL.train_test(df, PL.FeatureSpec([], []), key="k", seed=seed)
+        n_test = test.count()
+        assert abs(n_test / 40_000 - 0.2) < 0.01
+        whole = S.hash_split(df, "k", seed=seed, name="s").where("s = 'train'")
+        got = train.groupBy("attack").count().collect()
+        base = {r.attack: r["count"] for r in whole.groupBy("attack").count().collect()}
+        kept = {r.attack: r["count"] for r in got}
+        assert abs(kept[1] / base[1] - 0.2) < 0.02 and abs(kept[0] / kept[1] - 2) < 0.2
+        tests.append({r.k for r in test.collect()})
+    for a, b in ((0, 1), (0, 2), (1, 2)):  # other seeds, other rows: 4 % in common, not 20
+        assert abs(len(tests[a] & tests[b]) / 40_000 - 0.04) < 0.01
+
+
+def test_models_keep_every_row(spark):
+    rows = [(i, ["a", "b", None][i % 3], None if i % 4 == 0 else float("nan") if i % 4 == 1 else float(i), i % 2)
+            for i in range(200)]
+    df = spark.createDataFrame(rows, "k long, cmd string, size double, attack int")
+    spec = PL.FeatureSpec(["cmd"], ["size"])
+    model = PL.fit_models(df, spec, ("dt",))["dt"]
+    live = df.unionByName(spark.createDataFrame([(999, "unseen", None, 0)], df.schema))
+    pred = PL.predict(model, live, spec)
+    assert pred.count() == 201 and pred.where("prediction IS NULL").count() == 0
+
+
+def test_checkpoint_folder_falls_back_on_local_masters_only():
+    from hosttel import session
+    assert session.fallback_checkpoint_dir("local[8]") and session.fallback_checkpoint_dir("local")
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]", "k8s://x", ""):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.fallback_checkpoint_dir(master)
