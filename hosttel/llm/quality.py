@@ -78,22 +78,20 @@ def host_verdicts(judged: DataFrame, host: str, host_limit: float = HOST_LIMIT)
     fails = {r: F.sum(F.expr(f"CAST({rule} AS BIGINT)")).alias(f"f_{r}") for r, rule in RULES.items()}
     by_host = written(judged.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("docs"), *fails.values()),
                       "hosts")
-    total = by_host.agg(F.sum("docs").alias("all_docs"), F.count("*").alias("hosts"),
-                        F.sum(F.col("docs").cast("double") * F.col("docs")).alias("squares"),
-                        *[F.sum(f"f_{r}").alias(f"all_{r}") for r in RULES]).select(F.struct("*")).scalar()  # one row
-    with_total = by_host.withColumn("t", total)
-    mean = {r: F.col(f"t.all_{r}") / F.col("t.all_docs") for r in RULES}
-    spread = with_total.agg(*[
+    t = by_host.agg(F.sum("docs").alias("docs"), F.count("*").alias("hosts"),
+                    F.sum(F.col("docs").cast("double") * F.col("docs")).alias("squares"),
+                    *[F.sum(f"f_{r}").alias(r) for r in RULES]).first()  # a few numbers
+    docs = t["docs"] or 1
+    mean = {r: (t[r] or 0) / docs for r in RULES}
+    spread = by_host.agg(*[
         F.sum(F.col("docs") * F.pow(F.col(f"f_{r}") / F.col("docs") - mean[r], F.lit(2.0))).alias(r)
-        for r in RULES]).select(F.struct("*")).scalar()
-    rated = with_total.withColumn("s", spread)
+        for r in RULES]).first()
+    rated, extra = by_host, t["hosts"] - 1
     for r in RULES:
         single = mean[r] * (1 - mean[r])  # variance of one document's failure
-        extra = F.col("t.hosts") - 1
-        room = single * (F.col("t.all_docs") - F.col("t.squares") / F.col("t.all_docs") - extra)
-        alike = F.when(room > 0, (F.col(f"s.{r}") - single * extra) / room).otherwise(0.0)  # within hosts
-        strength = F.when(alike > 0, (1 - alike) / alike).otherwise(STRONGEST)
-        strength = F.greatest(F.lit(WEAKEST), F.least(F.lit(STRONGEST), strength))
+        room = single * (docs - (t["squares"] or 0) / docs - extra)
+        alike = ((spread[r] or 0) - single * extra) / room if room > 0 else 0  # of documents of one host
+        strength = max(WEAKEST, min(STRONGEST, (1 - alike) / alike if alike > 0 else STRONGEST))
         rated = rated.withColumn(f"rate_{r}", (F.col(f"f_{r}") + mean[r] * strength) / (F.col("docs") + strength))
     worst = F.greatest(*[F.col(f"rate_{r}") for r in RULES])
     return rated.select("host", "docs", *[f"rate_{r}" for r in RULES], (worst > host_limit).alias("rejected"))
