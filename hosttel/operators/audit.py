@@ -19,7 +19,9 @@ def missing_flag(df: DataFrame, c: str) -> Column:
     if isinstance(dt, (T.FloatType, T.DoubleType)):
         return col.isNull() | F.isnan(col)
     if isinstance(dt, T.StringType):
-        return col.isNull() | F.coalesce(F.isnan(col.try_cast("double")), F.lit(False))
+        # only texts that hold the letters can parse as NaN; all others skip the cast
+        return col.isNull() | (F.contains(F.lower(col), F.lit("nan"))
+                               & F.coalesce(F.isnan(col.try_cast("double")), F.lit(False)))
     return col.isNull()
 
 

@@ -7,7 +7,8 @@ numbers without ever gathering a group, by one of two methods.
 
 **bucket** (one ascending integer/date/timestamp order column — sequence
 numbers, times; chosen automatically): hot groups are cut into
-equal-width value buckets, rows are numbered by a window partitioned by
+equal-width value buckets (if that leaves a bucket too large, the ranged
+method is taken), rows are numbered by a window partitioned by
 ``(group, bucket)``, and counts of earlier buckets are added. No rows are
 checkpointed; see ``_ordinal_bucketed``.
 
@@ -53,6 +54,7 @@ from ..session import checkpointed
 DEFAULT_BROADCAST_ROWS = 2_000_000
 DEFAULT_ROWS_PER_BUCKET = 1_000_000
 
+_T = "_ord_t"
 _P, _M, _C, _M0, _OFF, _TOT = "_ord_p", "_ord_m", "_ord_c", "_ord_m0", "_ord_off", "_ord_tot"
 
 
@@ -178,7 +180,11 @@ def _ordinal_bucketed(df: DataFrame, order: str, group_by: list[str], name: str,
             F.coalesce(F.sum("_ob_c").over(earlier), F.lit(0)).alias("_ob_off")]
     if group_size:
         cols.append(F.sum("_ob_c").over(Window.partitionBy(*group_by)).alias("_ob_tot"))
-    offs = checkpointed(counts.select(*cols))
+    offs = checkpointed(counts.select(*cols, F.col("_ob_c")))
+    if (offs.agg(F.max("_ob_c")).first()[0] or 0) > 2 * rows_per_bucket:
+        # unevenly spread values (an outlier, many ties): sampled ranges split them
+        return _ordinal_ranged(df, [order], group_by, name, group_size, None, broadcast_rows)
+    offs = offs.drop("_ob_c")
     if offs.count() <= broadcast_rows:
         offs = F.broadcast(offs)
     local = Window.partitionBy(*group_by, "_ob_b").orderBy(F.col(order).asc_nulls_first())
@@ -202,7 +208,9 @@ def _ordinal_ranged(df: DataFrame, order_by: list, group_by: list[str], name: st
     """Row numbers for any order: range partitioning + checkpoint (module doc)."""
     n = _partitions(df, partitions)
     keys = [F.col(g).asc_nulls_first() for g in group_by] + [_sort_col(o) for o in order_by]
-    tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # a seeded random last key lets ties be split over partitions, too
+    tagged = (df.withColumn(_T, F.rand(0)).repartitionByRange(n, *keys, _T).sortWithinPartitions(*keys, _T)
+              .drop(_T)
               .withColumn(_P, F.spark_partition_id())
               .withColumn(_M, F.monotonically_increasing_id()))
     # Both branches below must see the same ids. Column pruning would give the
@@ -238,39 +246,47 @@ def _ordinal_ranged(df: DataFrame, order_by: list, group_by: list[str], name: st
 
 
 def prefix_sums(df: DataFrame, order_by: list, values: list[str], names: list[str] | None = None,
-                rank: str | None = None, partitions: int | None = None) -> DataFrame:
-    """Running sums of ``values`` over the whole table in ``order_by`` order,
-    without a single-task window.
-
-    Rows are range-partitioned and sorted (checkpointed, as in ``ordinal``);
-    each partition's running sums come from a window partitioned by the
-    partition id, and the totals of all earlier partitions (a table of ``n``
-    rows, broadcast) are added. ``rank`` optionally adds the 1-based
-    position. Meant for pre-aggregated inputs (e.g. one row per distinct
-    score); order keys should be unique for a deterministic order.
+                rank: str | None = None, partitions: int | None = None, group_by: list[str] | tuple = (),
+                broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Running sums of ``values`` in ``order_by`` order, over the whole table or
+    within ``group_by``, without a single-task window.
+
+    Rows are range-partitioned on the group and the order and sorted
+    (checkpointed, as in ``ordinal``), so a hot group spans partitions; each
+    (partition, group) gets its running sums from a window, and the group's
+    totals in all earlier partitions are added: a table of at most
+    ``n + G - 1`` rows, broadcast up to ``broadcast_rows``. ``rank`` optionally
+    adds the 1-based position. Meant for pre-aggregated inputs (e.g. one row
+    per distinct score); order keys should be unique for a deterministic order.
     """
     names = names or [f"cum_{v}" for v in values]
+    group_by = list(group_by)
     n = _partitions(df, partitions)
-    keys = [_sort_col(o) for o in order_by]
-    tagged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn(_P, F.spark_partition_id())
-              .withColumn(_M, F.monotonically_increasing_id()))
-    tagged = checkpointed(tagged)
+    keys = [F.col(g).asc_nulls_first() for g in group_by] + [_sort_col(o) for o in order_by]
+    tagged = checkpointed(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                          .withColumn(_P, F.spark_partition_id())
+                          .withColumn(_M, F.monotonically_increasing_id()))
 
-    totals = tagged.groupBy(_P).agg(*[F.sum(v).alias(f"_pt{i}") for i, v in enumerate(values)],
-                                    F.count(F.lit(1)).alias("_ptc"))
-    before = Window.orderBy(_P).rowsBetween(Window.unboundedPreceding, -1)
+    totals = tagged.groupBy(_P, *group_by).agg(*[F.sum(v).alias(f"_pt{i}") for i, v in enumerate(values)],
+                                               F.count(F.lit(1)).alias("_ptc"))
+    before = Window.partitionBy(*group_by).orderBy(_P).rowsBetween(Window.unboundedPreceding, -1)
+    sg = {g: f"_ord_g{i}" for i, g in enumerate(group_by)}
     offsets = totals.select(
-        F.col(_P).alias("_ord_sp"),
+        F.col(_P).alias("_ord_sp"), *[F.col(g).alias(a) for g, a in sg.items()],
         *[F.coalesce(F.sum(f"_pt{i}").over(before), F.lit(0)).alias(f"_po{i}")
           for i in range(len(values))],
         F.coalesce(F.sum("_ptc").over(before), F.lit(0)).alias("_poc"))
-    within = Window.partitionBy(_P).orderBy(_M).rowsBetween(Window.unboundedPreceding, 0)
+    own = Window.partitionBy(_P, *group_by).orderBy(_M)
+    within = own.rowsBetween(Window.unboundedPreceding, 0)
     local = tagged.select("*", *[F.sum(v).over(within).alias(f"_pl{i}") for i, v in enumerate(values)],
-                          F.row_number().over(Window.partitionBy(_P).orderBy(_M)).alias("_plc"))
-    # ``offsets`` has exactly ``n`` rows (one per partition): a proven bound
-    out = local.join(F.broadcast(offsets), F.col(_P) == F.col("_ord_sp"))
-    out = out.select(*df.columns,
-                     *[(F.col(f"_pl{i}") + F.col(f"_po{i}")).alias(nm) for i, nm in enumerate(names)],
-                     *([(F.col("_plc") + F.col("_poc")).alias(rank)] if rank else []))
-    return out
+                          F.row_number().over(own).alias("_plc"))
+    if group_by:
+        offsets = checkpointed(offsets)
+    if not group_by or offsets.count() <= broadcast_rows:  # without groups exactly ``n`` rows
+        offsets = F.broadcast(offsets)
+    cond = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(a)) for g, a in sg.items()],
+                  F.col(_P) == F.col("_ord_sp"))
+    out = local.join(offsets, cond)
+    return out.select(*df.columns,
+                      *[(F.col(f"_pl{i}") + F.col(f"_po{i}")).alias(nm) for i, nm in enumerate(names)],
+                      *([(F.col("_plc") + F.col("_poc")).alias(rank)] if rank else []))

@@ -10,12 +10,12 @@ from __future__ import annotations
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import checkpointed
-from .ordinal import ordinal
+from .ordinal import prefix_sums
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
@@ -53,16 +53,17 @@ def top_values_many(df: DataFrame, cols: list[str], k: int = 10) -> DataFrame:
     """Top ``k`` values of several categorical columns in one pass (A4, O1).
 
     Columns are stacked as ``(column, value)`` text pairs and counted by one
-    partial aggregate; the rank inside each column comes from the skew-safe
-    ordinal (by count desc, value asc), so a column with many distinct values
-    is not sorted in one task. Nulls are not counted, as with ``count(col)``.
+    partial aggregate. The rank filter is a window group limit: every task
+    keeps ``k`` rows of a column before the shuffle, so a column with many
+    distinct values is not sorted in one task. Nulls are not counted, as with
+    ``count(col)``.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
                       for c in cols])
     counts = (df.select(F.inline(pairs)).where(F.col("value").isNotNull())
               .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
-    ranked = ordinal(counts, [F.desc("n"), F.asc("value")], ["column"], name="rank")
-    return ranked.where(F.col("rank") <= k)
+    best = Window.partitionBy("column").orderBy(F.desc("n"), F.asc("value"))
+    return counts.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
 def sum_by(df: DataFrame, key: str = "type", value: str = "attack",
@@ -110,21 +111,17 @@ def numeric_profile(df: DataFrame, cols: list[str] | None = None, digits: int =
     """
     cols = list(cols or numeric_columns(df))
     long = _long_values(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
+    moments = [F.count("value").alias("count"), F.avg("value").alias("mean"),
+               F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
+               F.max("value").alias("max")]
     probs = [0.25, 0.5, 0.75]
     if method == "approx":
-        q = long.groupBy("column").agg(
-            F.percentile_approx("value", probs, accuracy).alias("q"))
-        quart = q.select("column", *[F.col("q")[i].alias(n)
-                                     for i, n in enumerate(["p25", "p50", "p75"])])
+        q = long.groupBy("column").agg(*moments, F.percentile_approx("value", probs, accuracy).alias("q"))
+        out = q.select("*", *[F.col("q")[i].alias(n) for i, n in enumerate(["p25", "p50", "p75"])])
     elif method == "exact":
-        quart = exact_quantiles(long, "value", probs, ["column"], ["p25", "p50", "p75"])
+        out = exact_quantiles(long, "value", probs, ["column"], ["p25", "p50", "p75"], accuracy, also=moments)
     else:
         raise ValueError(method)
-    out = moments.join(quart, "column", "left")
     rnd = F.bround if half_even else F.round
     r = (lambda c: rnd(F.col(c), digits)) if digits is not None else F.col
     return out.select("column", F.col("count"), *[r(c).alias(c) for c in PROFILE_STATS[1:]])
@@ -132,85 +129,56 @@ def numeric_profile(df: DataFrame, cols: list[str] | None = None, digits: int =
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], group_by=(),
                     names: list[str] | None = None, accuracy: int = 10_000,
-                    broadcast_rows: int = 2_000_000) -> DataFrame:
+                    broadcast_rows: int = 2_000_000, also: list | tuple = ()) -> DataFrame:
     """Exact linearly interpolated quantiles (``quantile_cont``) per group,
-    without sorting all values.
-
-    1. one sketch pass: ``percentile_approx`` at ``p ∓ 2/accuracy`` brackets
-       each exact quantile in ``[L, U]`` (the sketch's rank error is at most
-       ``n/accuracy``), plus the exact count ``n``;
-    2. one pass over the rows joined to the tiny bracket table (broadcast:
-       groups × quantiles rows, size checked; beyond ``broadcast_rows`` every
-       value is ranked instead): rows below ``L`` are only counted (partial
-       aggregate); rows inside ``[L, U]`` — about ``4n/accuracy`` per
-       quantile — are kept;
-    3. the kept rows are ranked with the skew-safe ordinal; exact rank =
-       rows below ``L`` + rank inside the bracket. The two rows around
-       ``p·(n−1)`` are interpolated.
+    without sorting all values; ``also`` are further aggregates per group.
+
+    1. one pass: ``percentile_approx`` at ``p ∓ 2/accuracy`` brackets each
+       exact quantile in ``[L, U]`` (the sketch's rank error is at most
+       ``n/accuracy``), with the exact count ``n`` and ``also``;
+    2. one pass over the rows with the brackets (a table of groups ×
+       quantiles rows, broadcast up to ``broadcast_rows``): counts by value
+       inside a bracket, and one count of all rows below it. Equal values
+       collapse before the shuffle, so no value is hot;
+    3. running sums of these counts within (group, quantile), by ranges that
+       split a large group; the values whose ranks hold ``p·(n−1)`` are
+       interpolated.
     """
     g = list(group_by)
     names = names or [f"q{int(p * 100)}" for p in probs]
+    if not g:
+        whole = df.withColumn("_one", F.lit(0))
+        return exact_quantiles(whole, value, probs, ["_one"], names, accuracy, broadcast_rows, also).drop("_one")
     eps = 2.0 / accuracy
-    lo_p = [max(0.0, p - eps) for p in probs]
-    hi_p = [min(1.0, p + eps) for p in probs]
-    data = df.select(*g, F.col(value).cast("double").alias("_qv")).where(F.col("_qv").isNotNull())
-    sketch = data.groupBy(*g).agg(F.percentile_approx("_qv", lo_p + hi_p, accuracy).alias("_qs"),
-                                  F.count(F.lit(1)).alias("_qn"))
+    ends = [max(0.0, p - eps) for p in probs] + [min(1.0, p + eps) for p in probs]
+    data = df.withColumn("_qv", F.col(value).cast("double")).where(F.col("_qv").isNotNull())
+    sketch = checkpointed(data.groupBy(*g).agg(
+        F.percentile_approx("_qv", ends, accuracy).alias("_qs"), F.count(F.lit(1)).alias("_qn"), *also))
     k = len(probs)
-    bounds = sketch.select(*g, "_qn", F.posexplode(F.arrays_zip(
-        F.slice("_qs", 1, k).alias("lo"), F.slice("_qs", k + 1, k).alias("hi"),
-        F.array(*[F.lit(float(p)) for p in probs]).alias("p"))).alias("_qk", "_qb"))
-    bounds = bounds.select(*[F.col(c).alias(f"_qg_{c}") for c in g], "_qn", "_qk",
-                           F.col("_qb.lo").alias("_qL"), F.col("_qb.hi").alias("_qU"),
-                           F.col("_qb.p").alias("_qp"))
-    if g:
-        bounds = checkpointed(bounds)                 # groups × quantiles rows
-        if bounds.count() > broadcast_rows:
-            return _ranked_quantiles(data, probs, g, names)
-        cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_qg_{c}")) for c in g])
-        j = data.join(F.broadcast(bounds), cond, "inner").drop(*[f"_qg_{c}" for c in g])
-    else:
-        # one group: the quantiles' brackets are a handful of numbers; attach
-        # them to every row as literals (no join)
-        rows = bounds.collect()
-        lits = [F.struct(F.lit(r["_qn"]).cast("long").alias("_qn"), F.lit(r["_qk"]).alias("_qk"),
-                         F.lit(r["_qL"]).cast("double").alias("_qL"),
-                         F.lit(r["_qU"]).cast("double").alias("_qU"),
-                         F.lit(r["_qp"]).cast("double").alias("_qp")) for r in rows]
-        j = data.select("_qv", F.inline(F.array(*lits))) if lits else \
-            data.select("_qv").where(F.lit(False))
+    bounds = sketch.select(*[F.col(c).alias(f"_qg_{c}") for c in g], F.posexplode(F.arrays_zip(
+        F.slice("_qs", 1, k).alias("lo"), F.slice("_qs", k + 1, k).alias("hi"))).alias("_qk", "_qb"))
+    bounds = bounds.select(*[f"_qg_{c}" for c in g], "_qk", F.col("_qb.lo").alias("_qL"), F.col("_qb.hi").alias("_qU"))
+    if bounds.count() <= broadcast_rows:
+        bounds = F.broadcast(bounds)
+    inside = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_qg_{c}")) for c in g],
+                    F.col("_qv") <= F.col("_qU"))
     keys = [*g, "_qk"]
-    below = j.where(F.col("_qv") < F.col("_qL")).groupBy(*keys).agg(F.count(F.lit(1)).alias("_qbelow"))
-    cands = j.where((F.col("_qv") >= F.col("_qL")) & (F.col("_qv") <= F.col("_qU"))) \
-        .select(*keys, "_qv", "_qn", "_qp")
-    ranked = ordinal(cands, ["_qv"], keys, name="_qr", method="ranged")
-    ranked = ranked.join(below, keys, "left").fillna(0, subset=["_qbelow"])
-    rk0 = F.col("_qbelow") + F.col("_qr") - 1          # 0-based exact rank
-    pos = F.col("_qp") * (F.col("_qn") - 1)
-    kept = ranked.where((rk0 == F.floor(pos)) | (rk0 == F.ceil(pos)))
-    per_q = kept.groupBy(*keys).agg(
-        F.max(F.when(rk0 == F.floor(pos), F.col("_qv"))).alias("_lo"),
-        F.max(F.when(rk0 == F.ceil(pos), F.col("_qv"))).alias("_hi"),
-        F.first(pos - F.floor(pos)).alias("_f"))
-    val = (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f"))
+    counts = (data.select(*g, "_qv").join(bounds, inside)
+              .groupBy(*keys, F.when(F.col("_qv") >= F.col("_qL"), F.col("_qv")).alias("_qv"))  # null: below
+              .agg(F.count(F.lit(1)).alias("_qc")))
+    summed = prefix_sums(counts, [F.asc_nulls_first("_qv")], ["_qc"], ["_qr"], group_by=keys)
+    of = sketch.select(*[F.col(c).alias(f"_qg_{c}") for c in g], "_qn")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_qg_{c}")) for c in g])
+    pos = F.get(F.array(*[F.lit(float(p)) for p in probs]), F.col("_qk")) * (F.col("_qn") - 1)
+
+    def at(rank):  # the value that holds a 0-based rank
+        return F.max(F.when((F.col("_qr") > rank) & (F.col("_qr") - F.col("_qc") <= rank), F.col("_qv")))
+
+    per_q = summed.join(of, same).groupBy(*keys).agg(
+        at(F.floor(pos)).alias("_lo"), at(F.ceil(pos)).alias("_hi"), F.first(pos - F.floor(pos)).alias("_f"))
+    val = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_f")
     aggs = [F.max(F.when(F.col("_qk") == i, val)).alias(nm) for i, nm in enumerate(names)]
-    return per_q.groupBy(*g).agg(*aggs) if g else per_q.agg(*aggs)
-
-
-def _ranked_quantiles(data: DataFrame, probs: list[float], g: list[str],
-                      names: list[str]) -> DataFrame:
-    """Fallback for very many groups: rank every value with the skew-safe
-    ordinal and keep the two rows around each target position."""
-    ranked = ordinal(data, ["_qv"], g, name="_qr", group_size="_qn", method="ranged")
-    rk0 = F.col("_qr") - 1
-    pos = [F.lit(p) * (F.col("_qn") - 1) for p in probs]
-    near = reduce(lambda a, b: a | b, [(rk0 == F.floor(e)) | (rk0 == F.ceil(e)) for e in pos])
-    aggs = []
-    for nm, e in zip(names, pos):
-        lo = F.max(F.when(rk0 == F.floor(e), F.col("_qv")))
-        hi = F.max(F.when(rk0 == F.ceil(e), F.col("_qv")))
-        aggs.append((lo + (hi - lo) * F.first(e - F.floor(e))).alias(nm))
-    return ranked.where(near).groupBy(*g).agg(*aggs)
+    return sketch.drop("_qs", "_qn").join(per_q.groupBy(*g).agg(*aggs), g, "left")
 
 
 def correlation_pairs(df: DataFrame, cols: list[str] | None = None, digits: int | None = 6) -> DataFrame:

@@ -426,3 +426,29 @@ def test_checkpoint_folder_falls_back_on_local_masters_only():
     for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]", "k8s://x", ""):
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             session.fallback_checkpoint_dir(master)
+
+
+@pytest.mark.parametrize("values", ["outlier", "equal", "two"])
+def test_uneven_values_do_not_meet_in_one_task(spark, values):
+    """A hot group with one outlier, one value or two: numbered right, by tasks of like size."""
+    from hosttel.operators import ordinal as O
+    v = {"outlier": F.when(F.col("id") == 7, F.lit(10 ** 12)).otherwise(F.col("id")),
+         "equal": F.lit(5).cast("long"), "two": (F.col("id") % 2)}[values]
+    df = spark.range(20_000).select("id", F.lit("m").alias("g"), v.alias("v"))
+    got = ordinal(df, ["v"], ["g"], name="rn", rows_per_bucket=500)
+    assert got.agg(F.min("rn"), F.max("rn"), F.count_distinct("rn")).first() == (1, 20_000, 20_000)
+    assert got.orderBy("rn").select("v").agg(F.max("v")).first()[0] is not None
+    best = got.groupBy("v").agg(F.min("rn").alias("a"), F.max("rn").alias("b"), F.count("*").alias("c"))
+    assert best.where("b - a + 1 != c").count() == 0          # equal values hold consecutive numbers
+    if values == "outlier":
+        assert got.where("v = 1000000000000").first().rn == 20_000
+    ranged = (df.withColumn(O._T, F.rand(0)).repartitionByRange(16, "g", "v", O._T)
+              .groupBy(F.spark_partition_id().alias("p")).count())
+    assert ranged.agg(F.max("count")).first()[0] <= 2 * 20_000 / 16
+
+
+def test_quantiles_of_few_values(spark):
+    """Two values in one hot column: candidates collapse by value."""
+    df = spark.range(40_000).select((F.col("id") % 4 == 0).cast("double").alias("v"))
+    q = profile.exact_quantiles(df, "v", [0.25, 0.5, 0.75, 0.8]).first()
+    assert list(q) == [0.0, 0.0, 0.25, 1.0]
