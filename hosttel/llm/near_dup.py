@@ -8,14 +8,18 @@
    of an empty bin is lent by the filled bin that comes first in that
    register's own random order, so that bands of short texts also agree with
    the chance of the sets' similarity.
-3. In each bucket the smallest member is compared with the others. Then, as
-   long as a bucket holds several components, members outside its largest one
-   are compared with all members of other components, sixteen times as many
-   of them in each round, until all have been. No bucket is cut.
-4. A pair is dropped early only if sizes rule it out, or if the similarity
-   estimated from the sketches, corrected for chance collisions of registers,
-   lies ``SLACK`` standard errors below the limit. The rest is decided by the
-   full shingle sets of both texts.
+3. In each bucket the smallest member is compared with the others, and
+   components are formed. Members of buckets that then still hold several
+   components have their lone shingles counted, those that no other such
+   member has; a text with more than a fifth of them can have no link and
+   leaves. In what is still split, the members outside a bucket's largest
+   component are compared with all members of other components, block by
+   block; a pair that shares several buckets counts in its first. No bucket
+   is cut.
+4. A pair is dropped early only if sizes or lone shingles rule it out, or if
+   the similarity estimated from the sketches, corrected for chance collisions
+   of registers, lies ``SLACK`` standard errors below the limit. The rest is
+   decided by the full shingle sets of both texts.
 
 With 256 bins and bands of 5 a pair at the limit of 0.8 shares no bucket with
 a chance of (1 - 0.8**5)**51 < 2e-9.
@@ -24,6 +28,7 @@ a chance of (1 - 0.8**5)**51 < 2e-9.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -41,8 +46,8 @@ BINS, ROWS = 256, 5
 MANTISSA = 10
 #: Standard errors below the limit at which an estimate rules a pair out.
 SLACK = 5.0
-#: Factor by which the members compared in a split bucket grow each round.
-GROWTH = 16
+#: Members that a block of a split bucket holds.
+BLOCK = 256
 
 
 def sketch(u: np.ndarray, bins: int) -> np.ndarray:
@@ -145,19 +150,32 @@ def _size_fits(limit: int):
     return F.expr(f"100 * least(n_a, n_b) >= {limit} * greatest(n_a, n_b)")
 
 
-def _check(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, limit: int) -> DataFrame:
-    """The pairs (a, b) of class ids whose full shingle sets are similar enough."""
+def _floor(limit: int, used):
+    """The estimate from ``used`` bins below which a pair is ruled out."""
+    return limit / 100 - SLACK * np.sqrt(limit / 100 * (1 - limit / 100) / np.maximum(used, 1))
+
+
+def _by_sketch(pairs: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
+    """The pairs (a, b) of class ids that their sketches do not rule out."""
     side = lambda s: classes.select(F.col("id").alias(s), F.col("sketch").alias(f"sketch_{s}"),
                                     F.col("n").alias(f"n_{s}"))
 
-    def by_sketch(a: pa.Array, b: pa.Array, n_a: pa.Array, n_b: pa.Array) -> list[pa.Array]:
+    def run(a: pa.Array, b: pa.Array, n_a: pa.Array, n_b: pa.Array) -> list[pa.Array]:
         out = []
         for x, y, p, q in zip(a.to_pylist(), b.to_pylist(), n_a.to_pylist(), n_b.to_pylist(), strict=True):
             j, used = estimate(np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16), p, q)
-            out.append(j >= limit / 100 - SLACK * math.sqrt(limit / 100 * (1 - limit / 100) / max(used, 1)))
+            out.append(bool(j >= _floor(limit, used)))
         return [pa.array(out, pa.bool_())]
 
-    def by_sets(a: pa.Array, b: pa.Array) -> list[pa.Array]:
+    return map_columns(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b"),
+                       ["sketch_a", "sketch_b", "n_a", "n_b"], fields([("ok", T.BooleanType())]), run,
+                       drop=("sketch_a", "sketch_b", "n_a", "n_b")).where("ok").select("a", "b")
+
+
+def _by_sets(pairs: DataFrame, docs: DataFrame, width: int, limit: int) -> DataFrame:
+    """The pairs (a, b) of class ids whose full shingle sets are similar enough."""
+
+    def run(a: pa.Array, b: pa.Array) -> list[pa.Array]:
         out, last, u = [], None, None
         for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True):
             if x != last:
@@ -167,14 +185,93 @@ def _check(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, li
             out.append(100 * both >= limit * (len(u) + len(v) - both) > 0)
         return [pa.array(out, pa.bool_())]
 
-    flag = fields([("ok", T.BooleanType())])
-    near = map_columns(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b"),
-                       ["sketch_a", "sketch_b", "n_a", "n_b"], flag, by_sketch,
-                       drop=("sketch_a", "sketch_b", "n_a", "n_b")).where("ok").select("a", "b")
     texts = lambda s: docs.select(F.col("doc_id").alias(s), F.col("text").alias(f"text_{s}"))
-    full = near.join(texts("a"), "a").join(texts("b"), "b")
-    return (map_columns(full, ["text_a", "text_b"], flag, by_sets, drop=("text_a", "text_b"), batch_rows=128)
-            .where("ok").select("a", "b"))
+    full = pairs.join(texts("a"), "a").join(texts("b"), "b")
+    return (map_columns(full, ["text_a", "text_b"], fields([("ok", T.BooleanType())]), run,
+                        drop=("text_a", "text_b"), batch_rows=128).where("ok").select("a", "b"))
+
+
+def _lone_shingles(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(id, lone): for each of the ids, how many of its shingles no other of them has."""
+
+    def run(column: pa.Array) -> list[pa.Array]:
+        sets = [shingle_set(t, width).view(np.int64) for t in column.to_pylist()]
+        ends = np.concatenate([[0], np.cumsum([len(u) for u in sets])]).astype(np.int32)
+        flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
+        return [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+
+    texts = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id")
+    made = map_columns(texts, ["text"], fields([("set", T.ArrayType(T.LongType()))]), run, drop=("text",))
+    return (made.select("id", F.explode("set").alias("shingle")).groupBy("shingle")
+            .agg(F.min("id").alias("id"), F.max("id").alias("top")).where("id = top")
+            .groupBy("id").agg(F.count("*").alias("lone")))
+
+
+def _compare_blocks(split: DataFrame, rows: int, limit: int) -> DataFrame:
+    """Pairs (a, b) of members of a bucket with unlike labels, one of them
+    outside the largest component, that sizes, lone shingles and sketches do
+    not rule out. ``split``: (key, m, main, id, n, lone, label, sketch)."""
+    member = F.struct("id", "label", "n", "lone", "sketch")
+
+    def blocks(part: DataFrame, size: str, name: str) -> DataFrame:
+        number = F.expr(f"pmod(xxhash64(id), CAST(ceil({size} / {BLOCK}) AS INT))")
+        return part.groupBy("key", number.alias("block")).agg(F.collect_list(member).alias(name)).drop("block")
+
+    outside = blocks(split.where("label != main"), "others", "left").join(
+        split.select("key", "main").distinct(), "key")
+    pairs = outside.join(blocks(split, "m", "right"), "key")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                key, left, right, main = (batch.column(c)[i].as_py() for c in ("key", "left", "right", "main"))
+                found = _matches(key, main, left, right, rows, limit)
+                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)],
+                                                 names=["a", "b"])
+
+    return pairs.select("key", "main", "left", "right").mapInArrow(run, "a long, b long")
+
+
+def _matches(key: int, main, left: list[dict], right: list[dict], rows: int, limit: int) -> list[tuple[int, int]]:
+    sketches = np.array([np.frombuffer(r["sketch"], np.uint16) for r in right])
+    ids, label, n, lone = (np.array([r[c] for r in right]) for c in ("id", "label", "n", "lone"))
+    keys: dict[int, np.ndarray] = {}
+
+    def bands(member: dict) -> np.ndarray:
+        if member["id"] not in keys:
+            keys[member["id"]] = band_hashes(np.frombuffer(member["sketch"], np.uint16), rows).view(np.int64)
+        return keys[member["id"]]
+
+    out = []
+    for x in left:
+        both = np.minimum(n - lone, x["n"] - x["lone"])  # at most so many shingles are shared
+        fit = np.flatnonzero((label != x["label"]) & ((label == main) | (ids > x["id"]))
+                             & (100 * both >= limit * (n + x["n"] - both)))
+        if not len(fit):
+            continue
+        own = np.frombuffer(x["sketch"], np.uint16)
+        other = sketches[fit]
+        used = np.count_nonzero(other | own, axis=1)
+        share = np.count_nonzero((other == own) & (own > 0), axis=1) / np.maximum(used, 1)
+        for j in fit[share >= _floor(limit, used)].tolist():  # the correction only lowers the share
+            y = right[j]
+            e, bins = estimate(own, sketches[j], x["n"], y["n"])
+            if e >= _floor(limit, bins):
+                same = bands(x)[bands(x) == bands(y)]
+                if len(same) and same[0] == key:
+                    out.append((min(x["id"], y["id"]), max(x["id"], y["id"])))
+    return out
+
+
+def _still_split(member: DataFrame) -> DataFrame:
+    """The members (key, id, n, label...) of buckets with several labels, with the bucket's size
+    ``m``, its commonest label ``main`` and the number of ``others``."""
+    state = (member.groupBy("key", "label").agg(F.count("*").alias("c"))
+             .groupBy("key").agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("m"),
+                                 F.count("*").alias("labels"))
+             .where("labels > 1")
+             .select("key", "m", F.col("top.label").alias("main"), (F.col("m") - F.col("top.c")).alias("others")))
+    return member.join(state, "key")
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5,
@@ -206,36 +303,17 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
                      .select("key", "id", "n", "a", "n_a"), "buckets")
     first = (bucket.select("a", "n_a", F.col("id").alias("b"), F.col("n").alias("n_b"))
              .where(F.col("a") != F.col("b")).where(_size_fits(limit)).select("a", "b").distinct())
-    links = written(_check(first, linkable, docs, width, limit), "links")
+    links = written(_by_sets(_by_sketch(first, linkable, limit), docs, width, limit), "links")
+    label = connected_components(links)
+    member = bucket.select("key", "id", "n").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    split = written(_still_split(member), "split")
+    alone = _lone_shingles(split.select("id").distinct(), docs, width)
+    able = (split.select("key", "id", "n", "label").join(alone, "id", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
+            .where(F.expr(f"100 * (n - lone) >= {limit} * n")))
+    split = _still_split(able).join(linkable.select("id", "sketch"), "id")
+    more = written(_compare_blocks(split, rows, limit), "candidates")
+    links = written(links.unionAll(_by_sets(more, docs, width, limit)), "links")
     label = connected_components(links)
-    bucket = bucket.select("key", "id", "n")
-    share = 1
-    while True:
-        labelled = bucket.join(label, "id", "left").select(
-            "key", "id", "n", F.coalesce("label", "id").alias("label"))
-        by_label = labelled.groupBy("key", "label").agg(F.count("*").alias("m"))
-        split = (by_label.groupBy("key").agg(F.max(F.struct("m", "label")).alias("largest"),
-                                             F.sum("m").alias("m"), F.count("*").alias("labels"))
-                 .where("labels > 1")
-                 .select("key", F.col("largest.label").alias("main"),
-                         (F.col("m") - F.col("largest.m")).alias("others")))
-        if share == 1:
-            state = written(labelled.join(split.select("key"), "key"), "split")
-            bucket = state.select("key", "id", "n")
-        most = split.agg(F.max("others")).first()[0]
-        if most is None:
-            break
-        centre = (labelled.join(split, "key").where("label != main")
-                  .where(F.expr(f"pmod(xxhash64(id, 1), 1000000) * others < 1000000L * {share}"))
-                  .select("key", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a")))
-        pairs = (labelled.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), "label")
-                 .join(centre, "key").where("label != label_a").where(_size_fits(limit))
-                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        links = written(links.union(_check(pairs, linkable, docs, width, limit)), "links")
-        label = connected_components(links)
-        if share >= most:
-            break
-        share *= GROWTH
     of_class = classes.join(label.withColumnRenamed("label", "low"), "id", "left").select(
         "node", F.coalesce("low", "id").alias("component_id"))
     linked = members.join(of_class, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
