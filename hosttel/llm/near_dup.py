@@ -21,8 +21,8 @@
    of registers, lies ``SLACK`` standard errors below the limit. The rest is
    decided by the full shingle sets of both texts.
 
-With 256 bins and bands of 5 a pair at the limit of 0.8 shares no bucket with
-a chance of (1 - 0.8**5)**51 < 2e-9.
+With 51 bands of 5 registers a pair at the limit of 0.8 shares no bucket with a
+chance of (1 - 0.8**5)**51 < 2e-9. All 512 registers serve the estimate.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ from .components import connected_components
 from .store import written
 from .text import fields, map_columns, shingle_set
 
-BINS, ROWS = 256, 5
+BINS, BANDS, ROWS = 512, 51, 5
 MANTISSA = 10
 #: Standard errors below the limit at which an estimate rules a pair out.
 SLACK = 5.0
@@ -70,24 +70,22 @@ def _orders(bins: int) -> np.ndarray:
 
 
 @lru_cache(4)
-def _band_keys(bins: int, rows: int) -> np.ndarray:
-    return np.random.default_rng(77).integers(1, 2 ** 63, (bins // rows, rows), np.int64).astype(np.uint64) | np.uint64(1)
+def _band_keys(bands: int, rows: int) -> np.ndarray:
+    return np.random.default_rng(77).integers(1, 2 ** 63, (bands, rows), np.int64).astype(np.uint64) | np.uint64(1)
 
 
-def band_hashes(registers: np.ndarray, rows: int) -> np.ndarray:
-    """One 64-bit bucket key for each band."""
-    bins = len(registers)
-    source = np.arange(bins)
+def band_hashes(registers: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """One 64-bit bucket key for each band of ``rows`` registers."""
+    bins, used = len(registers), bands * rows
+    source = np.arange(used)
     filled = np.flatnonzero(registers)
-    empty = np.flatnonzero(registers == 0)
+    empty = np.flatnonzero(registers[:used] == 0)
     if len(empty):
         source[empty] = filled[_orders(bins)[empty][:, filled].argmin(axis=1)]
     value = registers[source].astype(np.uint64) | source.astype(np.uint64) << np.uint64(16)
     value = (value + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
     value ^= value >> np.uint64(29)
-    bands = bins // rows
-    keys = _band_keys(bins, rows)
-    total = (value[:bands * rows].reshape(bands, rows) * keys).sum(axis=1, dtype=np.uint64)
+    total = (value.reshape(bands, rows) * _band_keys(bands, rows)).sum(axis=1, dtype=np.uint64)
     total += np.arange(bands, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
     total ^= total >> np.uint64(32)
     total *= np.uint64(0xD6E8FEB86659FD93)
@@ -134,9 +132,9 @@ def signatures(df: DataFrame, doc_id: str, text: str, width: int, bins: int = BI
                                                ("sketch", T.BinaryType())]), run, drop=("text",))
 
 
-def _bands(classes: DataFrame, rows: int) -> DataFrame:
+def _bands(classes: DataFrame, bands: int, rows: int) -> DataFrame:
     def run(column: pa.Array) -> list[pa.Array]:
-        keys = [band_hashes(np.frombuffer(s, np.uint16), rows).view(np.int64) for s in column.to_pylist()]
+        keys = [band_hashes(np.frombuffer(s, np.uint16), bands, rows).view(np.int64) for s in column.to_pylist()]
         ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
         flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
         return [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
@@ -172,7 +170,7 @@ def _by_sketch(pairs: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
                        drop=("sketch_a", "sketch_b", "n_a", "n_b")).where("ok").select("a", "b")
 
 
-def _by_sets(pairs: DataFrame, docs: DataFrame, width: int, limit: int) -> DataFrame:
+def _by_sets(pairs: DataFrame, texts: DataFrame, width: int, limit: int) -> DataFrame:
     """The pairs (a, b) of class ids whose full shingle sets are similar enough."""
 
     def run(a: pa.Array, b: pa.Array) -> list[pa.Array]:
@@ -185,13 +183,13 @@ def _by_sets(pairs: DataFrame, docs: DataFrame, width: int, limit: int) -> DataF
             out.append(100 * both >= limit * (len(u) + len(v) - both) > 0)
         return [pa.array(out, pa.bool_())]
 
-    texts = lambda s: docs.select(F.col("doc_id").alias(s), F.col("text").alias(f"text_{s}"))
-    full = pairs.join(texts("a"), "a").join(texts("b"), "b")
+    side = lambda s: texts.select(F.col("id").alias(s), F.col("text").alias(f"text_{s}"))
+    full = pairs.join(side("a"), "a").join(side("b"), "b")
     return (map_columns(full, ["text_a", "text_b"], fields([("ok", T.BooleanType())]), run,
                         drop=("text_a", "text_b"), batch_rows=128).where("ok").select("a", "b"))
 
 
-def _lone_shingles(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+def _lone_shingles(ids: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """(id, lone): for each of the ids, how many of its shingles no other of them has."""
 
     def run(column: pa.Array) -> list[pa.Array]:
@@ -200,14 +198,13 @@ def _lone_shingles(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
         flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
         return [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
 
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id")
-    made = map_columns(texts, ["text"], fields([("set", T.ArrayType(T.LongType()))]), run, drop=("text",))
+    made = map_columns(texts.join(ids, "id"), ["text"], fields([("set", T.ArrayType(T.LongType()))]), run, drop=("text",))
     return (made.select("id", F.explode("set").alias("shingle")).groupBy("shingle")
             .agg(F.min("id").alias("id"), F.max("id").alias("top")).where("id = top")
             .groupBy("id").agg(F.count("*").alias("lone")))
 
 
-def _compare_blocks(split: DataFrame, rows: int, limit: int) -> DataFrame:
+def _compare_blocks(split: DataFrame, bands: int, rows: int, limit: int) -> DataFrame:
     """Pairs (a, b) of members of a bucket with unlike labels, one of them
     outside the largest component, that sizes, lone shingles and sketches do
     not rule out. ``split``: (key, m, main, id, n, lone, label, sketch)."""
@@ -225,21 +222,21 @@ def _compare_blocks(split: DataFrame, rows: int, limit: int) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 key, left, right, main = (batch.column(c)[i].as_py() for c in ("key", "left", "right", "main"))
-                found = _matches(key, main, left, right, rows, limit)
+                found = _matches(key, main, left, right, bands, rows, limit)
                 yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)],
                                                  names=["a", "b"])
 
     return pairs.select("key", "main", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def _matches(key: int, main, left: list[dict], right: list[dict], rows: int, limit: int) -> list[tuple[int, int]]:
+def _matches(key: int, main, left: list[dict], right: list[dict], bands: int, rows: int, limit: int) -> list[tuple[int, int]]:
     sketches = np.array([np.frombuffer(r["sketch"], np.uint16) for r in right])
     ids, label, n, lone = (np.array([r[c] for r in right]) for c in ("id", "label", "n", "lone"))
     keys: dict[int, np.ndarray] = {}
 
-    def bands(member: dict) -> np.ndarray:
+    def buckets_of(member: dict) -> np.ndarray:
         if member["id"] not in keys:
-            keys[member["id"]] = band_hashes(np.frombuffer(member["sketch"], np.uint16), rows).view(np.int64)
+            keys[member["id"]] = band_hashes(np.frombuffer(member["sketch"], np.uint16), bands, rows).view(np.int64)
         return keys[member["id"]]
 
     out = []
@@ -257,7 +254,7 @@ def _matches(key: int, main, left: list[dict], right: list[dict], rows: int, lim
             y = right[j]
             e, bins = estimate(own, sketches[j], x["n"], y["n"])
             if e >= _floor(limit, bins):
-                same = bands(x)[bands(x) == bands(y)]
+                same = buckets_of(x)[buckets_of(x) == buckets_of(y)]
                 if len(same) and same[0] == key:
                     out.append((min(x["id"], y["id"]), max(x["id"], y["id"])))
     return out
@@ -275,7 +272,7 @@ def _still_split(member: DataFrame) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5,
-                    limit: int = 80, bins: int = BINS, rows: int = ROWS) -> DataFrame:
+                    limit: int = 80, bins: int = BINS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``df``.
 
     Two rows are linked when ``100 * |A & B| >= limit * |A | B|`` for their
@@ -295,24 +292,26 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     classes = written(members.groupBy("node").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"),
                                                   F.first("sketch").alias("sketch")), "classes")
     linkable = classes.where("id is not null")
-    banded = _bands(linkable, rows)
+    banded = _bands(linkable, bands, rows)
     several = (banded.groupBy("key").agg(F.min(F.struct("id", "n")).alias("head"), F.max("id").alias("top"))
                .where("head.id != top")
                .select("key", F.col("head.id").alias("a"), F.col("head.n").alias("n_a")))
     bucket = written(banded.join(several, "key")
                      .select("key", "id", "n", "a", "n_a"), "buckets")
+    texts = written(docs.select(F.col("doc_id").alias("id"), "text")
+                    .join(bucket.select("id").distinct(), "id"), "texts")  # of texts that share a bucket
     first = (bucket.select("a", "n_a", F.col("id").alias("b"), F.col("n").alias("n_b"))
              .where(F.col("a") != F.col("b")).where(_size_fits(limit)).select("a", "b").distinct())
-    links = written(_by_sets(_by_sketch(first, linkable, limit), docs, width, limit), "links")
+    links = written(_by_sets(_by_sketch(first, linkable, limit), texts, width, limit), "links")
     label = connected_components(links)
     member = bucket.select("key", "id", "n").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
     split = written(_still_split(member), "split")
-    alone = _lone_shingles(split.select("id").distinct(), docs, width)
+    alone = _lone_shingles(split.select("id").distinct(), texts, width)
     able = (split.select("key", "id", "n", "label").join(alone, "id", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
             .where(F.expr(f"100 * (n - lone) >= {limit} * n")))
     split = _still_split(able).join(linkable.select("id", "sketch"), "id")
-    more = written(_compare_blocks(split, rows, limit), "candidates")
-    links = written(links.unionAll(_by_sets(more, docs, width, limit)), "links")
+    more = written(_compare_blocks(split, bands, rows, limit), "candidates")
+    links = written(links.unionAll(_by_sets(more, texts, width, limit)), "links")
     label = connected_components(links)
     of_class = classes.join(label.withColumnRenamed("label", "low"), "id", "left").select(
         "node", F.coalesce("low", "id").alias("component_id"))

@@ -347,7 +347,7 @@ def test_estimate_is_close_and_corrected():
             n = int(2000 * share * 2 / (1 + share))
             a, b = np.sort(u[:2000]), np.sort(np.concatenate([u[:n], u[2000:2000 + min(1000, 2000 - n)]]))
             truth = n / (len(a) + len(b) - n)
-            errors.append(near_dup.estimate(near_dup.sketch(a, 256), near_dup.sketch(b, 256), len(a), len(b))[0] - truth)
+            errors.append(near_dup.estimate(near_dup.sketch(a, 512), near_dup.sketch(b, 512), len(a), len(b))[0] - truth)
         assert abs(np.mean(errors)) < 0.03
 
 
