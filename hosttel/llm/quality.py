@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .store import written
-from .text import covered, fields, map_columns, window_hashes, word_hashes
+from .text import covered, fields, map_columns, window_hashes, without, word_hashes
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
 SYMBOLS = "#*$%&|<>"
@@ -119,8 +119,7 @@ def judge(df: DataFrame, text: str = "text", host: str = "source", host_limit: f
         salted = bad.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         joined = made.join(salted, F.expr("__host <=> __bad_host AND __row_salt = __salt"), "left")
     rejected = F.coalesce(F.col("__bad"), F.lit(False))
-    names = [c for c in made.columns if c.lower() not in ("base_failed", "host_rejected", "kept")
-             and not c.startswith("__")]
+    names = without(made, ["base_failed", "host_rejected", "kept", "__host", "__row_salt"])
     return joined.select(*[F.col(f"`{c}`") for c in names],
                          F.expr(BASE_FAILED).alias("base_failed"), rejected.alias("host_rejected"),
                          (~F.expr(BASE_FAILED) & ~rejected).alias("kept"))
