@@ -148,9 +148,15 @@ def _size_fits(limit: int):
     return F.expr(f"100 * least(n_a, n_b) >= {limit} * greatest(n_a, n_b)")
 
 
-def _floor(limit: int, used):
-    """The estimate from ``used`` bins below which a pair is ruled out."""
-    return limit / 100 - SLACK * np.sqrt(limit / 100 * (1 - limit / 100) / np.maximum(used, 1))
+def _floor(limit: int, used, n_both):
+    """The estimate below which a pair is ruled out. The smallest hashes of
+    the ``used`` bins are a random draw without replacement from the union,
+    which holds ``n_both / (1 + limit)`` hashes for a pair at the limit; so
+    for short texts, whose sketch holds nearly all of them, the error is small."""
+    j, union = limit / 100, n_both / (1 + limit / 100)
+    used = np.maximum(used, 1)
+    left = np.clip((union - used) / np.maximum(union - 1, 1), 0, 1)
+    return j - SLACK * np.sqrt(j * (1 - j) / used * left) - 1 / used
 
 
 def _by_sketch(pairs: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
@@ -162,7 +168,7 @@ def _by_sketch(pairs: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
         out = []
         for x, y, p, q in zip(a.to_pylist(), b.to_pylist(), n_a.to_pylist(), n_b.to_pylist(), strict=True):
             j, used = estimate(np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16), p, q)
-            out.append(bool(j >= _floor(limit, used)))
+            out.append(bool(j >= _floor(limit, used, p + q)))
         return [pa.array(out, pa.bool_())]
 
     return map_columns(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b"),
@@ -250,10 +256,10 @@ def _matches(key: int, main, left: list[dict], right: list[dict], bands: int, ro
         other = sketches[fit]
         used = np.count_nonzero(other | own, axis=1)
         share = np.count_nonzero((other == own) & (own > 0), axis=1) / np.maximum(used, 1)
-        for j in fit[share >= _floor(limit, used)].tolist():  # the correction only lowers the share
+        for j in fit[share >= _floor(limit, used, n[fit] + x["n"])].tolist():  # the correction only lowers the share
             y = right[j]
             e, bins = estimate(own, sketches[j], x["n"], y["n"])
-            if e >= _floor(limit, bins):
+            if e >= _floor(limit, bins, x["n"] + y["n"]):
                 same = buckets_of(x)[buckets_of(x) == buckets_of(y)]
                 if len(same) and same[0] == key:
                     out.append((min(x["id"], y["id"]), max(x["id"], y["id"])))
