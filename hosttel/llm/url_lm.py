@@ -5,8 +5,8 @@ they block train one variable-order Markov model each: a character's chance
 after the longest context is mixed with that after each shorter one, by
 Witten-Bell weights, so unseen contexts pass over to shorter ones. A URL that
 no rule fits is blocked when the length-normalised difference of its
-log-likelihoods falls below a threshold, which is calibrated on rule-decided
-URLs that were kept out of training.
+log-likelihoods falls below a threshold, which is calibrated on allowed and on
+blocked rule-decided URLs that were kept out of training.
 
 Counts cover all URLs. Characters are mapped to 40 symbols, so a model of
 order 3 has at most 40**4 counts, whatever the input: that bounds what
@@ -31,8 +31,10 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789./-"
 SYMBOLS, ORDER = 40, 3
 #: One in so many rule-decided URLs is kept for calibration.
 HELD_OUT = 5
-#: Share of held-out allowed URLs that the threshold may block.
+#: Largest share of held-out allowed URLs that the threshold may block.
 FALSE_BLOCKS = 0.01
+#: Held-out scores are counted in cells of this width, up to this size: that bounds what calibration collects.
+CELL, LARGEST = 0.001, 32.0
 
 _SYMBOL = np.zeros(256, np.int64)
 for _i, _c in enumerate(ALPHABET):
@@ -139,6 +141,36 @@ def score(df: DataFrame, difference: np.ndarray, url: str = "url", out: str = "s
     return map_columns(df, [url], fields([(out, T.DoubleType())]), run)
 
 
+def limit_between(cells: Sequence[tuple[int, int, float, float]], false_blocks: float) -> float | None:
+    """The limit with the smallest sum of error rates, from (allowed, blocked,
+    lowest score, highest score) of each cell in order; None without both kinds.
+
+    At most ``false_blocks`` of the allowed lie below it. It is the middle of
+    the two scores it parts, and not above 0 unless a score that it should
+    block is: 0 is where both models find a URL equally likely. Limits of equal
+    error block less.
+    """
+    good, bad = sum(c[0] for c in cells), sum(c[1] for c in cells)
+    if not good or not bad:
+        return None
+    best, limit, lost, caught = 1.0, float("-inf"), 0, 0
+    for below, above in zip(cells, [*cells[1:], None], strict=True):
+        lost, caught = lost + below[0], caught + below[1]
+        error = lost / good + 1 - caught / bad
+        if lost <= false_blocks * good and error < best:
+            middle = (below[3] + above[2]) / 2 if above else np.nextafter(below[3], np.inf)
+            best, limit = error, min(middle, 0.0) if below[3] < 0 else middle
+    return float(limit)
+
+
+def calibrate(scored: DataFrame, false_blocks: float = FALSE_BLOCKS) -> float | None:
+    """``limit_between`` for held-out URLs with a ``score`` and whether they are allowed (``y``)."""
+    cell = F.floor(F.greatest(F.lit(-LARGEST), F.least(F.lit(LARGEST), F.col("score"))) / CELL)
+    rows = (scored.groupBy(cell.alias("cell"))
+            .agg(F.count_if("y"), F.count_if(~F.col("y")), F.min("score"), F.max("score")).collect())
+    return limit_between([tuple(r)[1:] for r in sorted(rows)], false_blocks)
+
+
 def judge(df: DataFrame, rules: Sequence[Rule], url: str = "url", key: str = "page_id",
           false_blocks: float = FALSE_BLOCKS) -> DataFrame:
     """Append ``host``, ``path``, ``rule``, ``score`` and ``verdict``.
@@ -146,8 +178,8 @@ def judge(df: DataFrame, rules: Sequence[Rule], url: str = "url", key: str = "pa
     The rule's verdict where one fits, else ``block`` if the score lies below
     the calibrated threshold, else ``allow``. Null URLs and URLs without
     ``://`` have an empty host and path, fit no rule and are judged by score
-    (null and empty: 0). Without allowed or blocked URLs to train on, or
-    without held-out allowed ones, nothing is blocked by score. Repeated rows
+    (null and empty: 0). Without both allowed and blocked URLs to train on and
+    to calibrate with, nothing is blocked by score. Repeated rows
     are judged alike; columns of the added names are replaced.
     """
     taken = ("host", "path", "rule", "score", "verdict")
@@ -162,8 +194,7 @@ def judge(df: DataFrame, rules: Sequence[Rule], url: str = "url", key: str = "pa
     sides = {r["y"]: r["count"] for r in decided.where("NOT held").groupBy("y").count().collect()}
     if len(sides) == 2:
         difference = train(decided.where("NOT held"), "url", "y")
-        limit = score(decided.where("held AND y").select("url"), difference, "url").agg(
-            F.percentile_approx("score", false_blocks, 10_000)).first()[0]
+        limit = calibrate(score(decided.where("held"), difference, "url"), false_blocks)
     else:
         difference, limit = np.zeros(SYMBOLS ** (ORDER + 1), np.float32), None
     scored = score(base, difference, url)

@@ -304,6 +304,34 @@ def test_smoothed_models_are_distributions():
     assert np.abs(p.sum(axis=1) - 1).max() < 1e-4 and p.min() > 0
 
 
+def test_url_limit_parts_both_held_out_sides():
+    side = lambda good, bad: [(1, 0, x, x) if x in good else (0, 1, x, x) for x in sorted(good + bad)]
+    assert url_lm.limit_between(side([0.1, 0.9], [-0.5, -0.7]), 0.01) == pytest.approx(-0.2)  # inside the gap
+    assert url_lm.limit_between(side([0.9], [-0.1]), 0.01) == 0.0  # not above 0 without evidence
+    assert url_lm.limit_between(side([0.9], [0.1]), 0.01) == pytest.approx(0.5)
+    assert url_lm.limit_between(side([-0.9], [-0.1, -1.9]), 0.01) == pytest.approx(-1.4)  # no allowed one is lost
+    assert url_lm.limit_between(side([-0.9], [-0.1]), 0.01) == float("-inf")
+    assert url_lm.limit_between(side([0.9], []), 0.01) is None and url_lm.limit_between(side([], [0.9]), 0.01) is None
+
+
+@pytest.mark.parametrize("n", [600, 6000])
+def test_url_verdicts_do_not_hang_on_the_table_size(spark, n):
+    """Both error rates among URLs no rule covers, and the share of them that is blocked."""
+    rng = random.Random(n)
+    good, bad = ["news", "science", "garden", "museum", "weather"], ["casino", "jackpot", "xxxpills", "bonus", "poker"]
+    rules = [url_lm.Rule("allow", "good.test", "/"), url_lm.Rule("block", "bad.test", "/")]
+    rows = []
+    for i in range(n):
+        spam = i % 2
+        host = ("bad.test" if spam else "good.test") if i % 3 else "uncovered.example"
+        words = rng.choices(bad if spam else good, k=3)
+        rows.append((i, f"https://{host}/{words[0]}/{'-'.join(words[1:])}-{rng.randrange(10 ** 6)}"))
+    out = url_lm.judge(spark.createDataFrame(rows, "page_id long, url string"), rules).where("rule IS NULL").collect()
+    blocked = {s: [r.verdict == "block" for r in out if r.page_id % 2 == s] for s in (0, 1)}
+    assert sum(blocked[0]) <= 0.01 * len(blocked[0]) and sum(blocked[1]) >= 0.98 * len(blocked[1])
+    assert 0.48 < sum(map(sum, blocked.values())) / len(out) < 0.52
+
+
 # --- 8 ------------------------------------------------------------------
 
 def near_copies(rng, n, words=120, edits=3):
