@@ -1,10 +1,14 @@
 """Quality rules judged by host.
 
 Each document gets counts and rule failures. The failures are added up by
-host; a host's failure rates are shrunk towards the corpus with a beta prior
-whose mean and strength are estimated from all hosts (method of moments,
-hosts weighted by their documents, sampling variance taken off); hosts whose shrunk rate of any rule passes ``host_limit`` are rejected, and
-their verdict is joined back to the documents.
+host; a host's failure rates are shrunk towards the other hosts' with a beta
+prior whose mean and strength are estimated from the rates of all hosts with
+enough documents (method of moments, each host counting once, sampling variance
+taken off); hosts whose shrunk rate of any rule passes ``host_limit`` are
+rejected, and their verdict is joined back to the documents.
+
+The prior never weighs more than a host that has just enough documents, so a
+host's own documents decide, however large and alike the rest of the corpus is.
 """
 
 from __future__ import annotations
@@ -29,8 +33,10 @@ RULES = {
 }
 BASE_FAILED = f"{RULES['few_words']} OR {RULES['repeats']}"
 HOST_LIMIT = 0.5
+#: Documents that are enough to know a host's rates; fewer do not shape the prior.
+ENOUGH = 20
 #: Bounds of the prior's strength, in documents.
-WEAKEST, STRONGEST = 10.0, 10_000.0
+WEAKEST, STRONGEST = 10.0, float(ENOUGH)
 #: Host tables up to this many rows are broadcast; larger ones are joined over salted keys.
 BROADCAST_HOSTS, SALTS = 100_000, 64
 
@@ -78,21 +84,22 @@ def host_verdicts(judged: DataFrame, host: str, host_limit: float = HOST_LIMIT)
     fails = {r: F.sum(F.expr(f"CAST({rule} AS BIGINT)")).alias(f"f_{r}") for r, rule in RULES.items()}
     by_host = written(judged.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("docs"), *fails.values()),
                       "hosts")
-    t = by_host.agg(F.sum("docs").alias("docs"), F.count("*").alias("hosts"),
-                    F.sum(F.col("docs").cast("double") * F.col("docs")).alias("squares"),
-                    *[F.sum(f"f_{r}").alias(r) for r in RULES]).first()  # a few numbers
-    docs = t["docs"] or 1
-    mean = {r: (t[r] or 0) / docs for r in RULES}
-    spread = by_host.agg(*[
-        F.sum(F.col("docs") * F.pow(F.col(f"f_{r}") / F.col("docs") - mean[r], F.lit(2.0))).alias(r)
-        for r in RULES]).first()
-    rated, extra = by_host, t["hosts"] - 1
+    known = F.col("docs") >= ENOUGH
+    t = by_host.agg(F.sum("docs").alias("docs"), F.avg(F.when(known, 1 / F.col("docs"))).alias("noise"),
+                    *[F.sum(f"f_{r}").alias(f"f_{r}") for r in RULES],
+                    *[f(F.when(known, F.col(f"f_{r}") / F.col("docs"))).alias(f"{n}_{r}")
+                      for r in RULES for n, f in (("mean", F.avg), ("spread", F.var_samp))]).first()  # a few numbers
+    rated = by_host
     for r in RULES:
-        single = mean[r] * (1 - mean[r])  # variance of one document's failure
-        room = single * (docs - (t["squares"] or 0) / docs - extra)
-        alike = ((spread[r] or 0) - single * extra) / room if room > 0 else 0  # of documents of one host
+        mean = t[f"mean_{r}"]
+        if mean is None:  # no host has enough documents
+            mean = (t[f"f_{r}"] or 0) / (t["docs"] or 1)
+        single = mean * (1 - mean)  # variance of one document's failure
+        alike = 0.0  # of documents of one host
+        if single > 0 and t[f"spread_{r}"] is not None:
+            alike = (t[f"spread_{r}"] / single - t["noise"]) / (1 - t["noise"])
         strength = max(WEAKEST, min(STRONGEST, (1 - alike) / alike if alike > 0 else STRONGEST))
-        rated = rated.withColumn(f"rate_{r}", (F.col(f"f_{r}") + mean[r] * strength) / (F.col("docs") + strength))
+        rated = rated.withColumn(f"rate_{r}", (F.col(f"f_{r}") + mean * strength) / (F.col("docs") + strength))
     worst = F.greatest(*[F.col(f"rate_{r}") for r in RULES])
     return rated.select("host", "docs", *[f"rate_{r}" for r in RULES], (worst > host_limit).alias("rejected"))
 

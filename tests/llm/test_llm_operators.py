@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hosttel.llm import (decontam, near_dup, pii, quality, revisit, sentencepiece_bpe, shard, substring_dedup,
                          token_shards, url_lm)
@@ -192,6 +193,18 @@ def test_host_rates_shrink_and_reject(spark):
     assert salted == {i: r.kept for i, r in out.items()}
 
 
+@pytest.mark.parametrize("hosts, docs", [(20, 500), (20, 5_000), (20, 500_000), (200, 500), (20_000, 500)])
+def test_host_verdicts_do_not_hang_on_the_corpus_size(spark, monkeypatch, hosts, docs):
+    """Hosts whose documents all fail are rejected beside few or many, small or large hosts that fail 1 % of theirs."""
+    counts = [(f"h{i}", docs, docs // 100) for i in range(hosts)] + [("bad", 100, 100), ("small", 20, 20), ("one", 1, 1)]
+    table = spark.createDataFrame(counts, "host string, docs long, f long").select(
+        "host", "docs", *[F.col("f").alias(f"f_{r}") for r in quality.RULES])
+    monkeypatch.setattr(quality, "written", lambda df, name: table)  # the counts by host, without 10**7 documents
+    judged = spark.createDataFrame([], "source string, " + ", ".join(f"{c} long" for c in quality.COUNTS))
+    rejected = quality.host_verdicts(judged, "source").where("rejected").collect()
+    assert {r.host for r in rejected} == {"bad", "small"}
+
+
 def test_quality_edge_rows(edge, empty):
     out = quality.judge(edge).collect()
     assert len(out) == len(EDGE) and not any(r.kept for r in out)
