@@ -8,7 +8,8 @@ no rule fits is blocked when the length-normalised difference of its
 log-likelihoods falls below a threshold, which is calibrated on allowed and on
 blocked rule-decided URLs that were kept out of training.
 
-Counts cover all URLs. Characters are mapped to 40 symbols, so a model of
+The final counts cover all rule-decided URLs: once the threshold is found, the
+models are fitted again with the held-out ones. Characters are mapped to 40 symbols, so a model of
 order 3 has at most 40**4 counts, whatever the input: that bounds what
 reaches the driver and what the tasks get.
 """
@@ -195,6 +196,7 @@ def judge(df: DataFrame, rules: Sequence[Rule], url: str = "url", key: str = "pa
     if len(sides) == 2:
         difference = train(decided.where("NOT held"), "url", "y")
         limit = calibrate(score(decided.where("held"), difference, "url"), false_blocks)
+        difference = train(decided, "url", "y")
     else:
         difference, limit = np.zeros(SYMBOLS ** (ORDER + 1), np.float32), None
     scored = score(base, difference, url)

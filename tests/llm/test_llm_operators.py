@@ -345,6 +345,16 @@ def test_url_verdicts_do_not_hang_on_the_table_size(spark, n):
     assert 0.48 < sum(map(sum, blocked.values())) / len(out) < 0.52
 
 
+def test_url_scores_come_from_all_labelled_urls(spark):
+    """Also from those that were held out to find the limit."""
+    rules = [url_lm.Rule("allow", "good.test", "/"), url_lm.Rule("block", "bad.test", "/")]
+    rows = [(i, f"https://{'good' if i % 2 else 'bad'}.test/{i * i}") for i in range(200)] + [(200, "https://x.example/144")]
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    table = url_lm.train(df.where("page_id < 200").withColumn("y", F.expr("page_id % 2 = 1")), "url", "y")
+    for r in url_lm.judge(df, rules).collect():
+        assert r.score == pytest.approx(table[url_lm.grams(url_lm.symbols(r.url))].mean())
+
+
 # --- 8 ------------------------------------------------------------------
 
 def near_copies(rng, n, words=120, edits=3):
