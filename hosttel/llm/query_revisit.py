@@ -14,8 +14,9 @@ from . import revisit
 from .registry import register, table
 
 
-def records_sql(pages: str, array: str, close: str, long: str) -> str:
-    """Capture records of ``pages`` in a SQL that both engines read."""
+def records_sql(pages: str, array: str, close: str, long: str, payload: str = "md5({body})") -> str:
+    """Capture records of ``pages`` in a SQL that both engines read. ``payload``
+    is made from the response's ``{body}``: the operator gets it whole."""
     start = f"1700000000 + CAST((page_id * 7919) % 864000 AS {long})"
     tag = "'\"' || md5(html) || '\"'"
 
@@ -28,7 +29,7 @@ def records_sql(pages: str, array: str, close: str, long: str) -> str:
     {etag} AS etag, CASE WHEN page_id % 4 <> 1 THEN {start} + {delay} - 3600 END AS last_modified,
     {headers("'Content-Type: text/html'", f"'Date: ' || ({start} + {delay})", f"'ETag: ' || {etag}",
              "'Server: s' || (page_id % 7)", "'Cache-Control: max-age=60'")} AS headers,
-    md5({body}) AS payload FROM {pages} WHERE {where}"""
+    {payload.format(body=body)} AS payload FROM {pages} WHERE {where}"""
 
     def again(n: int, delay: str, url: str, where: str) -> str:
         return f"""SELECT page_id, page_id * 8 + {n} AS record_id, {url} AS url, {start} + {delay} AS ts,
@@ -86,7 +87,7 @@ FROM judged
 @register("op9_revisit_resolution", SQL)
 def op9_revisit_resolution(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    records = spark.sql(records_sql("{pages}", "array(", ")", "BIGINT"), pages=pages)
+    records = spark.sql(records_sql("{pages}", "array(", ")", "BIGINT", "{body}"), pages=pages)
     return revisit.resolve(records).select(
         "record_id", F.expr("record_id DIV 8").alias("page_id"), "canonical", "response_id", "verdict",
-        F.array_join("headers", "\n").alias("headers"), "payload")
+        F.array_join("headers", "\n").alias("headers"), F.md5("payload").alias("payload"))

@@ -1,5 +1,6 @@
 """Edge cases and exactness of the operators on small inputs."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -414,6 +415,21 @@ RECORD = ("record_id long, url string, ts long, kind string, etag string, last_m
           "payload string, extra string")
 
 
+def test_op9_resolves_whole_bodies(spark, monkeypatch):
+    from hosttel.llm import query_revisit
+
+    sf, seen = "/root/testdata/sf0.001", []
+    resolve = revisit.resolve
+    monkeypatch.setattr(revisit, "resolve", lambda records: seen.append(resolve(records)) or seen[0])
+    out = {r.record_id: r.payload for r in query_revisit.op9_revisit_resolution(spark, sf).collect()}
+    html = {r.page_id: r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    found = [r for r in seen[0].collect() if r.verdict == "resolved"]
+    assert found
+    for r in found:
+        body = html[r.response_id // 8] + ("v2" if r.response_id % 8 else "")
+        assert r.payload == body and out[r.record_id] == hashlib.md5(body.encode()).hexdigest()
+
+
 def test_revisits(spark):
     h = ["Date: 1", "ETag: a", "Server: s"]
     rows = [
