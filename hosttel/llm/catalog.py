@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import (  # noqa: F401
     query_collocations,
+    query_licenses,
     query_decontam,
     query_near_dup,
     query_pii,
