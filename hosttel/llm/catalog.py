@@ -14,5 +14,6 @@ from . import (  # noqa: F401
     query_substring,
     query_tokens,
     query_url,
+    query_whitening,
 )
 from .registry import ORACLE, QUERIES  # noqa: F401
