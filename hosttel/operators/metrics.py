@@ -7,8 +7,10 @@ prediction table is scanned once per metric family, not once per metric.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
@@ -114,17 +116,84 @@ def roc_points(df: DataFrame, score: str = "score", label: str = "label",
     return origin.unionByName(pts)
 
 
-def auc_from_points(points: DataFrame) -> DataFrame:
-    """Area under the ROC points by the trapezoid rule (W5), one row ``auc``.
+def score_bins(df: DataFrame, score: str = "score", label: str = "label", positive=1, bins: int = 1000,
+               closed: str = "left") -> DataFrame:
+    """Counts of positives and negatives in ``bins`` equal parts of [0, 1]
+    (M12, M13): ``(bin, pos, neg)``, at most ``bins`` rows whatever the input.
+
+    One partial aggregate. Counts are mergeable: those of several days or
+    streams add up. A part holds its lower edge (``closed="left"``) or its
+    upper one (``"right"``, for scores that are one minus another's); 0 and 1
+    belong to the outermost parts. Rows without score or label are left out.
+    """
+    if closed not in ("left", "right"):
+        raise ValueError(closed)
+    # a score that is an edge up to rounding is that edge
+    at = F.round(F.col(score).cast("double") * bins, 9)
+    part = F.floor(at) if closed == "left" else F.ceil(at) - 1
+    is_pos = (F.col(label) == F.lit(positive)).cast("long")
+    return (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+            .groupBy(F.greatest(F.lit(0), F.least(F.lit(bins - 1), part)).cast("int").alias("bin"))
+            .agg(F.sum(is_pos).alias("pos"), F.sum(1 - is_pos).alias("neg")))
+
+
+def merge_bins(*tables: DataFrame) -> DataFrame:
+    """The counts of several ``score_bins`` added up."""
+    return reduce(DataFrame.unionByName, tables).groupBy("bin").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
 
-    Each point is paired with its predecessor by an equi-join on
-    ``point - 1`` (unique keys, no window over the whole curve).
+def roc_of_bins(counts: DataFrame, bins: int = 1000) -> DataFrame:
+    """ROC curve from ``score_bins``: ``(point, threshold, pos, neg, fpr, tpr)``,
+    thresholds descending, one point per occupied part and the origin (point 0).
+
+    ``threshold`` is the part's lower edge. The window has no partition but at
+    most ``bins`` rows. Labels of one class only are an error.
     """
-    prev = points.select((F.col("point") + 1).alias("point"),
-                         F.col("fpr").alias("fpr0"), F.col("tpr").alias("tpr0"))
-    seg = points.join(prev, "point")
-    return seg.agg(F.sum((F.col("fpr") - F.col("fpr0")) * (F.col("tpr") + F.col("tpr0")) / 2.0)
-                   .alias("auc"))
+    high_first = Window.orderBy(F.desc("bin"))
+    upto = high_first.rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    both = F.sum("pos").over(whole) * F.sum("neg").over(whole)
+    share = lambda c: (F.when(both > 0, F.sum(c).over(upto) / F.sum(c).over(whole))
+                       .otherwise(F.raise_error(F.lit("roc: labels hold only one class")).cast("double")))
+    points = counts.select(F.row_number().over(high_first).cast("long").alias("point"),
+                           (F.col("bin") / F.lit(float(bins))).alias("threshold"), "pos", "neg",
+                           share("neg").alias("fpr"), share("pos").alias("tpr"))
+    origin = counts.sparkSession.range(1).select(
+        F.lit(0).cast("long").alias("point"), F.lit(float("inf")).alias("threshold"),
+        F.lit(0).cast("long").alias("pos"), F.lit(0).cast("long").alias("neg"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return origin.unionByName(points)
+
+
+def area_of_bins(counts: DataFrame) -> DataFrame:
+    """``(auc, off_by)``, one row: the area under the curve of the parts, and
+    the most by which it can differ from the area under the exact curve (the
+    pairs of unlike rows that share a part, whose order is not known, halved)."""
+    high_first = Window.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
+    tp = F.sum("pos").over(high_first)
+    pairs = F.sum("pos") * F.sum("neg")
+    area = F.sum(F.col("neg") * (2 * F.col("tp") - F.col("pos")) / 2.0)
+    return counts.select("pos", "neg", tp.alias("tp")).agg(
+        F.when(pairs > 0, area / pairs).alias("auc"),
+        F.when(pairs > 0, F.sum(F.col("pos") * F.col("neg")) / 2.0 / pairs).alias("off_by"))
+
+
+def model_roc(pred: DataFrame, label: str = "attack", prob_col: str = "probability", bins: int = 1000) -> DataFrame:
+    """The ROC curve of a fitted model's probabilities in both label forms
+    (M12, P12, M13): ``(form, point, threshold, pos, neg, fpr, tpr)``.
+
+    Form ``attack`` scores P(class 1) against the label, form ``normal``
+    P(class 0) against ``1 - label`` (``score_label``). The parts of the second
+    hold their upper edges, so the two curves mirror each other exactly: a
+    point (fpr, tpr) of one is (1 - tpr, 1 - fpr) on the other. Each form is one scan of the scored rows and
+    at most ``bins`` counts.
+    """
+    out = None
+    for form, positive, closed in (("attack", 1, "left"), ("normal", 0, "right")):
+        counts = score_bins(score_label(pred, label, prob_col, positive), bins=bins, closed=closed)
+        curve = roc_of_bins(checkpointed(counts), bins)
+        curve = curve.select(F.lit(form).alias("form"), "*")
+        out = curve if out is None else out.unionByName(curve)
+    return out
 
 
 def auc(df: DataFrame, score: str = "score", label: str = "label", positive=1) -> DataFrame:
@@ -139,8 +208,8 @@ def auc(df: DataFrame, score: str = "score", label: str = "label", positive=1) -
 
 
 def scored_metrics(df: DataFrame, score: Column, label: str, prediction: str) -> DataFrame:
-    """AUC and the multiclass metrics, one row, from one pass over the scored
-    rows: both start from the counts by (score, label, prediction)."""
+    """Rows scored, AUC and the multiclass metrics, one row, from one pass over
+    the scored rows: all start from the counts by (score, label, prediction)."""
     counts = checkpointed(df.groupBy(score.alias("score"), F.col(label).cast("double").alias("label"),
                                      F.col(prediction).cast("double").alias("prediction"))
                           .agg(F.count(F.lit(1)).alias("n")))
@@ -151,4 +220,5 @@ def scored_metrics(df: DataFrame, score: Column, label: str, prediction: str) ->
     cum = prefix_sums(by_score, [F.desc("threshold")], ["pos", "neg"], ["tp", "fp"])
     area = cum.agg((F.sum(F.col("neg") * (2 * F.col("tp") - F.col("pos")) / 2.0)
                     / (F.sum("pos") * F.sum("neg"))).alias("auc"))
-    return metrics_of_confusion(cm).select(area.scalar().alias("auc"), "*")
+    scored = counts.agg(F.coalesce(F.sum("n"), F.lit(0)))
+    return metrics_of_confusion(cm).select(scored.scalar().alias("scored"), area.scalar().alias("auc"), "*")

@@ -8,5 +8,13 @@ summation order cannot change the compared value.
 
 from __future__ import annotations
 
-from . import queries_batch, queries_messages, queries_models, queries_sources, queries_streams  # noqa: F401
+from . import (  # noqa: F401
+    queries_batch,
+    queries_messages,
+    queries_models,
+    queries_process,
+    queries_sources,
+    queries_streams,
+    queries_trees,
+)
 from .registry import DIGITS, ORACLE, QUERIES, register, with_views  # noqa: F401

@@ -16,7 +16,7 @@ flow, same models:
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier
@@ -36,7 +36,6 @@ class FeatureSpec:
     numeric: list[str]
     label: str = "attack"
     handle_invalid: str = "keep"
-    extra: dict = field(default_factory=dict)
 
     @property
     def index_cols(self) -> list[str]:
@@ -69,15 +68,14 @@ def feature_stages(spec: FeatureSpec) -> list:
     """
     numbers = [f"CAST({c} AS DOUBLE) AS {n}, CAST({c} IS NULL OR isnan(CAST({c} AS DOUBLE)) AS DOUBLE) AS {m}"
                for c, n, m in zip(spec.numeric, spec.number_cols, spec.missing_cols, strict=True)]
-    cast = SQLTransformer(statement=f"SELECT *, {', '.join(numbers)} FROM __THIS__")
-    imputer = Imputer(inputCols=spec.number_cols, outputCols=[f"{c}_filled" for c in spec.numeric], strategy="mean")
-    indexer = StringIndexer(inputCols=spec.categorical, outputCols=spec.index_cols,
-                            handleInvalid=spec.handle_invalid)
-    encoder = OneHotEncoder(inputCols=spec.index_cols, outputCols=spec.vec_cols)
-    assembler = VectorAssembler(
+    stages: list = [SQLTransformer(statement=f"SELECT *, {', '.join(numbers)} FROM __THIS__"),
+                    Imputer(inputCols=spec.number_cols, outputCols=[f"{c}_filled" for c in spec.numeric], strategy="mean")]
+    if spec.categorical:
+        stages += [StringIndexer(inputCols=spec.categorical, outputCols=spec.index_cols, handleInvalid=spec.handle_invalid),
+                   OneHotEncoder(inputCols=spec.index_cols, outputCols=spec.vec_cols)]
+    return [*stages, VectorAssembler(
         inputCols=spec.vec_cols + [f"{c}_filled" for c in spec.numeric] + spec.missing_cols,
-        outputCol="features", handleInvalid="error")
-    return [cast, imputer, indexer, encoder, assembler]
+        outputCol="features", handleInvalid="error")]
 
 
 def classifier(kind: str, spec: FeatureSpec, **params):
@@ -100,10 +98,10 @@ def fit_models(train: DataFrame, spec: FeatureSpec, kinds=("dt", "gbt"),
     """Fit the feature stages once, then each classifier on the shared
     features; returns one ``PipelineModel`` per kind (M9)."""
     params = params or {}
-    label_ok = train.where(F.col(spec.label).isNotNull())
-    feats = Pipeline(stages=feature_stages(spec)).fit(label_ok)
-    prepared = feats.transform(label_ok).select("features", F.col(spec.label).cast("double")
-                                                .alias(spec.label)).cache()
+    # the sample's columns once: the feature stages and the trees each read it again
+    sample = train.where(F.col(spec.label).isNotNull()).select(*spec.categorical, *spec.numeric, spec.label).cache()
+    feats = Pipeline(stages=feature_stages(spec)).fit(sample)
+    prepared = feats.transform(sample).select("features", F.col(spec.label).cast("double").alias(spec.label)).cache()
     try:
         out = {}
         for kind in kinds:
@@ -112,6 +110,7 @@ def fit_models(train: DataFrame, spec: FeatureSpec, kinds=("dt", "gbt"),
         return out
     finally:
         prepared.unpersist()
+        sample.unpersist()
 
 
 def train_test(df: DataFrame, spec: FeatureSpec, key: str | None = None,
@@ -141,13 +140,12 @@ def evaluate(pred: DataFrame, spec: FeatureSpec) -> DataFrame:
 
 
 def final_model(df: DataFrame, spec: FeatureSpec, path: str | None = None, kind: str = "gbt",
-                seed: int = S.SEED, **params) -> PipelineModel:
-    """Balance the *whole* cleaned table, fit, optionally save."""
-    sample = S.balance(df, spec.label, seed=seed).cache()
-    try:
-        model = tree_pipeline(spec, kind, **params).fit(sample)
-    finally:
-        sample.unpersist()
+                seed: int = S.SEED, key: str | None = None, **params) -> PipelineModel:
+    """Balance the *whole* cleaned table, fit, optionally save.
+    With ``key`` the sample is a function of the rows, however they are
+    partitioned; without, rows are drawn at random as by ``sampleBy``."""
+    sample = S.balance(df, spec.label, seed=seed, method="hash" if key else "bernoulli", key=key)
+    model = fit_models(sample, spec, (kind,), {kind: params})[kind]
     if path:
         model.write().overwrite().save(path)
     return model

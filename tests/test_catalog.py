@@ -38,7 +38,8 @@ def duck():
 
 
 def test_every_query_is_known():
-    assert set(SQL) == set(catalog.QUERIES) and len(SQL) >= 60  # every query has its SQL
+    # trees of depth five have no SQL; tests/test_models.py compares their metrics with Spark's evaluators
+    assert set(catalog.QUERIES) - set(SQL) == {"model_metrics", "model_metrics_memory"} and len(SQL) >= 70
     assert set(SQL) <= set(E.oracle_sql()) and set(catalog.QUERIES) <= set(E.queries())
 
 
