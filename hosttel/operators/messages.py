@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timefmt import clock_text, max_label, min_label
-from .ordinal import ordinal
+from ..session import checkpointed
+from .ordinal import ordinal, prefix_sums
 
 # fixed framing defaults: rows per machine per tick sent on time, and rows
 # held back per machine per tick (the reference draws 20–80 and 0–5 at
@@ -187,19 +188,49 @@ def deliveries(framed: DataFrame, times: int = 2, offset: str = "offset_id") ->
 
 
 def pack_messages(rows: DataFrame, row_cols: list[str], offset: str = "offset_id",
-                  by: list[str] = ("machine",), order: list[str] = ("sequence",)) -> DataFrame:
+                  by: list[str] = ("machine",), order: list[str] = ("sequence",), keep_by: bool = False) -> DataFrame:
     """Rows → JSON-array values (E1, F7): one record per (message, machine),
     so a record is bounded by one machine's rows in one tick however many
-    machines there are. Rows inside are ordered by ``order``.
+    machines there are (``pack_bounded`` bounds it in bytes). Rows inside are
+    ordered by ``order``; ``keep_by`` keeps the columns ``by``.
     """
     key = [F.col(c) for c in order]
     rec = F.struct(*key, F.struct(*[F.col(c) for c in row_cols]).alias("r"))
     return (rows.groupBy(offset, *by)
             .agg(F.array_sort(F.collect_list(rec)).alias("_rs"))
-            .select(F.col(offset),
+            .select(F.col(offset), *(by if keep_by else ()),
                     F.to_json(F.transform("_rs", lambda x: x["r"])).alias("value")))
 
 
+def pack_bounded(rows: DataFrame, row_cols: list[str], max_bytes: int, offset: str = "offset_id",
+                 by: list[str] = ("machine",), order: list[str] = ("sequence",)) -> DataFrame:
+    """Rows → JSON-array values of at most ``max_bytes`` bytes.
+
+    ``(offset, *by, part, n_rows, value)``: the rows of a message follow one
+    another in ``order`` over as many parts as they need. A row's place in its
+    message is the running sum of the rows' sizes before it (``prefix_sums``,
+    so a message may be larger than a task), and a part takes the rows that
+    begin within a stride of the bound less the largest row. So no part passes
+    the bound, and only one part's rows ever meet. A row that does not fit the
+    bound by itself is an error.
+    """
+    group = [offset, *by]
+    texts = rows.select(*group, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
+                        F.to_json(F.struct(*row_cols)).alias("_t"))
+    sized = checkpointed(texts.withColumn("_size", F.octet_length("_t").cast("bigint") + 1))  # with a comma or bracket
+    biggest = sized.agg(F.max("_size")).first()[0] or 0
+    if biggest + 1 > max_bytes:
+        raise ValueError(f"a row needs {biggest + 1} bytes, a message has {max_bytes}")
+    keys = [f"_o{i}" for i in range(len(order))]
+    placed = prefix_sums(sized, keys, ["_size"], ["_upto"], group_by=group)
+    part = F.floor((F.col("_upto") - F.col("_size")) / F.lit(max_bytes - biggest)).cast("bigint")
+    rec = F.struct(*keys, "_t")
+    return (placed.withColumn("part", part).groupBy(*group, "part")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.array_sort(F.collect_list(rec)).alias("_rs"))
+            .select(*group, "part", "n_rows",
+                    F.concat(F.lit("["), F.array_join(F.transform("_rs", lambda x: x["_t"]), ","), F.lit("]")).alias("value")))
+
+
 def unpack_messages(messages: DataFrame, row_schema: T.StructType, value: str = "value",
                     keep: list[str] = ("offset_id",), pos: str = "pos") -> DataFrame:
     """JSON-array value → one row per element, with its position."""

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..session import checkpointed
 from .ordinal import prefix_sums
+from .sample import exact_sample
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
@@ -66,6 +67,53 @@ def top_values_many(df: DataFrame, cols: list[str], k: int = 10) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
+def count_cells(df: DataFrame, col: str, cells: int = 1 << 16) -> DataFrame:
+    """``(cell, n)``: rows per hashed value, a sketch of at most ``cells`` rows.
+    A value is in its cell at most as often as ``n`` says; sketches of parts of
+    a table add up."""
+    cell = F.pmod(F.xxhash64(F.col(col)), F.lit(cells)).cast("int")
+    return df.where(F.col(col).isNotNull()).groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def heavy_hitters(df: DataFrame, col: str, k: int = 10, name: str = "Total", cells: int = 1 << 16,
+                  first: int | None = None) -> DataFrame:
+    """The exact top ``k`` values of a column of any number of values, ties by
+    value (A4, O1): ``(col, name)``, as ``top_values`` without nulls.
+
+    A first pass counts cells of hashed values; a cell's count bounds that of
+    every value in it. A second pass counts the values of the ``first``
+    fullest cells exactly (only those rows meet in a shuffle). The ``k``-th
+    best so far is a bound: fuller cells that were not looked at are counted
+    too, until none is left. So the answer is exact, whatever the hash does.
+    """
+    sketch = checkpointed(count_cells(df, col, cells))
+    first = 4 * k if first is None else first
+    done: list[int] = []
+    best = None
+    while True:
+        # the fullest cells not counted yet; each round takes more of them
+        rest = sketch.where(~F.col("cell").isin(done)) if done else sketch
+        bound = None
+        if best is not None:
+            last = best.agg(F.count(F.lit(1)).alias("k"), F.min(name).alias("n")).first()
+            bound = last["n"] if last["k"] == k else 0
+            rest = rest.where(F.col("n") >= bound)
+        found = [r["cell"] for r in rest.orderBy(F.desc("n"), "cell").limit(first).collect()]  # ``first`` numbers
+        if not found:
+            break
+        done += found
+        cell = F.pmod(F.xxhash64(F.col(col)), F.lit(cells)).cast("int")
+        picked = F.broadcast(df.sparkSession.createDataFrame([(c,) for c in found], "_cell int"))
+        part = (df.where(F.col(col).isNotNull()).select(F.col(col), cell.alias("_cell")).join(picked, "_cell")
+                .groupBy(col).agg(F.count(F.lit(1)).alias(name)))
+        top = part if best is None else best.unionByName(part)
+        best = checkpointed(top.orderBy(F.desc(name), F.asc(col)).limit(k))
+        first *= 4
+    if best is None:
+        return df.select(col).where("false").groupBy(col).agg(F.count(F.lit(1)).alias(name))
+    return best.orderBy(F.desc(name), F.asc(col))
+
+
 def sum_by(df: DataFrame, key: str = "type", value: str = "attack",
            name: str = "total_attacks") -> DataFrame:
     """Attacks per attack type, largest first (A5, O2, V1)."""
@@ -228,8 +276,13 @@ def grid_density(df: DataFrame, x: str, y: str, x_width: float, y_width: float,
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def scatter_sample(df: DataFrame, cols: list[str], label: str = "attack",
-                   fraction: float = 0.01, seed: int = 0) -> DataFrame:
-    """A uniform sample of points for drawing (V2, V3); every class keeps the
-    same fraction."""
-    return df.select(*cols, label).sample(fraction=fraction, seed=seed)
+def scatter_sample(df: DataFrame, cols: list[str], label: str = "attack", fraction: float = 0.01,
+                   seed: int = 0, size: int | None = None, key: str | None = None) -> DataFrame:
+    """A uniform sample of points for drawing (V2, V3). With ``size`` and
+    ``key`` exactly so many of each class, always the same ones
+    (``exact_sample``); else every class keeps the same fraction."""
+    if size is None:
+        return df.select(*cols, label).sample(fraction=fraction, seed=seed)
+    if key is None:
+        raise ValueError("a sample of a fixed size needs a key column")
+    return exact_sample(df.select(*dict.fromkeys([*cols, label, key])), size, key, label, seed).select(*cols, label)

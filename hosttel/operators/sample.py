@@ -7,7 +7,7 @@ The balance ratio is computed from class totals with a *scalar subquery*
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,10 +145,60 @@ def balance(df: DataFrame, label: str = "attack", keep: float = KEEP_ATTACK,
     return df.where(keep_row)
 
 
-def stratified_sample(df: DataFrame, label: str, fractions: dict, seed: int = SEED) -> DataFrame:
-    """``sampleBy`` with fractions clamped to [0, 1] (M2)."""
-    safe = {k: min(max(float(v), 0.0), 1.0) for k, v in fractions.items()}
-    return df.sampleBy(label, safe, seed)
+def exact_sample(df: DataFrame, k: int, key: str, by: str | None = None, seed: int = SEED) -> DataFrame:
+    """Exactly ``k`` rows of each class of ``by`` (all rows of smaller
+    classes), or of the whole table (M2, V2, V3).
+
+    Every row has a priority, a hash of its key (``key_unit``), and the ``k``
+    lowest of a class are its sample, ties by key. So a sample depends on the
+    keys only, samples of parts of the table merge into that of the whole
+    (``exact_sample`` of their union), and a smaller sample is part of a
+    larger one.
+
+    Priorities are uniform, so the ``k``-th lies near ``k / n``: counts of the
+    rows below and within a narrow band around it (a few numbers per class)
+    tell which rows are in for certain; only the band, whose size goes with
+    the square root of ``k``, is ordered. A band that misses is widened. Rows
+    with equal keys are told apart by nothing, so which of them is taken is
+    not determined. A null class is a class; null keys come last.
+    """
+    if k < 0:
+        raise ValueError(k)
+    group = F.lit(0) if by is None else F.col(by)
+    u = F.coalesce(key_unit(df, key, seed, "sample"), F.lit(1.0))
+    rows = df.select("*", u.alias("_u"), group.alias("_g"))
+    totals = {r["_g"]: r["n"] for r in rows.groupBy("_g").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per class
+    width = 8.0
+    bands: dict = {}
+    todo = dict(totals)
+    while todo:
+        for g, n in todo.items():
+            half = width * (k ** 0.5 + 1)
+            bands[g] = (max(0.0, (k - half) / n), min(2.0, (k + half) / n) if k + half < n else 2.0)
+        band = rows.join(F.broadcast(_bands(df, bands, by)), F.col("_g").eqNullSafe(F.col("_bg")))
+        counts = {r["_g"]: r for r in band.groupBy("_g").agg(
+            F.count_if(F.col("_u") < F.col("_lo")).alias("below"),
+            F.count_if(F.col("_u") < F.col("_hi")).alias("upto")).collect()}
+        todo = {g: totals[g] for g, r in counts.items()
+                if g in todo and (r["below"] > k or r["upto"] < min(k, totals[g]))}
+        width *= 4
+    if not totals:
+        return df
+    need = {g: (lo, hi, k - counts[g]["below"]) for g, (lo, hi) in bands.items()}
+    banded = rows.join(F.broadcast(_bands(df, need, by)), F.col("_g").eqNullSafe(F.col("_bg")))
+    sure = banded.where(F.col("_u") < F.col("_lo"))
+    edge = banded.where((F.col("_u") >= F.col("_lo")) & (F.col("_u") < F.col("_hi")))
+    best = Window.partitionBy("_g").orderBy("_u", F.asc_nulls_last(key))
+    taken = edge.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= F.col("_need")).drop("_r")
+    return sure.unionByName(taken).select(*df.columns)
+
+
+def _bands(df: DataFrame, bands: dict, by: str | None) -> DataFrame:
+    """One row per class: its band, and how many of the band's rows are needed."""
+    kind = T.IntegerType() if by is None else df.schema[by].dataType
+    schema = T.StructType([T.StructField("_bg", kind), T.StructField("_lo", T.DoubleType()),
+                           T.StructField("_hi", T.DoubleType()), T.StructField("_need", T.LongType())])
+    return df.sparkSession.createDataFrame([(g, b[0], b[1], b[2] if len(b) > 2 else 0) for g, b in bands.items()], schema)
 
 
 def string_index(df: DataFrame, col: str, name: str | None = None, count_name: str = "n") -> DataFrame:

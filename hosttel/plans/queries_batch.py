@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ..functions import size_to_double, size_to_long, strip_brackets
 from ..operators import audit, profile
+from ..operators.sample import exact_sample, unit_sql
 from ..sources.fixtures import MEM_SQL, PROC_DIRTY_SQL, PROC_SQL, mem, proc, proc_dirty
 from .registry import DIGITS, register, with_views
 
@@ -268,3 +269,41 @@ def q_grid_density_mem(spark, sf):
     """Memory scatter data (sizes against sizes) as decade-grid counts per class (V3)."""
     return profile.grid_density(_mem_clean(spark, sf), "vsize", "rsize", 1.0, 1.0, "attack",
                                 log_scale=True)
+
+
+# --- columns of many values, samples of a fixed size ---------------------------
+
+@register("top_pids", PROC + """
+SELECT pid, count(*) AS "Total" FROM proc WHERE pid IS NOT NULL GROUP BY pid ORDER BY 2 DESC, 1 LIMIT 25""")
+def q_top_pids(spark, sf):
+    """The 25 most frequent process ids, by cell counts and an exact second pass (A4, O1)."""
+    return profile.heavy_hitters(proc(spark, sf), "pid", 25, "Total")
+
+
+@register("top_faults", with_views(MEM_SQL) + """
+SELECT minflt, count(*) AS "Total" FROM mem WHERE minflt IS NOT NULL GROUP BY minflt ORDER BY 2 DESC, 1 LIMIT 10""")
+def q_top_faults(spark, sf):
+    """The same for a column whose values are nearly all different."""
+    return profile.heavy_hitters(mem(spark, sf), "minflt", 10, "Total")
+
+
+SAMPLE_SIZE = 200
+
+
+def _exact_sql(view: str, name: str, cols: str, key: str) -> str:
+    return view + f"""
+SELECT {cols} FROM {name}
+QUALIFY row_number() OVER (PARTITION BY attack ORDER BY {unit_sql(key, purpose='sample')}, {key}) <= {SAMPLE_SIZE}"""
+
+
+@register("exact_sample", _exact_sql(PROC, "proc", "sequence, attack, cpu, tslpi", "sequence"))
+def q_exact_sample(spark, sf):
+    """Exactly 200 rows of each class, by hashed priority (M2)."""
+    p = proc(spark, sf).select("sequence", "attack", "cpu", "tslpi")
+    return exact_sample(p, SAMPLE_SIZE, "sequence", "attack")
+
+
+@register("scatter_points", _exact_sql(PROC, "proc", "cpu, tslpi, attack", "sequence"))
+def q_scatter_points(spark, sf):
+    """Points of a scatter plot, the same number of each class (V2, V3)."""
+    return profile.scatter_sample(proc(spark, sf), ["cpu", "tslpi"], "attack", size=SAMPLE_SIZE, key="sequence")

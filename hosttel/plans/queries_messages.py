@@ -253,3 +253,24 @@ def q_process_trailing(spark, sf):
     consumer's 24-point trailing window (A10, W1)."""
     rows = M.message_rows(_framed(spark, sf), backlog=False)
     return M.trailing_window(M.message_counts(rows), PROC_TRAIL)
+
+
+# --- messages bounded in bytes ----------------------------------------------
+
+MESSAGE_BYTES = 1500
+TEXT_COLS = ["sequence", "machine", "pid", "ts", "cmd", "state", "tslpi"]
+_TEXT_SQL = """concat('{"sequence":', sequence, ',"machine":', machine, CASE WHEN pid IS NULL THEN '' ELSE concat(',"pid":', pid) END,
+         ',"ts":', ts, ',"cmd":"', cmd, '","state":"', state, '"', CASE WHEN tslpi IS NULL THEN '' ELSE concat(',"tslpi":', tslpi) END, '}')"""
+
+
+@register("packed_bounded", with_views(PROC_SQL, DELIVERED_SQL) + f""",
+texts AS (SELECT offset_id, machine, sequence, {_TEXT_SQL} AS t FROM msg),
+placed AS (SELECT *, sum(strlen(t) + 1) OVER (PARTITION BY offset_id, machine ORDER BY sequence ROWS UNBOUNDED PRECEDING) - strlen(t) - 1 AS start,
+                  max(strlen(t) + 1) OVER () AS biggest FROM texts),
+parts AS (SELECT offset_id, machine, CAST(start // ({MESSAGE_BYTES} - biggest) AS BIGINT) AS part, sequence, t FROM placed)
+SELECT offset_id, machine, part, count(*) AS n_rows, concat('[', string_agg(t, ',' ORDER BY sequence), ']') AS value, true AS fits
+FROM parts GROUP BY offset_id, machine, part""")
+def q_packed_bounded(spark, sf):
+    """Messages of at most 1 500 bytes: a tick's rows of one machine over as many as they need."""
+    packed = M.pack_bounded(_delivered(spark, sf), TEXT_COLS, MESSAGE_BYTES)
+    return packed.select("*", (F.octet_length("value") <= MESSAGE_BYTES).alias("fits"))

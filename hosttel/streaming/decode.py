@@ -77,3 +77,59 @@ def write_message_counts(env: DataFrame, row_schema: T.StructType, path: str, ch
     w = rows.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()
+
+
+def checked_messages(env: DataFrame, row_schema: T.StructType, value: str = "value", offset: str = "offset") -> DataFrame:
+    """One row per message with its outcome (ST2): ``(offset_id, value, rows,
+    n_received, n_decoded, n_refused, reason)``.
+
+    ``reason`` is null for a message all of whose rows can be read, else why
+    not: ``no value``, ``not JSON``, ``not an array`` (then the number of rows
+    is not known and 0 counts as received), or ``rows are not objects`` (the
+    others are decoded). ``n_received = n_decoded + n_refused`` always holds,
+    and no message is without a row here.
+    """
+    text = F.col("value").cast("string")
+    size = F.json_array_length(text)
+    base = env.select(F.col(offset).alias("offset_id"), F.col(value).alias("value"))
+    read = base.withColumns({"_n": F.coalesce(size, F.lit(0)).cast("bigint"),
+                             "_read": F.from_json(text, T.ArrayType(row_schema))})
+    # one element that is no object spoils the array as a whole: then each is read by itself
+    single = F.transform(F.from_json(text, T.ArrayType(T.StringType())),
+                         lambda e: F.when(F.startswith(F.ltrim(e), F.lit("{")), F.from_json(e, row_schema)))
+    some = F.when(size.isNotNull(), F.filter(F.coalesce(F.col("_read"), single), lambda r: r.isNotNull()))
+    read = read.withColumn("rows", F.coalesce(some, F.array().cast(T.ArrayType(row_schema))))
+    decoded = F.size("rows").cast("bigint")
+    reason = (F.when(F.col("value").isNull(), "no value").when(F.try_parse_json(text).isNull(), "not JSON")
+              .when(size.isNull(), "not an array").when(decoded < F.col("_n"), "rows are not objects"))
+    return read.select("offset_id", "value", "rows", F.col("_n").alias("n_received"), decoded.alias("n_decoded"),
+                       (F.col("_n") - decoded).alias("n_refused"), reason.alias("reason"))
+
+
+def write_decoded(env: DataFrame, row_schema: T.StructType, path: str, checkpoint: str, value: str = "value",
+                  offset: str = "offset", available_now: bool = False, trigger: str = "5 seconds"):
+    """Decode a stream of messages and lose none without a word (ST2).
+
+    Three tables per micro-batch, under its id (a replayed batch replaces
+    them): ``path/rows`` (offset_id, pos and the row's columns), ``path/refused``
+    (offset_id, reason, n_refused and the message's bytes, to be read again
+    when the reader is mended), ``path/counts`` (what each message held).
+    Returns the ``StreamingQuery``.
+    """
+    path = path.rstrip("/")
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        checked = checked_messages(batch, row_schema, value, offset).persist()
+        try:
+            tables = {
+                "rows": checked.select("offset_id", F.posexplode("rows").alias("pos", "_r")).select("offset_id", "pos", "_r.*"),
+                "refused": checked.where("reason IS NOT NULL").select("offset_id", "reason", "n_refused", "value"),
+                "counts": checked.select("offset_id", "n_received", "n_decoded", "n_refused", "reason")}
+            for name, df in tables.items():
+                df.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
+        finally:
+            checked.unpersist()
+
+    w = env.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
+    return w.start()

@@ -7,6 +7,8 @@ behind the stream) and repeated rows. Watermarks bound the state both need.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,6 +73,46 @@ def read_window_counts(spark: SparkSession, path: str, machine: str = "machine")
             .agg(F.sum("n").alias("n")))
 
 
+def write_window_revisions(rows: DataFrame, path: str, checkpoint: str, event_time: str = "event_time",
+                           delay: str = "1 day", width: str = "1 day", machine: str = "machine",
+                           available_now: bool = False, trigger: str = "5 seconds"):
+    """Window totals under a watermark, in update mode (ST4).
+
+    A window's total is out at once and is revised by every micro-batch that
+    adds to it, until the watermark passes its end; state holds only windows
+    that are still open. A batch's revisions are written under its id, so a
+    replayed batch replaces them; ``read_window_revisions`` merges them.
+    Returns the ``StreamingQuery``.
+    """
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+
+    w = (windowed_counts(rows, event_time, delay, width, machine).writeStream.outputMode("update")
+         .foreachBatch(per_batch).option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
+    return w.start()
+
+
+def read_window_revisions(spark: SparkSession, path: str, received: str | None = None, machine: str = "machine") -> DataFrame:
+    """``(window_start, window_end, machine, n)``: the last revision of every
+    window and machine, in whatever order the tables are read.
+
+    With ``received``, the folder of a ``write_window_counts`` of the same
+    stream, also ``dropped``: the rows of the window that came too late. Windows
+    all of whose rows were dropped are there with ``n`` = 0.
+    """
+    key = ["window_start", "window_end", machine]
+    last = spark.read.parquet(path).groupBy(*key).agg(F.max_by("n", "batch").alias("n"))
+    if received is None:
+        return last
+    came = read_window_counts(spark, received, machine).withColumnRenamed("n", "came")
+    n = F.coalesce("n", F.lit(0))
+    on = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
+    return came.alias("l").join(last.alias("r"), reduce(lambda a, b: a & b, on), "left").select(
+        *[F.col(f"l.{c}").alias(c) for c in key], n.alias("n"), (F.col("came") - n).alias("dropped"))
+
+
 def drop_repeats(rows: DataFrame, keys: list[str] = ("machine", "sequence"),
                  event_time: str = "event_time", delay: str = "3 days") -> DataFrame:
     """Drop repeated rows within the watermark delay (ST5).

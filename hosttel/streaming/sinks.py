@@ -50,9 +50,13 @@ def to_parquet(df: DataFrame, path: str, checkpoint: str, name: str | None = Non
 
 
 def to_table(df: DataFrame, table: str, checkpoint: str, trigger: str | None = None,
-             available_now: bool = False) -> StreamingQuery:
-    """Append a stream to a catalog table readable by any SQL."""
+             available_now: bool = False, path: str | None = None) -> StreamingQuery:
+    """Append a stream to a catalog table readable by any SQL (S8), also while
+    the stream runs and after it was stopped and started again. ``path`` says
+    where a new table's files lie (else in the warehouse)."""
     w = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    if path:
+        w = w.option("path", path)
     w = _trigger(w, trigger, available_now)
     return w.toTable(table)
 
@@ -72,6 +76,14 @@ def query_by_name(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"SELECT * FROM `{name}`")
 
 
+def query_live(spark: SparkSession, table: str, sql: str) -> DataFrame:
+    """SQL over a table that a stream is writing (S8, ST8): ``{table}`` in
+    ``sql`` stands for its name. The files are listed anew, so the rows of all
+    micro-batches that are complete now are seen, and of none that is not."""
+    spark.catalog.refreshTable(table)
+    return spark.sql(sql.format(table=f"`{table}`"))
+
+
 def stop_all(spark: SparkSession) -> None:
     """Stop every active query of the session."""
     for q in spark.streams.active:
