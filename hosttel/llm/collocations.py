@@ -9,10 +9,11 @@ through its node: the weights of all runs it begins, plus the runs that end
 the piece with it (``flow``).
 
 A phrase with a frequency below ``min_count`` is no candidate, and no part of
-one. So before the graph is built, two passes count hashed words and hashed
-word pairs; a piece is cut at words and between pairs that are rarer. Hashes
-that collide only raise a count, so what is frequent is never cut, and all
-counts of frequent phrases are exact.
+one. So before the graph is built, passes count hashed words, pairs, ... up to
+a node's length, each only where the shorter ones are frequent, and the runs
+of the graph end where the next would be rare. Hashes that collide only raise
+a count, so what is frequent is never cut, and all counts of frequent phrases
+are exact.
 
 Unary paths, along which every node has one frequent edge in and one out, are
 compacted by pointer doubling (``compact``): each edge learns its path and the
@@ -36,12 +37,15 @@ from .text import mix
 MIN_COUNT, LONGEST, COVER, TOP = 30, 4, 80, 2000
 SCALE = 2_000_000
 NO_LANG = "und"
-#: Cells of the bitmaps of frequent hashed words and pairs: 8 and 16 MB at any input size.
-WORD_BITS, PAIR_BITS = 26, 27
+#: Cells (as a power of two) of the bitmaps of frequent hashed words, and of longer runs: 8 and 16 MB
+#: at any input size.
+WORD_BITS, RUN_BITS = 26, 27
+#: Cells that are counted together (their numbers fit 16 bits), 4 KB of a bitmap.
+BUCKET_BITS = 15
 #: Bytes of text taken at once, and words that a Python worker remembers.
-CHUNK_BYTES, KNOWN_WORDS = 1 << 20, 200_000
-#: Tables of counts up to this many rows are broadcast; beyond, phrases are joined over salted keys.
-BROADCAST_PHRASES, SALTS = 200_000, 16
+CHUNK_BYTES, KNOWN_WORDS = 2 << 20, 300_000
+#: A part of more cuts than this is joined by a broadcast; there are at most cuts / HOT_PART of them.
+HOT_PART = 5_000
 
 # fixed values: what parts pieces, and A-Z in lower case; a tab parts words like a space
 _TABLE = bytearray(range(256))
@@ -106,10 +110,13 @@ def _token_streams(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, byt
 
 
 class Scanner:
-    """Turns texts into word ids and looks up which words and pairs are frequent."""
+    """Turns texts into word ids and looks up which runs of words are frequent.
 
-    def __init__(self, words: np.ndarray | None = None, pairs: np.ndarray | None = None):
-        self.word_map, self.pair_map = words, pairs
+    ``maps[k - 1]`` is the bitmap of frequent runs of ``k`` words.
+    """
+
+    def __init__(self, maps: list[np.ndarray]):
+        self.maps = maps
         self._reset()
 
     def _reset(self) -> None:
@@ -124,91 +131,115 @@ class Scanner:
         self.hash = self.ids.hashes(self.hash)
         return at[at != _GAP]
 
-    def word_cells(self, lang: str, ids: np.ndarray) -> np.ndarray:
-        return (mix(self.hash[ids] ^ _seed(lang)) >> np.uint64(64 - WORD_BITS)).astype(np.int64)
-
-    def pair_cells(self, lang: str, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        h = mix(self.hash[first] ^ _seed(lang)) * np.uint64(3) + self.hash[second]
-        return (mix(h) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
-
-    def frequent(self, lang: str, ids: np.ndarray) -> np.ndarray:
-        """Which places hold a word (no break) that is frequent."""
-        all_ids = np.arange(len(self.ids.words))
-        known = _test(self.word_map, self.word_cells(lang, all_ids))
-        known[[_GAP, _BREAK]] = False
-        return known[ids]
+    def levels(self, lang: str, ids: np.ndarray, upto: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For runs of 1, 2, ... ``upto`` words: the places where one begins
+        whose shorter runs are all frequent, and the run's cell."""
+        at = np.flatnonzero(ids != _BREAK)
+        word = self.hash[ids]
+        run = mix(word ^ np.uint64(xxhash.xxh64_intdigest(lang.encode())))
+        for k in range(1, upto + 1):
+            cells = (run[at] >> np.uint64(64 - _bits(k))).astype(np.int64)
+            yield at, cells
+            if k == upto:
+                return
+            good = np.zeros(len(ids) + 1, bool)
+            good[at] = _test(self.maps[k - 1], cells)
+            at = np.flatnonzero(good[:-1] & good[1:])  # both runs of k words in a run of one more
+            longer = np.zeros_like(run)
+            longer[at] = mix(run[at] * np.uint64(3) + word[at + k])
+            run = longer
 
     def runs(self, lang: str, ids: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
-        """(start, length): the longest run of up to ``longest`` words, all
-        neighbours frequent pairs, that begins at each frequent word."""
-        good = self.frequent(lang, ids)
-        link = np.zeros(len(ids) + longest, bool)
-        near = np.flatnonzero(good[:-1] & good[1:])
-        link[near] = _test(self.pair_map, self.pair_cells(lang, ids[near], ids[near + 1]))
-        length = np.ones(len(ids), np.int8)
-        going = np.ones(len(ids), bool)
-        for k in range(longest - 1):
-            going &= link[k:k + len(ids)]
-            length += going
-        starts = np.flatnonzero(good)
+        """(start, length): the longest run of up to ``longest`` words that
+        begins at each frequent word, all its parts of up to ``longest - 1``
+        words frequent."""
+        length = np.zeros(len(ids) + 1, np.int8)
+        for k, (at, cells) in enumerate(self.levels(lang, ids, longest - 1), 1):
+            good = at[_test(self.maps[k - 1], cells)]
+            length[good] = k
+        whole = length >= longest - 1
+        length[:-1][whole[:-1] & whole[1:]] = longest
+        starts = np.flatnonzero(length)
         return starts, length[starts]
 
 
-def _seed(lang: str) -> np.uint64:
-    return np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+def _bits(k: int) -> int:
+    return WORD_BITS if k == 1 else RUN_BITS
 
 
 def _test(bits: np.ndarray, cells: np.ndarray) -> np.ndarray:
     return (bits[cells >> 3] >> (cells & 7).astype(np.uint8) & 1).astype(bool)
 
 
-def _scan(df: DataFrame, schema: str, each: Callable[[Scanner, str, np.ndarray], list[pa.Array]],
-          **maps: np.ndarray) -> DataFrame:
+def _scan(df: DataFrame, schema: str, maps: list[np.ndarray],
+          each: Callable[[Scanner, str, np.ndarray], list[pa.Array]]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(**maps)
+        scanner = Scanner(maps)
         for lang, text in _token_streams(batches):
-            made = each(scanner, lang, scanner.read(text))
-            if len(made[0]):
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(made[0]), pa.string()), *made], names=names)
+            yield pa.RecordBatch.from_arrays(each(scanner, lang, scanner.read(text)), names=names)
 
     names = [c.split()[0] for c in schema.split(", ")]
     return df.mapInArrow(run, schema)
 
 
-def _cell_counts(cells: np.ndarray) -> list[pa.Array]:
-    at, n = np.unique(cells, return_counts=True)
-    return [pa.array(at), pa.array(n.astype(np.int64))]
+def _binaries(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """One binary value for each range of ``data`` between two of ``ends``."""
+    offsets = (ends * data.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
+
 
+def _frequent(docs: DataFrame, maps: list[np.ndarray], min_count: int) -> np.ndarray:
+    """The bitmap of frequent runs one word longer than those of ``maps``.
 
-def _bitmap(cells: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap of fixed size of the column ``cell``, put together by Spark."""
-    v = F.col("cell") + 1
-    parts = cells.groupBy(F.bitmap_bucket_number(v).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(v)).alias("m"))
-    out = np.zeros(1 << (bits - 3), np.uint8)
-    for b, m in parts.collect():  # at most 2 ** bits / 8 bytes whatever the input
-        out[(b - 1) * 4096:b * 4096] = np.frombuffer(m, np.uint8)[:len(out) - (b - 1) * 4096]
+    A task sends the distinct cells of a chunk with their counts, packed by
+    bucket; counts need not grow beyond ``min_count``. A bucket's counts are
+    added up one packet after the other.
+    """
+    k = len(maps) + 1
+    kind = np.dtype("<u1") if min_count < 256 else np.dtype("<u4")
+
+    def cells(scan: Scanner, lang: str, ids: np.ndarray) -> list[pa.Array]:
+        for _, found in scan.levels(lang, ids, k):
+            pass
+        at, n = np.unique(found, return_counts=True)
+        bucket = at >> BUCKET_BITS
+        ends = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(at))
+        return [pa.array(bucket[ends[:-1]].astype(np.int32)),
+                _binaries((at & ((1 << BUCKET_BITS) - 1)).astype("<u2"), ends),
+                _binaries(np.minimum(n, min_count).astype(kind), ends)]
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, total = None, np.zeros(1 << BUCKET_BITS, np.int64)
+
+        def done() -> pa.RecordBatch:
+            bits = np.packbits(total >= min_count, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([bits], pa.binary())], names=["bucket", "bits"])
+
+        for batch in batches:
+            for b, cell, n in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if b != bucket:
+                    if bucket is not None:
+                        yield done()
+                    bucket = b
+                    total[:] = 0
+                total[np.frombuffer(cell, "<u2")] += np.frombuffer(n, kind)
+        if bucket is not None:
+            yield done()
+
+    packets = _scan(docs, "bucket int, cells binary, counts binary", maps, cells)
+    merged = packets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add_up, "bucket int, bits binary")
+    out, size = np.zeros(1 << (_bits(k) - 3), np.uint8), 1 << (BUCKET_BITS - 3)
+    for bucket, bits in merged.collect():  # 8 or 16 MB at most, whatever the input
+        out[bucket * size:(bucket + 1) * size] = np.frombuffer(bits, np.uint8)
     return out
 
 
 def longest_grams(docs: DataFrame, min_count: int, longest: int) -> tuple[DataFrame, DataFrame]:
-    """The graph's edges and the shorter runs that end pieces, as (lang,
-    phrase, k, w), and (lang, n) with all word occurrences."""
-
-    def words(scan: Scanner, lang: str, ids: np.ndarray) -> list[pa.Array]:
-        return _cell_counts(scan.word_cells(lang, ids[ids != _BREAK]))
-
-    by_word = written(_scan(docs, "lang string, cell long, n long", words)
-                      .groupBy("lang", "cell").agg(F.sum("n").alias("n")), "phrase-words")
-    word_map = _bitmap(by_word.where(F.col("n") >= min_count).select("cell").distinct(), WORD_BITS)
-
-    def pairs(scan: Scanner, lang: str, ids: np.ndarray) -> list[pa.Array]:
-        good = scan.frequent(lang, ids)
-        at = np.flatnonzero(good[:-1] & good[1:])
-        return _cell_counts(scan.pair_cells(lang, ids[at], ids[at + 1]))
-
-    by_pair = (_scan(docs, "lang string, cell long, n long", pairs, words=word_map)
-               .groupBy("cell").agg(F.sum("n").alias("n")))
-    pair_map = _bitmap(by_pair.where(F.col("n") >= min_count).select("cell"), PAIR_BITS)
+    """The graph's edges and the shorter runs that end where no frequent run
+    goes on, as (lang, phrase, k, w), and (lang, n) with all word occurrences."""
+    maps: list[np.ndarray] = []
+    while len(maps) < longest - 1:
+        maps.append(_frequent(docs, maps, min_count))
 
     def grams(scan: Scanner, lang: str, ids: np.ndarray) -> list[pa.Array]:
         starts, length = scan.runs(lang, ids, longest)
@@ -221,13 +252,19 @@ def longest_grams(docs: DataFrame, min_count: int, longest: int) -> tuple[DataFr
             new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
         first = np.flatnonzero(new)
         weight = np.diff(np.append(first, len(order)))
-        names = pa.array([None, *(w.decode() for w in scan.ids.words[1:])], pa.string())
-        text = pc.binary_join_element_wise(*[names.take(pa.array(c[first])) for c in columns], " ", null_handling="skip")
-        return [text, pa.array(length[order][first].astype(np.int32)), pa.array(weight.astype(np.int64))]
+        used, place = np.unique(np.concatenate([[_GAP], *[c[first] for c in columns]]), return_inverse=True)
+        names = pa.array([scan.ids.words[i].decode() if i else None for i in used.tolist()], pa.string())
+        parts = np.split(place[1:], longest)
+        text = pc.binary_join_element_wise(*[names.take(pa.array(p)) for p in parts], " ", null_handling="skip")
+        # the last row counts all words
+        n = int((ids != _BREAK).sum())
+        return [pa.array([lang] * (len(first) + 1), pa.string()), pa.concat_arrays([text, pa.array([""], pa.string())]),
+                pa.array(np.append(weight, n).astype(np.int64))]
 
-    runs = _scan(docs, "lang string, phrase string, k int, w long", grams, words=word_map, pairs=pair_map)
-    runs = written(runs.groupBy("lang", "phrase", "k").agg(F.sum("w").alias("w")), "phrase-runs")
-    return runs, by_word.groupBy("lang").agg(F.sum("n").alias("n"))
+    k = F.when(F.col("phrase") == "", 0).otherwise(F.length("phrase") - F.length(F.replace("phrase", F.lit(" "))) + 1)
+    runs = _scan(docs, "lang string, phrase string, w long", maps, grams).groupBy("lang", "phrase").agg(F.sum("w").alias("w"))
+    runs = written(runs.select("lang", "phrase", k.alias("k"), "w"), "phrase-runs")
+    return runs.where("k > 0"), runs.where("k = 0").select("lang", F.col("w").alias("n"))
 
 
 def _head(phrase: Column, k: int) -> Column:
@@ -295,20 +332,21 @@ def compact(phrases: DataFrame, longest: int) -> DataFrame:
             .select("lang", "phrase", F.col("end").alias("path_end"), "path_words"))
 
 
-def _looked_up(parts: DataFrame, phrases: DataFrame, few: bool) -> DataFrame:
-    """The rows of ``parts`` (lang, part, ...) with ``f`` of their part. Frequent
-    words are parts of many phrases, so beyond a broadcast they are salted."""
-    counts = phrases.select("lang", F.col("phrase").alias("part"), "f")
-    if few:
-        return parts.join(F.broadcast(counts), ["lang", "part"])
-    salted = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int")
-    return parts.withColumn("salt", salt).join(salted, ["lang", "part", "salt"]).drop("salt")
+def _looked_up(parts: DataFrame, phrases: DataFrame, hot_part: int) -> DataFrame:
+    """The rows of ``parts`` (lang, part, ...) with ``f`` of their part. A
+    frequent word is part of very many phrases: what is looked up more than
+    ``hot_part`` times is broadcast, which bounds both that table and the rows
+    that meet at any other part."""
+    uses = parts.groupBy("lang", "part").agg(F.count("*").alias("uses"))
+    counts = written(uses.join(phrases.select("lang", F.col("phrase").alias("part"), "f"), ["lang", "part"]), "phrase-parts")
+    hot = counts.where(F.col("uses") > hot_part).drop("uses")
+    cold = counts.where(F.col("uses") <= hot_part).drop("uses")
+    return (parts.join(F.broadcast(hot), ["lang", "part"])
+            .unionByName(parts.join(cold, ["lang", "part"])))
 
 
 def collocations(df: DataFrame, text: str = "text", lang: str = "lang", min_count: int = MIN_COUNT,
-                 longest: int = LONGEST, cover: int = COVER, top: int = TOP,
-                 broadcast_phrases: int = BROADCAST_PHRASES) -> DataFrame:
+                 longest: int = LONGEST, cover: int = COVER, top: int = TOP, hot_part: int = HOT_PART) -> DataFrame:
     """The best ``top`` phrases of each language: (lang, rank, phrase, a, l, r,
     n, score, path_end, path_words).
 
@@ -326,7 +364,6 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", min_coun
     docs = docs.where("text IS NOT NULL AND text != ''")
     runs, totals = longest_grams(docs, min_count, longest)
     phrases = flow(runs, min_count, longest)
-    few = phrases.limit(broadcast_phrases + 1).count() <= broadcast_phrases
     longer = phrases.where("k > 1")
     # a phrase inside one that is two words longer is also inside one in between, which is as frequent
     around = longer.where("k > 2").select("lang", "f", F.explode(F.array_distinct(F.array(
@@ -339,7 +376,7 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", min_coun
     sides = cuts.select("lang", "phrase", "a", "cut", F.explode(F.array(
         F.struct(F.lit(True).alias("left"), F.expr("substring_index(phrase, ' ', cut)").alias("part")),
         F.struct(F.lit(False).alias("left"), F.expr("substring_index(phrase, ' ', cut - k)").alias("part")))).alias("s"))
-    known = _looked_up(sides.select("lang", "phrase", "a", "cut", "s.left", "s.part"), phrases, few)
+    known = _looked_up(written(sides.select("lang", "phrase", "a", "cut", "s.left", "s.part"), "phrase-cuts"), phrases, hot_part)
     scored = known.groupBy("lang", "phrase", "a", "cut").agg(
         F.max(F.when(F.col("left"), F.col("f"))).alias("l"), F.max(F.when(~F.col("left"), F.col("f"))).alias("r"))
     score = F.expr(f"(CAST(a AS DECIMAL(20,0)) * CAST({SCALE} AS DECIMAL(8,0))) div (CAST(l AS DECIMAL(20,0)) + CAST(r AS DECIMAL(20,0)))")

@@ -134,12 +134,12 @@ def random_rows(seed, size=400):
         yield (i, rng.choice(["en", "en", "fr", None, "und"]), text if rng.random() > 0.05 else rng.choice([None, ""]))
 
 
-@pytest.mark.parametrize("seed, min_count, longest, cover, few", [
-    (1, 30, 4, 80, 200_000), (2, 5, 4, 80, 200_000), (3, 3, 3, 50, 200_000), (4, 30, 5, 100, 200_000), (5, 4, 4, 80, 0)])
-def test_collocations_equal_brute_force(spark, seed, min_count, longest, cover, few):
+@pytest.mark.parametrize("seed, min_count, longest, cover, hot", [
+    (1, 30, 4, 80, 5000), (2, 5, 4, 80, 20), (3, 3, 3, 50, 5000), (4, 30, 5, 100, 5000), (5, 4, 4, 80, 0)])
+def test_collocations_equal_brute_force(spark, seed, min_count, longest, cover, hot):
     rows = list(random_rows(seed))
     df = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(7)
-    got = collocations.collocations(df, min_count=min_count, longest=longest, cover=cover, top=25, broadcast_phrases=few)
+    got = collocations.collocations(df, min_count=min_count, longest=longest, cover=cover, top=25, hot_part=hot)
     want = plain_collocations([r[1:] for r in rows], min_count, longest, cover, 25)
     assert found(got) == want and want
 
