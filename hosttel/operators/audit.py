@@ -29,10 +29,3 @@ def missing_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     """One row; for each column the number of missing values (bigint)."""
     columns = list(columns or df.columns)
     return df.agg(*[F.count_if(missing_flag(df, c)).alias(c) for c in columns])
-
-
-def missing_counts_long(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Same counts as rows ``(column, missing)``; stays one aggregate."""
-    columns = list(columns or df.columns)
-    wide = missing_counts(df, columns)
-    return wide.unpivot([], columns, "column", "missing")

@@ -333,14 +333,6 @@ def trailing_window(counts: DataFrame, n: int = MEMORY_TRAIL, offset: str = "off
             .where(F.col("_own") == 1).drop("_own"))
 
 
-def dedup_rows(rows: DataFrame, key: list[str] = ("machine", "sequence"),
-               offset: str = "offset_id") -> DataFrame:
-    """Batch twin of streaming de-duplication (ST5): one row per key with the
-    first message that carried it and the number of copies received."""
-    return (rows.groupBy(*key)
-            .agg(F.min(offset).alias("first_offset"), F.count(F.lit(1)).alias("copies")))
-
-
 def tumbling_counts(rows: DataFrame, ts: str = "ts", width: str = "1 day",
                     machine: str = "machine") -> DataFrame:
     """Rows per machine per event-time window (ST4 batch twin); window bounds
@@ -389,8 +381,12 @@ def distinct_machines(df: DataFrame, machine: str = "machine") -> DataFrame:
     return df.select(machine).distinct()
 
 
-def machine_values(df: DataFrame, machine: str = "machine") -> list:
-    """Machine ids as a driver list, one value per column of a wide table.
+def machine_values(df: DataFrame, machine: str = "machine", limit: int = 10_000) -> list:
+    """Machine ids as a driver list, one value per column of a wide table;
+    more than ``limit`` are an error, because such a table could not be planned.
     Callers that know their machines pass the list themselves; the long form
     needs none."""
-    return sorted(r[0] for r in distinct_machines(df, machine).collect())
+    found = distinct_machines(df, machine).limit(limit + 1).collect()
+    if len(found) > limit:
+        raise ValueError(f"more than {limit} machines: use the long form")
+    return sorted(r[0] for r in found)

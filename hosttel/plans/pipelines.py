@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..operators import metrics as MT
 from ..operators import sample as S
+from ..operators.clean import with_label
 
 
 @dataclass(frozen=True)
@@ -131,7 +132,7 @@ def train_test(df: DataFrame, spec: FeatureSpec, key: str | None = None,
 
 def predict(model: PipelineModel, df: DataFrame, spec: FeatureSpec) -> DataFrame:
     """Score rows; adds ``label`` = int copy of the class column."""
-    return model.transform(df).withColumn("label", F.col(spec.label).cast("int"))
+    return with_label(model.transform(df), spec.label)
 
 
 def evaluate(pred: DataFrame, spec: FeatureSpec) -> DataFrame:

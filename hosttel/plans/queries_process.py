@@ -8,10 +8,10 @@ import uuid
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..functions import strip_brackets
 from ..operators import metrics as MT
 from ..operators import profile
 from ..operators import sample as S
+from ..operators.clean import clean_process
 from ..session import scratch_path
 from ..sources.fixtures import MEM_SQL, PROC_FULL_SQL, mem, proc_full
 from . import model_store
@@ -26,7 +26,7 @@ US = S.unit_sql("t.sequence", purpose="sample")
 
 
 def _full(spark, sf):
-    return proc_full(spark, sf).withColumn("CMD", strip_brackets("CMD"))
+    return clean_process(proc_full(spark, sf))
 
 
 @register("status_counts", FULL + """

@@ -58,9 +58,20 @@ def _replay_delay(spark, sf) -> str:
     return f"{(high or 0) - (low or 0) + 1} seconds"
 
 
+def _rows(spark, sf, base: str):
+    return L.with_event_time(D.decode_rows(_envelope_stream(spark, sf, base), ROW_SCHEMA), "ts")
+
+
 def _unique_rows(spark, sf, base: str):
-    rows = L.with_event_time(D.decode_rows(_envelope_stream(spark, sf, base), ROW_SCHEMA), "ts")
-    return L.drop_repeats(rows, ["machine", "sequence"], delay=_replay_delay(spark, sf))
+    return L.drop_repeats(_rows(spark, sf, base), ["machine", "sequence"], delay=_replay_delay(spark, sf))
+
+
+def _each_unique(spark, sf, base: str, each) -> None:
+    """Drain the stream without its repeats, without state, into ``each``."""
+    q = RP.write_unique(_rows(spark, sf, base), ["machine", "sequence"], f"{base}/unique", f"{base}/chk", available_now=True, each=each)
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
 
 
 def _drain(df, base: str, name: str):
@@ -110,8 +121,7 @@ FROM proc GROUP BY ALL""")
 def q_stream_window(spark, sf):
     """De-duplicated rows per machine per day, all windows (ST4)."""
     base = _run_dir(spark, "window")
-    q = L.write_window_counts(_unique_rows(spark, sf, base), f"{base}/out", f"{base}/chk", available_now=True)
-    q.awaitTermination()
+    _each_unique(spark, sf, base, lambda new, batch: L.window_parts(new).write.mode("overwrite").parquet(f"{base}/out/batch={batch}"))
     return L.read_window_counts(spark, f"{base}/out")
 
 
@@ -136,9 +146,15 @@ def q_stream_score(spark, sf):
     base = _run_dir(spark, "score")
     model_path = f"{base}/model"
     data = _model_input(spark, sf)
-    model = PL.final_model(data, PROC_SPEC, model_path, kind="dt")
-    rows = _unique_rows(spark, sf, base).withColumn("cmd", strip_brackets("cmd"))
-    scored = _drain(SC.score_stream(rows, model_path, ["machine", "sequence"]), base, None)
+    model = PL.final_model(data, PROC_SPEC, model_path, kind="dt", key="sequence")
+    saved = PL.load_model(model_path)
+
+    def score(new, batch):
+        rows = new.withColumn("cmd", strip_brackets("cmd"))
+        SC.score_stream(rows, saved, ["machine", "sequence"]).write.mode("overwrite").parquet(f"{base}/out/batch={batch}")
+
+    _each_unique(spark, sf, base, score)
+    scored = spark.read.parquet(f"{base}/out")
     batch = PL.predict(model, data, PROC_SPEC).select(
         "machine", "sequence", MT.class_probability("probability", 1).alias("p_batch"))
     live = scored.select("machine", "sequence", F.col("p_attack").alias("p_live"))

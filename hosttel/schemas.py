@@ -67,8 +67,3 @@ MEMORY_SCHEMA = struct_of(MEMORY_COLUMNS)
 MEMORY_STREAM_ROW = struct_of(MEMORY_STREAM_COLUMNS)
 PROCESS_STREAM_ROW = struct_of(PROCESS_STREAM_COLUMNS)
 KAFKA_ENVELOPE = struct_of(KAFKA_ENVELOPE_COLUMNS)
-
-
-def message_schema(row_schema: T.StructType) -> T.ArrayType:
-    """A message value is a JSON array of row objects."""
-    return T.ArrayType(row_schema, True)

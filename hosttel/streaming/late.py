@@ -43,6 +43,14 @@ def windowed_counts(rows: DataFrame, event_time: str = "event_time", delay: str
                     F.unix_seconds(F.col("w.end")).alias("window_end"), machine, "n"))
 
 
+def window_parts(rows: DataFrame, event_time: str = "event_time", width: str = "1 day", machine: str = "machine") -> DataFrame:
+    """Rows per machine and tumbling window, without a watermark: counts of one batch, to be added up."""
+    return (rows.groupBy(F.window(event_time, width).alias("w"), F.col(machine))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .select(F.unix_seconds(F.col("w.start")).alias("window_start"),
+                    F.unix_seconds(F.col("w.end")).alias("window_end"), machine, "n"))
+
+
 def write_window_counts(rows: DataFrame, path: str, checkpoint: str, event_time: str = "event_time",
                         width: str = "1 day", machine: str = "machine", available_now: bool = False,
                         trigger: str = "5 seconds"):
@@ -56,11 +64,7 @@ def write_window_counts(rows: DataFrame, path: str, checkpoint: str, event_time:
     """
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.groupBy(F.window(event_time, width).alias("w"), F.col(machine))
-         .agg(F.count(F.lit(1)).alias("n"))
-         .select(F.unix_seconds(F.col("w.start")).alias("window_start"),
-                 F.unix_seconds(F.col("w.end")).alias("window_end"), machine, "n")
-         .write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}"))
+        window_parts(batch, event_time, width, machine).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
 
     w = rows.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)

@@ -16,6 +16,7 @@ and only tables of earlier ids are read, so a replayed batch replaces its own.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -103,13 +104,16 @@ def _new_rows(batch: DataFrame, keys: list[str], path: str, batch_id: int, bucke
 
 
 def write_unique(rows: DataFrame, keys: list[str], path: str, checkpoint: str, buckets: int = BUCKETS,
-                 blocks: int = BLOCKS, available_now: bool = False, trigger: str = "5 seconds"):
+                 blocks: int = BLOCKS, available_now: bool = False, trigger: str = "5 seconds",
+                 each: Callable[[DataFrame, int], None] | None = None):
     """Write every row of a stream whose ``keys`` were not seen before (ST5).
 
     Rows go to ``path/rows``; read them with ``read_unique``. However late a
     copy comes, the first row of its key stays the only one: the key tables are
     the whole memory and lie in the shared folder. A null key is a key like any
-    other. Returns the ``StreamingQuery``.
+    other. ``each`` is called with the new rows of every batch and its id, to
+    count or score them; a replayed batch calls it again. Returns the
+    ``StreamingQuery``.
     """
     path, keys = path.rstrip("/"), list(keys)
 
@@ -118,6 +122,8 @@ def write_unique(rows: DataFrame, keys: list[str], path: str, checkpoint: str, b
         new = _new_rows(batch, keys, path, batch_id, buckets, blocks)
         new.write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
         written = spark.read.schema(new.schema).parquet(f"{path}/rows/batch={batch_id}")
+        if each is not None:
+            each(written.drop("__bucket"), batch_id)
         written.select(*keys, "__bucket").write.mode("overwrite").partitionBy("__bucket").parquet(f"{path}/keys/batch={batch_id}")
         made = bloom_blocks(written, keys, blocks)
         before = _earlier(spark, f"{path}/filter", batch_id, _BLOCK_SCHEMA)

@@ -245,3 +245,34 @@ def test_watermark_on_ntz_events_stream(spark):
     exp = exp.where(F.col("window_end") <= cutoff)
     assert out.exceptAll(exp).count() == 0 and exp.exceptAll(out).count() == 0
     assert out.count() > 0
+
+
+def test_kafka_batch_reads_a_bounded_range():
+    """The finite drain of a topic (S5): both ends are named, nothing is streamed."""
+    seen = {}
+
+    class Reader:
+        def format(self, name):
+            seen["format"] = name
+            return self
+
+        def option(self, k, v):
+            seen[k] = v
+            return self
+
+        def load(self):
+            return "rows"
+
+    class Session:
+        read = Reader()
+
+    assert K.read_kafka_batch(Session(), "broker:9092", "topic_a") == "rows"
+    assert seen == {"format": "kafka", "kafka.bootstrap.servers": "broker:9092", "subscribe": "topic_a",
+                    "startingOffsets": "earliest", "endingOffsets": "latest"}
+
+
+def test_machine_list_is_bounded(spark):
+    df = spark.range(30).selectExpr("id % 7 AS machine")
+    assert M.machine_values(df) == list(range(7))
+    with pytest.raises(ValueError, match="long form"):
+        M.machine_values(df, limit=6)
