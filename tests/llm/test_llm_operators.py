@@ -237,7 +237,7 @@ def test_shards_hold_all_tokens_and_resume(edge, empty, ranks, tmp_path):
     assert [r.slot for r in index] == list(range(len(index)))
     assert all((r.shard, r.byte_offset) == (r.slot // 50, r.slot % 50 * 128) for r in index)
     flat = token_shards.read_slots(folder, 0, len(index), 64, 50)
-    enc = token_shards._encoding(ranks)
+    enc, _ = token_shards._encodings_of(ranks)
     want = sorted(i for _, t in EDGE if t for i in [*enc.encode_ordinary(t), ranks.end])
     assert sorted(i for r, x in zip(index, flat, strict=True) for i in x[:r.n_tokens].tolist()) == want
     assert (token_shards.read_slots(folder, 70, 25, 64, 50) == flat[70:95]).all()
@@ -248,6 +248,60 @@ def test_shards_hold_all_tokens_and_resume(edge, empty, ranks, tmp_path):
     assert token_shards.write_shards(empty, ranks, f"file://{tmp_path}/b", "k").count() == 0
 
 
+def test_plain_pattern_gives_the_same_ids(ranks):
+    rng, (exact, _) = random.Random(1), token_shards._encodings_of(ranks)
+    alphabet = [" ", " ", "  ", "\n", "\t", "a", "the", "'s", "12", ".", "é", "\x1c", "\xa0", "\u2003", "!", " x", "\0", "'", "\u200b"]
+    for _ in range(50_000):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(9)))
+        assert token_shards.ids_of(text, ranks).tolist() == exact.encode_ordinary(text), repr(text)
+
+
+def plain_records(rows, ranks, length):
+    """Every record, in the order of the rows."""
+    enc, _ = token_shards._encodings_of(ranks)
+    flat = [(d, i) for d, t in rows if t for i in [*enc.encode_ordinary(t), ranks.end]]
+    for at in range(0, len(flat), length):
+        part = flat[at:at + length]
+        owners = [d for j, (d, _) in enumerate(part) if j == 0 or part[j - 1][0] != d or part[j - 1][1] == ranks.end]
+        yield owners, len(part), [i for _, i in part] + [token_shards.PAD] * (length - len(part))
+
+
+def test_every_slot_holds_its_record(spark, ranks, tmp_path):
+    """Slot by slot against a plain version: sequences numbered in the order of
+    the partitions, each in the slot its number is permuted to."""
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(["one", "two  three", "é", "\n", "x" * 50]) for _ in range(rng.randrange(80)))) for i in range(300)]
+    df = spark.createDataFrame(rows, DOCS).repartition(5)
+    parts = df.select(F.spark_partition_id().alias("p"), "doc_id", "text").collect()
+    want = [r for p in range(5) for r in plain_records([(x.doc_id, x.text) for x in parts if x.p == p], ranks, 64)]
+    folder = f"file://{tmp_path}/s"
+    index = {r.slot: r for r in token_shards.write_shards(df, ranks, folder, "k", 64, 16).collect()}
+    flat = token_shards.read_slots(folder, 0, len(want), 64, 16)
+    slots = token_shards.permute(np.arange(len(want)), len(want), "k")
+    assert sorted(index) == sorted(slots.tolist())
+    for slot, (owners, n, ids) in zip(slots.tolist(), want, strict=True):
+        r = index[slot]
+        assert (r.doc_ids, r.n_tokens, r.shard, r.byte_offset) == (owners, n, slot // 16, slot % 16 * 128)
+        assert flat[slot].tolist() == ids and r.record_sha256 == hashlib.sha256(flat[slot].tobytes()).hexdigest()
+
+
+def test_shards_of_another_order_or_text_are_refused(spark, ranks, tmp_path):
+    folder = f"file://{tmp_path}/s"
+    df = spark.createDataFrame([(i, f"text {i} " * 40) for i in range(50)], DOCS).coalesce(1)
+    token_shards.write_shards(df, ranks, folder, "k1", 64, 8)
+    before = token_shards.read_slots(folder, 0, 40, 64, 8)
+    for call in (lambda: token_shards.write_shards(df, ranks, folder, "k2", 64, 8),
+                 lambda: token_shards.write_shards(df, ranks, folder, "k1", 64, 16),
+                 lambda: token_shards.write_shards(df.withColumn("text", F.concat("text", F.lit("!"))), ranks, folder, "k1", 64, 8)):
+        with pytest.raises(ValueError, match="other shards"):
+            call()
+    assert (token_shards.read_slots(folder, 0, 40, 64, 8) == before).all()
+    with open(tmp_path / "s" / "tokens-000000.bin", "r+b") as f:
+        f.write(b"\xff\xff")
+    with pytest.raises(Exception, match="differs"):
+        token_shards.write_shards(df, ranks, folder, "k1", 64, 8)
+
+
 # --- 6 ------------------------------------------------------------------
 
 def test_base_spans_equal_the_patterns():
