@@ -19,7 +19,7 @@ def op1_sentencepiece(spark, sf_dir, model_path: str | None = None):
     """No SQL: tested against the library itself."""
     model = sp.load_model(model_path or public_tokenizers.path(MODEL_FILE))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = sp.decode(sp.encode(docs, model, keep_text=False), model)
+    coded = sp.encode_decode(docs, model, keep_text=False)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

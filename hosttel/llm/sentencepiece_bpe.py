@@ -32,9 +32,13 @@ from pyspark.sql import types as T
 from .text import fields, map_columns
 
 MARK = "▁"
-#: Units remembered per Python worker, and the longest that is remembered.
-MEMO_UNITS, MEMO_CHARS = 400_000, 40
-MEMO_PAIRS = 400_000
+#: Rows handed to a Python worker's coder at once.
+BATCH_ROWS = 128
+#: Bytes that the units remembered per Python worker may take, what one costs besides its text and ids,
+#: and the longest that is remembered.
+MEMO_BYTES, ENTRY_BYTES, MEMO_CHARS = 64 << 20, 200, 40
+#: Pairs of pieces remembered per Python worker, of about 200 bytes each.
+MEMO_PAIRS = 150_000
 
 
 @dataclass(frozen=True)
@@ -67,11 +71,50 @@ def load_model(path: str) -> PieceModel:
     return PieceModel(pieces, scores, normal, byte_of, control, sp.unk_id(), key)
 
 
-class Encoder:
-    """Encoder and decoder of one model, kept per Python worker."""
+class Decoder:
+    """The tables that decoding needs: one entry for each piece."""
 
     def __init__(self, model: PieceModel):
         self.model = model
+        self.surface = [self._surface(i) for i in range(len(model.pieces))]
+        self.is_byte = np.array(model.byte_of) >= 0
+        self.is_control = np.isin(np.arange(len(model.pieces)), list(model.control))
+
+    def _surface(self, i: int) -> bytes:
+        if i in self.model.control:
+            return b""
+        if self.model.byte_of[i] >= 0:
+            return bytes([self.model.byte_of[i]])
+        return " ⁇ ".encode() if i == self.model.unknown else self.model.pieces[i].replace(MARK, " ").encode()
+
+    def decode(self, ids: np.ndarray) -> str:
+        """Text of the ids: the mark that opens the first piece is dropped, runs of byte
+        pieces become UTF-8, each byte that is no part of valid UTF-8 becomes U+FFFD."""
+        hidden = self.is_control[ids]
+        shown = ids[~hidden] if hidden.any() else ids
+        if not len(shown):
+            return ""
+        begin = 1 if self.model.pieces[shown[0]].startswith(MARK) else 0
+        if len(shown) == len(ids):  # a control piece parts the bytes on its two sides
+            try:
+                return b"".join(map(self.surface.__getitem__, ids.tolist()))[begin:].decode()
+            except UnicodeDecodeError:
+                pass
+        return b"".join(self._runs(ids))[begin:].decode()
+
+    def _runs(self, ids: np.ndarray) -> Iterator[bytes]:
+        flags = self.is_byte[ids]
+        cuts = [0, *(np.flatnonzero(flags[1:] != flags[:-1]) + 1).tolist(), len(ids)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            run = b"".join(map(self.surface.__getitem__, ids[a:b].tolist()))
+            yield _utf8(run).encode() if flags[a] else run
+
+
+class Encoder(Decoder):
+    """Encoder and decoder of one model, kept per Python worker."""
+
+    def __init__(self, model: PieceModel):
+        super().__init__(model)
         self.ids = {p: i for i, p in enumerate(model.pieces) if model.normal[i]}
         self.score = {p: model.scores[i] for p, i in self.ids.items()}
         self.byte_ids = [0] * 256
@@ -117,9 +160,6 @@ class Encoder:
                 self.odd.add(p)
         self.pairs: dict[tuple[str, str], bool] = {}
         self.memo: dict[str, bytes] = _Memo(self)
-        self.surface = [self._surface(i) for i in range(len(model.pieces))]
-        self.is_byte = np.array(model.byte_of) >= 0
-        self.is_control = np.isin(np.arange(len(model.pieces)), list(model.control))
 
     def merge(self, text: str, stop: int = 1) -> list[str]:
         """Plain merging down to ``stop`` parts: again and again the best-scored
@@ -223,34 +263,6 @@ class Encoder:
             units = (MARK + text).split(" ")
         return np.frombuffer(b"".join(map(self.memo.__getitem__, units)), np.int32)
 
-    def _surface(self, i: int) -> bytes:
-        if i in self.model.control:
-            return b""
-        if self.model.byte_of[i] >= 0:
-            return bytes([self.model.byte_of[i]])
-        return " ⁇ ".encode() if i == self.model.unknown else self.model.pieces[i].replace(MARK, " ").encode()
-
-    def decode(self, ids: np.ndarray) -> str:
-        """Text of the ids: the mark that opens the first piece is dropped, runs of byte
-        pieces become UTF-8, each byte that is no part of valid UTF-8 becomes U+FFFD."""
-        hidden = self.is_control[ids]
-        shown = ids[~hidden] if hidden.any() else ids
-        if not len(shown):
-            return ""
-        begin = 1 if self.model.pieces[shown[0]].startswith(MARK) else 0
-        if len(shown) == len(ids):  # a control piece parts the bytes on its two sides
-            try:
-                return b"".join(map(self.surface.__getitem__, ids.tolist()))[begin:].decode()
-            except UnicodeDecodeError:
-                pass
-        return b"".join(self._runs(ids))[begin:].decode()
-
-    def _runs(self, ids: np.ndarray) -> Iterator[bytes]:
-        flags = self.is_byte[ids]
-        cuts = [0, *(np.flatnonzero(flags[1:] != flags[:-1]) + 1).tolist(), len(ids)]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            run = b"".join(map(self.surface.__getitem__, ids[a:b].tolist()))
-            yield _utf8(run).encode() if flags[a] else run
 
 class _Memo(dict):
     """Units seen lately. When half of the room is used, what is there becomes
@@ -258,7 +270,7 @@ class _Memo(dict):
 
     def __init__(self, encoder: Encoder):
         super().__init__()
-        self.encoder = encoder
+        self.encoder, self.room = encoder, MEMO_BYTES // 2
         self.older: dict[str, bytes] = {}
 
     def __missing__(self, unit: str) -> bytes:
@@ -266,8 +278,9 @@ class _Memo(dict):
         if value is None:
             value = self.encoder.encode_unit(unit) if unit else b""
         if len(unit) <= MEMO_CHARS:
-            if len(self) >= MEMO_UNITS // 2:
-                self.older = dict(self)
+            self.room -= ENTRY_BYTES + len(unit) + len(value)
+            if self.room < 0:
+                self.older, self.room = dict(self), MEMO_BYTES // 2
                 self.clear()
             self[unit] = value
         return value
@@ -293,14 +306,28 @@ def _utf8(raw: bytes) -> str:
     return "".join(out)
 
 
-_encoders: dict[str, Encoder] = {}
+_coders: dict[tuple[type, str], Decoder] = {}
 
 
-def encoder_of(model: PieceModel) -> Encoder:
-    if model.key not in _encoders:
-        _encoders.clear()
-        _encoders[model.key] = Encoder(model)
-    return _encoders[model.key]
+def _coder(kind: type, model: PieceModel) -> Decoder:
+    """The worker's encoder or decoder; one of a kind, an encoder decodes too."""
+    if kind is Decoder and (Encoder, model.key) in _coders:
+        kind = Encoder
+    if (kind, model.key) not in _coders:
+        for other in [k for k in _coders if k[0] is kind]:
+            del _coders[other]
+        _coders[kind, model.key] = kind(model)
+    return _coders[kind, model.key]
+
+
+def _encoded(coder: Encoder, column: pa.Array) -> list[np.ndarray]:
+    return [coder.encode(t) if t else np.empty(0, np.int32) for t in column.to_pylist()]
+
+
+def _id_lists(made: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, made)]).astype(np.int32)
+    flat = np.concatenate(made) if made else np.empty(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
 def encode(df: DataFrame, model: PieceModel, text: str = "text", ids: str = "ids",
@@ -311,14 +338,25 @@ def encode(df: DataFrame, model: PieceModel, text: str = "text", ids: str = "ids
     empty."""
 
     def run(column: pa.Array) -> list[pa.Array]:
-        enc = encoder_of(model)
-        made = [enc.encode(t) if t else np.empty(0, np.int32) for t in column.to_pylist()]
-        ends = np.concatenate([[0], np.cumsum([len(x) for x in made])]).astype(np.int32)
-        flat = np.concatenate(made) if made else np.empty(0, np.int32)
-        return [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+        return [_id_lists(_encoded(_coder(Encoder, model), column))]
 
     return map_columns(df, [text], fields([(ids, T.ArrayType(T.IntegerType()))]), run,
-                       drop=() if keep_text else (text,))
+                       drop=() if keep_text else (text,), batch_rows=BATCH_ROWS)
+
+
+def encode_decode(df: DataFrame, model: PieceModel, text: str = "text", ids: str = "ids",
+                  decoded: str = "decoded", keep_text: bool = True) -> DataFrame:
+    """``encode`` and ``decode`` in one pass, so that a task needs one Python
+    worker: appends ``ids`` and ``decoded``, the text that they decode to.
+    With ``decoded`` = ``text`` the text is replaced."""
+
+    def run(column: pa.Array) -> list[pa.Array]:
+        coder = _coder(Encoder, model)
+        made = _encoded(coder, column)
+        return [_id_lists(made), pa.array([coder.decode(x) for x in made], pa.string())]
+
+    return map_columns(df, [text], fields([(ids, T.ArrayType(T.IntegerType())), (decoded, T.StringType())]), run,
+                       drop=() if keep_text else (text,), batch_rows=BATCH_ROWS)
 
 
 def decode(df: DataFrame, model: PieceModel, ids: str = "ids", text: str = "decoded",
@@ -328,12 +366,12 @@ def decode(df: DataFrame, model: PieceModel, ids: str = "ids", text: str = "deco
     named ``text`` is replaced."""
 
     def run(column: pa.Array) -> list[pa.Array]:
-        enc = encoder_of(model)
+        coder = _coder(Decoder, model)
         out = []
         for row in column:
             x = row.values.to_numpy(zero_copy_only=False) if row.is_valid else np.empty(0, np.int32)
-            out.append(enc.decode(x.astype(np.int64)))
+            out.append(coder.decode(x.astype(np.int64)))
         return [pa.array(out, pa.string())]
 
     return map_columns(df, [ids], fields([(text, T.StringType())]), run,
-                       drop=() if keep_ids else (ids,))
+                       drop=() if keep_ids else (ids,), batch_rows=BATCH_ROWS)
