@@ -1,7 +1,7 @@
 """HyperMinHash near-duplicate groups.
 
 1. Each text becomes the sorted set of its shingle hashes. Texts with the same
-   set form one class; the smallest doc_id stands for it.
+   set form one class, named by the set's 64-bit hash.
 2. A class's sketch splits the 64-bit hash range into ``bins``; of the smallest
    hash in a bin it keeps the count of leading zeros and ten bits after the
    first one. Bands of ``rows`` registers are hashed into buckets. A register
@@ -116,7 +116,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> tuple[float, i
 
 
 def signatures(df: DataFrame, doc_id: str, text: str, width: int, bins: int = BINS) -> DataFrame:
-    """(doc_id, n, node, sketch): size of the shingle set, its hash and its sketch."""
+    """(doc_id, text_hash, n, node, sketch): size of the shingle set, its hash and its sketch."""
 
     def run(column: pa.Array) -> list[pa.Array]:
         n, node, sk = [], [], []
@@ -127,7 +127,7 @@ def signatures(df: DataFrame, doc_id: str, text: str, width: int, bins: int = BI
             sk.append(sketch(u, bins).tobytes() if len(u) else None)
         return [pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(sk, pa.binary())]
 
-    only = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    only = df.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     return map_columns(only, ["text"], fields([("n", T.LongType()), ("node", T.LongType()),
                                                ("sketch", T.BinaryType())]), run, drop=("text",))
 
@@ -279,33 +279,36 @@ def _still_split(member: DataFrame) -> DataFrame:
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5,
                     limit: int = 80, bins: int = BINS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each row of ``df``.
+    """(doc_id, n_shingles, component_id, kept, text_hash) for each row of ``df``.
 
     Two rows are linked when ``100 * |A & B| >= limit * |A | B|`` for their
     sets of ``width``-word shingles (A-Z lower-cased; a shorter text is one
-    shingle). ``component_id`` is the smallest doc_id reachable over links;
-    ``kept`` is true where it is the row's own.
-
-    Null and empty texts, and texts of white space only, have an empty set, are linked with nothing
-    and kept. Repeated rows share all values. Rows that share a doc_id but not
-    the text act as one document with both texts. A null doc_id takes the
-    component of its exact copies (null if they have none; then it is kept)
-    and heads none. Other columns are ignored; an empty table gives none.
+    shingle). ``component_id`` is the smallest doc_id reachable over links; one
+    row of each component is ``kept``, the one that holds it. ``text_hash``
+    (``xxhash64`` of the text) tells rows of one doc_id apart.
+
+    Ids may be of any type that has an order. Null and empty texts, and texts
+    of white space only, have an empty set, are linked with nothing and kept.
+    Repeated rows share all values. Rows that share a doc_id but not the text
+    are documents of their own; of those that hold a component's smallest id,
+    the one with the smallest ``text_hash`` is kept. A row without a doc_id is
+    linked like others and heads a component only if no row of it has one
+    (``component_id`` is null then). Other columns are ignored; an empty table
+    gives none.
     """
-    docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    docs = df.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     rows_of = written(signatures(docs, "doc_id", "text", width, bins), "signatures")
     members = rows_of.where("n > 0")
-    classes = written(members.groupBy("node").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"),
-                                                  F.first("sketch").alias("sketch")), "classes")
-    linkable = classes.where("id is not null")
+    head = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")).alias("head")
+    classes = written(members.groupBy("node").agg(head, F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
+    linkable = classes.select(F.col("node").alias("id"), "n", "sketch")
     banded = _bands(linkable, bands, rows)
     several = (banded.groupBy("key").agg(F.min(F.struct("id", "n")).alias("head"), F.max("id").alias("top"))
                .where("head.id != top")
                .select("key", F.col("head.id").alias("a"), F.col("head.n").alias("n_a")))
     bucket = written(banded.join(several, "key")
                      .select("key", "id", "n", "a", "n_a"), "buckets")
-    texts = written(docs.select(F.col("doc_id").alias("id"), "text")
-                    .join(bucket.select("id").distinct(), "id"), "texts")  # of texts that share a bucket
+    texts = written(_texts_of(docs, classes, bucket.select("id").distinct()), "texts")  # of texts that share a bucket
     first = (bucket.select("a", "n_a", F.col("id").alias("b"), F.col("n").alias("n_b"))
              .where(F.col("a") != F.col("b")).where(_size_fits(limit)).select("a", "b").distinct())
     links = written(_by_sets(_by_sketch(first, linkable, limit), texts, width, limit), "links")
@@ -319,9 +322,24 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     more = written(_compare_blocks(split, bands, rows, limit), "candidates")
     links = written(links.unionAll(_by_sets(more, texts, width, limit)), "links")
     label = connected_components(links)
-    of_class = classes.join(label.withColumnRenamed("label", "low"), "id", "left").select(
-        "node", F.coalesce("low", "id").alias("component_id"))
-    linked = members.join(of_class, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = rows_of.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"),
-                                          F.col("doc_id").alias("component_id"))
-    return linked.unionAll(alone).withColumn("kept", F.expr("doc_id <=> component_id"))
+    of_class = classes.select("node", "head").join(label.select(F.col("id").alias("node"), "label"), "node", "left")
+    several = of_class.where("label IS NOT NULL")
+    heads = several.groupBy("label").agg(F.min("head").alias("top"))
+    of_class = (several.join(heads, "label").select("node", "top")
+                .unionByName(of_class.where("label IS NULL").select("node", F.col("head").alias("top"))))
+    linked = members.join(of_class, "node").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("top.doc_id").alias("component_id"),
+        F.expr("doc_id <=> top.doc_id AND text_hash = top.text_hash").alias("kept"), "text_hash")
+    alone = rows_of.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"),
+                                          F.lit(True).alias("kept"), "text_hash")
+    return linked.unionAll(alone)
+
+
+def _texts_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text): the text of the row that heads each of the classes ``ids``, once."""
+    row = lambda d, h: F.xxhash64(d, h)
+    wanted = classes.select(F.col("node").alias("id"), "head").join(ids, "id").select(
+        "id", row("head.doc_id", "head.text_hash").alias("row"), "head")
+    found = docs.withColumn("row", row("doc_id", "text_hash")).join(wanted, "row").where(
+        "doc_id <=> head.doc_id AND text_hash = head.text_hash")
+    return found.groupBy("row", "id").agg(F.first("text").alias("text")).select("id", "text")

@@ -3,6 +3,7 @@
 import corpus_pipeline as P
 import pytest
 from hosttel.llm import pii
+from hosttel.llm.store import written
 from test_llm_operators import plain_base
 from test_llm_queries import SF, components, rows_of
 
@@ -11,8 +12,6 @@ DOC = ["doc_id", "text", "lang", "source", "n_chars"]
 
 @pytest.fixture(scope="module")
 def stages(spark):
-    from hosttel.llm.store import written
-
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = [docs]
     for name, f in P.STAGES:
@@ -91,16 +90,58 @@ def test_token_stage_and_run(spark, stages):
     assert got == {(r.doc_id, r.n_tokens) for r in rows}
 
 
-def test_stages_take_edge_rows(spark):
-    rows = [(1, None, None, None, None), (None, "a b", "en", "s", 3), (2, "", "en", None, 0),
-            *[(3, " ".join(f"w{i}" for i in range(90)), "en", "s", 9)] * 2, (4, "x" * 100_000, None, "s", 1)]
+def clean(seed, n=90):
+    return " ".join(f"w{seed}x{i}" for i in range(n))
+
+
+def test_stages_judge_rows_by_themselves(spark):
+    """Exact rows of every stage for null and shared ids, empty and very long
+    texts, repeated rows, nulls in all columns and clashing extra columns."""
+    item = rows_of("benchmark", "item_id", "text")[0]["text"]
+    leak, near = f"{clean(1)} {item}", clean(2, 200)
+    texts = {
+        "null": (1, None), "null id, few words": (None, "a b"), "empty": (2, ""), "shared": (3, clean(3)),
+        "shared too": (3, clean(4)), "repeated": (4, clean(5)), "repeated again": (4, clean(5)), "long": (5, clean(6, 20_000)),
+        "leak": (6, leak), "null id, leak": (None, f"{clean(7)} {item}"), "id of the leak": (6, clean(8)),
+        "near": (9, near), "near copy": (8, near + " end"), "null id, near copy": (None, "start " + near),
+        "null id": (None, clean(10)), "null id, its near copy": (None, clean(10) + " end"), "private": (11, clean(11) + " jo@x.org"),
+    }
+    rows = [(*r, None if "null" in k else "en", None if "null" in k else "s", len(r[1] or "")) for k, r in texts.items()]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    docs = docs.selectExpr("*", "'?' AS ids", "1 AS kept")
-    for df in (docs, docs.where("doc_id = -1")):
-        for name, f in P.STAGES:
-            out = f(spark, df, SF)
-            assert out.columns[:5] == DOC, name
-            n = out.count()
-            assert n <= len(rows)
-            if name == "near_duplicates" and df is docs:
-                assert n == 5  # the repeated row goes
+    docs = docs.selectExpr("*", "'?' AS ids", "1 AS kept", "2 AS text_hash", "3 AS __text")
+    name_of = {}
+    for k, r in texts.items():
+        name_of.setdefault(r, k)
+    left = lambda df: sorted((name_of[r.doc_id, r.text]) for r in df.collect())
+    gone = {"quality_rules": {"null", "null id, few words", "empty"},
+            "near_duplicates": {"repeated again", "near", "null id, near copy"}, "decontamination": {"leak", "null id, leak"}}
+    want = [k if k != "repeated again" else "repeated" for k in texts]
+    for name, stage in P.STAGES[:3]:
+        docs = written(stage(spark, docs, SF), f"edge-{name}")
+        assert docs.columns[:5] == DOC and docs.columns[5:] == ["ids", "kept", "text_hash", "__text"]
+        if name == "quality_rules":
+            want = [k for k in want if k not in gone[name]]
+        elif name == "near_duplicates":
+            want.remove("repeated")
+            want = [k for k in want if k not in gone[name]]
+            kept = [k for k in left(docs) if k.startswith("null id") and "leak" not in k]
+            assert len(kept) == 1 and kept[0] in ("null id", "null id, its near copy")  # the smaller hash
+            want = [k for k in want if k not in ("null id", "null id, its near copy")] + kept
+        else:
+            want = [k for k in want if k not in gone[name]]
+        assert left(docs) == sorted(want), name
+    before = {(r.doc_id, r.text) for r in docs.collect()}
+    docs = written(P.personal_data(spark, docs, SF), "edge-personal")
+    after = {(r.doc_id, r.text) for r in docs.collect()}
+    assert len(after) == len(before) and {r for r in before if "@" not in r[1]} <= after
+    assert not [t for _, t in after if "@" in t] and docs.columns[:5] == DOC
+    out = P.tokens(spark, docs, SF)
+    assert out.columns == [*DOC, "kept", "text_hash", "__text", "n_tokens", "ids"]
+    assert {(r.doc_id, r.text) for r in out.collect()} == after and out.where("n_tokens < 90").count() == 0
+
+
+def test_stages_take_empty_tables(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long, kept int")
+    for name, stage in P.STAGES:
+        out = stage(spark, docs, SF)
+        assert out.columns[:6] == [*DOC, "kept"] and out.count() == 0, name
