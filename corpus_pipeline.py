@@ -2,9 +2,11 @@
 
 Each stage is ``f(spark, docs, sf_dir)``; what it returns is written as
 Parquet and read again as the next one's ``docs``. All stages but the last
-return the columns they were given. Rows with a null in any column, empty
-texts and repeated rows pass through each stage as its operator defines; an
-empty table stays empty, extra columns are carried along.
+return the columns they were given. A verdict is on the row itself, told by
+its id (null or not) and text, so rows without a doc_id or that share one are
+kept or dropped for their own text. Empty texts and repeated rows pass through
+each stage as its operator defines; an empty table stays empty, extra columns
+are carried along.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 
 from hosttel.llm import decontam, near_dup, pii, quality, sentencepiece_bpe
 from hosttel.llm.store import written
+from hosttel.llm.text import without
 
 MODEL_FILE = "piece_bpe_32k.model"
 SHINGLE_WORDS, SIMILARITY = 5, 80
@@ -26,20 +29,36 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.judge(docs).where("kept").select(*docs.columns)
 
 
+def _hashed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with the hash of the text under a name of its own."""
+    name = "__text"
+    while name in map(str.lower, docs.columns):
+        name += "_"
+    return docs.withColumn(name, F.xxhash64("text")), name
+
+
+def _without(docs: DataFrame, gone: DataFrame, text_hash: str) -> DataFrame:
+    """The rows of ``docs`` that ``gone`` (doc_id, text_hash) does not name: a
+    verdict is on a row's own id, null or not, and text."""
+    on = F.expr(f"l.{text_hash} = r.text_hash AND l.doc_id <=> r.doc_id")
+    return docs.alias("l").join(gone.distinct().alias("r"), on, "left_anti")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest doc_id of each group of near-duplicates, once. Rows
-    without a doc_id cannot be named and stay, but for exact repeats."""
+    """Keep one document of each group of near-duplicates, the one with the
+    smallest doc_id; of rows that repeat, one."""
     verdict = near_dup.near_duplicates(docs, width=SHINGLE_WORDS, limit=SIMILARITY)
-    gone = verdict.where("NOT kept").select("doc_id")
-    return (docs.join(gone, "doc_id", "left_anti").withColumn("__text", F.xxhash64("text"))
-            .dropDuplicates(["doc_id", "__text"]).select(*docs.columns))
+    named, text_hash = _hashed(docs)
+    kept = _without(named, verdict.where("NOT kept").select("doc_id", "text_hash"), text_hash)
+    return kept.dropDuplicates(["doc_id", text_hash]).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a window of a benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hit = decontam.contamination(docs, items, width=BENCHMARK_WORDS).where("size(hits) > 0").select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    found = decontam.contamination(docs, items, width=BENCHMARK_WORDS).where("size(hits) > 0")
+    named, text_hash = _hashed(docs)
+    return _without(named, found.select("doc_id", "text_hash"), text_hash).select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,10 +68,11 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Add the token ids and their number; ``text`` is what they decode to."""
+    """Add the token ids and their number; ``text`` is what they decode to.
+    Columns of these names are replaced."""
     model = sentencepiece_bpe.load_model(public_tokenizers.path(MODEL_FILE))
-    coded = sentencepiece_bpe.decode(sentencepiece_bpe.encode(docs, model), model, text="text")
-    return coded.select(*docs.columns, F.size("ids").cast("long").alias("n_tokens"), "ids")
+    coded = sentencepiece_bpe.encode_decode(docs, model, decoded="text")
+    return coded.select(*without(docs, ["n_tokens", "ids"]), F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
 STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates),
