@@ -1,18 +1,23 @@
 """Quality rules judged by host.
 
 Each document gets counts and rule failures. The failures are added up by
-host; a host's failure rates are shrunk towards the other hosts' with a beta
-prior whose mean and strength are estimated from the rates of all hosts with
-enough documents (method of moments, each host counting once, sampling variance
-taken off); hosts whose shrunk rate of any rule passes ``host_limit`` are
-rejected, and their verdict is joined back to the documents.
-
-The prior never weighs more than a host that has just enough documents, so a
-host's own documents decide, however large and alike the rest of the corpus is.
+host; a host's failure rates are shrunk towards the other hosts' with an
+empirical beta prior in two parts of one mean: usual hosts, whose spread gives
+the prior's strength, and odd hosts, for whom the prior weighs next to
+nothing. Mean, strength and the share of odd hosts are estimated by a few
+rounds of expectation-maximisation over the rates of all hosts with enough
+documents, each host counting once (method of moments, sampling variance taken
+off). Hosts whose shrunk rate of any rule passes ``host_limit`` are rejected,
+and rate and verdict are joined back to the documents.
+
+However large and alike the usual hosts are, a host that is unlike them is odd
+and judged by its own documents.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,8 +40,10 @@ BASE_FAILED = f"{RULES['few_words']} OR {RULES['repeats']}"
 HOST_LIMIT = 0.5
 #: Documents that are enough to know a host's rates; fewer do not shape the prior.
 ENOUGH = 20
-#: Bounds of the prior's strength, in documents.
-WEAKEST, STRONGEST = 10.0, float(ENOUGH)
+#: Strength of the prior for odd hosts, in documents, and the most it can be for usual ones.
+WEAKEST, STRONGEST = 2.0, 10_000.0
+#: Bounds of the prior's mean, and rounds of expectation-maximisation.
+LOWEST, HIGHEST, EM_ROUNDS = 0.0001, 0.9999, 3
 #: Host tables up to this many rows are broadcast; larger ones are joined over salted keys.
 BROADCAST_HOSTS, SALTS = 100_000, 64
 
@@ -77,36 +84,78 @@ def signals(df: DataFrame, text: str = "text", drop: tuple[str, ...] = ()) -> Da
     return map_columns(df, [text], fields([(c, T.LongType()) for c in COUNTS]), run, drop=drop)
 
 
+def _log_beta(a: float, b: float) -> float:
+    return math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b)
+
+
+def usual_chance(docs: int, fails: int, mean: float, strength: float, odd: float) -> float:
+    """The chance that a host with these counts is a usual one: beta-binomial
+    likelihoods of the two parts of the prior."""
+    log = [_log_beta(fails + mean * s, docs - fails + (1 - mean) * s) - _log_beta(mean * s, (1 - mean) * s)
+           for s in (strength, WEAKEST)]
+    return 1 / (1 + odd / (1 - odd) * math.exp(min(log[1] - log[0], 700.0)))
+
+
+def _with_chances(by_host: DataFrame, priors: dict[str, tuple[float, float, float]]) -> DataFrame:
+    """``by_host`` with ``u_<rule>``, the chance of being usual under the prior (mean, strength, share of odd hosts)."""
+
+    def run(docs: pa.Array, *fails: pa.Array) -> list[pa.Array]:
+        n = docs.to_pylist()
+        return [pa.array([usual_chance(d, f, *priors[r]) for d, f in zip(n, x.to_pylist(), strict=True)], pa.float64())
+                for r, x in zip(RULES, fails, strict=True)]
+
+    return map_columns(by_host, ["docs", *[f"f_{r}" for r in RULES]], fields([(f"u_{r}", T.DoubleType()) for r in RULES]), run)
+
+
+def _moments(weighted: DataFrame) -> dict[str, tuple[float, float, float]]:
+    """The prior of each rule from hosts with enough documents, weighted by ``u_<rule>``: a few numbers."""
+    known = weighted.where(F.col("docs") >= ENOUGH)
+    rate = lambda r: F.col(f"f_{r}") / F.col("docs")
+    t = known.agg(F.count("*").alias("hosts"), *[c for r in RULES for c in (
+        F.sum(f"u_{r}").alias(f"w_{r}"), F.sum(F.col(f"u_{r}") * rate(r)).alias(f"m_{r}"),
+        F.sum(F.col(f"u_{r}") * rate(r) * rate(r)).alias(f"q_{r}"),
+        F.sum(F.col(f"u_{r}") / F.col("docs")).alias(f"e_{r}"), F.avg(rate(r)).alias(f"all_{r}"))]).first()
+    out = {}
+    for r in RULES:
+        hosts, weight = t["hosts"], t[f"w_{r}"] or 0.0
+        mean, strength = t[f"all_{r}"] or 0.0, WEAKEST
+        if weight > 0.5:
+            mean = t[f"m_{r}"] / weight
+            noise, single = t[f"e_{r}"] / weight, mean * (1 - mean)  # single: the variance of one document's failure
+            alike = (max(t[f"q_{r}"] / weight - mean * mean, 0.0) / single - noise) / (1 - noise) if single > 0 else 0.0
+            strength = min(max((1 - alike) / alike, WEAKEST), STRONGEST) if alike > 0 else STRONGEST
+        odd = (hosts - weight + 1) / (hosts + 2)
+        out[r] = (min(max(mean, LOWEST), HIGHEST), strength, odd)
+    return out
+
+
 def host_verdicts(judged: DataFrame, host: str, host_limit: float = HOST_LIMIT) -> DataFrame:
-    """(host, docs, rate_<rule>..., rejected) for a table with the counts of
-    ``signals``: shrunk failure rates and whether any passes the limit. Rows
+    """(host, docs, rate_<rule>..., usual_<rule>..., worst, rejected) for a
+    table with the counts of ``signals``: shrunk failure rates, the chances of
+    being a usual host, the highest rate and whether it passes the limit. Rows
     without a host are one host of their own (null)."""
     fails = {r: F.sum(F.expr(f"CAST({rule} AS BIGINT)")).alias(f"f_{r}") for r, rule in RULES.items()}
     by_host = written(judged.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("docs"), *fails.values()),
                       "hosts")
-    known = F.col("docs") >= ENOUGH
-    t = by_host.agg(F.sum("docs").alias("docs"), F.avg(F.when(known, 1 / F.col("docs"))).alias("noise"),
-                    *[F.sum(f"f_{r}").alias(f"f_{r}") for r in RULES],
-                    *[f(F.when(known, F.col(f"f_{r}") / F.col("docs"))).alias(f"{n}_{r}")
-                      for r in RULES for n, f in (("mean", F.avg), ("spread", F.var_samp))]).first()  # a few numbers
-    rated = by_host
-    for r in RULES:
-        mean = t[f"mean_{r}"]
-        if mean is None:  # no host has enough documents
-            mean = (t[f"f_{r}"] or 0) / (t["docs"] or 1)
-        single = mean * (1 - mean)  # variance of one document's failure
-        alike = 0.0  # of documents of one host
-        if single > 0 and t[f"spread_{r}"] is not None:
-            alike = (t[f"spread_{r}"] / single - t["noise"]) / (1 - t["noise"])
-        strength = max(WEAKEST, min(STRONGEST, (1 - alike) / alike if alike > 0 else STRONGEST))
-        rated = rated.withColumn(f"rate_{r}", (F.col(f"f_{r}") + mean * strength) / (F.col("docs") + strength))
-    worst = F.greatest(*[F.col(f"rate_{r}") for r in RULES])
-    return rated.select("host", "docs", *[f"rate_{r}" for r in RULES], (worst > host_limit).alias("rejected"))
+    # at first, hosts beyond the limit are taken as odd
+    weighted = by_host.withColumns({f"u_{r}": F.when(F.col(f"f_{r}") > host_limit * F.col("docs"), 0.0).otherwise(1.0) for r in RULES})
+    for _ in range(EM_ROUNDS):
+        priors = _moments(weighted)
+        weighted = _with_chances(by_host, priors)
+    rates = {}
+    for r, (mean, strength, _) in priors.items():
+        u, f, n = F.col(f"u_{r}"), F.col(f"f_{r}"), F.col("docs")
+        rates[r] = u * (f + mean * strength) / (n + strength) + (1 - u) * (f + mean * WEAKEST) / (n + WEAKEST)
+    worst = F.greatest(*rates.values())
+    return weighted.select("host", "docs", *[c.alias(f"rate_{r}") for r, c in rates.items()],
+                           *[F.col(f"u_{r}").alias(f"usual_{r}") for r in RULES],
+                           worst.alias("worst"), (worst > host_limit).alias("rejected"))
 
 
 def judge(df: DataFrame, text: str = "text", host: str = "source", host_limit: float = HOST_LIMIT,
           broadcast_hosts: int = BROADCAST_HOSTS, keep_text: bool = True) -> DataFrame:
-    """Append the counts, ``base_failed``, ``host_rejected`` and ``kept``.
+    """Append the counts, ``base_failed``, ``host_rate`` (the highest shrunk
+    failure rate of its host), ``host_rejected`` and ``kept``.
 
     A document is kept unless it fails a base rule (too few words, or more
     than half of them in repeated windows) or its host is rejected. Null and
@@ -116,17 +165,16 @@ def judge(df: DataFrame, text: str = "text", host: str = "source", host_limit: f
     """
     only = df.select(F.col(host).alias("__host"), F.col(text).alias("__text"))
     hosts = host_verdicts(signals(only, "__text", drop=("__text",)), "__host", host_limit)
-    bad = hosts.where("rejected").select(F.col("host").alias("__bad_host"), F.lit(True).alias("__bad"))
+    hosts = written(hosts.select(F.col("host").alias("__judged"), F.col("worst").alias("__rate"), F.col("rejected").alias("__bad")),
+                    "host-verdicts")
     own = df.withColumns({"__host": F.col(host), "__row_salt": F.expr(f"CAST(pmod(xxhash64(`{text}`), {SALTS}) AS INT)")})
     made = signals(own, text, drop=() if keep_text else (text,))
-    few = bad.limit(broadcast_hosts + 1).count() <= broadcast_hosts
-    if few:
-        joined = made.join(F.broadcast(bad), F.expr("__host <=> __bad_host"), "left")
+    if hosts.limit(broadcast_hosts + 1).count() <= broadcast_hosts:
+        joined = made.join(F.broadcast(hosts), F.expr("__host <=> __judged"))
     else:  # a hot host is spread over salts
-        salted = bad.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = made.join(salted, F.expr("__host <=> __bad_host AND __row_salt = __salt"), "left")
-    rejected = F.coalesce(F.col("__bad"), F.lit(False))
-    names = without(made, ["base_failed", "host_rejected", "kept", "__host", "__row_salt"])
+        salted = hosts.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = made.join(salted, F.expr("__host <=> __judged AND __row_salt = __salt"))
+    names = without(made, ["base_failed", "host_rate", "host_rejected", "kept", "__host", "__row_salt"])
     return joined.select(*[F.col(f"`{c}`") for c in names],
-                         F.expr(BASE_FAILED).alias("base_failed"), rejected.alias("host_rejected"),
-                         (~F.expr(BASE_FAILED) & ~rejected).alias("kept"))
+                         F.expr(BASE_FAILED).alias("base_failed"), F.col("__rate").alias("host_rate"),
+                         F.col("__bad").alias("host_rejected"), (~F.expr(BASE_FAILED) & ~F.col("__bad")).alias("kept"))

@@ -2,14 +2,42 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from . import quality
 from .registry import register, table
 
 _RULES = {"few_words": "n_words < 50", "repeats": "100 * n_repeat_words > 50 * n_words",
           "symbols": "10 * n_symbols > n_words", "dup_lines": "100 * n_dup_lines > 30 * n_lines"}
-_SHRUNK = ", ".join(
-    f"(f_{r} + m_{r} * s_{r}) / (docs + s_{r})" for r in _RULES)
-_ROOM = "m_{r} * (1 - m_{r}) * (n - q / n - (h - 1))"
+
+
+def _each(text: str) -> str:
+    return ", ".join(text.format(r=r) for r in _RULES)
+
+
+def _em_sql() -> str:
+    """CTEs ``u0``, ``p1``, ``u1``, ...: chances of being a usual host and the prior, round by round."""
+    out = ["u0 AS (SELECT *, " + _each("CASE WHEN f_{r} > 0.5 * docs THEN 0.0 ELSE 1.0 END::DOUBLE AS u_{r}") + " FROM host)"]
+    for i in range(1, quality.EM_ROUNDS + 1):
+        sums = _each("coalesce(sum(u_{r}), 0) AS w_{r}, sum(u_{r} * f_{r} / docs) AS m_{r}, sum(u_{r} * (f_{r} / docs) * (f_{r} / docs)) AS q_{r}, "
+                     "sum(u_{r} / docs) AS e_{r}, coalesce(avg(f_{r} / docs), 0) AS all_{r}")
+        alike = "((greatest(q_{r} / w_{r} - pow(m_{r} / w_{r}, 2), 0) / nullif(m_{r} / w_{r} * (1 - m_{r} / w_{r}), 0) - e_{r} / w_{r}) / (1 - e_{r} / w_{r}))"
+        out.append(f"t{i} AS (SELECT count(*) AS hosts, {sums} FROM u{i - 1} WHERE docs >= {quality.ENOUGH})")
+        out.append(f"a{i} AS (SELECT *, " + _each("CASE WHEN w_{r} > 0.5 THEN coalesce(" + alike + ", 0) END AS alike_{r}") + f" FROM t{i})")
+        out.append(f"p{i} AS (SELECT " + _each(
+            f"least(greatest(CASE WHEN w_{{r}} > 0.5 THEN m_{{r}} / w_{{r}} ELSE all_{{r}} END, {quality.LOWEST}), {quality.HIGHEST})::DOUBLE AS mean_{{r}}, "
+            f"CASE WHEN w_{{r}} <= 0.5 THEN {quality.WEAKEST} WHEN alike_{{r}} > 0 THEN least(greatest((1 - alike_{{r}}) / alike_{{r}}, {quality.WEAKEST}), {quality.STRONGEST}) "
+            f"ELSE {quality.STRONGEST} END::DOUBLE AS s_{{r}}, (hosts - w_{{r}} + 1) / (hosts + 2) AS odd_{{r}}") + f" FROM a{i})")
+        bb = ("(lgamma(f_{{r}} + mean_{{r}} * {s}) + lgamma(docs - f_{{r}} + (1 - mean_{{r}}) * {s}) - lgamma(docs + {s}) "
+              "- lgamma(mean_{{r}} * {s}) - lgamma((1 - mean_{{r}}) * {s}) + lgamma({s}))")
+        ratio = f"{bb.format(s=f'{quality.WEAKEST}::DOUBLE')} - {bb.format(s='s_{r}')}"
+        out.append(f"u{i} AS (SELECT host.*, p{i}.*, " + _each(
+            "1 / (1 + odd_{r} / (1 - odd_{r}) * exp(least(" + ratio + ", 700.0))) AS u_{r}") + f" FROM host, p{i})")
+    return ",\n".join(out)
+
+
+_RATE = (f"u_{{r}} * (f_{{r}} + mean_{{r}} * s_{{r}}) / (docs + s_{{r}}) + "
+         f"(1 - u_{{r}}) * (f_{{r}} + mean_{{r}} * {quality.WEAKEST}) / (docs + {quality.WEAKEST})")
 
 SQL = rf"""
 WITH doc AS (
@@ -32,16 +60,12 @@ judged AS (
     FROM doc LEFT JOIN rep USING (doc_id)),
 host AS (SELECT source, count(*) AS docs, {', '.join(f'sum(CASE WHEN {x} THEN 1 ELSE 0 END) AS f_{r}' for r, x in _RULES.items())}
          FROM judged GROUP BY source),
-total AS (SELECT sum(docs) AS n, count(*) AS h, sum(docs::DOUBLE * docs) AS q,
-          {', '.join(f'sum(f_{r}) / sum(docs) AS m_{r}' for r in _RULES)} FROM host),
-spread AS (SELECT {', '.join(f'sum(docs * pow(f_{r} / docs - m_{r}, 2)) AS d_{r}' for r in _RULES)} FROM host, total),
-alike AS (SELECT *, {', '.join(f'CASE WHEN {_ROOM.format(r=r)} > 0 THEN (d_{r} - m_{r} * (1 - m_{r}) * (h - 1)) / ({_ROOM.format(r=r)}) ELSE 0 END AS a_{r}' for r in _RULES)}
-          FROM total, spread),
-strength AS (SELECT *, {', '.join(f'greatest(10.0, least(10000.0, CASE WHEN a_{r} > 0 THEN (1 - a_{r}) / a_{r} ELSE 10000.0 END)) AS s_{r}' for r in _RULES)} FROM alike),
-verdict AS (SELECT source, greatest({_SHRUNK}) > 0.5 AS rejected FROM host, strength)
+{_em_sql()},
+verdict AS (SELECT source, greatest({_each(_RATE)}) AS rate FROM u{quality.EM_ROUNDS})
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
-       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT rejected AS kept
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT rate > 0.5 AS kept,
+       round(rate, 6) AS host_rate, rate > 0.5 AS host_rejected
 FROM judged JOIN verdict ON judged.source IS NOT DISTINCT FROM verdict.source
 """
 
@@ -50,4 +74,5 @@ FROM judged JOIN verdict ON judged.source IS NOT DISTINCT FROM verdict.source
 def op4_host_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return quality.judge(docs, keep_text=False).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.round("host_rate", 6).alias("host_rate"), "host_rejected")

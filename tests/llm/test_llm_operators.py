@@ -206,6 +206,38 @@ def test_host_verdicts_do_not_hang_on_the_corpus_size(spark, monkeypatch, hosts,
     assert {r.host for r in rejected} == {"bad", "small"}
 
 
+def verdict_of(spark, monkeypatch, counts):
+    """The host ``x`` beside hosts of these (documents, failures)."""
+    rows = [(f"h{i}", n, f) for i, (n, f) in enumerate(counts)] + [("x", 10, 7)]
+    table = spark.createDataFrame(rows, "host string, docs long, f long").select(
+        "host", "docs", *[F.col("f").alias(f"f_{r}") for r in quality.RULES])
+    monkeypatch.setattr(quality, "written", lambda df, name: table)
+    judged = spark.createDataFrame([], "source string, " + ", ".join(f"{c} long" for c in quality.COUNTS))
+    return quality.host_verdicts(judged, "source").where("host = 'x'").first()
+
+
+def test_the_estimated_prior_moves_the_verdict(spark, monkeypatch):
+    """7 of 10 documents fail: beside hosts that all fail 1 % the host is odd and
+    rejected; beside hosts that differ a lot around 35 % it is one of them."""
+    alike = verdict_of(spark, monkeypatch, [(500, 5)] * 40)
+    rng = np.random.default_rng(8)
+    spread = verdict_of(spark, monkeypatch, [(400, int(400 * p)) for p in rng.beta(0.35 * 25, 0.65 * 25, 200)])
+    assert alike.rejected and alike.usual_repeats < 0.01 and not spread.rejected and spread.usual_repeats > 0.9
+    assert alike.worst == pytest.approx((7 + 0.01 * 2) / 12, abs=0.01) and 0.35 < spread.worst < 0.5
+
+
+def test_usual_chance_is_the_beta_binomial_ratio():
+    def likelihood(n, f, m, s):  # documents one after the other
+        p = 1.0
+        for i in range(n):
+            p *= (m * s + i) / (s + i) if i < f else ((1 - m) * s + i - f) / (s + i)
+        return p
+
+    for n, f, m, s, odd in [(1, 1, 0.1, 50, 0.2), (9, 3, 0.3, 10, 0.5), (40, 0, 0.01, 999, 0.1), (25, 25, 0.02, 400, 0.05)]:
+        a, b = (1 - odd) * likelihood(n, f, m, s), odd * likelihood(n, f, m, quality.WEAKEST)
+        assert quality.usual_chance(n, f, m, s, odd) == pytest.approx(a / (a + b), rel=1e-9)
+
+
 def test_quality_edge_rows(edge, empty):
     out = quality.judge(edge).collect()
     assert len(out) == len(EDGE) and not any(r.kept for r in out)

@@ -52,6 +52,34 @@ def test_query_matches_sql(spark, duck, name):
     assert sorted(tuple(map(_norm, r)) for r in df.collect()) == want
 
 
+def test_op4_rejects_hosts_as_its_sql(spark, tmp_path):
+    """Hosts of all kinds, bad ones among them: rates and verdicts equal the SQL's."""
+    import random
+
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(300)]
+    good = lambda: " ".join(rng.choices(words, k=80))
+    bad = {"repeats": lambda: "spam ham eggs " * 30, "symbols": lambda: " ".join(f"{w} #" for w in rng.choices(words, k=60)),
+           "dup_lines": lambda: (" ".join(rng.choices(words, k=20)) + "\n") * 5 + good(), "few": lambda: "too short"}
+    rows = []
+    for h in range(60):
+        share, kind = (0.9, rng.choice(list(bad))) if h % 12 == 0 else (rng.random() * 0.2, rng.choice(list(bad)))
+        for _ in range(rng.choice([1, 3, 25, 60, 120])):
+            rows.append((len(rows), bad[kind]() if rng.random() < share else good(), None if h == 59 else f"host{h}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = catalog.QUERIES["op4_host_rules"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    cur = con.execute(catalog.ORACLE["op4_host_rules"])
+    order = [[d[0] for d in cur.description].index(c) for c in got.columns]
+    want = sorted(tuple(_norm(r[i]) for i in order) for r in cur.fetchall())
+    found = got.collect()
+    assert sorted(tuple(map(_norm, r)) for r in found) == want
+    assert any(r.host_rejected and not r.base_failed for r in found) and any(r.kept for r in found)
+    assert len({r.host_rate for r in found}) > 30
+
+
 def test_op1_equals_the_library(spark):
     import public_tokenizers
     import sentencepiece
