@@ -1,17 +1,25 @@
-"""URL filter by a ratio of two character language models.
+"""URL filter by a ratio of two variable-order Markov models over bytes.
 
 Hand-written rules decide the URLs they fit. The URLs they allow and those
-they block train one variable-order Markov model each: a character's chance
-after the longest context is mixed with that after each shorter one, by
-Witten-Bell weights, so unseen contexts pass over to shorter ones. A URL that
-no rule fits is blocked when the length-normalised difference of its
-log-likelihoods falls below a threshold, which is calibrated on allowed and on
-blocked rule-decided URLs that were kept out of training.
-
+they block train one model each: a byte's chance after the longest context in
+which it was seen, times the escape from each longer context (method C: a
+context with ``n`` occurrences and ``k`` kinds of next byte escapes with k /
+(n + k)). A URL that no rule fits is blocked when the length-normalised
+difference of its log-likelihoods falls below a threshold, which is calibrated
+on allowed and on blocked rule-decided URLs that were kept out of training.
 The final counts cover all rule-decided URLs: once the threshold is found, the
-models are fitted again with the held-out ones. Characters are mapped to 40 symbols, so a model of
-order 3 has at most 40**4 counts, whatever the input: that bounds what
-reaches the driver and what the tasks get.
+models are fitted again with the held-out ones.
+
+Counts are Spark tables that grow with the corpus. A context stays if it
+occurs ``SUPPORT`` times and more than one byte follows it; contexts are
+lengthened as long as any stays, so how deep the models go is up to the data.
+
+A log-likelihood is a sum over a URL's contexts and grams (a context with its
+next byte): each context adds its escape, each gram what is known beyond that
+and beyond the gram one byte shorter. So a model is one table of (key, value),
+both models together one table of differences, and a score is the sum of the
+values of a URL's keys. The table is looked up in the tasks while its counted
+size is within a bound, and joined by a shuffle beyond.
 """
 
 from __future__ import annotations
@@ -25,11 +33,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import fields, map_columns
-
-#: Symbols: letters, digits, four marks; anything else is 0, also before the first character.
-ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789./-"
-SYMBOLS, ORDER = 40, 3
+from .store import written
+from .text import fields, map_columns, mix
+
+#: Occurrences that a context needs to stay, and lengths of context that one pass over the URLs counts.
+SUPPORT, STEP = 16, 8
+#: Byte values, and one more that stands before the first byte.
+KINDS, START = 256, 256
+#: Models of up to this many keys go to the tasks as two sorted arrays of 12 bytes a key; larger ones are joined.
+LOOKUP_KEYS = 1_000_000
+#: Keys that are in more than one of so many training bytes are joined by a broadcast: at most HOT a length of context.
+HOT = 1_000
 #: One in so many rule-decided URLs is kept for calibration.
 HELD_OUT = 5
 #: Largest share of held-out allowed URLs that the threshold may block.
@@ -37,10 +51,6 @@ FALSE_BLOCKS = 0.01
 #: Held-out scores are counted in cells of this width, up to this size: that bounds what calibration collects.
 CELL, LARGEST = 0.001, 32.0
 
-_SYMBOL = np.zeros(256, np.int64)
-for _i, _c in enumerate(ALPHABET):
-    _SYMBOL[ord(_c)] = _SYMBOL[ord(_c.upper())] = _i + 1
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -73,75 +83,176 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return found
 
 
-def symbols(url: str) -> np.ndarray:
-    """Symbols of a URL after ``ORDER`` blanks; the scheme is left out."""
-    rest = url.partition("://")[2] or url
-    return np.concatenate([np.zeros(ORDER, np.int64), _SYMBOL[np.frombuffer(rest.encode(), np.uint8)]])
-
-
-def grams(s: np.ndarray) -> np.ndarray:
-    """Index of each symbol with the ``ORDER`` before it."""
-    n = len(s) - ORDER
-    code = np.zeros(n, np.int64)
-    for j in range(ORDER + 1):
-        code = code * SYMBOLS + s[j:j + n]
-    return code
+class Grams:
+    """Keys of the contexts and grams of some URLs, length by length.
 
+    A key is a 64-bit hash of the bytes; a context never reaches beyond the
+    mark before its URL's first byte. The scheme is left out.
+    """
 
-def gram_counts(df: DataFrame, url: str, label: str) -> DataFrame:
-    """(label, gram, n): counts of symbols in context over all rows."""
-    size = SYMBOLS ** (ORDER + 1)
+    def __init__(self, urls: Sequence[str | None]):
+        parts = [((u or "").partition("://")[2] or u or "").encode() for u in urls]
+        sizes = np.array([len(p) + 1 for p in parts], np.int64)
+        begins = np.cumsum(sizes) - sizes
+        text = np.full(int(sizes.sum()), START, np.int64)
+        mark = np.zeros(len(text), bool)
+        mark[begins] = True
+        text[~mark] = np.frombuffer(b"".join(parts), np.uint8)
+        self.text = text.astype(np.uint64) + np.uint64(1)
+        self.at = np.flatnonzero(~mark)  # of all bytes that are predicted
+        self.owner = np.repeat(np.arange(len(parts)), sizes)[self.at]
+        self.room = self.at - begins[self.owner]  # the longest context there is
+        self.length = sizes - 1
+
+    def __iter__(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(length, places, context keys, gram keys) for each length of context, from 0."""
+        places = np.arange(len(self.at))
+        context = np.full(len(self.at), np.uint64(0x243F6A8885A308D3))
+        length = 0
+        while len(places):
+            gram = mix(context * np.uint64(3) + self.text[self.at[places]])
+            yield length, places, context, gram
+            length += 1
+            longer = self.room[places] >= length
+            places, context = places[longer], context[longer]
+            context = mix(context * np.uint64(5) + self.text[self.at[places] - length])
+
+
+def _signed(keys: np.ndarray) -> pa.Array:
+    return pa.array(keys.view(np.int64))
+
+
+_COUNTS = "label boolean, length int, stem long, context long, gram long, shorter long, n long"
+
+
+def gram_counts(df: DataFrame, first: int) -> DataFrame:
+    """Counts by label of the grams whose context has ``first`` to ``first +
+    STEP - 1`` bytes. ``shorter`` is the gram's own with one context byte
+    less, ``stem`` the context of ``first - 1`` bytes (0 at first).
+    ``df``: (url, label)."""
+    names = [c.split()[0] for c in _COUNTS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [np.zeros(size, np.int64), np.zeros(size, np.int64)]
         for batch in batches:
-            for u, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                np.add.at(seen[int(y)], grams(symbols(u or "")), 1)
-        for y in (0, 1):
-            used = np.flatnonzero(seen[y])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(used), y, np.int32)), pa.array(used.astype(np.int32)), pa.array(seen[y][used])],
-                names=["label", "gram", "n"])
-
-    return (df.select(F.col(url).alias("url"), F.col(label).cast("boolean").alias("label"))
-            .mapInArrow(run, "label int, gram int, n long").groupBy("label", "gram").agg(F.sum("n").alias("n")))
-
-
-def smoothed(counts: np.ndarray) -> np.ndarray:
-    """Log-probability of the last symbol of each gram: Witten-Bell mixture over all orders."""
-    chance = np.full(SYMBOLS, 1 / SYMBOLS)
-    for order in range(ORDER + 1):
-        c = counts.reshape(-1, SYMBOLS ** order, SYMBOLS).sum(axis=0).astype(float)  # [context, symbol]
-        total, kinds = c.sum(axis=1, keepdims=True), (c > 0).sum(axis=1, keepdims=True)
-        below = np.tile(chance.reshape(-1, SYMBOLS), (SYMBOLS if order else 1, 1))[:len(c)]
-        with np.errstate(invalid="ignore", divide="ignore"):
-            mixed = (c + kinds * below) / (total + kinds)
-        chance = np.where(total > 0, mixed, below)
-    return np.log(chance).ravel().astype(np.float32)
-
-
-def train(df: DataFrame, url: str, label: str) -> np.ndarray:
-    """Log-probability differences allowed minus blocked, one for each gram."""
-    counts = np.zeros((2, SYMBOLS ** (ORDER + 1)), np.int64)
-    got = gram_counts(df, url, label).toArrow()  # at most 2 * 40**4 rows
-    np.add.at(counts, (got["label"].to_numpy(), got["gram"].to_numpy()), got["n"].to_numpy())
-    return smoothed(counts[1]) - smoothed(counts[0])
-
-
-def score(df: DataFrame, difference: np.ndarray, url: str = "url", out: str = "score") -> DataFrame:
-    """Append the mean log-likelihood difference per character; null and empty URLs get 0."""
-    shared = df.sparkSession.sparkContext.broadcast(difference)  # 40**4 numbers
+            for start in range(0, batch.num_rows, 2048):
+                part = batch.slice(start, 2048)
+                url, label = part.column(0).to_pylist(), np.array(part.column(1).to_pylist(), bool)
+                for y in (False, True):
+                    grams = Grams([u for u, x in zip(url, label, strict=True) if x == y])
+                    stem = np.zeros(len(grams.at), np.uint64)
+                    before = np.zeros(len(grams.at), np.uint64)
+                    for length, places, context, gram in grams:
+                        if length >= first + STEP:
+                            break
+                        if length >= first:
+                            _, some, n = np.unique(gram, return_index=True, return_counts=True)
+                            p = places[some]
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(np.full(len(some), y)), pa.array(np.full(len(some), length, np.int32)), _signed(stem[p]),
+                                 _signed(context[some]), _signed(gram[some]), _signed(before[p]), pa.array(n.astype(np.int64))], names=names)
+                        if length == first - 1:
+                            stem[places] = context
+                        before[places] = gram
+
+    return df.select("url", "label").mapInArrow(run, _COUNTS)
+
+
+def train(df: DataFrame, url: str, label: str, support: int = SUPPORT) -> DataFrame:
+    """(key, length, n, value): for each context and gram that stays its
+    occurrences and what it adds to a URL's log-likelihood under the model of
+    the rows with a true ``label``, less that under the model of the others."""
+    rows = df.select(F.col(url).alias("url"), F.col(label).cast("boolean").alias("label")).where("url IS NOT NULL")
+    keys = ["label", "length", "context", "gram", "shorter"]
+    counts, first, stems = None, 0, None
+    while True:
+        found = gram_counts(rows, first)
+        if stems is not None:
+            found = found.join(stems, "stem", "left_semi")
+        found = found.groupBy(*keys).agg(F.sum("n").alias("n"))
+        # a context stays with its counts of both models; those of length 0 always do
+        of_both = found.groupBy("context", "length").agg(F.sum("n").alias("all"), F.count_distinct("gram").alias("kinds"))
+        stays = of_both.where(f"length = 0 OR (all >= {support} AND kinds > 1)").select("context")
+        found = written(found.join(stays, "context"), "url-grams")
+        counts = found if counts is None else counts.unionByName(found)
+        stems = found.where(F.col("length") == first + STEP - 1).select(F.col("context").alias("stem")).distinct()
+        if not stems.limit(1).count():
+            break
+        first += STEP
+    context = counts.groupBy("label", "length", "context").agg(F.sum("n").alias("all"), F.count("*").alias("kinds"))
+    # at length 0 each byte value has been seen once more than it was, and the rest is the escape
+    root = F.col("length") == 0
+    escape = F.when(root, -F.log(F.col("all") + KINDS)).otherwise(F.log(F.col("kinds") / (F.col("all") + F.col("kinds"))))
+    context = context.withColumn("escape", escape)
+    grams = counts.join(context, ["label", "length", "context"])
+    chance = F.when(root, F.log((F.col("n") + 1) / (F.col("all") + KINDS))).otherwise(F.log(F.col("n") / (F.col("all") + F.col("kinds"))))
+    grams = written(grams.select("label", "length", "gram", "shorter", "n", "escape", chance.alias("chance")), "url-chances")
+    parent = grams.select("label", F.col("gram").alias("shorter"), F.col("chance").alias("known"))
+    gain = F.col("chance") - F.coalesce("known", F.lit(0.0)) - F.col("escape")
+    of_grams = grams.join(parent, ["label", "shorter"], "left").select("label", F.col("gram").alias("key"), "length", "n", gain.alias("v"))
+    of_contexts = context.select("label", F.col("context").alias("key"), "length", F.col("all").alias("n"), F.col("escape").alias("v"))
+    sign = F.when(F.col("label"), F.col("v")).otherwise(-F.col("v"))
+    return written(of_grams.unionByName(of_contexts).groupBy("key", "length").agg(F.sum("n").alias("n"), F.sum(sign).alias("value")), "url-model")
+
+
+def score(df: DataFrame, model: DataFrame, url: str = "url", out: str = "score", lookup_keys: int = LOOKUP_KEYS) -> DataFrame:
+    """Append the mean log-likelihood difference per byte; null and empty URLs get 0."""
+    if model.limit(lookup_keys + 1).count() <= lookup_keys:
+        return _score_in_tasks(df, model, url, out)
+    return _score_by_join(df, model, url, out)
+
+
+def _score_in_tasks(df: DataFrame, model: DataFrame, url: str, out: str) -> DataFrame:
+    got = model.select("key", "value", "length").toArrow()  # at most LOOKUP_KEYS rows
+    keys = got["key"].to_numpy()
+    order = np.argsort(keys)
+    shared = df.sparkSession.sparkContext.broadcast((keys[order], got["value"].to_numpy()[order].astype(np.float64)))
+    deepest = int(got["length"].to_numpy().max()) if len(keys) else -1
 
     def run(column: pa.Array) -> list[pa.Array]:
-        table, made = shared.value, []
-        for u in column.to_pylist():
-            g = grams(symbols(u)) if u else ()
-            made.append(float(table[g].mean()) if len(g) else 0.0)
-        return [pa.array(made, pa.float64())]
+        keys, values = shared.value
+        grams = Grams(column.to_pylist())
+        total = np.zeros(len(grams.length))
+        for length, places, context, gram in grams:
+            if length > deepest:
+                break
+            for k in (context.view(np.int64), gram.view(np.int64)):
+                at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
+                total += np.bincount(grams.owner[places], np.where(keys[at] == k, values[at], 0.0), len(total))
+        return [pa.array(total / np.maximum(grams.length, 1), pa.float64())]
 
     return map_columns(df, [url], fields([(out, T.DoubleType())]), run)
 
 
+def _score_by_join(df: DataFrame, model: DataFrame, url: str, out: str) -> DataFrame:
+    """The same, URL by distinct URL: its keys are joined with the model; keys
+    that nearly all URLs have are broadcast."""
+    deepest = model.agg(F.max("length")).first()[0]
+    total = model.agg(F.sum("n")).first()[0] or 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                urls = batch.column(0).slice(start, 512)
+                grams = Grams(urls.to_pylist())
+                for length, places, context, gram in grams:
+                    if length > deepest:
+                        break
+                    owner = grams.owner[places]
+                    for k in (context, gram):
+                        yield pa.RecordBatch.from_arrays([urls.take(pa.array(owner)), pa.array(grams.length[owner]), _signed(k)],
+                                                         names=["url", "size", "key"])
+
+    keys = df.select(F.col(url).alias("url")).where("url IS NOT NULL").distinct().mapInArrow(run, "url string, size long, key long")
+    keys = keys.groupBy("url", "size", "key").agg(F.count("*").alias("times"))
+    common = F.col("n") * HOT > total
+    hot = F.broadcast(model.where(common).select("key", "value"))
+    sums = keys.join(hot, "key").unionByName(keys.join(model.where(~common).select("key", "value"), "key"))
+    found = sums.groupBy("url", "size").agg((F.sum(F.col("times") * F.col("value")) / F.col("size")).alias("__score"))
+    kept = [F.col(f"l.`{c}`") for c in df.columns if c.lower() != out.lower()]
+    return df.alias("l").join(found.select(F.col("url").alias("__url"), "__score"), F.expr(f"l.`{url}` = __url"), "left").select(
+        *kept, F.coalesce("__score", F.lit(0.0)).alias(out))
+
+
 def limit_between(cells: Sequence[tuple[int, int, float, float]], false_blocks: float) -> float | None:
     """The limit with the smallest sum of error rates, from (allowed, blocked,
     lowest score, highest score) of each cell in order; None without both kinds.
@@ -194,12 +305,11 @@ def judge(df: DataFrame, rules: Sequence[Rule], url: str = "url", key: str = "pa
         (F.pmod(F.xxhash64(url), F.lit(HELD_OUT)) == 0).alias("held"))
     sides = {r["y"]: r["count"] for r in decided.where("NOT held").groupBy("y").count().collect()}
     if len(sides) == 2:
-        difference = train(decided.where("NOT held"), "url", "y")
-        limit = calibrate(score(decided.where("held"), difference, "url"), false_blocks)
-        difference = train(decided, "url", "y")
+        model = train(decided.where("NOT held"), "url", "y")
+        limit = calibrate(score(decided.where("held"), model, "url"), false_blocks)
+        scored = score(base, train(decided, "url", "y"), url)
     else:
-        difference, limit = np.zeros(SYMBOLS ** (ORDER + 1), np.float32), None
-    scored = score(base, difference, url)
+        scored, limit = base.withColumn("score", F.lit(0.0)), None
     by_rule = F.when(F.col("rule").isin(allowed), "allow").when(F.col("rule").isNotNull(), "block")
     by_score = F.when(F.col("score") < (limit if limit is not None else float("-inf")), "block").otherwise("allow")
     return scored.withColumn("verdict", F.coalesce(by_rule, by_score))

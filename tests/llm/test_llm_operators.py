@@ -398,10 +398,85 @@ def test_url_parts_and_longest_rule(spark):
     assert url_lm.judge(df.where("page_id < 0"), rules).count() == 0
 
 
-def test_smoothed_models_are_distributions():
-    counts = np.random.default_rng(0).poisson(0.01, url_lm.SYMBOLS ** (url_lm.ORDER + 1))
-    p = np.exp(url_lm.smoothed(counts).astype(float)).reshape(-1, url_lm.SYMBOLS)
-    assert np.abs(p.sum(axis=1) - 1).max() < 1e-4 and p.min() > 0
+def plain_url_scores(labelled, urls, support):
+    """Mean log-likelihood difference per byte, context by context: a byte's
+    chance where it was seen after the longest context, escapes before that."""
+    body = lambda u: (u.partition("://")[2] or u).encode()
+    seqs = [([url_lm.START, *body(u)], y) for u, y in labelled]
+    n = {False: {}, True: {}}
+    for s, y in seqs:
+        for i in range(1, len(s)):
+            for d in range(i + 1):
+                c = tuple(s[i - d:i])
+                n[y].setdefault(c, {})
+                n[y][c][s[i]] = n[y][c].get(s[i], 0) + 1
+    both = {c: [sum(sum(m.get(c, {}).values()) for m in n.values()), len({x for m in n.values() for x in m.get(c, {})})]
+            for m in n.values() for c in m}
+    stays = {c for c, (total, kinds) in both.items() if not c or (total >= support and kinds > 1)}
+
+    def log_chance(y, s, i):
+        longest = next(d for d in range(i, -1, -1) if tuple(s[i - d:i]) in stays)
+        out = 0.0
+        for d in range(longest, 0, -1):
+            seen = n[y].get(tuple(s[i - d:i]), {})
+            if not seen:
+                continue
+            total, kinds = sum(seen.values()), len(seen)
+            if s[i] in seen:
+                return out + np.log(seen[s[i]] / (total + kinds))
+            out += np.log(kinds / (total + kinds))
+        root = n[y][()]
+        return out + np.log((root.get(s[i], 0) + 1) / (sum(root.values()) + url_lm.KINDS))
+
+    for u in urls:
+        s = [url_lm.START, *body(u)]
+        yield np.mean([log_chance(True, s, i) - log_chance(False, s, i) for i in range(1, len(s))]) if len(s) > 1 else 0.0
+
+
+@pytest.mark.parametrize("support, lookup", [(16, 10 ** 6), (3, 10 ** 6), (3, 0), (2, 10 ** 6)])
+def test_url_scores_equal_a_plain_version(spark, support, lookup):
+    """Contexts of any depth, bytes of any kind, looked up or joined."""
+    rng = random.Random(support)
+    part = lambda: rng.choice(["news", "casino", "é", "?id=", "&q=%20", "1", "2", "_x", ":x", "/", "a" * 30])
+    urls = [f"http://h{rng.randrange(3)}.test/{''.join(part() for _ in range(rng.randrange(6)))}" for _ in range(150)]
+    labelled = [(u, "casino" in u or rng.random() < 0.3) for u in urls] + [("http://h0.test/" + "very/long/" * 12, True)] * 5
+    asked = [*dict.fromkeys(urls[:40]), "", "x", "ftp://", "http://never/seen/Ω?#", "http://h0.test/" + "very/long/" * 9]
+    df = spark.createDataFrame(labelled, "url string, y boolean").repartition(3)
+    model = url_lm.train(df, "url", "y", support)
+    if support < 16:
+        assert model.agg(F.max("length")).first()[0] > url_lm.STEP  # several passes
+    ask = spark.createDataFrame([(u,) for u in [*asked, None]], "url string")
+    got = {r.url: r.score for r in url_lm.score(ask, model, "url", lookup_keys=lookup).collect()}
+    assert got.pop(None) == 0.0
+    for u, want in zip(asked, plain_url_scores(labelled, asked, support), strict=True):
+        assert got[u] == pytest.approx(want, abs=1e-9), u
+
+
+def test_url_models_tell_all_bytes_apart(spark):
+    rows = [(f"http://h.test/?id={i}", True) for i in range(60)] + [(f"http://h.test/&id%{i}", False) for i in range(60)]
+    rows += [(f"http://h.test/é{i}", True) for i in range(60)] + [(f"http://h.test/ü{i}", False) for i in range(60)]
+    model = url_lm.train(spark.createDataFrame(rows, "url string, y boolean"), "url", "y")
+    ask = spark.createDataFrame([(u,) for u in ("http://h.test/?id=999", "http://h.test/&id%999", "http://h.test/é999", "http://h.test/ü999")], "url string")
+    got = [r.score for r in url_lm.score(ask, model).collect()]
+    assert got[0] > 0.1 > -0.1 > got[1] and got[2] > 0.1 > -0.1 > got[3]
+
+
+def test_models_grow_with_the_table(spark):
+    """More URLs, more and longer contexts."""
+    sizes = []
+    for n in (200, 4000):
+        rng = random.Random(1)
+        rows = [(f"http://h.test/{'/'.join(rng.choices(['alpha', 'beta', 'gamma', 'delta'], k=6))}", i % 2 == 0) for i in range(n)]
+        model = url_lm.train(spark.createDataFrame(rows, "url string, y boolean"), "url", "y")
+        sizes.append(tuple(model.agg(F.count("*"), F.max("length")).first()))
+    assert sizes[1][0] > 3 * sizes[0][0] and sizes[1][1] > sizes[0][1]
+
+
+def test_long_urls_are_scored_whole(spark):
+    rows = [("http://a.test/" + "x" * 50_000, True), ("http://b.test/" + "y" * 50_000, False)] * 2
+    df = spark.createDataFrame(rows, "url string, y boolean")
+    got = url_lm.score(df, url_lm.train(df, "url", "y", 40_000)).collect()
+    assert all((r.score > 0) == r.y for r in got)
 
 
 def test_url_limit_parts_both_held_out_sides():
@@ -437,9 +512,10 @@ def test_url_scores_come_from_all_labelled_urls(spark):
     rules = [url_lm.Rule("allow", "good.test", "/"), url_lm.Rule("block", "bad.test", "/")]
     rows = [(i, f"https://{'good' if i % 2 else 'bad'}.test/{i * i}") for i in range(200)] + [(200, "https://x.example/144")]
     df = spark.createDataFrame(rows, "page_id long, url string")
-    table = url_lm.train(df.where("page_id < 200").withColumn("y", F.expr("page_id % 2 = 1")), "url", "y")
+    model = url_lm.train(df.where("page_id < 200").withColumn("y", F.expr("page_id % 2 = 1")), "url", "y")
+    want = {r.page_id: r.score for r in url_lm.score(df, model).collect()}
     for r in url_lm.judge(df, rules).collect():
-        assert r.score == pytest.approx(table[url_lm.grams(url_lm.symbols(r.url))].mean())
+        assert r.score == pytest.approx(want[r.page_id])
 
 
 # --- 8 ------------------------------------------------------------------
