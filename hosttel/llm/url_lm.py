@@ -13,6 +13,8 @@ models are fitted again with the held-out ones.
 Counts are Spark tables that grow with the corpus. A context stays if it
 occurs ``SUPPORT`` times and more than one byte follows it; contexts are
 lengthened as long as any stays, so how deep the models go is up to the data.
+Before grams are shuffled, hashed counts of contexts rule out nearly all whose
+context cannot stay.
 
 A log-likelihood is a sum over a URL's contexts and grams (a context with its
 next byte): each context adds its escape, each gram what is known beyond that
@@ -29,6 +31,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +42,8 @@ from .text import fields, map_columns, mix
 
 #: Occurrences that a context needs to stay, and lengths of context that one pass over the URLs counts.
 SUPPORT, STEP = 16, 8
+#: Contexts are hashed into about two cells a byte of the URLs, within these powers of two, to count which may stay.
+LEAST_BITS, MOST_BITS = 16, 26
 #: Byte values, and one more that stands before the first byte.
 KINDS, START = 256, 256
 #: Models of up to this many keys go to the tasks as two sorted arrays of 12 bytes a key; larger ones are joined.
@@ -122,76 +128,179 @@ def _signed(keys: np.ndarray) -> pa.Array:
     return pa.array(keys.view(np.int64))
 
 
-_COUNTS = "label boolean, length int, stem long, context long, gram long, shorter long, n long"
+def _slices(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of at most ``most`` bytes of URLs, or one URL."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
 
 
-def gram_counts(df: DataFrame, first: int) -> DataFrame:
-    """Counts by label of the grams whose context has ``first`` to ``first +
-    STEP - 1`` bytes. ``shorter`` is the gram's own with one context byte
-    less, ``stem`` the context of ``first - 1`` bytes (0 at first).
-    ``df``: (url, label)."""
+class Cells:
+    """Which cells of a hash of contexts hold enough occurrences for any of
+    their contexts to stay: no such context is ever missed."""
+
+    def __init__(self, flags: np.ndarray, bits: int):
+        self.flags, self.shift = flags, np.uint64(64 - bits)
+
+    def may_stay(self, context: np.ndarray) -> np.ndarray:
+        cell = context >> self.shift
+        return (self.flags[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def context_cells(df: DataFrame, first: int, stems: Broadcast | None, bits: int, support: int) -> Cells:
+    """Cells of the contexts of ``first`` to ``first + STEP - 1`` bytes whose
+    stem may stay. A task keeps one byte a cell, as counts beyond the support
+    (or 255) decide nothing, and sends the cells it met; at most 2**MOST_BITS
+    bits come back. ``df``: (url, ...)."""
+    most, wide = min(support, 255), min(bits, 16)
+    shift = np.uint64(64 - bits)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << bits, np.uint8)
+        for batch in batches:
+            for part in _slices(batch):
+                grams = Grams(part.column(0).to_pylist())
+                alive = np.ones(len(grams.at), bool)
+                for length, places, context, _ in grams:
+                    if length >= first + STEP:
+                        break
+                    if length == first - 1:
+                        alive[places] = stems.value.may_stay(context)
+                    if length >= first:
+                        cell, n = np.unique(context[alive[places]] >> shift, return_counts=True)
+                        total[cell] = np.minimum(total[cell] + n, most)
+        for bucket, part in enumerate(total.reshape(-1, 1 << wide)):
+            cell = np.flatnonzero(part)
+            if len(cell):
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([cell.astype("<u2").tobytes()]),
+                                                  pa.array([part[cell].tobytes()])], names=["bucket", "cells", "counts"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for bucket, cells, counts in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                total = sums.setdefault(bucket, np.zeros(1 << wide, np.uint8))
+                cell = np.frombuffer(cells, "<u2")
+                total[cell] = np.minimum(total[cell].astype(np.int64) + np.frombuffer(counts, np.uint8), most)
+        for bucket, total in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([np.packbits(total >= most, bitorder="little").tobytes()])],
+                                             names=["bucket", "flags"])
+
+    packed = (df.select("url").mapInArrow(count, "bucket int, cells binary, counts binary")
+              .repartition("bucket").mapInArrow(merge, "bucket int, flags binary"))
+    flags = np.zeros((1 << bits - wide, (1 << wide) // 8), np.uint8)
+    for r in packed.collect():
+        flags[r["bucket"]] = np.frombuffer(r["flags"], np.uint8)
+    return Cells(flags.ravel(), bits)
+
+
+#: Counts of a gram: of all URLs and of those that are fitted on, each without and with the label.
+_SIDES = ("all0", "all1", "fit0", "fit1")
+_COUNTS = "length int, context long, gram long, shorter long, " + ", ".join(f"{c} long" for c in _SIDES)
+
+
+def gram_counts(df: DataFrame, first: int, stems: Broadcast | None, cells: Broadcast) -> DataFrame:
+    """Counts of the grams whose context has ``first`` to ``first + STEP - 1``
+    bytes and may stay. ``shorter`` is the gram's own with one context byte
+    less. ``df``: (url, label, held)."""
     names = [c.split()[0] for c in _COUNTS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 2048):
-                part = batch.slice(start, 2048)
-                url, label = part.column(0).to_pylist(), np.array(part.column(1).to_pylist(), bool)
-                for y in (False, True):
-                    grams = Grams([u for u, x in zip(url, label, strict=True) if x == y])
-                    stem = np.zeros(len(grams.at), np.uint64)
-                    before = np.zeros(len(grams.at), np.uint64)
-                    for length, places, context, gram in grams:
-                        if length >= first + STEP:
-                            break
-                        if length >= first:
-                            _, some, n = np.unique(gram, return_index=True, return_counts=True)
-                            p = places[some]
-                            yield pa.RecordBatch.from_arrays(
-                                [pa.array(np.full(len(some), y)), pa.array(np.full(len(some), length, np.int32)), _signed(stem[p]),
-                                 _signed(context[some]), _signed(gram[some]), _signed(before[p]), pa.array(n.astype(np.int64))], names=names)
-                        if length == first - 1:
-                            stem[places] = context
-                        before[places] = gram
-
-    return df.select("url", "label").mapInArrow(run, _COUNTS)
-
-
-def train(df: DataFrame, url: str, label: str, support: int = SUPPORT) -> DataFrame:
-    """(key, length, n, value): for each context and gram that stays its
-    occurrences and what it adds to a URL's log-likelihood under the model of
-    the rows with a true ``label``, less that under the model of the others."""
-    rows = df.select(F.col(url).alias("url"), F.col(label).cast("boolean").alias("label")).where("url IS NOT NULL")
-    keys = ["label", "length", "context", "gram", "shorter"]
-    counts, first, stems = None, 0, None
+            for part in _slices(batch):
+                grams = Grams(part.column(0).to_pylist())
+                label, held = (np.array(part.column(i).to_pylist(), bool)[grams.owner] for i in (1, 2))
+                alive = np.ones(len(grams.at), bool)
+                before = np.zeros(len(grams.at), np.uint64)
+                for length, places, context, gram in grams:
+                    if length >= first + STEP:
+                        break
+                    if length == first - 1:
+                        alive[places] = stems.value.may_stay(context)
+                    if length >= first:
+                        good = alive[places]
+                        if length:
+                            good = good & cells.value.may_stay(context)
+                        some, at, group = np.unique(gram[good], return_index=True, return_inverse=True)
+                        p = places[good]
+                        counts = [np.bincount(group[chosen], minlength=len(some)) for chosen in
+                                  (~label[p], label[p], ~label[p] & ~held[p], label[p] & ~held[p])]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(some), length, np.int32)), _signed(context[good][at]), _signed(some),
+                             _signed(before[p[at]]), *[pa.array(n.astype(np.int64)) for n in counts]], names=names)
+                    before[places] = gram
+
+    return df.mapInArrow(run, _COUNTS)
+
+
+def _contexts(rows: DataFrame, support: int) -> DataFrame:
+    """The contexts that stay, each with its at most 257 grams: ``stays_*``,
+    sums ``s_*`` and kinds ``k_*`` of all and of the fitted-on URLs."""
+    total = rows.agg(F.sum(F.octet_length("url"))).first()[0] or 0
+    bits = min(MOST_BITS, max(LEAST_BITS, int(total).bit_length() + 1))
+    shared = rows.sparkSession.sparkContext
+    found, first, stems = None, 0, None
     while True:
-        found = gram_counts(rows, first)
-        if stems is not None:
-            found = found.join(stems, "stem", "left_semi")
-        found = found.groupBy(*keys).agg(F.sum("n").alias("n"))
-        # a context stays with its counts of both models; those of length 0 always do
-        of_both = found.groupBy("context", "length").agg(F.sum("n").alias("all"), F.count_distinct("gram").alias("kinds"))
-        stays = of_both.where(f"length = 0 OR (all >= {support} AND kinds > 1)").select("context")
-        found = written(found.join(stays, "context"), "url-grams")
-        counts = found if counts is None else counts.unionByName(found)
-        stems = found.where(F.col("length") == first + STEP - 1).select(F.col("context").alias("stem")).distinct()
-        if not stems.limit(1).count():
-            break
+        cells = shared.broadcast(context_cells(rows, first, stems, bits, support))
+        grams = gram_counts(rows, first, stems, cells).groupBy("length", "context", "gram", "shorter").agg(
+            *[F.sum(c).alias(c) for c in _SIDES])
+        by = grams.groupBy("length", "context").agg(
+            F.collect_list(F.struct("gram", "shorter", *_SIDES)).alias("grams"), F.count("*").alias("k_all"),
+            F.count_if(F.col("fit0") + F.col("fit1") > 0).alias("k_fit"),
+            *[F.sum(c).alias(f"s_{c}") for c in _SIDES], *[F.count_if(F.col(c) > 0).alias(f"k_{c}") for c in _SIDES])
+        # a context stays with its counts of both models; that of length 0 always does
+        for v in ("all", "fit"):
+            by = by.withColumn(f"stays_{v}", F.expr(f"length = 0 OR (s_{v}0 + s_{v}1 >= {support} AND k_{v} > 1)"))
+        by = written(by.where("stays_all"), "url-contexts")
+        found = by if found is None else found.unionByName(by)
         first += STEP
-    context = counts.groupBy("label", "length", "context").agg(F.sum("n").alias("all"), F.count("*").alias("kinds"))
-    # at length 0 each byte value has been seen once more than it was, and the rest is the escape
+        if not by.where(F.col("length") == first - 1).limit(1).count():
+            return found
+        stems = cells
+
+
+def train(df: DataFrame, url: str, label: str, support: int = SUPPORT, held: str | None = None) -> DataFrame:
+    """(key, length, n, value): for each context and gram that stays its
+    occurrences and what it adds to a URL's log-likelihood under the model of
+    the rows with a true ``label``, less that under the model of the others.
+
+    With ``held`` also (n_fit, value_fit), the same without the rows where
+    that column is true: n_fit is 0 where the smaller model has no such key.
+    Both come from one count, since what stays without some rows stays with them."""
+    rows = df.select(F.col(url).alias("url"), F.col(label).cast("boolean").alias("label"),
+                     (F.col(held) if held else F.lit(False)).alias("held")).where("url IS NOT NULL")
+    found = _contexts(rows, support)
     root = F.col("length") == 0
-    escape = F.when(root, -F.log(F.col("all") + KINDS)).otherwise(F.log(F.col("kinds") / (F.col("all") + F.col("kinds"))))
-    context = context.withColumn("escape", escape)
-    grams = counts.join(context, ["label", "length", "context"])
-    chance = F.when(root, F.log((F.col("n") + 1) / (F.col("all") + KINDS))).otherwise(F.log(F.col("n") / (F.col("all") + F.col("kinds"))))
-    grams = written(grams.select("label", "length", "gram", "shorter", "n", "escape", chance.alias("chance")), "url-chances")
-    parent = grams.select("label", F.col("gram").alias("shorter"), F.col("chance").alias("known"))
-    gain = F.col("chance") - F.coalesce("known", F.lit(0.0)) - F.col("escape")
-    of_grams = grams.join(parent, ["label", "shorter"], "left").select("label", F.col("gram").alias("key"), "length", "n", gain.alias("v"))
-    of_contexts = context.select("label", F.col("context").alias("key"), "length", F.col("all").alias("n"), F.col("escape").alias("v"))
-    sign = F.when(F.col("label"), F.col("v")).otherwise(-F.col("v"))
-    return written(of_grams.unionByName(of_contexts).groupBy("key", "length").agg(F.sum("n").alias("n"), F.sum(sign).alias("value")), "url-model")
+
+    def escape(side: str) -> Column:
+        # at length 0 each byte value has been seen once more than it was, and the rest is the escape
+        n, k = F.col(f"s_{side}"), F.col(f"k_{side}")
+        return F.when(F.col(f"stays_{side[:-1]}") & (n > 0), F.when(root, -F.log(n + KINDS)).otherwise(F.log(k / (n + k))))
+
+    def chance(side: str) -> Column:
+        n, s, k = F.col(f"g.{side}"), F.col(f"s_{side}"), F.col(f"k_{side}")
+        return F.when(F.col(f"stays_{side[:-1]}") & (n > 0), F.when(root, F.log((n + 1) / (s + KINDS))).otherwise(F.log(n / (s + k))))
+
+    def outcome(v: str, times: Column, parts: dict[str, Column]) -> list[Column]:
+        value = F.coalesce(parts[f"{v}1"], F.lit(0.0)) - F.coalesce(parts[f"{v}0"], F.lit(0.0))
+        tail = "" if v == "all" else "_fit"
+        return [F.when(F.col(f"stays_{v}"), times).otherwise(0).alias(f"n{tail}"), value.alias(f"value{tail}")]
+
+    versions = ("all", "fit") if held else ("all",)
+    of_contexts = found.select(F.col("context").alias("key"), "length", *[
+        c for v in versions for c in outcome(v, F.col(f"s_{v}0") + F.col(f"s_{v}1"), {s: escape(s) for s in _SIDES})])
+    grams = found.withColumn("g", F.explode("grams")).select(
+        "g.gram", "g.shorter", "length", "stays_all", "stays_fit", *[F.col(f"g.{s}").alias(s) for s in _SIDES],
+        *[escape(s).alias(f"e_{s}") for s in _SIDES], *[chance(s).alias(f"c_{s}") for s in _SIDES])
+    parent = grams.select(F.col("gram").alias("shorter"), *[F.col(f"c_{s}").alias(f"p_{s}") for s in _SIDES])
+    gain = {s: F.col(f"c_{s}") - F.coalesce(f"p_{s}", F.lit(0.0)) - F.col(f"e_{s}") for s in _SIDES}
+    of_grams = grams.join(parent, "shorter", "left").select(F.col("gram").alias("key"), "length", *[
+        c for v in versions for c in outcome(v, F.col(f"{v}0") + F.col(f"{v}1"), gain)])
+    return written(of_contexts.unionByName(of_grams), "url-model")
 
 
 def score(df: DataFrame, model: DataFrame, url: str = "url", out: str = "score", lookup_keys: int = LOOKUP_KEYS) -> DataFrame:
@@ -305,9 +414,10 @@ def judge(df: DataFrame, rules: Sequence[Rule], url: str = "url", key: str = "pa
         (F.pmod(F.xxhash64(url), F.lit(HELD_OUT)) == 0).alias("held"))
     sides = {r["y"]: r["count"] for r in decided.where("NOT held").groupBy("y").count().collect()}
     if len(sides) == 2:
-        model = train(decided.where("NOT held"), "url", "y")
-        limit = calibrate(score(decided.where("held"), model, "url"), false_blocks)
-        scored = score(base, train(decided, "url", "y"), url)
+        model = train(decided, "url", "y", held="held")
+        fitted = model.where("n_fit > 0").select("key", "length", F.col("n_fit").alias("n"), F.col("value_fit").alias("value"))
+        limit = calibrate(score(decided.where("held"), fitted, "url"), false_blocks)
+        scored = score(base, model.select("key", "length", "n", "value"), url)
     else:
         scored, limit = base.withColumn("score", F.lit(0.0)), None
     by_rule = F.when(F.col("rule").isin(allowed), "allow").when(F.col("rule").isNotNull(), "block")

@@ -479,6 +479,19 @@ def test_long_urls_are_scored_whole(spark):
     assert all((r.score > 0) == r.y for r in got)
 
 
+def test_url_model_without_held_urls_comes_from_the_same_count(spark):
+    rows = [(f"http://h{i % 7}.test/{'good' if i % 3 else 'bad'}/{i % 40}", i % 3 > 0, i % 5 == 0) for i in range(600)]
+    df = spark.createDataFrame(rows, "url string, y boolean, held boolean")
+    both = url_lm.train(df, "url", "y", 8, held="held")
+    smaller = {r.key: r for r in url_lm.train(df.where("NOT held"), "url", "y", 8).collect()}
+    fit = {r.key: r for r in both.where("n_fit > 0").collect()}
+    assert set(fit) == set(smaller) and len(fit) < both.count()
+    for k, r in fit.items():
+        assert (r.length, r.n_fit) == (smaller[k].length, smaller[k].n) and r.value_fit == pytest.approx(smaller[k].value)
+    whole = {r.key: (r.length, r.n) for r in url_lm.train(df, "url", "y", 8).collect()}
+    assert {r.key: (r.length, r.n) for r in both.collect()} == whole
+
+
 def test_url_limit_parts_both_held_out_sides():
     side = lambda good, bad: [(1, 0, x, x) if x in good else (0, 1, x, x) for x in sorted(good + bad)]
     assert url_lm.limit_between(side([0.1, 0.9], [-0.5, -0.7]), 0.01) == pytest.approx(-0.2)  # inside the gap
