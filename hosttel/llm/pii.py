@@ -1,10 +1,13 @@
 """Personal data by weak supervision.
 
 Fixed patterns find the base spans, which always count. Looser patterns give
-further candidates (long tokens, long numbers). Three labelers vote on every
-candidate with yes, no or nothing: its shape, gazetteers and its context.
-Expectation-maximisation estimates from the votes on all documents how far
-each labeler can be trusted and how likely each candidate is; a logistic span
+further candidates: keys and passwords, social-security numbers, phone numbers
+without a country code, account numbers, street addresses and names of
+persons. Three labelers vote on every candidate with yes, no or nothing: its
+shape, gazetteers and its context; what no labeler votes yes on is no
+candidate. Expectation-maximisation estimates from the votes on all documents,
+for each kind by itself, how far each labeler can be trusted and how likely
+each candidate is; base spans are voted on like all others. A logistic span
 classifier is trained on these probabilities and decides on the further
 candidates.
 
@@ -15,6 +18,7 @@ buckets: at most ``len(KINDS) * 27 * 15`` rows, whatever the corpus.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,7 +32,7 @@ from pyspark.sql import types as T
 from .text import fields, map_columns
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "secret", "number")
+KINDS = (*BASE_KINDS, "secret", "ssn", "local_phone", "number", "address", "name")
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # a match can only begin where a run of digits does
@@ -36,7 +40,16 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 SECRET = re.compile(r"[A-Za-z0-9_+/-]{20,}")
+SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+LOCAL_PHONE = re.compile(r"(?<![0-9A-Za-z+.-])\(?[0-9]{2,5}\)?(?:[\x20.-]{1,2}[0-9]{2,4}){2,4}(?![0-9A-Za-z])")
 NUMBER = re.compile(r"[0-9](?:[\x20().-]?[0-9]){8,}")
+ADDRESS = re.compile(r"(?<![0-9A-Za-z.,-])[1-9][0-9]{0,4}(?:\x20[A-Z][A-Za-z.'-]{0,20}){1,4}")
+NAME = re.compile(r"\b[A-Z][a-z]{1,14}(?:\x20[A-Z]\.)?(?:\x20[A-Z][a-z]{1,14}){1,2}\b")
+PHONE_SHAPE = re.compile(r"\(?[2-9][0-9]{2}\)?[\x20.-]{1,2}[2-9][0-9]{2}[\x20.-][0-9]{4}|\(?0[0-9]{1,4}\)?(?:[\x20.-][0-9]{2,4}){2,4}")
+DATE = re.compile(r"(?:19|20)[0-9]{2}[-.\x20][01][0-9][-.\x20]|[0-3]?[0-9][-.\x20][01]?[0-9][-.\x20](?:19|20)[0-9]{2}")
+UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+POSTCODE = re.compile(r"(?:[A-Za-z.\x20-]{0,12},)?[A-Za-z.\x20,-]{0,30}\b[0-9]{5}\b")
+WORD = re.compile(r"[a-z]{3,}")
 _DIGIT = re.compile(r"[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
@@ -46,11 +59,33 @@ CARD_PREFIXES = ("34", "37", "4", "51", "52", "53", "54", "55", "6011", "65")
 RESERVED_OCTETS = frozenset([0, 127, *range(224, 256)])
 COUNTRY_CODES = ("1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46",
                  "47", "48", "49", "52", "55", "61", "64", "81", "82", "86", "90", "91")
-SECRET_CUES = ("token", "key", "secret", "password", "passwd", "pwd", "bearer", "auth")
+SECRET_CUES = ("token", "key", "secret", "password", "passwd", "pwd", "bearer", "auth", "credential")
+DIGEST_CUES = ("commit", "sha", "md5", "digest", "checksum", "hash", "revision", "uuid", "guid", "etag", "http", "blob")
+SECRET_PREFIXES = ("sk-", "sk_", "pk_", "ghp_", "gho_", "AKIA", "ASIA", "xoxb-", "xoxp-", "AIza", "eyJ", "glpat-")
 PERSON_CUES = ("card", "visa", "account", "phone", "tel", "call", "fax", "mobile", "mail", "contact", "iban", "ssn")
+PHONE_CUES = ("phone", "tel", "call", "fax", "mobile", "cell", "contact", "reach", "number")
+SSN_CUES = ("ssn", "social security", "soc. sec", "taxpayer", "tax id")
+PART_CUES = ("part", "model", "serial", "order", "invoice", "isbn", "version", "item", "case", "ticket")
+ADDRESS_CUES = ("address", "live at", "lives at", "live in", "located at", "ship to", "deliver to", "resid", "office at", "home")
+NAME_CUES = ("name", "mr", "mr.", "mrs", "mrs.", "ms", "ms.", "dr", "dr.", "prof.", "dear", "patient", "named", "contact", "sincerely,")
+FAKE_SSN = ("078-05-1120", "219-09-9999", "123-45-6789", "111-11-1111")
+STREETS = frozenset("Street St Avenue Ave Road Rd Lane Ln Drive Dr Boulevard Blvd Court Ct Place Pl Square Way Terrace Parkway "
+                    "Highway Close Crescent Alley".split())
+GIVEN_NAMES = frozenset("""James Mary Robert Patricia John Jennifer Michael Linda David Elizabeth William Barbara Richard Susan
+Joseph Jessica Thomas Sarah Charles Karen Christopher Lisa Daniel Nancy Matthew Betty Anthony Sandra Mark Margaret Donald Ashley
+Steven Kimberly Andrew Emily Paul Donna Joshua Michelle Kenneth Carol Kevin Amanda Brian Melissa George Deborah Timothy Stephanie
+Ronald Rebecca Jason Laura Edward Helen Jeffrey Sharon Ryan Cynthia Jacob Kathleen Gary Amy Nicholas Angela Eric Anna Jonathan
+Ruth Stephen Brenda Larry Pamela Justin Nicole Scott Katherine Brandon Virginia Benjamin Catherine Samuel Christine Gregory
+Samantha Frank Debra Alexander Janet Raymond Maria Patrick Heather Jack Diane Peter Julia Hans Claudia Klaus Sabine Pierre
+Isabelle Jean Sophie Luis Carmen Carlos Lucia Jose Elena Wei Yuki Ahmed Fatima Ivan Olga Raj Priya""".split())
+NO_NAMES = frozenset("""The This That These Those When Where What Who Why How And But For From With Monday Tuesday Wednesday Thursday
+Friday Saturday Sunday January February March April May June July August September October November December North South East
+West New Old Street Road Avenue University Institute Company Inc Ltd County City State National International""".split())
 
 #: Rounds of expectation-maximisation and of Newton's method; ridge of the classifier.
-EM_ROUNDS, NEWTON_ROUNDS, RIDGE = 50, 25, 1.0
+EM_ROUNDS, NEWTON_ROUNDS, RIDGE = 100, 25, 0.1
+#: What is assumed of a kind before its votes are seen, worth so many candidates: share of true ones, yes votes on true and on false ones.
+PRIOR, SHARE, YES = 20.0, 0.3, (0.3, 0.7)
 
 
 def luhn(digits: str) -> bool:
@@ -96,53 +131,105 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def further_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    """Further candidates that overlap no base span, by kind, then start."""
-    if not _DIGIT.search(text):
-        return []
+    """Further candidates, by kind, then start: each overlaps no base span and
+    none of an earlier kind, and some labeler votes yes on it."""
+    taken: list[tuple[int, int]] = []  # disjoint, in order
+    for a, b in sorted((a, b) for _, a, b in base):
+        if taken and a < taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(b, taken[-1][1]))
+        else:
+            taken.append((a, b))
+    patterns = [("secret", SECRET), ("ssn", SSN), ("local_phone", LOCAL_PHONE), ("number", NUMBER), ("address", ADDRESS)]
     out = []
-    taken = sorted((a, b) for _, a, b in base)
-
-    def free(a: int, b: int) -> bool:
-        return all(b <= x or y <= a for x, y in taken)
-
-    for m in SECRET.finditer(text):
-        token = m[0]
-        digits = sum(map(str.isdecimal, token))
-        if digits >= 4 and digits < len(token) and free(*m.span()):
-            out.append(("secret", *m.span()))
-            taken.append(m.span())
-    for m in NUMBER.finditer(text):
-        if free(*m.span()):
-            out.append(("number", *m.span()))
+    for kind, pattern in [*(patterns if _DIGIT.search(text) else ()), ("name", NAME)]:
+        for m in pattern.finditer(text):
+            a, b = span_of(kind, m)
+            i = bisect_left(taken, (b, 0))
+            if (i == 0 or taken[i - 1][1] <= a) and 1 in votes(text, kind, a, b):
+                out.append((kind, a, b))
+                insort(taken, (a, b))
     return out
 
 
+def span_of(kind: str, m: re.Match) -> tuple[int, int]:
+    """The match, an address only up to its last street word if it has one."""
+    a, b = m.span()
+    if kind == "address":
+        at = a
+        for word in m[0].split(" "):
+            at += len(word) + 1
+            if word.rstrip(".") in STREETS:
+                b = at - 1
+    return a, b
+
+
+def _shape_of_secret(span: str, digits: str) -> int:
+    """Words and paths are none, digests may be anything, many kinds of characters look drawn."""
+    if UUID.fullmatch(span) or not digits or len(digits) == len(span):
+        return 0
+    if sum(map(len, WORD.findall(span))) * 2 > len(span) and ("-" in span or "/" in span or "_" in span):
+        return 0
+    if all(c in "0123456789abcdefABCDEF" for c in span):
+        return -1
+    kinds = any("a" <= c <= "z" for c in span) + any("A" <= c <= "Z" for c in span) + (len(digits) >= 3)
+    turns = sum(x.isdecimal() != y.isdecimal() or x.isupper() != y.isupper() for x, y in zip(span, span[1:], strict=False))
+    return 1 if kinds == 3 and turns * 4 >= len(span) and len(set(span)) >= 12 else -1
+
+
 def votes(text: str, kind: str, a: int, b: int) -> tuple[int, int, int]:
     """Votes (1 yes, 0 no, -1 nothing) of shape, gazetteers and context."""
     span = text[a:b]
     digits = "".join(c for c in span if c in "0123456789")
     before = text[max(0, a - 24):a].lower()
+    left, right = text[max(0, a - 1):a], text[b:b + 1]
+
+    def cued(cues: tuple[str, ...]) -> bool:
+        return any(c in before for c in cues)
+
+    inside = any(c.isalnum() for c in left + right)
+    context = 0 if inside else 1 if cued(PERSON_CUES) else -1
     if kind == "email":
-        shape, known = 1, 1 if span.rpartition(".")[2].lower() in TOP_DOMAINS else -1
+        last = span.rpartition(".")[2]
+        shape, known = int(last.isalpha() and 2 <= len(last) <= 12), 1 if last.lower() in TOP_DOMAINS else -1
     elif kind == "ip":
-        shape, known = 1, 0 if int(span.partition(".")[0].lstrip("0") or "0") in RESERVED_OCTETS else 1
+        parts = span.split(".")
+        shape = int(left != "." and not (right == "." and text[b + 1:b + 2].isdecimal())
+                    and not any(len(p) > 1 and p[0] == "0" for p in parts))
+        known = 0 if int(parts[0].lstrip("0") or "0") in RESERVED_OCTETS else -1
+    elif kind == "card":
+        groups = re.split(r"[\x20-]", span)
+        shape = int(len(groups) == 1 or all(len(g) == 4 for g in groups[:-1]) and len(set(span) & {" ", "-"}) == 1)
+        known = int(digits.startswith(CARD_PREFIXES))
     elif kind == "phone":
-        shape, known = 1, 1 if digits.startswith(COUNTRY_CODES) else -1
+        shape, known = int(len(digits) >= 10), 1 if digits.startswith(COUNTRY_CODES) else 0
     elif kind == "secret":
-        hexadecimal = all(c in "0123456789abcdef" for c in span.lower())
-        mixed = len(set(span)) >= 10 and len(digits) >= len(span) // 5
-        shape = int(hexadecimal and len(span) >= 32 or mixed)
-        known = 1 if any(c in before for c in SECRET_CUES) else -1
+        shape = _shape_of_secret(span, digits)
+        known = 1 if span.startswith(SECRET_PREFIXES) else 0 if cued(DIGEST_CUES) else -1
+        context = 0 if inside or left in (".", "/") else 1 if cued(SECRET_CUES) and shape else -1
+    elif kind == "ssn":
+        shape = int(span[:3] not in ("000", "666") and span[0] != "9" and span[4:6] != "00" and span[7:] != "0000")
+        known = 0 if span in FAKE_SSN else -1
+        context = 1 if cued(SSN_CUES) else 0 if inside or cued(PART_CUES) else -1
+    elif kind == "local_phone":
+        shape = int(9 <= len(digits) <= 12 and PHONE_SHAPE.fullmatch(span) is not None)
+        known = 0 if DATE.match(span) else -1
+        context = 0 if cued(PART_CUES) else 1 if cued(PHONE_CUES) and shape else -1
+    elif kind == "number":
+        shape = int(not inside and 13 <= len(digits) <= 19 and luhn(digits))
+        known = int(digits.startswith(CARD_PREFIXES)) if shape else -1
+        context = 0 if inside or cued(PART_CUES) else context
+    elif kind == "address":
+        words = span.split(" ")[1:]
+        known = int(len(words) > 1 and words[-1].rstrip(".") in STREETS)
+        shape = 1 if known and POSTCODE.match(text[b:b + 60]) else -1
+        context = 1 if known and cued(ADDRESS_CUES) else -1
     else:
-        shape = int(13 <= len(digits) <= 19 and luhn(digits))
-        known = int(digits.startswith(CARD_PREFIXES)) if len(digits) >= 13 else -1
-    near = text[max(0, a - 1):a] + text[b:b + 1]
-    if any(c.isalnum() for c in near):
-        context = 0
-    elif any(c in before for c in (SECRET_CUES if kind == "secret" else PERSON_CUES)) or "=" in before[-4:]:
-        context = 1
-    else:
-        context = -1
+        words = span.split(" ")
+        before_it = text[max(0, a - 2):a]
+        shape = 1 if any(w.endswith(".") for w in words) else 0 if before_it.strip() in (".", "!", "?") or not before_it.strip(" ") else -1
+        known = 0 if NO_NAMES & set(words) else 1 if words[0] in GIVEN_NAMES else -1
+        cue = before.rstrip(" :=").rpartition(" ")[2]
+        context = 1 if cue in NAME_CUES else -1
     return shape, known, context
 
 
@@ -176,7 +263,7 @@ def pattern_counts(df: DataFrame, text: str = "text") -> DataFrame:
 class Model:
     """Trust in the labelers and the span classifier's weights."""
 
-    trust: tuple  # [labeler][class][vote + 1]
+    trust: tuple  # [kind][labeler]: chances of a yes on false and on true spans, if it votes
     weights: tuple  # of features()
 
     def chance(self, kind: str, vote: tuple[int, int, int], bucket: tuple[int, int]) -> float:
@@ -184,42 +271,57 @@ class Model:
 
 
 def features(kind: str, vote, bucket) -> np.ndarray:
-    x = np.zeros(len(KINDS) + 9 + 5 + 3)
-    x[KINDS.index(kind)] = 1
+    """The kind, each vote for each kind, and the buckets."""
+    k = KINDS.index(kind)
+    x = np.zeros(len(KINDS) * 10 + 5 + 3)
+    x[k] = 1
     for j, v in enumerate(vote):
-        x[len(KINDS) + 3 * j + v + 1] = 1
-    x[len(KINDS) + 9 + bucket[0]] = 1
-    x[len(KINDS) + 14 + bucket[1]] = 1
+        x[len(KINDS) + 9 * k + 3 * j + v + 1] = 1
+    x[len(KINDS) * 10 + bucket[0]] = 1
+    x[len(KINDS) * 10 + 5 + bucket[1]] = 1
     return x
 
 
+def estimate(vote: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Chance of each vote pattern (-1, 0 or 1 by labeler; ``n`` times) to be
+    true, and [labeler][false, true] chances of a yes, for one kind.
+
+    A labeler that says nothing says nothing about the span either. Each is
+    taken to be no worse than a coin on true and on false spans, which keeps
+    the two sides from changing places."""
+    yes_rate = np.array([YES] * 3)
+    share, spoke, said = SHARE, vote >= 0, vote == 1
+    true = np.full(len(n), SHARE)
+    for _ in range(EM_ROUNDS):
+        odds = np.full(len(n), np.log(share) - np.log(1 - share))
+        for j in range(3):
+            low, high = yes_rate[j]
+            odds += np.where(spoke[:, j], np.where(said[:, j], np.log(high / low), np.log((1 - high) / (1 - low))), 0.0)
+        true = 1 / (1 + np.exp(-odds))
+        share = (n @ true + PRIOR * SHARE) / (n.sum() + PRIOR)
+        for j in range(3):
+            for side, weight in enumerate((n * (1 - true), n * true)):
+                rate = (weight @ said[:, j] + PRIOR * YES[side]) / (weight @ spoke[:, j] + PRIOR)
+                yes_rate[j, side] = np.clip(rate, *((0.01, 0.5), (0.5, 0.99))[side])
+    return true, yes_rate
+
+
 def fit_counts(counts: dict[str, int]) -> Model | None:
-    """Expectation-maximisation over vote patterns, then the classifier.
-    Without any candidate there is no model."""
+    """Expectation-maximisation over vote patterns, kind by kind, then one
+    classifier of all kinds. Without any candidate there is no model."""
     if not counts:
         return None
     keys = sorted(counts)
     parsed = [(k.split("|")[0], tuple(map(int, k.split("|")[1:4])), tuple(map(int, k.split("|")[4:]))) for k in keys]
     n = np.array([counts[k] for k in keys], float)
     kind = np.array([KINDS.index(p[0]) for p in parsed])
-    vote = np.array([p[1] for p in parsed]) + 1
-    is_base = kind < len(BASE_KINDS)
-    # start: a yes or a no is right in seven of ten cases that are not passed over
-    trust = np.array([[[0.3, 0.49, 0.21], [0.3, 0.21, 0.49]]] * 3)
-    share = np.full(len(KINDS), 0.5)
+    vote = np.array([p[1] for p in parsed])
     yes = np.zeros(len(keys))
-    for _ in range(EM_ROUNDS):
-        odds = np.log(share[kind]) - np.log(1 - share[kind])
-        for j in range(3):
-            odds += np.log(trust[j, 1, vote[:, j]]) - np.log(trust[j, 0, vote[:, j]])
-        yes = np.where(is_base, 0.999, 1 / (1 + np.exp(-np.clip(odds, -30, 30))))
-        for k in range(len(KINDS)):
-            own = kind == k
-            share[k] = ((n * yes)[own].sum() + 1) / (n[own].sum() + 2)
-        for j in range(3):
-            for c, weight in enumerate((n * (1 - yes), n * yes)):
-                tally = np.bincount(vote[:, j], weight, 3) + 1
-                trust[j, c] = tally / tally.sum()
+    trust = []
+    for k in range(len(KINDS)):
+        own = kind == k
+        yes[own], rates = estimate(vote[own], n[own])
+        trust.append(tuple(map(tuple, rates.tolist())))
     x = np.array([features(*p) for p in parsed])
     w = np.zeros(x.shape[1])
     for _ in range(NEWTON_ROUNDS):
@@ -227,7 +329,7 @@ def fit_counts(counts: dict[str, int]) -> Model | None:
         slope = x.T @ (n * (yes - p)) - RIDGE * w
         bend = (x * (n * p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(len(w))
         w = w + np.linalg.solve(bend, slope)
-    return Model(tuple(map(lambda t: tuple(map(tuple, t)), trust.tolist())), tuple(w.tolist()))
+    return Model(tuple(trust), tuple(w.tolist()))
 
 
 def fit(df: DataFrame, text: str = "text") -> Model | None:
@@ -239,7 +341,7 @@ def all_spans(text: str, model: Model | None, least: float = 0.5):
     base = base_spans(text)
     more = [] if model is None else [
         (k, a, b) for k, a, b in further_spans(text, base)
-        if model.chance(k, votes(text, k, a, b), buckets(text, a, b)) >= least]
+        if model.chance(k, votes(text, k, a, b), buckets(text, a, b)) > least]
     return base, base + more
 
 

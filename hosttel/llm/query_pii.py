@@ -21,4 +21,5 @@ def op6_weak_supervision(spark, sf_dir):
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
         "doc_id", *[count(k).alias(f"n_{k}") for k in pii.BASE_KINDS],
-        F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+        F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"))
