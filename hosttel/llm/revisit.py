@@ -5,9 +5,11 @@ URL, if its validators agree; its headers then replace the stored ones as far
 as a 304 answer may. The as-of join runs in time buckets: the last response of
 each (URL, bucket) is aggregated before anything is ordered, earlier buckets'
 last responses are carried forward over these few rows, and only inside a
-bucket records are ordered one by one. So a URL with a third of all records
-is spread over its buckets. Payloads and headers are joined at the end, to
-the one response found.
+bucket moments are ordered one by one. Records of one URL and second are
+counted together first, so an ordered group has at most ``bucket_seconds``
+rows however hot its URL is. Payloads and headers are joined at the end, to
+the one response found; a response that many revisits ask for is joined in
+several copies, each with its part of them.
 """
 
 from __future__ import annotations
@@ -15,9 +17,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .store import written
+
 DAY = 86_400
 #: Header fields that a 304 answer may update (fixed values).
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
+#: A response with more revisits than this is joined in parts of about this many.
+PART_ROWS = 10_000
 RECORD = ("record_id", "url", "ts", "kind", "etag", "last_modified", "headers", "payload")
 
 
@@ -47,7 +53,7 @@ def merged_headers(stored: Column, fresh: Column) -> Column:
     return F.array_sort(F.concat(F.filter(stored, lambda x: ~F.array_contains(names, header_name(x))), allowed))
 
 
-def resolve(records: DataFrame, bucket_seconds: int = DAY) -> DataFrame:
+def resolve(records: DataFrame, bucket_seconds: int = DAY, part_rows: int = PART_ROWS) -> DataFrame:
     """(record_id, canonical, response_id, verdict, headers, payload) for each
     revisit of ``records`` (columns ``RECORD``; ts and last_modified in
     seconds, headers as "Name: value" lines, kind ``response`` or ``revisit``).
@@ -61,6 +67,8 @@ def resolve(records: DataFrame, bucket_seconds: int = DAY) -> DataFrame:
 
     Responses without a record_id cannot be named and are left out; repeated
     responses count once, repeated revisits come out as often as they came.
+    Parts of a response's revisits follow from their record_id, url and etag,
+    so exact repeats of one revisit stay in one part.
     Records of other kinds and other columns are ignored; an empty table gives
     no rows.
     """
@@ -70,26 +78,34 @@ def resolve(records: DataFrame, bucket_seconds: int = DAY) -> DataFrame:
     revisits = base.where("kind = 'revisit'")
     placed = at.where("kind = 'revisit' AND canonical IS NOT NULL AND ts IS NOT NULL")
 
-    ref = F.struct("ts", "record_id")
-    last = responses.groupBy("canonical", "bucket").agg(F.max(ref).alias("last"))
-    asked = placed.groupBy("canonical", "bucket").agg(F.lit(None).cast(last.schema["last"].dataType).alias("last"))
+    moments = (responses.unionAll(placed).groupBy("canonical", "bucket", "ts")
+               .agg(F.max(F.when(F.col("kind") == "response", F.col("record_id"))).alias("record_id"),
+                    F.count_if(F.col("kind") == "revisit").alias("revisits")))
+    ref = F.when(F.col("record_id").isNotNull(), F.struct("ts", "record_id"))
     earlier = Window.partitionBy("canonical").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (last.unionAll(asked).groupBy("canonical", "bucket").agg(F.max("last").alias("last"))
+    carried = (moments.groupBy("canonical", "bucket").agg(F.max(ref).alias("last"))
                .withColumn("carried", F.last("last", ignorenulls=True).over(earlier))
                .select("canonical", "bucket", "carried"))
     before = (Window.partitionBy("canonical", "bucket").orderBy("ts")
               .rangeBetween(Window.unboundedPreceding, -1))
-    inside = (responses.unionAll(placed)
-              .withColumn("found", F.max(F.when(F.col("kind") == "response", ref)).over(before))
-              .where("kind = 'revisit'").select("canonical", "bucket", "ts", "found").distinct())
-    matched = (inside.join(carried, ["canonical", "bucket"])
-               .select("canonical", "ts", F.coalesce("found", "carried")["record_id"].alias("response_id"))
-               .where("response_id IS NOT NULL"))
-    full = (base.where("kind = 'response' AND record_id IS NOT NULL").dropDuplicates(["record_id"])
+    inside = (moments.withColumn("found", F.max(ref).over(before)).where("revisits > 0")
+              .select("canonical", "bucket", "ts", "found", "revisits"))
+    matched = written(inside.join(carried, ["canonical", "bucket"])
+                      .select("canonical", "ts", F.coalesce("found", "carried")["record_id"].alias("response_id"), "revisits")
+                      .where("response_id IS NOT NULL"), "revisit-matches")
+    # at most one row for each ``part_rows`` revisits there are
+    hot = F.broadcast(matched.groupBy("response_id").agg(F.ceil(F.sum("revisits") / part_rows).cast("int").alias("parts"))
+                      .where("parts > 1"))
+    parts = F.coalesce("parts", F.lit(1))
+    full = (base.where("kind = 'response' AND record_id IS NOT NULL")
             .select(F.col("record_id").alias("response_id"), F.col("etag").alias("r_etag"),
                     F.col("last_modified").alias("r_modified"), F.col("headers").alias("r_headers"),
-                    F.col("payload").alias("r_payload")))
-    joined = revisits.join(matched, ["canonical", "ts"], "left").join(full, "response_id", "left")
+                    F.col("payload").alias("r_payload"))
+            .join(hot, "response_id", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+            .dropDuplicates(["response_id", "part"]))
+    asking = (revisits.join(matched.drop("revisits"), ["canonical", "ts"], "left").join(hot, "response_id", "left")
+              .withColumn("part", F.pmod(F.xxhash64("record_id", "url", "etag"), parts).cast("int")))
+    joined = asking.join(full, ["response_id", "part"], "left")
     bare = lambda tag: F.regexp_replace(tag, "^W/", "")
     verdict = (F.when(F.col("response_id").isNull(), "no_response")
                .when(F.col("etag").isNotNull(),

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -689,8 +690,8 @@ def test_revisits(spark):
         (None, "http://h.test/p?a=1&b=2", 800_000, "response", '"c"', 7, h, "three", None),
     ]
     df = spark.createDataFrame(rows, RECORD)
-    for width in (7, 86_400):
-        out = revisit.resolve(df, width).collect()
+    for width, part in ((7, 10_000), (86_400, 1)):
+        out = revisit.resolve(df, width, part).collect()
         got = {r.record_id: r for r in out}
         assert len(out) == 8 and sum(r.record_id == 5 for r in out) == 2
         assert (got[3].response_id, got[3].verdict, got[3].payload) == (1, "resolved", "one")
@@ -702,6 +703,31 @@ def test_revisits(spark):
     assert revisit.resolve(df.where("ts < 0")).count() == 0
 
 
+def test_hot_url_is_resolved_in_parts(spark):
+    """One URL has nearly all records, many in one second; columns of the
+    operator's own names come in, one body is long; against a plain loop."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(1_500):
+        kind = "response" if i % 30 == 0 else "revisit"
+        url = "http://hot.test/" if i % 50 else f"http://cold{i}.test/{'x' * 5_000}"
+        rows.append((i, url, rng.randrange(40), kind, f'"{rng.randrange(2)}"', None, [f"Date: {i}"], "p" * 100_000 if i == 30 else f"p{i}", None))
+    rows += rows[5:8] * 20 + rows[30:31] * 5
+    df = spark.createDataFrame(rows, RECORD).selectExpr("*", "1 AS canonical", "2 AS bucket", "3 AS found", "4 AS part", "5 AS parts", "6 AS revisits")
+    want = []
+    responses = {r[0]: r for r in rows if r[3] == "response"}
+    for r in rows:
+        if r[3] == "revisit":
+            seen = max(((x[2], x[0]) for x in responses.values() if x[1] == r[1] and x[2] < r[2]), default=None)
+            full = responses[seen[1]] if seen else None
+            verdict = "no_response" if full is None else "resolved" if full[4] == r[4] else "mismatch"
+            want.append((r[0], full[0] if full else None, verdict, full[7] if verdict == "resolved" else None))
+    assert max(Counter(w[1] for w in want if w[1] is not None).values()) > 60
+    for part in (10_000, 20):
+        got = [(r.record_id, r.response_id, r.verdict, r.payload) for r in revisit.resolve(df, 15, part).collect()]
+        assert sorted(map(str, got)) == sorted(map(str, want))
+
+
 # --- 10 -----------------------------------------------------------------
 
 def test_contamination_edge_rows(spark, edge, empty):
