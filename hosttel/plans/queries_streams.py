@@ -45,10 +45,16 @@ def _run_dir(spark, name: str) -> str:
 FILES_PER_TRIGGER: int | None = None
 
 
+def _dealt_stream(spark, path: str, files_per_trigger: int | None):
+    """The written messages as a stream, over as many tasks as their text needs."""
+    env = K.read_envelope_stream(spark, path, files_per_trigger)
+    return K.deal_messages(env, K.message_tasks(spark.read.parquet(path)))
+
+
 def _envelope_stream(spark, sf, base: str):
     path = f"{base}/in"
     K.write_envelope_files(K.to_envelope(_packed(spark, sf), TOPIC), path)
-    return K.read_envelope_stream(spark, path, FILES_PER_TRIGGER)
+    return _dealt_stream(spark, path, FILES_PER_TRIGGER)
 
 
 def _replay_delay(spark, sf) -> str:
@@ -170,7 +176,7 @@ def q_stream_unique(spark, sf):
     key tables behind a Bloom filter (ST5). Every row once."""
     base = _run_dir(spark, "unique")
     K.write_envelope_files(K.to_envelope(_packed(spark, sf), TOPIC), f"{base}/in", files=6)
-    rows = D.decode_rows(K.read_envelope_stream(spark, f"{base}/in", 2), ROW_SCHEMA).select(*ROW_COLS)
+    rows = D.decode_rows(_dealt_stream(spark, f"{base}/in", 2), ROW_SCHEMA).select(*ROW_COLS)
     q = RP.write_unique(rows, ["machine", "sequence"], f"{base}/out", f"{base}/chk", available_now=True)
     q.awaitTermination()
     return RP.read_unique(spark, f"{base}/out")

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from ..schemas import KAFKA_ENVELOPE
 
+#: Bytes of message text that one task decodes, about.
+TASK_BYTES = 16 << 20
+
 
 def read_kafka(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest",
                options: dict | None = None) -> DataFrame:
@@ -81,3 +84,16 @@ def read_envelope_stream(spark: SparkSession, path: str, max_files_per_trigger:
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.parquet(path)
+
+
+def message_tasks(messages: DataFrame, value: str = "value", task_bytes: int | None = None) -> int:
+    """Tasks that decode ``messages`` at ``task_bytes`` of text each (``TASK_BYTES``), from their sizes alone."""
+    total = messages.agg(F.sum(F.octet_length(value).cast("bigint"))).first()[0] or 0
+    return max(1, -(-total // (task_bytes or TASK_BYTES)))
+
+
+def deal_messages(messages: DataFrame, tasks: int, value: str = "value", offset: str = "offset") -> DataFrame:
+    """``messages`` dealt over ``tasks`` by offset and text, batch or stream. A
+    split of a compressed file, or a backlog of one topic partition, may hold
+    many times the text that a task should decode; one task's worth is left as it is."""
+    return messages if tasks <= 1 else messages.repartition(tasks, offset, value)

@@ -125,12 +125,13 @@ def write_unique(rows: DataFrame, keys: list[str], path: str, checkpoint: str, b
         if each is not None:
             each(written.drop("__bucket"), batch_id)
         written.select(*keys, "__bucket").write.mode("overwrite").partitionBy("__bucket").parquet(f"{path}/keys/batch={batch_id}")
-        made = bloom_blocks(written, keys, blocks)
+        # by block first: a task then sorts its share of the keys, and no bitmap is made twice
+        made = bloom_blocks(written.select(*keys).repartition(buckets, _block(keys, blocks)), keys, blocks)
         before = _earlier(spark, f"{path}/filter", batch_id, _BLOCK_SCHEMA)
         if before is not None:
             changed = _newest(before).join(made.select("block"), "block", "left_semi")
             made = changed.unionByName(made).groupBy("block").agg(F.bitmap_or_agg("bits").alias("bits"))
-        made.coalesce(1).write.mode("overwrite").parquet(f"{path}/filter/batch={batch_id}")
+        made.write.mode("overwrite").parquet(f"{path}/filter/batch={batch_id}")
 
     w = rows.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)

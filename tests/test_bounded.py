@@ -143,6 +143,23 @@ def test_replayed_batch_replaces_its_rows(spark, tmp_path):
     assert sorted(got) == list(range(40))
 
 
+def test_filter_is_written_by_many_tasks(spark, tmp_path):
+    """No task merges the whole filter, and a batch's table holds each block once."""
+    for i in range(3):
+        spark.range(i * 900, i * 900 + 1000).selectExpr("1 AS machine", "id AS sequence").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("machine int, sequence long").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so little data is one task otherwise
+    try:
+        drain(repeats.write_unique(stream, KEYS, f"{tmp_path}/out", f"{tmp_path}/chk", 4, 512, available_now=True))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert repeats.read_unique(spark, f"{tmp_path}/out").count() == 2800
+    for batch in range(3):
+        files = list((tmp_path / "out" / "filter" / f"batch={batch}").glob("*.parquet"))
+        table = spark.read.parquet(str(files[0].parent))
+        assert len(files) > 1 and table.count() == table.select("block").distinct().count() > 400
+
+
 def test_filter_rules_out_most_new_keys(spark):
     """At the sizes of the defaults the filter passes few keys that were never seen, and all that were."""
     seen = spark.range(200_000).selectExpr("id AS k")
