@@ -282,6 +282,7 @@ def q_stream_live_sql(spark, sf):
 
 
 MEM_TOPIC = "telemetry_memory"
+PACK_ROWS = 500_000  # that one task packs, about
 _MEMORY_SQL = f"""rows_m AS (
   SELECT CAST(pid * 8 + seq AS BIGINT) AS sequence, CAST(pid % 5 + 1 AS INTEGER) AS machine, CAST(pid AS INTEGER) AS "PID",
          CAST(minflt AS BIGINT) AS "MINFLT", CASE WHEN regexp_full_match({_ZERO.format(c='rsize')}, '[0-9]+') THEN CAST({_ZERO.format(c='rsize')} AS BIGINT) END AS "RSIZE",
@@ -309,7 +310,10 @@ def q_stream_memory_rows(spark, sf):
     base = _run_dir(spark, "memory_rows")
     rows = _memory_rows(spark, sf).withColumn("offset_id", F.expr("sequence DIV 4096"))
     names = [f.name for f in MEMORY_STREAM_ROW.fields]
-    K.write_envelope_files(K.to_envelope(M.pack_messages(rows, names), MEM_TOPIC), f"{base}/in")
+    tasks = -(-rows.count() // PACK_ROWS)
+    if tasks <= int(spark.conf.get("spark.sql.shuffle.partitions")):
+        tasks = None
+    K.write_envelope_files(K.to_envelope(M.pack_messages(rows, names, tasks=tasks), MEM_TOPIC), f"{base}/in")
     env = K.read_envelope_stream(spark, f"{base}/in", FILES_PER_TRIGGER)
     q = D.write_decoded(env, MEMORY_STREAM_ROW, f"{base}/out", f"{base}/chk", available_now=True)
     q.awaitTermination()

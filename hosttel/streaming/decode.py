@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources import kafka as K
+
 
 def _rows(value_col: str, row_schema: T.StructType):
     return F.from_json(F.col(value_col).cast("string"), T.ArrayType(row_schema))
@@ -114,12 +116,15 @@ def write_decoded(env: DataFrame, row_schema: T.StructType, path: str, checkpoin
     them): ``path/rows`` (offset_id, pos and the row's columns), ``path/refused``
     (offset_id, reason, n_refused and the message's bytes, to be read again
     when the reader is mended), ``path/counts`` (what each message held).
+    A batch is dealt over as many tasks as its text needs (``K.deal_messages``),
+    so what a task decodes and keeps for the three does not grow with the batch.
     Returns the ``StreamingQuery``.
     """
     path = path.rstrip("/")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        checked = checked_messages(batch, row_schema, value, offset).persist()
+        dealt = K.deal_messages(batch, K.message_tasks(batch, value), value, offset)
+        checked = checked_messages(dealt, row_schema, value, offset).persist()
         try:
             tables = {
                 "rows": checked.select("offset_id", F.posexplode("rows").alias("pos", "_r")).select("offset_id", "pos", "_r.*"),

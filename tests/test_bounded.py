@@ -210,6 +210,23 @@ def test_no_message_is_lost(spark):
     assert got[9].rows[0].b == "y"
 
 
+def test_one_file_is_decoded_by_many_tasks(spark, tmp_path, monkeypatch):
+    """What a task decodes and keeps is bounded by the text, not by the split of the file."""
+    from hosttel.sources import kafka as K
+
+    rows = spark.range(20_000).selectExpr("id DIV 100 AS offset_id", "id AS sequence", "CAST(id % 3 AS INT) AS machine", "CAST(NULL AS STRING) AS cmd")
+    K.write_envelope_files(K.to_envelope(M.pack_messages(rows, ["sequence", "machine", "cmd"], tasks=5), "t").coalesce(1), f"{tmp_path}/in")
+    monkeypatch.setattr(K, "TASK_BYTES", 100_000)
+    written = spark.read.parquet(f"{tmp_path}/in")
+    assert written.count() == 600 and K.message_tasks(written) > 5 and K.message_tasks(written.limit(0)) == 1
+    schema = rows.select("sequence", "machine", "cmd").schema
+    drain(decode.write_decoded(K.read_envelope_stream(spark, f"{tmp_path}/in"), schema, f"{tmp_path}/out", f"{tmp_path}/chk", available_now=True))
+    assert len(list((tmp_path / "out" / "rows" / "batch=0").glob("*.parquet"))) > 5
+    got = spark.read.parquet(f"{tmp_path}/out/rows").drop("pos", "batch")
+    assert got.exceptAll(rows.select(*got.columns)).count() == 0 and got.count() == 20_000
+    assert spark.read.parquet(f"{tmp_path}/out/counts").agg(F.sum("n_received"), F.count("offset_id")).first()[:] == (20_000, 600)
+
+
 # --- SQL over a live table ----------------------------------------------------------
 
 def test_live_table_grows_while_the_stream_runs(spark, tmp_path):
