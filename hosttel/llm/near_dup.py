@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..streaming.repeats import maybe_in
 from .components import connected_components
 from .store import written
 from .text import fields, map_columns, shingle_set
@@ -302,13 +303,15 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     head = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")).alias("head")
     classes = written(members.groupBy("node").agg(head, F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes")
     linkable = classes.select(F.col("node").alias("id"), "n", "sketch")
-    banded = _bands(linkable, bands, rows)
+    banded = _bands(linkable, bands, rows).repartition("key")  # one shuffle for both uses
     several = (banded.groupBy("key").agg(F.min(F.struct("id", "n")).alias("head"), F.max("id").alias("top"))
                .where("head.id != top")
                .select("key", F.col("head.id").alias("a"), F.col("head.n").alias("n_a")))
     bucket = written(banded.join(several, "key")
                      .select("key", "id", "n", "a", "n_a"), "buckets")
-    texts = written(_texts_of(docs, classes, bucket.select("id").distinct()), "texts")  # of texts that share a bucket
+    sharing = written(bucket.select("id").distinct(), "sharing")
+    texts = written(_texts_of(docs, classes, sharing), "texts")  # of texts that share a bucket
+    linkable = _maybe_in(linkable, sharing, "id")
     first = (bucket.select("a", "n_a", F.col("id").alias("b"), F.col("n").alias("n_b"))
              .where(F.col("a") != F.col("b")).where(_size_fits(limit)).select("a", "b").distinct())
     links = written(_by_sets(_by_sketch(first, linkable, limit), texts, width, limit), "links")
@@ -335,11 +338,17 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     return linked.unionAll(alone)
 
 
+def _maybe_in(df: DataFrame, keyed: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose key may be in ``keyed``. A filter of bounded size is
+    broadcast, so that a join shuffles hardly any wide row that it then drops."""
+    return maybe_in(df, keyed, [key]).where("__maybe_seen").drop("__maybe_seen")
+
+
 def _texts_of(docs: DataFrame, classes: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, text): the text of the row that heads each of the classes ``ids``, once."""
     row = lambda d, h: F.xxhash64(d, h)
-    wanted = classes.select(F.col("node").alias("id"), "head").join(ids, "id").select(
-        "id", row("head.doc_id", "head.text_hash").alias("row"), "head")
-    found = docs.withColumn("row", row("doc_id", "text_hash")).join(wanted, "row").where(
+    wanted = written(classes.select(F.col("node").alias("id"), "head").join(ids, "id").select(
+        "id", row("head.doc_id", "head.text_hash").alias("row"), "head"), "wanted")
+    found = _maybe_in(docs.withColumn("row", row("doc_id", "text_hash")), wanted, "row").join(wanted, "row").where(
         "doc_id <=> head.doc_id AND text_hash = head.text_hash")
     return found.groupBy("row", "id").agg(F.first("text").alias("text")).select("id", "text")

@@ -77,6 +77,13 @@ def split_by_filter(fresh: DataFrame, blocks: DataFrame, keys: list[str], n_bloc
     return looked.withColumn("__maybe_seen", seen).drop("__block", "__bits")
 
 
+def maybe_in(df: DataFrame, keyed: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with ``__maybe_seen``: false for a row whose key is surely not in ``keyed``, a written table.
+    The filter has 16 bits for each of its rows, up to the size of ``BLOCKS``."""
+    n_blocks = min(BLOCKS, 16 * keyed.count() // _BITS + 1)
+    return split_by_filter(df, bloom_blocks(keyed, keys, n_blocks), keys, n_blocks)
+
+
 def _is_known(keys: list[str]) -> Column:
     """Equal keys of equal buckets; null equals null, as for ``dropDuplicates``."""
     return reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys],

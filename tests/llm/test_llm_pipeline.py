@@ -2,8 +2,9 @@
 
 import corpus_pipeline as P
 import pytest
-from hosttel.llm import pii
+from hosttel.llm import near_dup, pii
 from hosttel.llm.store import written
+from pyspark.sql import functions as F
 from test_llm_operators import plain_base
 from test_llm_queries import SF, components, rows_of
 
@@ -145,3 +146,43 @@ def test_stages_take_empty_tables(spark):
     for name, stage in P.STAGES:
         out = stage(spark, docs, SF)
         assert out.columns[:6] == [*DOC, "kept"] and out.count() == 0, name
+
+
+def moved_rows(df, *wide):
+    """Rows that the plan of a collected ``df`` shuffled with one of the columns ``wide``."""
+    def nodes(plan):
+        yield plan
+        for i in range(plan.children().size()):
+            yield from nodes(plan.children().apply(i))
+
+    def names(plan):
+        return {plan.output().apply(i).name() for i in range(plan.output().size())}
+
+    return sum(n.metrics().apply("shuffleRecordsWritten").value()
+               for n in nodes(df._jdf.queryExecution().executedPlan()) if n.nodeName() == "Exchange" and names(n) & set(wide))
+
+
+def test_only_texts_that_a_verdict_names_are_shuffled(spark):
+    item = rows_of("benchmark", "item_id", "text")[0]["text"]
+    texts = [clean(i) for i in range(300)] + [f"{clean(i)} end" for i in range(4)] + [f"{clean(9)} {item}"]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)] + [(20, texts[20], "en", "s", len(texts[20]))]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(before, ("false", "-1"), strict=True):  # the plan as it ran, and no table too small to shuffle
+            spark.conf.set(k, v)
+        docs = written(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "few")
+        once = P.near_duplicates(spark, docs, SF)
+        assert sorted(r.doc_id for r in once.collect()) == [*range(300), 304]
+        assert 0 < moved_rows(once, "row", "text") < 30
+        clear = P.decontamination(spark, docs, SF)
+        assert sorted(r.doc_id for r in clear.collect()) == sorted([*range(304), 20])
+        assert 0 < moved_rows(clear, "row", "text") < 30
+        head = F.struct(F.lit(False).alias("nameless"), "doc_id", F.xxhash64("text").alias("text_hash")).alias("head")
+        classes = docs.select((-F.col("doc_id")).alias("node"), head).distinct()
+        ids = spark.createDataFrame([(-5,), (-20,), (-301,)], "id long")
+        got = near_dup._texts_of(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text"), classes, ids)
+        assert {r.id: r.text for r in got.collect()} == {-i: texts[i] for i in (5, 20, 301)}
+        assert 0 < moved_rows(got, "text") < 30
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
