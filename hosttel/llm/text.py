@@ -7,13 +7,16 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
 #: Rows handed to a batch function at once; bounds a task's Python memory.
 BATCH_ROWS = 512
-#: Words remembered per Python worker; the memo is emptied when it is full.
-MEMO_WORDS = 200_000
+#: Bytes that Spark sends to a Python worker at once. Its own default, 64 MB, is a whole split of texts, which
+#: executor and worker hold several times over.
+ARROW_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+#: Words remembered per Python worker, of about 200 bytes each; the memo is emptied when it is full. Longer words are not remembered.
+MEMO_WORDS, MEMO_LENGTH = 32_768, 64
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -24,6 +27,12 @@ def without(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in taken]
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Set ``ARROW_BYTES`` where it is unset; a session's own value wins."""
+    if spark.conf.get(ARROW_BYTES[0], None) is None:
+        spark.conf.set(*ARROW_BYTES)
+
+
 def map_columns(df: DataFrame, inputs: Sequence[str], outputs: StructType,
                 func: Callable[..., list[pa.Array]], drop: Sequence[str] = (),
                 batch_rows: int = BATCH_ROWS) -> DataFrame:
@@ -31,20 +40,26 @@ def map_columns(df: DataFrame, inputs: Sequence[str], outputs: StructType,
     arrays of the columns ``inputs``, a few hundred rows at a time.
 
     Every row comes out exactly once. An input column named like an output is
-    replaced by it; the columns ``drop`` are not carried along.
+    replaced by it; the columns ``drop`` are not carried along. An input that
+    is carried along goes to the worker once.
     """
+    bound_batches(df.sparkSession)
     kept = without(df, [*outputs.names, *drop])
     schema = StructType([df.schema[c] for c in kept] + outputs.fields)
-    source = df.select(*[df[c] for c in kept], *[df[c].alias(f"__in{i}") for i, c in enumerate(inputs)])
-    n_kept, n_in = len(kept), len(inputs)
+    sent = [*kept, *[c for c in inputs if c not in kept]]
+    n_kept, at = len(kept), [sent.index(c) for c in inputs]
+    source = df.select(*[df[c] for c in kept], *[df[c].alias(f"__in{i}") for i, c in enumerate(sent[n_kept:])])
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pool = pa.default_memory_pool()
+        pool.release_unused()  # workers are used again: what earlier tasks' batches took
         for batch in batches:
             for start in range(0, batch.num_rows, batch_rows):
                 part = batch.slice(start, batch_rows)
-                made = func(*[part.column(n_kept + i) for i in range(n_in)])
+                made = func(*[part.column(i) for i in at])
                 yield pa.RecordBatch.from_arrays([*part.columns[:n_kept], *made], names=names)
+            pool.release_unused()
 
     return source.mapInArrow(run, schema)
 
@@ -65,7 +80,9 @@ class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= MEMO_WORDS:
             self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
+        value = xxhash.xxh64_intdigest(word)
+        if len(word) <= MEMO_LENGTH:
+            self[word] = value
         return value
 
 

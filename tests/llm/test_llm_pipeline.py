@@ -1,10 +1,17 @@
 """The pipeline stage by stage against a plain Python version."""
 
+import sys
+
 import corpus_pipeline as P
+import pyarrow as pa
 import pytest
+import xxhash
 from hosttel.llm import near_dup, pii
+from hosttel.llm import text as text_module
 from hosttel.llm.store import written
+from hosttel.llm.text import fields, map_columns
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from test_llm_operators import plain_base
 from test_llm_queries import SF, components, rows_of
 
@@ -186,3 +193,42 @@ def test_only_texts_that_a_verdict_names_are_shuffled(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_batches_for_python_workers_are_bounded_in_bytes(spark):
+    key = text_module.ARROW_BYTES[0]
+    old = spark.conf.get(key, None)
+    docs = spark.range(12_000).repartition(1).selectExpr("id", "repeat(CAST(id % 10 AS STRING), 2000) AS text")
+    out = fields([("n", T.LongType())])
+    try:
+        spark.conf.unset(key)
+        made = map_columns(docs, ["text"], out, lambda c: [pa.array([len(c)] * len(c), pa.int64())], batch_rows=10_000)
+        got = made.agg(F.max("n").alias("n"), F.count("*").alias("rows"), F.sum(F.length("text")).alias("chars")).first()
+        assert (got.rows, got.chars) == (12_000, 24_000_000) and got.n < 4_000  # 8 MB; one batch of 10,000 before
+        spark.conf.set(key, "1m")  # a session's own value wins
+        map_columns(docs, ["text"], out, lambda c: [pa.array([0] * len(c), pa.int64())])
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
+def test_an_input_that_is_kept_goes_to_the_worker_once(spark):
+    docs = spark.createDataFrame([(1, "ab", "x"), (2, None, "y")], "id long, text string, lang string")
+    out = fields([("n", T.LongType()), ("m", T.LongType())])
+
+    def run(*columns):
+        return [pa.array([len(x or "") for x in c.to_pylist()], pa.int64()) for c in columns]
+
+    made = map_columns(docs, ["text", "lang"], out, run)
+    sent = made._jdf.queryExecution().analyzed().children().apply(0).output()
+    assert sent.size() == 3
+    assert sorted(map(tuple, made.collect())) == [(1, "ab", "x", 2, 1), (2, None, "y", 0, 1)]
+    gone = map_columns(docs, ["lang", "TEXT"], out, run, drop=("text",))
+    assert sorted(map(tuple, gone.collect())) == [(1, "x", 1, 2), (2, "y", 1, 0)]
+
+
+def test_the_memo_of_words_is_bounded():
+    words = [b"%d" % i for i in range(120_000)] + [b"w" * 1_000_000, b"1"]
+    memo = text_module.WordHashes()
+    assert [memo[w] for w in words] == [xxhash.xxh64_intdigest(w) for w in words]
+    assert sum(map(sys.getsizeof, memo)) + sys.getsizeof(memo) < 8 << 20
