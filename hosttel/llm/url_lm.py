@@ -20,25 +20,28 @@ A log-likelihood is a sum over a URL's contexts and grams (a context with its
 next byte): each context adds its escape, each gram what is known beyond that
 and beyond the gram one byte shorter. So a model is one table of (key, value),
 both models together one table of differences, and a score is the sum of the
-values of a URL's keys. The table is looked up in the tasks while its counted
-size is within a bound, and joined by a shuffle beyond.
+values of a URL's keys. A small table is looked up in the tasks. A larger one
+never passes through the driver, which only gets bits that tell most keys that
+are not in it: the URLs are cut into sorted pieces, each asks once for the keys
+it may need, and they are joined. Without a context none of its lengthenings
+stays, so no more are tried.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .store import written
-from .text import fields, map_columns, mix
+from .text import bound_batches, fields, map_columns, mix
 
 #: Occurrences that a context needs to stay, and lengths of context that one pass over the URLs counts.
 SUPPORT, STEP = 16, 8
@@ -46,10 +49,10 @@ SUPPORT, STEP = 16, 8
 LEAST_BITS, MOST_BITS = 16, 26
 #: Byte values, and one more that stands before the first byte.
 KINDS, START = 256, 256
-#: Models of up to this many keys go to the tasks as two sorted arrays of 12 bytes a key; larger ones are joined.
-LOOKUP_KEYS = 1_000_000
-#: Keys that are in more than one of so many training bytes are joined by a broadcast: at most HOT a length of context.
-HOT = 1_000
+#: Models of up to this many keys go to the tasks by the driver as two sorted arrays of 16 bytes a key; larger ones are joined.
+LOOKUP_KEYS = 32_768
+#: Larger ones are joined for pieces of about this many bytes of distinct URLs, and for about so many pieces at least.
+PIECE, PIECES = 1 << 20, 48
 #: One in so many rule-decided URLs is kept for calibration.
 HELD_OUT = 5
 #: Largest share of held-out allowed URLs that the threshold may block.
@@ -111,13 +114,19 @@ class Grams:
         self.length = sizes - 1
 
     def __iter__(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """(length, places, context keys, gram keys) for each length of context, from 0."""
+        return self.among(None)
+
+    def among(self, stays: Callable[[np.ndarray], np.ndarray] | None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(length, places, context keys, gram keys) for each length of context,
+        from 0. Contexts that ``stays`` is false of are left out and not lengthened."""
         places = np.arange(len(self.at))
         context = np.full(len(self.at), np.uint64(0x243F6A8885A308D3))
         length = 0
         while len(places):
-            gram = mix(context * np.uint64(3) + self.text[self.at[places]])
-            yield length, places, context, gram
+            if stays is not None:
+                good = stays(context)
+                places, context = places[good], context[good]
+            yield length, places, context, mix(context * np.uint64(3) + self.text[self.at[places]])
             length += 1
             longer = self.room[places] >= length
             places, context = places[longer], context[longer]
@@ -140,39 +149,28 @@ def _slices(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBat
 
 
 class Cells:
-    """Which cells of a hash of contexts hold enough occurrences for any of
-    their contexts to stay: no such context is ever missed."""
+    """Which cells of a hash of keys hold enough occurrences for any of their
+    keys, of contexts for one, to stay: no such key is ever missed."""
 
     def __init__(self, flags: np.ndarray, bits: int):
         self.flags, self.shift = flags, np.uint64(64 - bits)
 
-    def may_stay(self, context: np.ndarray) -> np.ndarray:
-        cell = context >> self.shift
+    def may_stay(self, key: np.ndarray) -> np.ndarray:
+        cell = key >> self.shift
         return (self.flags[cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def context_cells(df: DataFrame, first: int, stems: Broadcast | None, bits: int, support: int) -> Cells:
-    """Cells of the contexts of ``first`` to ``first + STEP - 1`` bytes whose
-    stem may stay. A task keeps one byte a cell, as counts beyond the support
-    (or 255) decide nothing, and sends the cells it met; at most 2**MOST_BITS
-    bits come back. ``df``: (url, ...)."""
-    most, wide = min(support, 255), min(bits, 16)
-    shift = np.uint64(64 - bits)
+def _cells(df: DataFrame, count: Callable[[pa.RecordBatch, np.ndarray], None], bits: int, most: int) -> Cells:
+    """Cells of at least ``most`` occurrences, which ``count`` adds up over a
+    task's batches. A task keeps one byte a cell, as counts beyond ``most``, at
+    most 255, decide nothing, and sends the cells it met; at most
+    2**MOST_BITS bits come back."""
+    wide = min(bits, 16)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << bits, np.uint8)
         for batch in batches:
-            for part in _slices(batch):
-                grams = Grams(part.column(0).to_pylist())
-                alive = np.ones(len(grams.at), bool)
-                for length, places, context, _ in grams:
-                    if length >= first + STEP:
-                        break
-                    if length == first - 1:
-                        alive[places] = stems.value.may_stay(context)
-                    if length >= first:
-                        cell, n = np.unique(context[alive[places]] >> shift, return_counts=True)
-                        total[cell] = np.minimum(total[cell] + n, most)
+            count(batch, total)
         for bucket, part in enumerate(total.reshape(-1, 1 << wide)):
             cell = np.flatnonzero(part)
             if len(cell):
@@ -190,7 +188,7 @@ def context_cells(df: DataFrame, first: int, stems: Broadcast | None, bits: int,
             yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([np.packbits(total >= most, bitorder="little").tobytes()])],
                                              names=["bucket", "flags"])
 
-    packed = (df.select("url").mapInArrow(count, "bucket int, cells binary, counts binary")
+    packed = (df.mapInArrow(pack, "bucket int, cells binary, counts binary")
               .repartition("bucket").mapInArrow(merge, "bucket int, flags binary"))
     flags = np.zeros((1 << bits - wide, (1 << wide) // 8), np.uint8)
     for r in packed.collect():
@@ -198,6 +196,38 @@ def context_cells(df: DataFrame, first: int, stems: Broadcast | None, bits: int,
     return Cells(flags.ravel(), bits)
 
 
+def context_cells(df: DataFrame, first: int, stems: Broadcast | None, bits: int, support: int) -> Cells:
+    """Cells of the contexts of ``first`` to ``first + STEP - 1`` bytes whose
+    stem may stay. ``df``: (url, ...)."""
+    most, shift = min(support, 255), np.uint64(64 - bits)
+
+    def count(batch: pa.RecordBatch, total: np.ndarray) -> None:
+        for part in _slices(batch):
+            grams = Grams(part.column(0).to_pylist())
+            alive = np.ones(len(grams.at), bool)
+            for length, places, context, _ in grams:
+                if length >= first + STEP:
+                    break
+                if length == first - 1:
+                    alive[places] = stems.value.may_stay(context)
+                if length >= first:
+                    cell, n = np.unique(context[alive[places]] >> shift, return_counts=True)
+                    total[cell] = np.minimum(total[cell] + n, most)
+
+    return _cells(df.select("url"), count, bits, most)
+
+
+def key_cells(model: DataFrame, n: int) -> Cells:
+    """Cells of the ``n`` keys of a model, eight or more for each within ``MOST_BITS``."""
+    bits = min(MOST_BITS, max(LEAST_BITS, n.bit_length() + 3))
+    shift = np.uint64(64 - bits)
+
+    def count(batch: pa.RecordBatch, total: np.ndarray) -> None:
+        total[batch.column(0).to_numpy().view(np.uint64) >> shift] = 1
+
+    return _cells(model.select("key"), count, bits, 1)
+
+
 #: Counts of a gram: of all URLs and of those that are fitted on, each without and with the label.
 _SIDES = ("all0", "all1", "fit0", "fit1")
 _COUNTS = "length int, context long, gram long, shorter long, " + ", ".join(f"{c} long" for c in _SIDES)
@@ -298,67 +328,111 @@ def train(df: DataFrame, url: str, label: str, support: int = SUPPORT, held: str
         *[escape(s).alias(f"e_{s}") for s in _SIDES], *[chance(s).alias(f"c_{s}") for s in _SIDES])
     parent = grams.select(F.col("gram").alias("shorter"), *[F.col(f"c_{s}").alias(f"p_{s}") for s in _SIDES])
     gain = {s: F.col(f"c_{s}") - F.coalesce(f"p_{s}", F.lit(0.0)) - F.col(f"e_{s}") for s in _SIDES}
-    of_grams = grams.join(parent, "shorter", "left").select(F.col("gram").alias("key"), "length", *[
+    # shuffled: exploded, the parents are many times what a plan takes them for, and the driver would broadcast them
+    of_grams = grams.join(parent.hint("merge"), "shorter", "left").select(F.col("gram").alias("key"), "length", *[
         c for v in versions for c in outcome(v, F.col(f"{v}0") + F.col(f"{v}1"), gain)])
     return written(of_contexts.unionByName(of_grams), "url-model")
 
 
 def score(df: DataFrame, model: DataFrame, url: str = "url", out: str = "score", lookup_keys: int = LOOKUP_KEYS) -> DataFrame:
     """Append the mean log-likelihood difference per byte; null and empty URLs get 0."""
-    if model.limit(lookup_keys + 1).count() <= lookup_keys:
-        return _score_in_tasks(df, model, url, out)
-    return _score_by_join(df, model, url, out)
+    n = model.count()
+    return _score_in_tasks(df, model, url, out) if n <= lookup_keys else _score_by_join(df, model, n, url, out)
 
 
-def _score_in_tasks(df: DataFrame, model: DataFrame, url: str, out: str) -> DataFrame:
-    got = model.select("key", "value", "length").toArrow()  # at most LOOKUP_KEYS rows
-    keys = got["key"].to_numpy()
-    order = np.argsort(keys)
-    shared = df.sparkSession.sparkContext.broadcast((keys[order], got["value"].to_numpy()[order].astype(np.float64)))
-    deepest = int(got["length"].to_numpy().max()) if len(keys) else -1
-
-    def run(column: pa.Array) -> list[pa.Array]:
-        keys, values = shared.value
-        grams = Grams(column.to_pylist())
+class Lookup:
+    """The values of a model's keys."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        keys = keys.view(np.uint64)
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order].astype(np.float64)
+
+    def _at(self, keys: np.ndarray) -> np.ndarray:
+        return np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        return self.keys[self._at(keys)] == keys if len(self.keys) else np.zeros(len(keys), bool)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """0 for a key that there is not."""
+        at = self._at(keys)
+        return np.where(self.keys[at] == keys, self.values[at], 0.0)
+
+    def scores(self, urls: Sequence[str | None]) -> np.ndarray:
+        grams = Grams(urls)
         total = np.zeros(len(grams.length))
-        for length, places, context, gram in grams:
-            if length > deepest:
-                break
-            for k in (context.view(np.int64), gram.view(np.int64)):
-                at = np.minimum(np.searchsorted(keys, k), len(keys) - 1)
-                total += np.bincount(grams.owner[places], np.where(keys[at] == k, values[at], 0.0), len(total))
-        return [pa.array(total / np.maximum(grams.length, 1), pa.float64())]
+        for _, places, context, gram in grams.among(self.has):
+            if len(places):
+                for k in (context, gram):
+                    total += np.bincount(grams.owner[places], self.of(k), len(total))
+        return total / np.maximum(grams.length, 1)
 
-    return map_columns(df, [url], fields([(out, T.DoubleType())]), run)
 
+def _score_in_tasks(df: DataFrame, model: DataFrame, url: str, out: str) -> DataFrame:
+    got = model.select("key", "value").toArrow()  # at most LOOKUP_KEYS rows
+    shared = df.sparkSession.sparkContext.broadcast(Lookup(got["key"].to_numpy(), got["value"].to_numpy()))
+    return map_columns(df, [url], fields([(out, T.DoubleType())]),
+                       lambda column: [pa.array(shared.value.scores(column.to_pylist()), pa.float64())])
 
-def _score_by_join(df: DataFrame, model: DataFrame, url: str, out: str) -> DataFrame:
-    """The same, URL by distinct URL: its keys are joined with the model; keys
-    that nearly all URLs have are broadcast."""
-    deepest = model.agg(F.max("length")).first()[0]
-    total = model.agg(F.sum("n")).first()[0] or 0
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pieces(urls: DataFrame) -> DataFrame:
+    """(piece, urls): distinct URLs, similar ones together, in pieces of up to
+    twice ``PIECE`` bytes or one URL. ``urls``: a written table (url)."""
+    total = urls.agg(F.sum(F.octet_length("url"))).first()[0] or 0
+    most = max(1, min(PIECE, total // PIECES))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, n = TaskContext.get().partitionId(), 0
+
+        def piece(parts: list[pa.Array]) -> pa.RecordBatch:
+            whole = pa.concat_arrays(parts)
+            return pa.RecordBatch.from_arrays([pa.array([(task << 32) + n], pa.int64()), pa.ListArray.from_arrays([0, len(whole)], whole)],
+                                              names=["piece", "urls"])
+
+        held, size = [], 0
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                urls = batch.column(0).slice(start, 512)
-                grams = Grams(urls.to_pylist())
-                for length, places, context, gram in grams:
-                    if length > deepest:
-                        break
-                    owner = grams.owner[places]
-                    for k in (context, gram):
-                        yield pa.RecordBatch.from_arrays([urls.take(pa.array(owner)), pa.array(grams.length[owner]), _signed(k)],
-                                                         names=["url", "size", "key"])
-
-    keys = df.select(F.col(url).alias("url")).where("url IS NOT NULL").distinct().mapInArrow(run, "url string, size long, key long")
-    keys = keys.groupBy("url", "size", "key").agg(F.count("*").alias("times"))
-    common = F.col("n") * HOT > total
-    hot = F.broadcast(model.where(common).select("key", "value"))
-    sums = keys.join(hot, "key").unionByName(keys.join(model.where(~common).select("key", "value"), "key"))
-    found = sums.groupBy("url", "size").agg((F.sum(F.col("times") * F.col("value")) / F.col("size")).alias("__score"))
+            for part in _slices(batch, most):
+                more = pc.sum(pc.binary_length(part.column(0))).as_py()
+                if held and size + more > 2 * most:
+                    yield piece(held)
+                    held, size, n = [], 0, n + 1
+                held.append(part.column(0))
+                size += more
+        if held:
+            yield piece(held)
+
+    start = F.expr("substr(url, locate('://', url) + 3)")
+    dealt = urls.repartitionByRange(total // most + 1, start).sortWithinPartitions(start)
+    return written(dealt.mapInArrow(cut, "piece long, urls array<string>"), "url-pieces")
+
+
+def _score_by_join(df: DataFrame, model: DataFrame, n: int, url: str, out: str) -> DataFrame:
+    """The same, piece by piece of the distinct URLs: the keys that a piece may
+    need are joined with the model, each once, and come back to it."""
+    bound_batches(df.sparkSession)
+    cells = df.sparkSession.sparkContext.broadcast(key_cells(model, n))
+    pieces = _pieces(written(df.select(F.col(url).alias("url")).where("url IS NOT NULL").distinct(), "urls"))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece, urls in zip(*batch.columns, strict=True):
+                grams = Grams(urls.as_py())
+                for _, _, context, gram in grams.among(cells.value.may_stay):
+                    for k in (np.unique(context), np.unique(gram[cells.value.may_stay(gram)])):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), piece.as_py())), _signed(k)], names=["piece", "key"])
+
+    def sums(left: pa.Table, right: pa.Table) -> pa.Table:
+        lookup = Lookup(right["key"].to_numpy(), right["value"].to_numpy())
+        urls = left["urls"].combine_chunks().flatten()
+        return pa.table({"__url": urls, "__score": pa.array(lookup.scores(urls.to_pylist()), pa.float64())})
+
+    # shuffled: a plan's guess of either side's size would have the driver broadcast it
+    asked = pieces.mapInArrow(ask, "piece long, key long").join(model.select("key", "value").hint("merge"), "key")
+    found = pieces.groupBy("piece").cogroup(asked.select("piece", "key", "value").groupBy("piece")).applyInArrow(
+        sums, "__url string, __score double")
     kept = [F.col(f"l.`{c}`") for c in df.columns if c.lower() != out.lower()]
-    return df.alias("l").join(found.select(F.col("url").alias("__url"), "__score"), F.expr(f"l.`{url}` = __url"), "left").select(
+    return df.alias("l").join(found, F.expr(f"l.`{url}` = __url"), "left").select(
         *kept, F.coalesce("__score", F.lit(0.0)).alias(out))
 
 

@@ -521,6 +521,33 @@ def test_url_scores_equal_a_plain_version(spark, support, lookup):
         assert got[u] == pytest.approx(want, abs=1e-9), u
 
 
+def test_large_url_models_stay_off_the_driver(spark, monkeypatch):
+    """A model of many keys is neither collected nor broadcast."""
+    taken = []
+    frame = type(spark.range(1))
+    whole = frame.toArrow, frame.collect
+    monkeypatch.setattr(frame, "toArrow", lambda df: taken.append(t := whole[0](df)) or t)
+    monkeypatch.setattr(frame, "collect", lambda df: taken.append(t := whole[1](df)) or t)
+    model = spark.range(50_000).selectExpr("xxhash64(id) AS key", "1 AS length", "1L AS n", "0.5D AS value")
+    out = url_lm.score(spark.createDataFrame([("http://h.test/a",), ("",), (None,)], "url string"), model)
+    assert "Broadcast" not in out._jdf.queryExecution().sparkPlan().toString()
+    assert [r.score for r in out.toLocalIterator()] == [0.0] * 3  # not even the empty context is in this model
+    assert max(map(len, taken), default=0) < 5_000
+
+
+@pytest.mark.parametrize("piece", [1, 100, 10 ** 6])
+def test_joined_url_scores_do_not_hang_on_the_pieces(spark, monkeypatch, piece):
+    """Also of URLs that are longer than a piece, repeat or are null."""
+    rng = random.Random(3)
+    rows = [(f"http{'s' * (i % 2)}://h{i % 3}.test/{rng.randrange(300)}{'/deep' * (i % 4 * 10)}", i % 3 > 0) for i in range(300)]
+    model = url_lm.train(spark.createDataFrame(rows, "url string, y boolean"), "url", "y", 3)
+    ask = spark.createDataFrame([*enumerate([*[u for u, _ in rows[:60]] * 2, None, None, "", "no scheme", "x://" + "ü" * 500])], "id long, url string")
+    want = {r.id: r.score for r in url_lm.score(ask, model).collect()}
+    monkeypatch.setattr(url_lm, "PIECE", piece)
+    monkeypatch.setattr(url_lm, "PIECES", 1)
+    assert {r.id: r.score for r in url_lm.score(ask, model, lookup_keys=0).collect()} == want
+
+
 def test_url_models_tell_all_bytes_apart(spark):
     rows = [(f"http://h.test/?id={i}", True) for i in range(60)] + [(f"http://h.test/&id%{i}", False) for i in range(60)]
     rows += [(f"http://h.test/é{i}", True) for i in range(60)] + [(f"http://h.test/ü{i}", False) for i in range(60)]
